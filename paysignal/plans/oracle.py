@@ -59,7 +59,7 @@ f AS (
     LAG(location_city) OVER w AS prev_city, LEAD(location_city) OVER w AS next_city,
     LAG(u) OVER w AS prev_u, LEAD(u) OVER w AS next_u,
     {lags}, LAG(u, {n}) OVER w AS lag_u,
-    COUNT(DISTINCT user_id) OVER (PARTITION BY device_id ORDER BY u RANGE BETWEEN {cfg.mule_window_s} PRECEDING AND CURRENT ROW) AS dusers
+    CAST(COUNT(DISTINCT user_id) OVER (PARTITION BY device_id ORDER BY u RANGE BETWEEN {cfg.mule_window_s} PRECEDING AND CURRENT ROW) AS INTEGER) AS dusers
   FROM b
   WINDOW w AS (PARTITION BY user_id ORDER BY "timestamp", transaction_id)
 ),
@@ -209,4 +209,196 @@ FROM scored2"""
 def all_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(scoring_queries())
+    out.update(quality_queries())
     return out
+
+
+# ------------------------------------------------------------------ quality
+from paysignal.config import (  # noqa: E402
+    AMOUNT_MAX,
+    AMOUNT_MIN,
+    IP_SHAPE,
+    LENIENT_RULES,
+    LENIENT_VPA,
+    STRICT_RULES,
+    STRICT_VPA,
+)
+from paysignal.sources.tables import DIRTY_AS_OF  # noqa: E402
+
+TS_FMT = "'%Y-%m-%d %H:%M:%S.%f'"
+
+DIRTY = f"""
+dirty0 AS (SELECT *, CAST(substr(transaction_id, 5) AS BIGINT) AS eid FROM tx),
+dirty1 AS (
+  SELECT
+    CASE WHEN eid % 101 = 1 THEN NULL ELSE transaction_id END AS transaction_id,
+    CASE WHEN eid % 101 = 2 THEN NULL WHEN eid % 101 = 3 THEN 'DUP-' || (eid // 202) ELSE utr_number END AS utr_number,
+    CASE WHEN eid % 101 = 9 THEN NULL ELSE user_id END AS user_id,
+    strftime(CASE WHEN eid % 101 = 8 THEN "timestamp" + INTERVAL 10 YEAR ELSE "timestamp" END, {TS_FMT}) AS "timestamp",
+    CASE WHEN eid % 101 = 4 THEN CAST(-amount AS VARCHAR) WHEN eid % 101 = 5 THEN '2000000.0' ELSE CAST(amount AS VARCHAR) END AS amount,
+    CASE WHEN eid % 101 = 6 THEN 'bad vpa' ELSE sender_vpa END AS sender_vpa,
+    CASE WHEN eid % 101 = 7 THEN NULL ELSE receiver_vpa END AS receiver_vpa,
+    CASE WHEN eid % 101 = 14 THEN NULL ELSE merchant_category END AS merchant_category,
+    CASE WHEN eid % 101 = 15 THEN NULL ELSE location_city END AS location_city,
+    CASE WHEN eid % 101 = 12 THEN NULL ELSE device_id END AS device_id,
+    CASE WHEN eid % 101 = 13 THEN 'x.y' ELSE ip_address END AS ip_address,
+    CASE WHEN eid % 101 = 10 THEN 'PENDING' WHEN eid % 101 = 11 THEN 'FAILED' ELSE status END AS status,
+    CASE WHEN eid % 101 = 11 THEN '' ELSE failure_reason END AS failure_reason,
+    eid
+  FROM dirty0
+),
+dirty AS (SELECT * EXCLUDE (eid) FROM dirty1 UNION ALL SELECT * EXCLUDE (eid) FROM dirty1 WHERE eid % 50 = 0)"""
+
+RAW_ORDER = (
+    "transaction_id, utr_number, user_id, \"timestamp\", amount, sender_vpa, receiver_vpa, merchant_category, "
+    "location_city, device_id, ip_address, status, failure_reason"
+)
+FIRST_ORDER = (
+    '"timestamp" IS NULL, "timestamp", '
+    + ", ".join(f"{c.strip()} NULLS FIRST" for c in RAW_ORDER.split(","))
+)
+
+
+def _strict_rules(as_of: str = DIRTY_AS_OF) -> dict[str, str]:
+    return {
+        "transaction_id_not_null": "transaction_id IS NOT NULL",
+        "utr_not_null": "utr_number IS NOT NULL",
+        "utr_unique": "utr_n = 1",
+        "amount_positive": "amount > 0",
+        "sender_vpa_valid": f"regexp_matches(lower(sender_vpa), '{STRICT_VPA}')",
+        "receiver_vpa_valid": f"regexp_matches(lower(receiver_vpa), '{STRICT_VPA}')",
+        "timestamp_not_future": f"\"timestamp\" <= TIMESTAMP '{as_of}'",
+        "user_id_not_null": "user_id IS NOT NULL",
+        "status_valid": "upper(status) IN ('SUCCESS', 'FAILED')",
+        "failure_reason_valid": "CASE WHEN upper(status) = 'FAILED' THEN failure_reason IS NOT NULL AND length(failure_reason) > 0 ELSE true END",
+        "device_id_not_null": "device_id IS NOT NULL",
+        "ip_address_valid": f"regexp_matches(ip_address, '{IP_SHAPE}')",
+        "merchant_category_not_null": "merchant_category IS NOT NULL",
+        "location_city_not_null": "location_city IS NOT NULL",
+        "amount_reasonable": f"amount BETWEEN {AMOUNT_MIN} AND {AMOUNT_MAX}",
+    }
+
+
+def _lenient_rules(as_of: str = DIRTY_AS_OF) -> dict[str, str]:
+    def present(c):
+        return f"{c} IS NOT NULL AND {c} <> ''"
+
+    return {
+        "transaction_id_not_null": present("transaction_id"),
+        "utr_number_not_null": "utr_number IS NOT NULL",
+        "amount_positive": "amount > 0",
+        "sender_vpa_valid": f"regexp_matches(sender_vpa, '{LENIENT_VPA}')",
+        "receiver_vpa_valid": f"regexp_matches(receiver_vpa, '{LENIENT_VPA}')",
+        "timestamp_not_future": f"\"timestamp\" <= TIMESTAMP '{as_of}'",
+        "user_id_not_null": present("user_id"),
+        "status_valid": "status IN ('SUCCESS', 'FAILED')",
+        "failure_reason_valid": "status <> 'FAILED' OR failure_reason <> ''",
+        "device_id_not_null": present("device_id"),
+        "merchant_category_not_null": present("merchant_category"),
+        "location_city_not_null": present("location_city"),
+        "utr_unique": "utr_n = 1",
+    }
+
+
+def checked_ctes(source: str, name: str, rules: dict[str, str], order: tuple) -> str:
+    """CTE ``name`` = ``source`` + typed ts/amount + one column per rule,
+    _is_valid and quarantine_reason."""
+    flags = ",\n    ".join(f"COALESCE({rules[r]}, false) AS {r}" for r in order)
+    valid = " AND ".join(order)
+    reason = ", ".join(f"CASE WHEN NOT {r} THEN '{r}' END" for r in order)
+    return f"""
+{name}_t AS (
+  SELECT * REPLACE (TRY_CAST("timestamp" AS TIMESTAMP) AS "timestamp", TRY_CAST(amount AS DOUBLE) AS amount),
+    COUNT(*) OVER (PARTITION BY utr_number) AS utr_n
+  FROM {source}
+),
+{name}_f AS (SELECT *, {flags} FROM {name}_t),
+{name} AS (SELECT *, {valid} AS _is_valid, concat_ws('; ', {reason}) AS quarantine_reason FROM {name}_f)"""
+
+
+STANDARD = f"""
+std AS (
+  SELECT transaction_id, utr_number, user_id, TRY_CAST("timestamp" AS TIMESTAMP) AS "timestamp",
+    TRY_CAST(amount AS DOUBLE) AS amount, sender_vpa, receiver_vpa, merchant_category, location_city, device_id,
+    ip_address, upper(status) AS status, COALESCE(failure_reason, '') AS failure_reason,
+    location_city AS payer_location, location_city AS payee_location, false AS device_change_flag,
+    'Synthetic Data' AS data_origin
+  FROM dirty
+)"""
+
+SILVER_SELECT = (
+    "transaction_id, utr_number, user_id, \"timestamp\", amount, sender_vpa, receiver_vpa, merchant_category, "
+    "location_city, device_id, ip_address, upper(status) AS status, failure_reason"
+)
+
+
+def _keep_first(source: str) -> str:
+    return (
+        f"SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY {FIRST_ORDER}) AS rn "
+        f"FROM {source}) WHERE rn = 1 OR transaction_id IS NULL"
+    )
+
+
+def _rule_summary(source: str, order: tuple) -> str:
+    parts = []
+    for i, r in enumerate(order):
+        parts.append(
+            f"SELECT '{r}' AS rule, {i} AS rule_order, COUNT(*) FILTER (WHERE {r}) AS passed_records, "
+            f"COUNT(*) FILTER (WHERE NOT {r}) AS failed_records, "
+            f"COALESCE({ratio(f'COUNT(*) FILTER (WHERE {r}) * 100', 'COUNT(*)')}, 100.0) AS pass_rate_pct, "
+            f"CASE WHEN COUNT(*) FILTER (WHERE NOT {r}) = 0 THEN 'PASS' ELSE 'WARNING' END AS status FROM {source}"
+        )
+    return " UNION ALL ".join(parts)
+
+
+def quality_queries() -> dict[str, str]:
+    strict = checked_ctes("dirty", "chk", _strict_rules(), STRICT_RULES)
+    lenient = checked_ctes("std", "len", _lenient_rules(), LENIENT_RULES)
+    head = f"WITH {TX},{DIRTY},{strict}\n"
+    q: dict[str, str] = {}
+    q["standardize_aliases"] = f"""WITH {TX}
+SELECT transaction_id, utr_number, user_id, TRY_CAST(strftime("timestamp", {TS_FMT}) AS TIMESTAMP) AS "timestamp",
+  TRY_CAST(CAST(amount AS VARCHAR) AS DOUBLE) AS amount, sender_vpa, receiver_vpa, merchant_category, location_city,
+  device_id, ip_address, upper(lower(status)) AS status, '' AS failure_reason, location_city AS payer_location,
+  location_city AS payee_location, false AS device_change_flag, 'Synthetic Data' AS data_origin
+FROM tx"""
+    q["dq_flags"] = head + f"SELECT transaction_id, utr_number, {', '.join(STRICT_RULES)}, _is_valid FROM chk"
+    q["dq_valid"] = head + f", v AS ({_keep_first('chk WHERE _is_valid')})\nSELECT {SILVER_SELECT} FROM v"
+    q["dq_quarantine"] = head + "SELECT transaction_id, utr_number, quarantine_reason FROM chk WHERE NOT _is_valid"
+    q["dq_summary"] = head + (
+        "SELECT COUNT(*) AS total_rows, COUNT(*) FILTER (WHERE _is_valid) AS valid_rows, "
+        "COUNT(*) FILTER (WHERE NOT _is_valid) AS invalid_rows FROM chk"
+    )
+    q["dq_rule_summary"] = head + _rule_summary("chk", STRICT_RULES)
+    reasons = " UNION ALL ".join(
+        f"SELECT '{r}' AS rule, COUNT(*) FILTER (WHERE NOT {r}) AS failed_rows FROM chk WHERE NOT _is_valid"
+        for r in STRICT_RULES
+    )
+    q["dq_reason_counts"] = head + f"SELECT * FROM ({reasons}) WHERE failed_rows > 0"
+    lhead = f"WITH {TX},{DIRTY},{STANDARD},{lenient}\n"
+    q["dq_lenient"] = lhead + f"SELECT transaction_id, {', '.join(LENIENT_RULES)}, _is_valid, quarantine_reason FROM len"
+    q["dq_lenient_summary"] = lhead + _rule_summary("len", LENIENT_RULES)
+    dd = checked_ctes("dd", "chk2", _strict_rules(), STRICT_RULES)
+    q["dedup_keep_first"] = (
+        f"WITH {TX},{DIRTY},\ndirty_ts AS (SELECT * REPLACE (TRY_CAST(\"timestamp\" AS TIMESTAMP) AS \"timestamp\") FROM dirty),\n"
+        f"dd AS ({_keep_first('dirty_ts')}),{dd}\nSELECT {SILVER_SELECT} FROM chk2 WHERE _is_valid"
+    )
+    q["duplicate_rows"] = f"WITH {TX},{DIRTY}\n" + (
+        "SELECT CAST(COALESCE(SUM(n), 0) AS BIGINT) AS duplicate_rows FROM "
+        "(SELECT transaction_id, COUNT(*) AS n FROM dirty GROUP BY transaction_id HAVING COUNT(*) > 1)"
+    )
+    q["utr_duplicates"] = head + "SELECT transaction_id, utr_number FROM chk WHERE NOT utr_unique"
+    silver_src = f"silver AS ({_keep_first('chk WHERE _is_valid')}),\nsilver2 AS (SELECT {SILVER_SELECT} FROM silver)"
+    q["layer_counts"] = (
+        f"WITH {TX},{DIRTY},{strict},\n{silver_src},{scored_ctes(CONFIG_A, 'silver2')}\n"
+        "SELECT 'bronze_rows' AS metric, CAST(COUNT(*) AS DOUBLE) AS value FROM dirty\n"
+        "UNION ALL SELECT 'silver_rows', CAST(COUNT(*) AS DOUBLE) FROM silver2\n"
+        "UNION ALL SELECT 'quarantine_rows', CAST(COUNT(*) AS DOUBLE) FROM chk WHERE NOT _is_valid\n"
+        "UNION ALL SELECT 'gold_rows', CAST(COUNT(*) AS DOUBLE) FROM fraud\n"
+        f"UNION ALL SELECT 'valid_rate_pct', COALESCE({ratio('COUNT(*) FILTER (WHERE _is_valid) * 100', 'COUNT(*)')}, 100.0) FROM chk\n"
+        "UNION ALL SELECT 'duplicate_rows', CAST(COALESCE(SUM(n), 0) AS DOUBLE) FROM "
+        "(SELECT transaction_id, COUNT(*) AS n FROM dirty GROUP BY transaction_id HAVING COUNT(*) > 1)\n"
+        f"UNION ALL SELECT 'rule_pass_rate_pct', COALESCE({ratio('SUM(passed_records * 100)', 'SUM(passed_records + failed_records)')}, 100.0) "
+        f"FROM ({_rule_summary('chk', STRICT_RULES)})"
+    )
+    return q

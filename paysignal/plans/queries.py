@@ -106,6 +106,107 @@ def scoring_queries() -> dict[str, Query]:
 
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
-    for name, fn in scoring_queries().items():
-        out[name] = _q(fn)
+    for group in (scoring_queries, quality_queries):
+        for name, fn in group().items():
+            out[name] = _q(fn)
     return out
+
+
+# ------------------------------------------------------------------ quality
+from paysignal.config import LENIENT, STRICT, STRICT_RULES, LENIENT_RULES  # noqa: E402
+from paysignal.operators import dedup, quality  # noqa: E402
+from paysignal.operators.standardize import standardize  # noqa: E402
+from paysignal.plans import silver as silver_plan  # noqa: E402
+
+AS_OF = tables.DIRTY_AS_OF
+
+
+def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.dirty_raw_transactions(spark, sf_dir)
+
+
+def checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.add_quality_rules(dirty(spark, sf_dir), STRICT, AS_OF)
+
+
+def aliased_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows under alias / mixed-case names, lower-case status, no failure_reason."""
+    r = tables.raw_transactions(spark, sf_dir)
+    return r.select(
+        F.col("transaction_id").alias(" TXN_ID "),
+        F.col("utr_number").alias("UTR_Number"),
+        F.col("user_id").alias("upi_id"),
+        F.col("timestamp").alias("Event_Time"),
+        F.col("amount").alias("txn_amount"),
+        "sender_vpa",
+        "receiver_vpa",
+        F.col("merchant_category").alias("merchant"),
+        F.col("location_city").alias("City"),
+        F.col("device_id").alias("device"),
+        "ip_address",
+        F.lower("status").alias("status"),
+    )
+
+
+STANDARD_COLUMNS = (
+    "transaction_id", "utr_number", "user_id", "timestamp", "amount", "sender_vpa", "receiver_vpa",
+    "merchant_category", "location_city", "device_id", "ip_address", "status", "failure_reason",
+    "payer_location", "payee_location", "device_change_flag", "data_origin",
+)
+
+
+def quality_queries() -> dict[str, Query]:
+    q: dict[str, Query] = {}
+    q["standardize_aliases"] = lambda s, d: standardize(aliased_raw(s, d)).select(*STANDARD_COLUMNS)
+    q["dq_flags"] = lambda s, d: checked(s, d).select("transaction_id", "utr_number", *STRICT_RULES, "_is_valid")
+    q["dq_valid"] = lambda s, d: silver_plan.build(dirty(s, d), STRICT, AS_OF, dedup_first=False).silver.select(
+        *silver_plan.SILVER_COLUMNS
+    )
+    q["dq_quarantine"] = lambda s, d: silver_plan.build(dirty(s, d), STRICT, AS_OF, dedup_first=False).quarantine.select(
+        "transaction_id", "utr_number", "quarantine_reason"
+    )
+    q["dq_summary"] = lambda s, d: quality.summarize(checked(s, d))
+    q["dq_rule_summary"] = lambda s, d: quality.rule_summary(checked(s, d), STRICT)
+    q["dq_reason_counts"] = lambda s, d: quality.reason_counts(quality.split_valid_invalid(checked(s, d))[1])
+    q["dq_lenient"] = lambda s, d: quality.add_quality_rules(standardize(dirty(s, d)), LENIENT, AS_OF).select(
+        "transaction_id", *LENIENT_RULES, "_is_valid", "quarantine_reason"
+    )
+    q["dq_lenient_summary"] = lambda s, d: quality.rule_summary(
+        quality.add_quality_rules(standardize(dirty(s, d)), LENIENT, AS_OF), LENIENT
+    )
+    q["dedup_keep_first"] = lambda s, d: silver_plan.build(dirty(s, d), STRICT, AS_OF, dedup_first=True).silver.select(
+        *silver_plan.SILVER_COLUMNS
+    )
+    q["duplicate_rows"] = lambda s, d: dedup.duplicate_rows(dirty(s, d))
+    q["utr_duplicates"] = lambda s, d: checked(s, d).filter(~F.col("utr_unique")).select("transaction_id", "utr_number")
+    q["layer_counts"] = layer_counts
+    return q
+
+
+def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per layer (bronze, silver, quarantine, gold), valid rate %,
+    duplicate rows and mean rule pass rate, as (metric, value) rows."""
+    from paysignal.functions.columns import round_ratio
+
+    bronze = dirty(spark, sf_dir)
+    frames = silver_plan.build(bronze, STRICT, AS_OF, dedup_first=False)
+    gold_rows = gold.fraud_transactions(rules.score(frames.silver, CONFIG_A))
+    one = lambda df, name: df.agg(F.count(F.lit(1)).cast("double").alias("value")).select(
+        F.lit(name).alias("metric"), "value"
+    )
+    per_rule = quality.rule_summary(frames.checked, STRICT).agg(
+        F.coalesce(round_ratio(F.sum(F.col("passed_records") * 100), F.sum(F.col("passed_records") + F.col("failed_records"))), F.lit(100.0)).alias("value")
+    )
+    dup = dedup.duplicate_rows(bronze).select(F.lit("duplicate_rows").alias("metric"), F.col("duplicate_rows").cast("double").alias("value"))
+    valid_rate = frames.checked.agg(
+        F.coalesce(round_ratio(F.count_if(F.col("_is_valid")) * 100, F.count(F.lit(1))), F.lit(100.0)).alias("value")
+    ).select(F.lit("valid_rate_pct").alias("metric"), "value")
+    return (
+        one(bronze, "bronze_rows")
+        .unionByName(one(frames.silver, "silver_rows"))
+        .unionByName(one(frames.quarantine, "quarantine_rows"))
+        .unionByName(one(gold_rows, "gold_rows"))
+        .unionByName(valid_rate)
+        .unionByName(dup)
+        .unionByName(per_rule.select(F.lit("rule_pass_rate_pct").alias("metric"), "value"))
+    )
