@@ -210,6 +210,7 @@ def all_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(scoring_queries())
     out.update(quality_queries())
+    out.update(scd2_alert_queries())
     return out
 
 
@@ -402,3 +403,98 @@ FROM tx"""
         f"FROM ({_rule_summary('chk', STRICT_RULES)})"
     )
     return q
+
+
+# ------------------------------------------------------------- scd2, alerts
+DIM_COLS = (
+    "user_id, name, bank, kyc_status, device_id, location_city, effective_start_date, effective_end_date, "
+    "is_current, record_hash"
+)
+
+
+def _snapshot(city: str = "'N' || c_nationkey", name: str = "c_name", key: str = "c_custkey") -> str:
+    return (
+        f"SELECT CAST({key} AS VARCHAR) AS user_id, {name} AS name, c_mktsegment AS bank, "
+        f"CASE WHEN {key} % 3 = 0 THEN 'FULL_KYC' WHEN {key} % 3 = 1 THEN 'MIN_KYC' ELSE 'PENDING' END AS kyc_status, "
+        f"'dev-' || {key} AS device_id, {city} AS location_city"
+    )
+
+
+def _norm(source: str, day: str) -> str:
+    return (
+        f"SELECT *, DATE '{day}' AS effective_start_date, CAST(NULL AS DATE) AS effective_end_date, true AS is_current, "
+        "sha256(concat_ws('||', COALESCE(device_id, ''), COALESCE(location_city, ''), COALESCE(bank, ''), "
+        f"COALESCE(kyc_status, ''))) AS record_hash FROM {source}"
+    )
+
+
+SCD2 = f"""
+snap0 AS ({_snapshot()} FROM customer),
+snap1 AS (
+  {_snapshot("CASE WHEN c_custkey % 10 = 0 THEN 'M' || c_nationkey ELSE 'N' || c_nationkey END",
+             "CASE WHEN c_custkey % 10 <> 0 AND c_custkey % 13 = 0 THEN c_name || ' Jr' ELSE c_name END")}
+  FROM customer WHERE c_custkey % 17 <> 0
+  UNION ALL
+  {_snapshot(key="(c_custkey + 1000000)")} FROM customer WHERE c_custkey % 25 = 0
+),
+dim0 AS ({_norm('snap0', '2024-01-01')}),
+src1 AS ({_norm('snap1', '2024-02-01')}),
+j1 AS (
+  SELECT s.*, t.record_hash AS current_record_hash,
+    CASE WHEN t.record_hash IS NULL THEN 'new' WHEN s.record_hash <> t.record_hash THEN 'changed' ELSE 'unchanged' END AS change
+  FROM src1 s LEFT JOIN (SELECT user_id, record_hash FROM dim0 WHERE is_current) t USING (user_id)
+),
+dim1 AS (
+  SELECT user_id, name, bank, kyc_status, device_id, location_city, effective_start_date,
+    CASE WHEN is_current AND user_id IN (SELECT user_id FROM j1 WHERE change = 'changed') THEN DATE '2024-02-01' ELSE effective_end_date END AS effective_end_date,
+    CASE WHEN is_current AND user_id IN (SELECT user_id FROM j1 WHERE change = 'changed') THEN false ELSE is_current END AS is_current,
+    record_hash
+  FROM dim0
+  UNION ALL SELECT {DIM_COLS} FROM j1 WHERE change IN ('new', 'changed')
+)"""
+
+FILTER_WHERE = (
+    "CAST(\"timestamp\" AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-25' "
+    "AND location_city IN ('CITY0', 'CITY1', 'CITY2', 'CITY3', 'CITY4', 'CITY5') "
+    "AND merchant_category IN ('click', 'purchase', 'error') "
+    "AND risk_level IN ('Medium', 'High', 'Critical') AND amount >= 5.0 AND amount <= 500.0 "
+    "AND contains(lower(user_id), '1') AND (geo_anomaly OR device_mule_check)"
+)
+ALERT_COLS = (
+    "transaction_id, user_id, \"timestamp\", amount, location_city, device_id, fraud_reason, risk_score, risk_level, "
+    "CASE WHEN risk_score >= 80 THEN 'Escalated' WHEN risk_score >= 40 THEN 'Review' ELSE 'New' END AS investigation_status"
+)
+HIGH_RISK_COLS = (
+    "transaction_id, user_id, \"timestamp\", amount, location_city, device_id, merchant_category, fraud_reason, "
+    "risk_score, risk_level"
+)
+
+
+def scd2_alert_queries() -> dict[str, str]:
+    head = f"WITH {SCD2}\n"
+    q: dict[str, str] = {}
+    q["scd2_initial"] = head + f"SELECT {DIM_COLS} FROM dim0"
+    q["scd2_changes"] = head + "SELECT user_id, record_hash, current_record_hash, change FROM j1"
+    q["scd2_expire"] = head + "SELECT user_id, record_hash, effective_start_date FROM j1 WHERE change = 'changed'"
+    q["scd2_insert"] = head + f"SELECT {DIM_COLS} FROM j1 WHERE change IN ('new', 'changed')"
+    q["scd2_apply"] = head + f"SELECT {DIM_COLS} FROM dim1"
+    q["scd2_noop"] = q["scd2_apply"]
+    q["scd2_current"] = head + "SELECT COUNT(*) AS active_customer_count FROM dim1 WHERE is_current"
+    m = money(f"SUM({cents()})")
+    q["filter_transactions"] = with_scored(f"SELECT {SCORED_COLUMNS} FROM scored2 WHERE {FILTER_WHERE}")
+    q["filtered_kpis"] = with_scored(
+        f"SELECT COUNT(*) AS filtered_transactions, COUNT(*) FILTER (WHERE is_fraud) AS fraud_transactions, "
+        f"COALESCE({money(f'SUM(CASE WHEN is_fraud THEN {cents()} END)')}, 0.0) AS fraud_amount, "
+        f"{ratio('SUM(risk_score)', 'COUNT(risk_score)')} AS avg_risk_score FROM scored2 WHERE {FILTER_WHERE}"
+    )
+    for key, order in (("alert_queue", "risk_score"), ("alert_queue_amount", "amount"), ("alert_queue_time", '"timestamp"')):
+        q[key] = with_scored(f"SELECT {ALERT_COLS} FROM fraud ORDER BY {order} DESC, transaction_id LIMIT 100")
+    q["alert_search"] = with_scored(
+        f"SELECT {ALERT_COLS} FROM fraud WHERE contains(lower(concat_ws(' ', transaction_id, user_id, location_city, "
+        "device_id, merchant_category, fraud_reason)), 'city1')"
+    )
+    q["high_risk_transactions"] = with_scored(
+        f"SELECT {HIGH_RISK_COLS} FROM fraud ORDER BY risk_score DESC, \"timestamp\" DESC, transaction_id LIMIT 100"
+    )
+    del m
+    return q

@@ -106,7 +106,7 @@ def scoring_queries() -> dict[str, Query]:
 
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
-    for group in (scoring_queries, quality_queries):
+    for group in (scoring_queries, quality_queries, scd2_queries, alert_queries):
         for name, fn in group().items():
             out[name] = _q(fn)
     return out
@@ -210,3 +210,62 @@ def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .unionByName(dup)
         .unionByName(per_rule.select(F.lit("rule_pass_rate_pct").alias("metric"), "value"))
     )
+
+
+# ------------------------------------------------------------- scd2, alerts
+from paysignal.operators import alerts, scd2  # noqa: E402
+
+SCD2_AS_OF = ("2024-01-01", "2024-02-01", "2024-03-01")
+FILTER_ARGS = dict(
+    start_date="2024-01-05",
+    end_date="2024-01-25",
+    cities=["CITY0", "CITY1", "CITY2", "CITY3", "CITY4", "CITY5"],
+    merchants=["click", "purchase", "error"],
+    statuses=None,
+    risk_levels=("Medium", "High", "Critical"),
+    amount_min=5.0,
+    amount_max=500.0,
+    user_query="1",
+    reasons=["Geo anomaly", "Device mule check"],
+)
+SEARCH_TEXT = "city1"
+
+
+def dim0(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scd2.initialize(tables.customer_snapshot0(spark, sf_dir), SCD2_AS_OF[0])
+
+
+def dim1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scd2.apply(dim0(spark, sf_dir), tables.customer_snapshot1(spark, sf_dir), SCD2_AS_OF[1])
+
+
+def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scd2.detect_changes(tables.customer_snapshot1(spark, sf_dir), dim0(spark, sf_dir), SCD2_AS_OF[1])
+
+
+def scd2_queries() -> dict[str, Query]:
+    q: dict[str, Query] = {}
+    q["scd2_initial"] = dim0
+    q["scd2_changes"] = lambda s, d: changes(s, d).select("user_id", "record_hash", "current_record_hash", "change")
+    q["scd2_expire"] = lambda s, d: scd2.expire_set(changes(s, d))
+    q["scd2_insert"] = lambda s, d: scd2.insert_set(changes(s, d))
+    q["scd2_apply"] = dim1
+    q["scd2_noop"] = lambda s, d: scd2.apply(dim1(s, d), tables.customer_snapshot1(s, d), SCD2_AS_OF[2])
+    q["scd2_current"] = lambda s, d: kpi.active_customers(dim1(s, d))
+    return q
+
+
+def alert_queries() -> dict[str, Query]:
+    q: dict[str, Query] = {}
+    q["filter_transactions"] = lambda s, d: alerts.filter_transactions(
+        scored(s, d), **FILTER_ARGS
+    ).select(*SCORED_COLUMNS)
+    q["filtered_kpis"] = lambda s, d: kpi.filtered(alerts.filter_transactions(scored(s, d), **FILTER_ARGS))
+    q["alert_queue"] = lambda s, d: alerts.alert_queue(fraud(s, d), "risk_score", 100)
+    q["alert_queue_amount"] = lambda s, d: alerts.alert_queue(fraud(s, d), "amount", 100)
+    q["alert_queue_time"] = lambda s, d: alerts.alert_queue(fraud(s, d), "timestamp", 100)
+    q["alert_search"] = lambda s, d: alerts.search(alerts.with_investigation_status(fraud(s, d)), SEARCH_TEXT).select(
+        *alerts.ALERT_COLUMNS
+    )
+    q["high_risk_transactions"] = lambda s, d: alerts.high_risk_transactions(fraud(s, d), 100)
+    return q
