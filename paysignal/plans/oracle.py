@@ -211,6 +211,7 @@ def all_sql() -> dict[str, str]:
     out.update(scoring_queries())
     out.update(quality_queries())
     out.update(scd2_alert_queries())
+    out.update(io_sql())
     return out
 
 
@@ -498,3 +499,35 @@ def scd2_alert_queries() -> dict[str, str]:
     )
     del m
     return q
+
+
+# ------------------------------------------------------------ sources, sinks
+RAW_SELECT = (
+    "transaction_id, utr_number, user_id, strftime(\"timestamp\", '%Y-%m-%d %H:%M:%S.%f') AS \"timestamp\", "
+    "CAST(amount AS VARCHAR) AS amount, sender_vpa, receiver_vpa, merchant_category, location_city, device_id, "
+    "ip_address, status, failure_reason"
+)
+BRONZE_SELECT = (
+    "transaction_id, utr_number, user_id, TRY_CAST(\"timestamp\" AS TIMESTAMP) AS \"timestamp\", amount, sender_vpa, "
+    "receiver_vpa, merchant_category, location_city, device_id, ip_address, status, NULLIF(failure_reason, '') AS failure_reason"
+)
+
+
+def io_sql() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["bronze_stream"] = f"WITH {TX},{DIRTY}\nSELECT DISTINCT {BRONZE_SELECT} FROM dirty"
+    q["stream_dedup"] = q["bronze_stream"]
+    q["multi_format_read"] = f"WITH {TX}\n" + " UNION ALL ".join(
+        f"SELECT '{fmt}' AS format, {RAW_SELECT} FROM tx" for fmt in ("csv", "parquet", "jsonl")
+    )
+    q["json_envelope"] = f"WITH {TX}\nSELECT {RAW_SELECT} FROM tx"
+    q["csv_export"] = with_scored(f"SELECT {HIGH_RISK_COLS} FROM fraud")
+    q["partitioned_write"] = with_scored(f"SELECT {SCORED_COLUMNS} FROM fraud")
+    q["precomputed_gold"] = q["partitioned_write"]
+    q["clustered_write"] = with_scored("SELECT * FROM mules").replace("fraud AS (", MULES + ",\nfraud AS (", 1)
+    q["catalog_tables"] = scoring_queries()["kpi_top_merchants"]
+    q["incremental_score"] = with_scored(
+        f"SELECT {SCORED_COLUMNS} FROM scored2 WHERE transaction_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'"
+    )
+    q["scd2_versioned_write"] = scd2_alert_queries()["scd2_apply"]
+    return q

@@ -106,7 +106,9 @@ def scoring_queries() -> dict[str, Query]:
 
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
-    for group in (scoring_queries, quality_queries, scd2_queries, alert_queries):
+    from paysignal.plans.io_queries import io_queries
+
+    for group in (scoring_queries, quality_queries, scd2_queries, alert_queries, io_queries):
         for name, fn in group().items():
             out[name] = _q(fn)
     return out
