@@ -4,6 +4,7 @@ Keep-first is a hash aggregate of ``min(struct(order..., row))`` per key:
 the aggregate is partial (map-side combine), so a key repeated a billion
 times costs one row per map task before the shuffle, unlike
 ``row_number() OVER (PARTITION BY key)`` which ships every copy to one task.
+Only rows whose key repeats reach that aggregate (see ``operators.keys``).
 """
 
 from __future__ import annotations
@@ -11,22 +12,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paysignal.operators.keys import MAX_BROADCAST_ROWS, bounded, repeated_keys
 
-def keep_first(df: DataFrame, key: str = "transaction_id", order: tuple[str, ...] = ("timestamp",)) -> DataFrame:
+
+def keep_first(
+    df: DataFrame,
+    key: str = "transaction_id",
+    order: tuple[str, ...] = ("timestamp",),
+    max_broadcast_rows: int | None = MAX_BROADCAST_ROWS,
+) -> DataFrame:
     """One row per non-NULL ``key``: smallest ``order`` (NULLs last), ties by
-    the row's own column values. Rows with a NULL key are all kept."""
+    the row's own column values. Rows with a NULL key are all kept.
+
+    Repeated keys are found first (narrow aggregate). When they fit the
+    broadcast bound, rows with a unique key pass straight through (broadcast
+    anti join, no shuffle) and only rows with a repeated key are shuffled
+    and reduced. Otherwise every non-NULL row goes through the aggregate."""
     cols = df.columns
     rank = []
     for c in order:
         rank += [F.col(c).isNull().alias(f"_o{len(rank)}"), F.col(c).alias(f"_o{len(rank) + 1}")]
     row = F.struct(*rank, *[F.col(c).alias(f"_v{i}") for i, c in enumerate(cols)])
-    firsts = (
-        df.filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.min(row).alias("_m"))
-        .select(*[F.col(f"_m._v{i}").alias(c) for i, c in enumerate(cols)])
-    )
-    return firsts.unionByName(df.filter(F.col(key).isNull()))
+
+    def reduce(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(key).agg(F.min(row).alias("_m")).select(*[F.col(f"_m._v{i}").alias(c) for i, c in enumerate(cols)])
+
+    reps, small = bounded(repeated_keys(df, key).select(key), max_broadcast_rows)
+    if small:
+        singles = df.join(reps, on=key, how="left_anti").select(*cols)
+        multi = df.join(reps, on=key, how="left_semi")
+        return singles.unionByName(reduce(multi))
+    reps.unpersist()
+    return reduce(df.filter(F.col(key).isNotNull())).unionByName(df.filter(F.col(key).isNull()))
 
 
 def duplicate_rows(df: DataFrame, key: str = "transaction_id") -> DataFrame:

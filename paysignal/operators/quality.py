@@ -5,10 +5,11 @@ with 15 rules, ``config.LENIENT`` with 13) share one engine.
 
 Scale notes: the only non-row-local rule is ``utr_unique`` (every copy of a
 repeated UTR fails). Instead of ``count(*) OVER (PARTITION BY utr)``, which
-sends a hot UTR (or all NULL UTRs) to one task, the counts are a hash
-aggregate with map-side combine; only UTRs seen more than once are joined
-back (left join, AQE splits a skewed side), and the NULL group's size is a
-scalar subquery.
+shuffles every full row and sends a hot UTR (or all NULL UTRs) to one task,
+the counts are a narrow hash aggregate with map-side combine; only UTRs seen
+more than once (NULL counted as one group) are joined back on a null-safe
+key (broadcast below a checked row bound, else a shuffle join that AQE
+splits when skewed).
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import types as T
 
 from paysignal.config import AMOUNT_MAX, AMOUNT_MIN, IP_SHAPE, STRICT, VALID_STATUSES, QualityProfile
 from paysignal.functions.columns import coalesce_false, round_ratio
+from paysignal.operators.keys import MAX_BROADCAST_ROWS, bounded
 
 DQ_COLUMNS = ("_is_valid", "_dq_failures", "quarantine_reason")
 
@@ -39,22 +41,26 @@ def _as_of(as_of) -> Column:
 
 
 def utr_counts(df: DataFrame) -> DataFrame:
-    """UTRs occurring more than once with their counts (aggregate, no window)."""
+    """UTRs (NULL included, as one group) occurring more than once, with
+    their counts: a narrow aggregate with map-side partial counting."""
     return (
-        df.filter(F.col("utr_number").isNotNull())
-        .groupBy("utr_number")
+        df.select(F.col("utr_number").alias("_utr_key"))
+        .groupBy("_utr_key")
         .agg(F.count(F.lit(1)).alias("_utr_n"))
         .filter(F.col("_utr_n") > 1)
     )
 
 
-def with_utr_unique(df: DataFrame, out: str = "utr_unique") -> DataFrame:
-    """Adds boolean ``utr_unique``: False for every member of a repeated UTR
-    (NULL UTRs form one group, as a window over utr_number would)."""
-    nulls = df.filter(F.col("utr_number").isNull()).select(F.count(F.lit(1))).scalar()
-    joined = df.join(utr_counts(df), on="utr_number", how="left")
-    unique = F.when(F.col("utr_number").isNull(), nulls <= 1).otherwise(F.col("_utr_n").isNull())
-    return joined.withColumn(out, unique).drop("_utr_n")
+def with_utr_unique(df: DataFrame, out: str = "utr_unique", max_broadcast_rows: int | None = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Adds boolean ``out``: False for every member of a repeated UTR (NULL
+    UTRs form one group, as a window over utr_number would).
+
+    Only the repeated UTRs are joined back (null-safe key): broadcast when
+    their count is within ``max_broadcast_rows``, otherwise a shuffle join
+    whose skewed partitions AQE splits."""
+    reps, _ = bounded(utr_counts(df), max_broadcast_rows)
+    joined = df.join(reps, df["utr_number"].eqNullSafe(reps["_utr_key"]), "left")
+    return joined.withColumn(out, F.col("_utr_n").isNull()).drop("_utr_n", "_utr_key")
 
 
 def rule_columns(profile: QualityProfile, as_of=None, ts: Column | None = None) -> dict[str, Column]:
@@ -97,7 +103,9 @@ def rule_columns(profile: QualityProfile, as_of=None, ts: Column | None = None)
     return {name: cols[name] for name in profile.rules}
 
 
-def add_quality_rules(df: DataFrame, profile: QualityProfile = STRICT, as_of=None) -> DataFrame:
+def add_quality_rules(
+    df: DataFrame, profile: QualityProfile = STRICT, as_of=None, max_broadcast_rows: int | None = MAX_BROADCAST_ROWS
+) -> DataFrame:
     """Typed timestamp, one boolean column per rule (NULL->False),
     ``_is_valid``, ``_dq_failures`` (failed names in declared order) and
     ``quarantine_reason`` (the same names joined by ``"; "``).
@@ -109,7 +117,7 @@ def add_quality_rules(df: DataFrame, profile: QualityProfile = STRICT, as_of=Non
             df = df.withColumn(c, F.lit(None).cast("string"))
     if "amount" in df.columns and not isinstance(df.schema["amount"].dataType, T.NumericType):
         df = df.withColumn("amount", F.col("amount").cast("string").try_cast("double"))
-    base = with_utr_unique(df.withColumn("timestamp", _ts(df)), "_utr_unique")
+    base = with_utr_unique(df.withColumn("timestamp", _ts(df)), "_utr_unique", max_broadcast_rows)
     rules = rule_columns(profile, as_of)
     flagged = base.select("*", *[coalesce_false(c).alias(n) for n, c in rules.items()]).drop("_utr_unique")
     names = list(rules)
