@@ -23,6 +23,10 @@ own (core) rows are kept. That is exact (a predecessor outside the view is
 farther than any rule window, so the rule is false either way) and it copies
 only rows within ``lookback + lookahead`` of a slice edge. Scoring is two
 exchanges: (user, slice) then (device, slice).
+
+The two range aggregates (velocity sum, distinct users per device) are
+running sums over +/- events rather than sliding RANGE frames, which Spark
+re-aggregates per row (quadratic on a dense key).
 """
 
 from __future__ import annotations
@@ -64,13 +68,37 @@ def _slice_views(df: DataFrame, u: str, lookback: int, lookahead: int, bucket: i
     )
 
 
+# Event time for "never leaves": rows with a NULL time are peers of each other
+# only (as in a RANGE frame), so their leaving events must never fire.
+NEVER = 2**62
+
+
+def _running(view: DataFrame, part: list[str], events: Column, sums: dict[str, str]) -> DataFrame:
+    """Running sums of event weights per partition, read at each row.
+
+    ``events`` is an array of structs with ``_t`` (event time), ``_row``
+    (the row's own event) and weight fields: every row emits its own event
+    plus leaving events. ``RANGE UNBOUNDED PRECEDING .. CURRENT ROW`` at a
+    row's time then equals the windowed aggregate over the row's frame, in
+    one ordered pass: dense keys cost O(n log n) instead of re-aggregating
+    every row's frame. ``sums`` maps output column -> weight field."""
+    w = Window.partitionBy(*part).orderBy("_e._t").rangeBetween(Window.unboundedPreceding, 0)
+    out = view.withColumn("_e", F.explode(events))
+    for name, field in sums.items():
+        out = out.withColumn(name, F.sum(f"_e.{field}").over(w))
+    return out.filter(F.col("_e._row")).drop("_e")
+
+
 def user_features(df: DataFrame, cfg: RuleConfig) -> DataFrame:
-    """velocity, geo and burst features over (user_id, slice) windows."""
+    """velocity, geo and burst features over (user_id, slice) windows.
+
+    velocity: +amount at u, -amount at u + V + 1, so the running sum is the
+    sum over [u - V, u] (same-second peers included); a parallel count of
+    non-NULL amounts keeps SUM's NULL-when-empty result."""
     back, ahead = cfg.user_lookback_s, cfg.user_lookahead_s
-    view = _slice_views(df, "_u", back, ahead, cfg.bucket_for(back, ahead), "_ub")
-    part = Window.partitionBy("user_id", "_ub")
-    by_second = part.orderBy("_u").rangeBetween(-cfg.velocity_window_s, 0)
-    ordered = part.orderBy("timestamp", "transaction_id")
+    part = ["user_id", "_ub"]
+    view = _slice_views(df, "_u", back, ahead, cfg.bucket_for(back, ahead), "_ub").repartition(*part)
+    ordered = Window.partitionBy(*part).orderBy("timestamp", "transaction_id")
 
     n = cfg.burst_failures
     status = F.upper(F.col("status"))
@@ -81,7 +109,6 @@ def user_features(df: DataFrame, cfg: RuleConfig) -> DataFrame:
     city = F.col("location_city")
     g = cfg.geo_window_s
 
-    velocity = F.sum(cents("amount")).over(by_second)
     geo = (prev_city.isNotNull() & (prev_city != city) & ((F.col("_u") - prev_u) <= g)) | (
         next_city.isNotNull() & (next_city != city) & ((next_u - F.col("_u")) <= g)
     )
@@ -89,27 +116,54 @@ def user_features(df: DataFrame, cfg: RuleConfig) -> DataFrame:
     for s in lag_status:
         burst = burst & (s == F.lit("FAILED"))
 
+    amount = cents("amount")
+    a = F.coalesce(amount, F.lit(0).cast("decimal(18,2)"))
+    c = F.when(amount.isNotNull(), F.lit(1)).otherwise(F.lit(0))
+    leave = F.when(F.col("_u").isNull(), F.lit(NEVER)).otherwise(F.col("_u") + F.lit(cfg.velocity_window_s + 1))
+    events = F.array(
+        F.struct(F.col("_u").alias("_t"), F.lit(True).alias("_row"), a.alias("_a"), c.alias("_c")),
+        F.struct(leave.alias("_t"), F.lit(False).alias("_row"), (-a).alias("_a"), (-c).alias("_c")),
+    )
+    flagged = view.withColumn("geo_anomaly", coalesce_false(geo)).withColumn("failure_burst_check", coalesce_false(burst))
+    velocity = F.when(F.col("_n") > 0, F.col("_v"))
     return (
-        view.withColumn("velocity_amount_1m", velocity.cast("double"))
+        _running(flagged, part, events, {"_v": "_a", "_n": "_c"})
+        .withColumn("velocity_amount_1m", velocity.cast("double"))
         .withColumn("velocity_check", coalesce_false(velocity > F.lit(cfg.velocity_limit)))
-        .withColumn("geo_anomaly", coalesce_false(geo))
-        .withColumn("failure_burst_check", coalesce_false(burst))
         .filter(F.col("_core"))
-        .drop("_ub", "_core")
+        .drop("_ub", "_core", "_v", "_n")
     )
 
 
 def device_features(df: DataFrame, cfg: RuleConfig) -> DataFrame:
-    """device_users over (device_id, slice) range windows."""
+    """Distinct non-NULL users per device over [u - M, u].
+
+    Each row covers its user from u until just before the user's next row on
+    the device (same-second repeats cover nothing), at most until u + M:
+    +1 at u, -1 at min(next u, u + M + 1). At any time each present user is
+    covered by exactly one row, so the running sum is the distinct count.
+    Rows with a NULL time count each user once and never leave."""
     back = cfg.mule_window_s
-    view = _slice_views(df, "_u", back, 0, cfg.bucket_for(back, 0), "_db")
-    w = Window.partitionBy("device_id", "_db").orderBy("_u").rangeBetween(-back, 0)
-    users = F.size(F.collect_set("user_id").over(w))
+    part = ["device_id", "_db"]
+    # one exchange serves both windows: (device, slice, user) and (device, slice)
+    view = _slice_views(df, "_u", back, 0, cfg.bucket_for(back, 0), "_db").repartition(*part)
+    per_user = Window.partitionBy(*part, "user_id").orderBy("_u", "transaction_id")
+    u = F.col("_u")
+    nxt = F.lead("_u").over(per_user)
+    stop = F.when(u.isNull(), F.lit(NEVER)).otherwise(F.least(F.coalesce(nxt, u + F.lit(back + 1)), u + F.lit(back + 1)))
+    first_null = u.isNull() & F.lag("transaction_id").over(per_user).isNull() & (F.row_number().over(per_user) == 1)
+    weight = F.when(F.col("user_id").isNull(), F.lit(0)).when(u.isNull() & ~first_null, F.lit(0)).otherwise(F.lit(1))
+    events = F.array(
+        F.struct(u.alias("_t"), F.lit(True).alias("_row"), F.col("_w").alias("_w")),
+        F.struct(F.col("_stop").alias("_t"), F.lit(False).alias("_row"), (-F.col("_w")).alias("_w")),
+    )
+    prepared = view.withColumn("_stop", stop).withColumn("_w", weight)
     return (
-        view.withColumn("device_users_10m", users)
+        _running(prepared, part, events, {"_users": "_w"})
+        .withColumn("device_users_10m", F.coalesce(F.col("_users"), F.lit(0)).cast("int"))
         .withColumn("device_mule_check", F.col("device_users_10m") >= F.lit(cfg.mule_users))
         .filter(F.col("_core"))
-        .drop("_db", "_core")
+        .drop("_db", "_core", "_users", "_stop", "_w")
     )
 
 

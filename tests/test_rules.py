@@ -116,46 +116,67 @@ def test_scoring_plan_has_two_exchanges(spark):
 # ---------------------------------------------------------------- brute force
 
 def brute(spec, cfg):
+    """Whole-partition window semantics: total order (time NULLS FIRST, id);
+    a NULL time is a peer of other NULL times only."""
     out = {}
     by_user, by_dev = {}, {}
     for r in spec:
         by_user.setdefault(r[1], []).append(r)
         by_dev.setdefault(r[2], []).append(r)
+
+    def in_frame(x, secs, width):
+        return x[3] is None if secs is None else (x[3] is not None and secs - width <= x[3] <= secs)
+
     for txn, user, device, secs, amount, city, status in spec:
-        mine = sorted(by_user[user], key=lambda x: (x[3], x[0]))
+        mine = sorted(by_user[user], key=lambda x: (x[3] is not None, x[3] or 0, x[0]))
         pos = [x[0] for x in mine].index(txn)
-        vel = sum(round(x[4], 2) for x in mine if secs - cfg.velocity_window_s <= x[3] <= secs)
+        vel = sum(round(x[4], 2) for x in mine if in_frame(x, secs, cfg.velocity_window_s))
         prev = mine[pos - 1] if pos > 0 else None
         nxt = mine[pos + 1] if pos + 1 < len(mine) else None
-        geo = bool(prev and prev[5] != city and secs - prev[3] <= cfg.geo_window_s) or bool(
-            nxt and nxt[5] != city and nxt[3] - secs <= cfg.geo_window_s
-        )
+
+        def near(other, later):
+            if other is None or secs is None or other[3] is None or other[5] == city:
+                return False
+            return (other[3] - secs if later else secs - other[3]) <= cfg.geo_window_s
+
+        geo = near(prev, False) or near(nxt, True)
         n = cfg.burst_failures
-        burst = status == "SUCCESS" and pos >= n and all(mine[pos - i][6] == "FAILED" for i in range(1, n + 1)) and (
-            secs - mine[pos - n][3] <= cfg.burst_window_s
+        burst = (
+            status == "SUCCESS" and secs is not None and pos >= n
+            and all(mine[pos - i][6] == "FAILED" for i in range(1, n + 1))
+            and mine[pos - n][3] is not None and secs - mine[pos - n][3] <= cfg.burst_window_s
         )
-        users = {x[1] for x in by_dev[device] if secs - cfg.mule_window_s <= x[3] <= secs and x[1] is not None}
-        out[txn] = (round(vel, 2) > cfg.velocity_limit, geo, len(users) >= cfg.mule_users, burst)
+        users = {x[1] for x in by_dev[device] if in_frame(x, secs, cfg.mule_window_s) and x[1] is not None}
+        out[txn] = (round(vel, 2) > cfg.velocity_limit, geo, len(users) >= cfg.mule_users, burst, len(users))
     return out
 
 
 row_strategy = st.tuples(
-    st.sampled_from(["u1", "u2", "u3"]),
+    st.sampled_from(["u1", "u2", "u3", None]),
     st.sampled_from(["d1", "d2"]),
-    st.integers(min_value=0, max_value=200),
+    st.one_of(st.integers(min_value=0, max_value=200), st.integers(min_value=0, max_value=200), st.none()),
     st.sampled_from([1.0, 10.0, 25.5, 40.0]),
     st.sampled_from(["A", "B"]),
     st.sampled_from(["SUCCESS", "FAILED"]),
 )
 
 
-@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def rows_nullable(spec):
+    out = rows([(t, u, d, 0 if s is None else s, a, c, st_) for t, u, d, s, a, c, st_ in spec])
+    return [r if spec[i][3] is not None else r[:3] + (None,) + r[4:] for i, r in enumerate(out)]
+
+
+@settings(max_examples=40, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(row_strategy, min_size=1, max_size=30), st.sampled_from([5, 7, 13, 50]))
 def test_sliced_windows_match_brute_force(spark, raw, bucket):
     cfg = RuleConfig(velocity_window_s=20, velocity_limit=50.0, geo_window_s=9, mule_window_s=15, mule_users=2,
                      burst_failures=2, burst_window_s=30, bucket_seconds=bucket)
     spec = [(f"t{i:03d}", u, d, s, a, c, st_) for i, (u, d, s, a, c, st_) in enumerate(raw)]
-    got = {k: (v.velocity_check, v.geo_anomaly, v.device_mule_check, v.failure_burst_check) for k, v in score(spark, spec, cfg).items()}
+    df = spark.createDataFrame(rows_nullable(spec), TYPED)
+    got = {
+        r.transaction_id: (r.velocity_check, r.geo_anomaly, r.device_mule_check, r.failure_burst_check, r.device_users_10m)
+        for r in rules.score(df, cfg).collect()
+    }
     assert got == brute(spec, cfg)
 
 
