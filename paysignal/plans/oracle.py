@@ -9,7 +9,20 @@ scores use the same half-up integer rounding as ``functions.round_ratio``.
 
 from __future__ import annotations
 
-from paysignal.config import CONFIG_A, RULE_LABELS, RULE_NAMES, RuleConfig
+from paysignal.config import (
+    AMOUNT_MAX,
+    AMOUNT_MIN,
+    CONFIG_A,
+    IP_SHAPE,
+    LENIENT_RULES,
+    LENIENT_VPA,
+    RULE_LABELS,
+    RULE_NAMES,
+    STRICT_RULES,
+    STRICT_VPA,
+    RuleConfig,
+)
+from paysignal.sources.tables import DIRTY_AS_OF
 
 TX = """
 tx AS (
@@ -206,26 +219,7 @@ FROM scored2"""
     return q
 
 
-def all_sql() -> dict[str, str]:
-    out: dict[str, str] = {}
-    out.update(scoring_queries())
-    out.update(quality_queries())
-    out.update(scd2_alert_queries())
-    out.update(io_sql())
-    return out
-
-
 # ------------------------------------------------------------------ quality
-from paysignal.config import (  # noqa: E402
-    AMOUNT_MAX,
-    AMOUNT_MIN,
-    IP_SHAPE,
-    LENIENT_RULES,
-    LENIENT_VPA,
-    STRICT_RULES,
-    STRICT_VPA,
-)
-from paysignal.sources.tables import DIRTY_AS_OF  # noqa: E402
 
 TS_FMT = "'%Y-%m-%d %H:%M:%S.%f'"
 
@@ -481,7 +475,6 @@ def scd2_alert_queries() -> dict[str, str]:
     q["scd2_apply"] = head + f"SELECT {DIM_COLS} FROM dim1"
     q["scd2_noop"] = q["scd2_apply"]
     q["scd2_current"] = head + "SELECT COUNT(*) AS active_customer_count FROM dim1 WHERE is_current"
-    m = money(f"SUM({cents()})")
     q["filter_transactions"] = with_scored(f"SELECT {SCORED_COLUMNS} FROM scored2 WHERE {FILTER_WHERE}")
     q["filtered_kpis"] = with_scored(
         f"SELECT COUNT(*) AS filtered_transactions, COUNT(*) FILTER (WHERE is_fraud) AS fraud_transactions, "
@@ -497,7 +490,6 @@ def scd2_alert_queries() -> dict[str, str]:
     q["high_risk_transactions"] = with_scored(
         f"SELECT {HIGH_RISK_COLS} FROM fraud ORDER BY risk_score DESC, \"timestamp\" DESC, transaction_id LIMIT 100"
     )
-    del m
     return q
 
 
@@ -530,4 +522,24 @@ def io_sql() -> dict[str, str]:
         f"SELECT {SCORED_COLUMNS} FROM scored2 WHERE transaction_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'"
     )
     q["scd2_versioned_write"] = scd2_alert_queries()["scd2_apply"]
+    # Indian grouping without look-around: reverse the leading digits, comma every two, reverse back
+    grouped = (
+        "CASE WHEN length(ip) <= 3 THEN ip ELSE reverse(rtrim(regexp_replace(reverse(left(ip, length(ip) - 3)), "
+        "'(\\d\\d)', '\\1,', 'g'), ',')) || ',' || right(ip, 3) END || '.' || fp"
+    )
+    q["inr_format"] = with_scored(
+        "SELECT transaction_id, amount, (CASE WHEN amount * 1000 < 0 THEN '-' ELSE '' END) || 'INR ' || "
+        f"{grouped} AS amount_text FROM (SELECT transaction_id, amount, "
+        "split_part(printf('%.2f', abs(amount * 1000)), '.', 1) AS ip, "
+        "split_part(printf('%.2f', abs(amount * 1000)), '.', 2) AS fp FROM fraud)"
+    )
     return q
+
+
+def all_sql() -> dict[str, str]:
+    out: dict[str, str] = {}
+    out.update(scoring_queries())
+    out.update(quality_queries())
+    out.update(scd2_alert_queries())
+    out.update(io_sql())
+    return out

@@ -12,9 +12,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paysignal.config import CONFIG_A
-from paysignal.functions.columns import present
-from paysignal.operators import gold, kpi, rules
+from paysignal.config import CONFIG_A, LENIENT, LENIENT_RULES, STRICT, STRICT_RULES
+from paysignal.functions.columns import present, round_ratio
+from paysignal.operators import alerts, dedup, gold, kpi, quality, rules, scd2
+from paysignal.operators.standardize import standardize
+from paysignal.plans import silver as silver_plan
 from paysignal.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,21 +106,7 @@ def scoring_queries() -> dict[str, Query]:
     return q
 
 
-def all_queries() -> dict[str, Query]:
-    out: dict[str, Query] = {}
-    from paysignal.plans.io_queries import io_queries
-
-    for group in (scoring_queries, quality_queries, scd2_queries, alert_queries, io_queries):
-        for name, fn in group().items():
-            out[name] = _q(fn)
-    return out
-
-
 # ------------------------------------------------------------------ quality
-from paysignal.config import LENIENT, STRICT, STRICT_RULES, LENIENT_RULES  # noqa: E402
-from paysignal.operators import dedup, quality  # noqa: E402
-from paysignal.operators.standardize import standardize  # noqa: E402
-from paysignal.plans import silver as silver_plan  # noqa: E402
 
 AS_OF = tables.DIRTY_AS_OF
 
@@ -188,8 +176,6 @@ def quality_queries() -> dict[str, Query]:
 def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per layer (bronze, silver, quarantine, gold), valid rate %,
     duplicate rows and mean rule pass rate, as (metric, value) rows."""
-    from paysignal.functions.columns import round_ratio
-
     bronze = dirty(spark, sf_dir)
     frames = silver_plan.build(bronze, STRICT, AS_OF, dedup_first=False)
     gold_rows = gold.fraud_transactions(rules.score(frames.silver, CONFIG_A))
@@ -215,7 +201,6 @@ def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------- scd2, alerts
-from paysignal.operators import alerts, scd2  # noqa: E402
 
 SCD2_AS_OF = ("2024-01-01", "2024-02-01", "2024-03-01")
 FILTER_ARGS = dict(
@@ -271,3 +256,13 @@ def alert_queries() -> dict[str, Query]:
     )
     q["high_risk_transactions"] = lambda s, d: alerts.high_risk_transactions(fraud(s, d), 100)
     return q
+
+
+def all_queries() -> dict[str, Query]:
+    out: dict[str, Query] = {}
+    from paysignal.plans.io_queries import io_queries
+
+    for group in (scoring_queries, quality_queries, scd2_queries, alert_queries, io_queries):
+        for name, fn in group().items():
+            out[name] = _q(fn)
+    return out

@@ -151,3 +151,28 @@ def test_silver_orders_differ_on_repeats(spark):
 
 def test_rule_names_fixed():
     assert len(STRICT_RULES) == 15 and len(LENIENT.rules) == 13
+
+
+def test_fallback_paths_match_broadcast_paths(spark):
+    from paysignal.sources import tables
+    from conftest import SF_SMALL
+
+    raw_rows = tables.dirty_raw_transactions(spark, SF_SMALL)
+    cols = ["transaction_id", "utr_number", "_is_valid", "quarantine_reason"]
+    small = {tuple(r) for r in quality.add_quality_rules(raw_rows, STRICT, AS_OF).select(*cols).collect()}
+    big = {tuple(r) for r in quality.add_quality_rules(raw_rows, STRICT, AS_OF, max_broadcast_rows=1).select(*cols).collect()}
+    assert small == big and len(small) > 0
+    typed = raw_rows.withColumn("timestamp", F.to_timestamp("timestamp"))
+    a = sorted(map(str, dedup.keep_first(typed).collect()))
+    b = sorted(map(str, dedup.keep_first(typed, max_broadcast_rows=0).collect()))
+    assert a == b and len(a) == typed.count() - 20  # the 20 repeated rows collapse
+
+
+def test_repeated_key_bound_is_checked(spark):
+    from paysignal.operators.keys import bounded, repeated_keys
+
+    df = spark.createDataFrame([("a",), ("a",), ("b",), ("b",), ("c",)], ["k"])
+    keys, small = bounded(repeated_keys(df, "k"), max_rows=2)
+    assert small and {r.k for r in keys.collect()} == {"a", "b"}
+    _, small = bounded(repeated_keys(df, "k"), max_rows=1)
+    assert not small
