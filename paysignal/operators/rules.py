@@ -82,11 +82,11 @@ def _running(view: DataFrame, part: list[str], events: Column, sums: dict[str, s
     row's time then equals the windowed aggregate over the row's frame, in
     one ordered pass: dense keys cost O(n log n) instead of re-aggregating
     every row's frame. ``sums`` maps output column -> weight field."""
-    w = Window.partitionBy(*part).orderBy("_e._t").rangeBetween(Window.unboundedPreceding, 0)
-    out = view.withColumn("_e", F.explode(events))
-    for name, field in sums.items():
-        out = out.withColumn(name, F.sum(f"_e.{field}").over(w))
-    return out.filter(F.col("_e._row")).drop("_e")
+    w = Window.partitionBy(*part).orderBy("_t").rangeBetween(Window.unboundedPreceding, 0)
+    out = view.withColumn("_e", F.explode(events)).withColumn("_t", F.col("_e._t"))
+    # all sums in one projection: one Window operator, one sort
+    out = out.select("*", *[F.sum(f"_e.{field}").over(w).alias(name) for name, field in sums.items()])
+    return out.filter(F.col("_e._row")).drop("_e", "_t")
 
 
 def user_features(df: DataFrame, cfg: RuleConfig) -> DataFrame:
