@@ -28,7 +28,8 @@ class RuleConfig:
 
     ``bucket_seconds`` is the time slice used to split every user / device
     partition into independent window tasks (see ``operators.rules``). ``None``
-    picks ``max(8 * (lookback + lookahead), 3600)`` per stage.
+    picks ``max(8 * (lookback + lookahead), 3600)`` per stage. Slices of hot
+    keys are split further (``split_hot_cells``).
     """
 
     velocity_window_s: int = 60
@@ -41,6 +42,13 @@ class RuleConfig:
     weights: dict = field(default_factory=lambda: dict(RULE_WEIGHTS))
     cap: int = SCORE_CAP
     bucket_seconds: int | None = None
+    # Hot cells: a (key, slice) with more than ``hot_cell_rows`` rows is cut
+    # into up to ``max_split`` sub-slices. The counting pre-pass runs only when
+    # the input's estimated size reaches ``split_min_input_bytes``.
+    split_hot_cells: bool = True
+    hot_cell_rows: int = 2_000_000
+    max_split: int = 64
+    split_min_input_bytes: int = 1 << 30
 
     def with_(self, **kw) -> "RuleConfig":
         return replace(self, **kw)

@@ -50,21 +50,101 @@ FEATURE_COLUMNS = (
 )
 
 
-def _slice_views(df: DataFrame, u: str, lookback: int, lookahead: int, bucket: int, out: str) -> DataFrame:
+SUB = 4096  # slice id = cell * SUB + sub-slice; max_split must stay below it
+
+
+def _cell(x: Column, bucket: int) -> Column:
+    return F.floor(x / F.lit(bucket)).cast("long")
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of a plan (file sizes for scans), no job."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - estimate unavailable: assume large
+        return 1 << 62
+
+
+def hot_cells(df: DataFrame, key: str, bucket: int, cfg: RuleConfig, span: int = 0) -> DataFrame | None:
+    """(key, cell) -> sub-slice counts of the cell and its two neighbours,
+    for cells holding more than ``cfg.hot_cell_rows`` rows; None when there
+    are none, when the input is small, or when the map is too large to
+    broadcast. Narrow pre-pass: only the key and time columns are read."""
+    if not cfg.split_hot_cells or estimated_bytes(df) < cfg.split_min_input_bytes:
+        return None
+    # sub-slices no narrower than the views' look-back + look-ahead (``span``),
+    # so a hot row is copied into at most two views
+    limit = min(int(cfg.max_split), SUB - 1, max(1, bucket // max(span, 1)))
+    if limit < 2:
+        return None
+    counts = (
+        df.select(F.col(key).alias("_hk"), _cell(F.col("_u"), bucket).alias("_hc"))
+        .filter(F.col("_hc").isNotNull())
+        .groupBy("_hk", "_hc")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") > F.lit(int(cfg.hot_cell_rows)))
+        .select("_hk", "_hc", F.least(F.ceil(F.col("_n") / F.lit(int(cfg.hot_cell_rows))), F.lit(limit)).cast("int").alias("_m"))
+    )
+    # each hot cell informs itself and its two neighbours: one lookup per row
+    spread = counts.select(
+        "_hk",
+        F.explode(F.array(*[F.struct((F.col("_hc") - d).alias("_hc"), F.lit(d).alias("_d"), F.col("_m").alias("_m")) for d in (-1, 0, 1)])).alias("_x"),
+    ).select("_hk", "_x._hc", "_x._d", "_x._m")
+    table = spread.groupBy("_hk", "_hc").agg(
+        *[F.max(F.when(F.col("_d") == d, F.col("_m"))).alias(f"_m{i}") for i, d in enumerate((-1, 0, 1))]
+    )
+    from paysignal.operators.keys import bounded
+
+    table, small = bounded(table)
+    if not small or table.isEmpty():
+        table.unpersist()
+        return None
+    return table
+
+
+def _slice_views(
+    df: DataFrame, u: str, lookback: int, lookahead: int, bucket: int, out: str, key: str | None = None,
+    hot: DataFrame | None = None,
+) -> DataFrame:
     """Explode each row into the time slices whose view contains it.
 
     Adds ``out`` (slice id) and ``_core`` (this slice owns the row). Rows with
-    a NULL time form one slice of their own (NULL id).
+    a NULL time form one slice of their own (NULL id). With ``hot`` (from
+    ``hot_cells``), cells of a hot key are cut into sub-slices; a row is then
+    copied into every (sub-)slice of its own and neighbouring cells whose
+    view [start - lookback, end + lookahead) contains it.
     """
     uc = F.col(u)
-
-    def slice_of(x: Column) -> Column:
-        return F.floor(x / F.lit(bucket)).cast("long")
-
-    first = slice_of(uc - F.lit(lookahead))
-    last = slice_of(uc + F.lit(lookback))
-    return df.withColumn(out, F.explode_outer(F.sequence(first, last))).withColumn(
-        "_core", F.col(out).eqNullSafe(slice_of(uc))
+    if hot is None or lookback + lookahead > bucket:
+        first = _cell(uc - F.lit(lookahead), bucket)
+        last = _cell(uc + F.lit(lookback), bucket)
+        return df.withColumn(out, F.explode_outer(F.sequence(first, last))).withColumn(
+            "_core", F.col(out).eqNullSafe(_cell(uc, bucket))
+        )
+    k = _cell(uc, bucket)
+    look = hot.withColumnRenamed("_hk", "_lk").withColumnRenamed("_hc", "_lc")
+    j = df.join(look, df[key].eqNullSafe(look["_lk"]) & (k == look["_lc"]), "left").drop("_lk", "_lc")
+
+    def subs(d: int, m: Column) -> Column:
+        c = k + F.lit(d)
+        w = F.ceil(F.lit(bucket) / m).cast("long")
+        base = c * F.lit(bucket)
+        lo = F.greatest(F.floor((uc - F.lit(lookahead) - base) / w), F.lit(0)).cast("long")
+        hi = F.least(F.floor((uc + F.lit(lookback) - base) / w), (m - 1).cast("long")).cast("long")
+        return F.when(lo <= hi, F.sequence(c * F.lit(SUB) + lo, c * F.lit(SUB) + hi)).otherwise(
+            F.array().cast("array<bigint>")
+        )
+
+    ms = [F.coalesce(F.col(f"_m{i}"), F.lit(1)) for i in range(3)]
+    ids = F.when(uc.isNull(), F.array(F.lit(None).cast("long"))).otherwise(
+        F.concat(subs(-1, ms[0]), subs(0, ms[1]), subs(1, ms[2]))
+    )
+    w0 = F.ceil(F.lit(bucket) / ms[1]).cast("long")
+    own = k * F.lit(SUB) + F.least(F.floor((uc - k * F.lit(bucket)) / w0), (ms[1] - 1).cast("long")).cast("long")
+    return (
+        j.withColumn(out, F.explode(ids))
+        .withColumn("_core", F.col(out).eqNullSafe(own))
+        .drop("_m0", "_m1", "_m2")
     )
 
 
@@ -89,7 +169,7 @@ def _running(view: DataFrame, part: list[str], events: Column, sums: dict[str, s
     return out.filter(F.col("_e._row")).drop("_e", "_t")
 
 
-def user_features(df: DataFrame, cfg: RuleConfig) -> DataFrame:
+def user_features(df: DataFrame, cfg: RuleConfig, hot: DataFrame | None = None) -> DataFrame:
     """velocity, geo and burst features over (user_id, slice) windows.
 
     velocity: +amount at u, -amount at u + V + 1, so the running sum is the
@@ -97,7 +177,7 @@ def user_features(df: DataFrame, cfg: RuleConfig) -> DataFrame:
     non-NULL amounts keeps SUM's NULL-when-empty result."""
     back, ahead = cfg.user_lookback_s, cfg.user_lookahead_s
     part = ["user_id", "_ub"]
-    view = _slice_views(df, "_u", back, ahead, cfg.bucket_for(back, ahead), "_ub").repartition(*part)
+    view = _slice_views(df, "_u", back, ahead, cfg.bucket_for(back, ahead), "_ub", "user_id", hot).repartition(*part)
     ordered = Window.partitionBy(*part).orderBy("timestamp", "transaction_id")
 
     n = cfg.burst_failures
@@ -135,7 +215,7 @@ def user_features(df: DataFrame, cfg: RuleConfig) -> DataFrame:
     )
 
 
-def device_features(df: DataFrame, cfg: RuleConfig) -> DataFrame:
+def device_features(df: DataFrame, cfg: RuleConfig, hot: DataFrame | None = None) -> DataFrame:
     """Distinct non-NULL users per device over [u - M, u].
 
     Each row covers its user from u until just before the user's next row on
@@ -146,7 +226,7 @@ def device_features(df: DataFrame, cfg: RuleConfig) -> DataFrame:
     back = cfg.mule_window_s
     part = ["device_id", "_db"]
     # one exchange serves both windows: (device, slice, user) and (device, slice)
-    view = _slice_views(df, "_u", back, 0, cfg.bucket_for(back, 0), "_db").repartition(*part)
+    view = _slice_views(df, "_u", back, 0, cfg.bucket_for(back, 0), "_db", "device_id", hot).repartition(*part)
     per_user = Window.partitionBy(*part, "user_id").orderBy("_u", "transaction_id")
     u = F.col("_u")
     nxt = F.lead("_u").over(per_user)
@@ -193,7 +273,10 @@ def score(df: DataFrame, cfg: RuleConfig | None = None, label_style: str = "name
     """
     cfg = cfg or RuleConfig()
     base = df.withColumn("timestamp", F.col("timestamp").cast("timestamp")).withColumn("_u", unix_seconds("timestamp"))
-    scored = device_features(user_features(base, cfg), cfg)
+    user_span = cfg.user_lookback_s + cfg.user_lookahead_s
+    user_hot = hot_cells(base, "user_id", cfg.bucket_for(cfg.user_lookback_s, cfg.user_lookahead_s), cfg, user_span)
+    device_hot = hot_cells(base, "device_id", cfg.bucket_for(cfg.mule_window_s, 0), cfg, cfg.mule_window_s)
+    scored = device_features(user_features(base, cfg, user_hot), cfg, device_hot)
     return (
         scored.withColumn("transaction_date", F.to_date("timestamp"))
         .withColumn("risk_score", risk_score(cfg))

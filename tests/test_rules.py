@@ -198,3 +198,34 @@ def test_fixture_golden_counts(spark):
     assert ids == {"TXN-00000055", "TXN-00000132"}
     assert rules.rule_coverage(scored).filter(~F.col("fired")).count() == 0
     scored.unpersist()
+
+
+@settings(max_examples=40, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(row_strategy, min_size=1, max_size=40),
+    st.sampled_from([40, 47, 64]),
+    st.sampled_from([1, 2, 3]),
+    st.sampled_from([2, 3, 5]),
+)
+def test_hot_cell_splitting_matches_brute_force(spark, raw, bucket, hot_rows, split):
+    cfg = RuleConfig(velocity_window_s=20, velocity_limit=50.0, geo_window_s=9, mule_window_s=15, mule_users=2,
+                     burst_failures=2, burst_window_s=30, bucket_seconds=bucket, split_hot_cells=True,
+                     hot_cell_rows=hot_rows, max_split=split, split_min_input_bytes=0)
+    spec = [(f"t{i:03d}", u, d, s, a, c, st_) for i, (u, d, s, a, c, st_) in enumerate(raw)]
+    df = spark.createDataFrame(rows_nullable(spec), TYPED)
+    got = {
+        r.transaction_id: (r.velocity_check, r.geo_anomaly, r.device_mule_check, r.failure_burst_check, r.device_users_10m)
+        for r in rules.score(df, cfg).collect()
+    }
+    assert got == brute(spec, cfg)
+
+
+def test_hot_key_is_split_across_sub_slices(spark):
+    cfg = RuleConfig(bucket_seconds=7200, hot_cell_rows=10, max_split=8, split_min_input_bytes=0)
+    spec = [(f"h{i:04d}", "HOT", "D", i * 36, 1, "X", "SUCCESS") for i in range(200)]
+    df = spark.createDataFrame(rows(spec), TYPED).withColumn("_u", F.unix_timestamp("timestamp"))
+    hot = rules.hot_cells(df, "user_id", 7200, cfg)
+    assert hot is not None and hot.filter("_m1 = 8").count() == 1
+    view = rules._slice_views(df, "_u", 900, 300, 7200, "_ub", "user_id", hot)
+    cores = view.filter("_core").groupBy("_ub").count().collect()
+    assert len(cores) == 8 and sum(r["count"] for r in cores) == 200
