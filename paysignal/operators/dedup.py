@@ -9,10 +9,17 @@ Only rows whose key repeats reach that aggregate (see ``operators.keys``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paysignal.operators.keys import MAX_BROADCAST_ROWS, bounded, repeated_keys
+from paysignal.operators.keys import MAX_BROADCAST_ROWS, SMALL_INPUT_BYTES, bounded, is_small, repeated_keys
+
+
+def row_key(df: DataFrame, key: str) -> Column:
+    """The dedup key: ``key``, or for a NULL key the whole row (so identical
+    bad copies collapse and distinct ones survive, as in the Bronze stream)."""
+    whole = F.concat(F.lit("\u0000"), F.to_json(F.struct(*[F.col(c) for c in df.columns])))
+    return F.coalesce(F.col(key).cast("string"), whole)
 
 
 def keep_first(
@@ -20,30 +27,37 @@ def keep_first(
     key: str = "transaction_id",
     order: tuple[str, ...] = ("timestamp",),
     max_broadcast_rows: int | None = MAX_BROADCAST_ROWS,
+    small_input_bytes: int | None = SMALL_INPUT_BYTES,
 ) -> DataFrame:
-    """One row per non-NULL ``key``: smallest ``order`` (NULLs last), ties by
-    the row's own column values. Rows with a NULL key are all kept.
+    """One row per ``key``: smallest ``order`` (NULLs last), ties by the
+    row's own column values. Rows with a NULL key are deduplicated as whole
+    rows.
 
-    Repeated keys are found first (narrow aggregate). When they fit the
-    broadcast bound, rows with a unique key pass straight through (broadcast
-    anti join, no shuffle) and only rows with a repeated key are shuffled
-    and reduced. Otherwise every non-NULL row goes through the aggregate."""
+    Large inputs: repeated keys are found first (narrow aggregate). When they
+    fit the broadcast bound, rows with a unique key pass straight through
+    (broadcast anti join, no shuffle) and only rows with a repeated key are
+    shuffled and reduced. Otherwise, and for inputs estimated below
+    ``small_input_bytes``, every row goes through the aggregate. Either way
+    the input is read in one pass per branch, never re-derived per NULL/non-NULL split."""
     cols = df.columns
     rank = []
     for c in order:
         rank += [F.col(c).isNull().alias(f"_o{len(rank)}"), F.col(c).alias(f"_o{len(rank) + 1}")]
     row = F.struct(*rank, *[F.col(c).alias(f"_v{i}") for i, c in enumerate(cols)])
+    keyed = df.withColumn("_dk", row_key(df, key))
 
     def reduce(rows: DataFrame) -> DataFrame:
-        return rows.groupBy(key).agg(F.min(row).alias("_m")).select(*[F.col(f"_m._v{i}").alias(c) for i, c in enumerate(cols)])
+        return rows.groupBy("_dk").agg(F.min(row).alias("_m")).select(*[F.col(f"_m._v{i}").alias(c) for i, c in enumerate(cols)])
 
-    reps, small = bounded(repeated_keys(df, key).select(key), max_broadcast_rows)
+    if is_small(df, small_input_bytes):
+        return reduce(keyed)
+    reps, small = bounded(repeated_keys(keyed, "_dk").select("_dk"), max_broadcast_rows)
     if small:
-        singles = df.join(reps, on=key, how="left_anti").select(*cols)
-        multi = df.join(reps, on=key, how="left_semi")
+        singles = keyed.join(reps, on="_dk", how="left_anti").select(*cols)
+        multi = keyed.join(reps, on="_dk", how="left_semi")
         return singles.unionByName(reduce(multi))
     reps.unpersist()
-    return reduce(df.filter(F.col(key).isNotNull())).unionByName(df.filter(F.col(key).isNull()))
+    return reduce(keyed)
 
 
 def duplicate_rows(df: DataFrame, key: str = "transaction_id") -> DataFrame:

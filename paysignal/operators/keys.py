@@ -15,6 +15,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_BROADCAST_ROWS = 2_000_000
+# Below this estimated input size one shuffle is cheaper than the extra
+# counting job, so operators take their single-job plan.
+SMALL_INPUT_BYTES = 1 << 30
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Bytes the plan reads: the sum of its leaf relations' sizes (file sizes
+    for scans) from the analysed plan. Catalyst's estimate for a whole plan
+    is useless here: without CBO a join's estimate is the product of its
+    sides. No job runs."""
+    try:
+        leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+        return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    except Exception:  # noqa: BLE001 - no estimate: treat as large
+        return 1 << 62
+
+
+def is_small(df: DataFrame, small_input_bytes: int | None = SMALL_INPUT_BYTES) -> bool:
+    return bool(small_input_bytes) and estimated_bytes(df) < small_input_bytes
 
 
 def repeated_keys(df: DataFrame, key: str, count_col: str = "_n") -> DataFrame:

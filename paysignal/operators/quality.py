@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from paysignal.config import AMOUNT_MAX, AMOUNT_MIN, IP_SHAPE, STRICT, VALID_STATUSES, QualityProfile
 from paysignal.functions.columns import coalesce_false, round_ratio
-from paysignal.operators.keys import MAX_BROADCAST_ROWS, bounded
+from paysignal.operators.keys import MAX_BROADCAST_ROWS, SMALL_INPUT_BYTES, bounded, is_small
 
 DQ_COLUMNS = ("_is_valid", "_dq_failures", "quarantine_reason")
 
@@ -51,14 +51,20 @@ def utr_counts(df: DataFrame) -> DataFrame:
     )
 
 
-def with_utr_unique(df: DataFrame, out: str = "utr_unique", max_broadcast_rows: int | None = MAX_BROADCAST_ROWS) -> DataFrame:
+def with_utr_unique(
+    df: DataFrame,
+    out: str = "utr_unique",
+    max_broadcast_rows: int | None = MAX_BROADCAST_ROWS,
+    small_input_bytes: int | None = SMALL_INPUT_BYTES,
+) -> DataFrame:
     """Adds boolean ``out``: False for every member of a repeated UTR (NULL
     UTRs form one group, as a window over utr_number would).
 
     Only the repeated UTRs are joined back (null-safe key): broadcast when
     their count is within ``max_broadcast_rows``, otherwise a shuffle join
-    whose skewed partitions AQE splits."""
-    reps, _ = bounded(utr_counts(df), max_broadcast_rows)
+    whose skewed partitions AQE splits. Inputs estimated below
+    ``small_input_bytes`` skip the counting job (Spark sizes the join)."""
+    reps = utr_counts(df) if is_small(df, small_input_bytes) else bounded(utr_counts(df), max_broadcast_rows)[0]
     joined = df.join(reps, df["utr_number"].eqNullSafe(reps["_utr_key"]), "left")
     return joined.withColumn(out, F.col("_utr_n").isNull()).drop("_utr_n", "_utr_key")
 
@@ -104,7 +110,11 @@ def rule_columns(profile: QualityProfile, as_of=None, ts: Column | None = None)
 
 
 def add_quality_rules(
-    df: DataFrame, profile: QualityProfile = STRICT, as_of=None, max_broadcast_rows: int | None = MAX_BROADCAST_ROWS
+    df: DataFrame,
+    profile: QualityProfile = STRICT,
+    as_of=None,
+    max_broadcast_rows: int | None = MAX_BROADCAST_ROWS,
+    small_input_bytes: int | None = SMALL_INPUT_BYTES,
 ) -> DataFrame:
     """Typed timestamp, one boolean column per rule (NULL->False),
     ``_is_valid``, ``_dq_failures`` (failed names in declared order) and
@@ -117,7 +127,7 @@ def add_quality_rules(
             df = df.withColumn(c, F.lit(None).cast("string"))
     if "amount" in df.columns and not isinstance(df.schema["amount"].dataType, T.NumericType):
         df = df.withColumn("amount", F.col("amount").cast("string").try_cast("double"))
-    base = with_utr_unique(df.withColumn("timestamp", _ts(df)), "_utr_unique", max_broadcast_rows)
+    base = with_utr_unique(df.withColumn("timestamp", _ts(df)), "_utr_unique", max_broadcast_rows, small_input_bytes)
     rules = rule_columns(profile, as_of)
     flagged = base.select("*", *[coalesce_false(c).alias(n) for n, c in rules.items()]).drop("_utr_unique")
     names = list(rules)

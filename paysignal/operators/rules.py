@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from paysignal.config import NO_RULE_LABEL, RULE_LABELS, RULE_NAMES, RuleConfig
 from paysignal.functions.columns import cents, coalesce_false, risk_level, unix_seconds
+from paysignal.operators.keys import bounded, estimated_bytes
 
 FEATURE_COLUMNS = (
     "transaction_date",
@@ -57,14 +58,6 @@ def _cell(x: Column, bucket: int) -> Column:
     return F.floor(x / F.lit(bucket)).cast("long")
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a plan (file sizes for scans), no job."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - estimate unavailable: assume large
-        return 1 << 62
-
-
 def hot_cells(df: DataFrame, key: str, bucket: int, cfg: RuleConfig, span: int = 0) -> DataFrame | None:
     """(key, cell) -> sub-slice counts of the cell and its two neighbours,
     for cells holding more than ``cfg.hot_cell_rows`` rows; None when there
@@ -93,8 +86,6 @@ def hot_cells(df: DataFrame, key: str, bucket: int, cfg: RuleConfig, span: int =
     table = spread.groupBy("_hk", "_hc").agg(
         *[F.max(F.when(F.col("_d") == d, F.col("_m"))).alias(f"_m{i}") for i, d in enumerate((-1, 0, 1))]
     )
-    from paysignal.operators.keys import bounded
-
     table, small = bounded(table)
     if not small or table.isEmpty():
         table.unpersist()

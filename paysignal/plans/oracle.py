@@ -329,9 +329,11 @@ SILVER_SELECT = (
 
 
 def _keep_first(source: str) -> str:
+    """First row per transaction_id; NULL-id rows deduplicated as whole rows."""
     return (
         f"SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY {FIRST_ORDER}) AS rn "
-        f"FROM {source}) WHERE rn = 1 OR transaction_id IS NULL"
+        f"FROM ({source}) s0) WHERE rn = 1 AND transaction_id IS NOT NULL "
+        f"UNION ALL SELECT DISTINCT * FROM ({source}) s1 WHERE transaction_id IS NULL"
     )
 
 
@@ -359,7 +361,7 @@ SELECT transaction_id, utr_number, user_id, TRY_CAST(strftime("timestamp", {TS_F
   location_city AS payee_location, false AS device_change_flag, 'Synthetic Data' AS data_origin
 FROM tx"""
     q["dq_flags"] = head + f"SELECT transaction_id, utr_number, {', '.join(STRICT_RULES)}, _is_valid FROM chk"
-    q["dq_valid"] = head + f", v AS ({_keep_first('chk WHERE _is_valid')})\nSELECT {SILVER_SELECT} FROM v"
+    q["dq_valid"] = head + f", v AS ({_keep_first('SELECT * FROM chk WHERE _is_valid')})\nSELECT {SILVER_SELECT} FROM v"
     q["dq_quarantine"] = head + "SELECT transaction_id, utr_number, quarantine_reason FROM chk WHERE NOT _is_valid"
     q["dq_summary"] = head + (
         "SELECT COUNT(*) AS total_rows, COUNT(*) FILTER (WHERE _is_valid) AS valid_rows, "
@@ -377,14 +379,14 @@ FROM tx"""
     dd = checked_ctes("dd", "chk2", _strict_rules(), STRICT_RULES)
     q["dedup_keep_first"] = (
         f"WITH {TX},{DIRTY},\ndirty_ts AS (SELECT * REPLACE (TRY_CAST(\"timestamp\" AS TIMESTAMP) AS \"timestamp\") FROM dirty),\n"
-        f"dd AS ({_keep_first('dirty_ts')}),{dd}\nSELECT {SILVER_SELECT} FROM chk2 WHERE _is_valid"
+        f"dd AS ({_keep_first('SELECT * FROM dirty_ts')}),{dd}\nSELECT {SILVER_SELECT} FROM chk2 WHERE _is_valid"
     )
     q["duplicate_rows"] = f"WITH {TX},{DIRTY}\n" + (
         "SELECT CAST(COALESCE(SUM(n), 0) AS BIGINT) AS duplicate_rows FROM "
         "(SELECT transaction_id, COUNT(*) AS n FROM dirty GROUP BY transaction_id HAVING COUNT(*) > 1)"
     )
     q["utr_duplicates"] = head + "SELECT transaction_id, utr_number FROM chk WHERE NOT utr_unique"
-    silver_src = f"silver AS ({_keep_first('chk WHERE _is_valid')}),\nsilver2 AS (SELECT {SILVER_SELECT} FROM silver)"
+    silver_src = f"silver AS ({_keep_first('SELECT * FROM chk WHERE _is_valid')}),\nsilver2 AS (SELECT {SILVER_SELECT} FROM silver)"
     q["layer_counts"] = (
         f"WITH {TX},{DIRTY},{strict},\n{silver_src},{scored_ctes(CONFIG_A, 'silver2')}\n"
         "SELECT 'bronze_rows' AS metric, CAST(COUNT(*) AS DOUBLE) AS value FROM dirty\n"

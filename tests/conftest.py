@@ -19,6 +19,7 @@ def spark():
         master="local[4]",
         conf={
             "spark.sql.shuffle.partitions": "4",
+            "spark.driver.memory": "4g",
             "spark.sql.warehouse.dir": os.path.join(scratch, "warehouse"),
             "spark.checkpoint.dir": os.path.join(scratch, "checkpoints"),
         },

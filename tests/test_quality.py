@@ -137,8 +137,11 @@ def test_keep_first_and_duplicate_rows(spark):
     df = raw(spark, variant(1, timestamp="2025-08-01 10:00:05", amount="2"), variant(1, timestamp="2025-08-01 10:00:01"),
              variant(2), variant(3, transaction_id=None), variant(4, transaction_id=None))
     typed = df.withColumn("timestamp", F.to_timestamp("timestamp"))
-    kept = {(r.transaction_id, r.amount) for r in dedup.keep_first(typed).collect()}
-    assert kept == {("TXN1", "100.0"), ("TXN2", "100.0"), (None, "100.0")} and dedup.keep_first(typed).count() == 4
+    kept = {(r.transaction_id, r.utr_number, r.amount) for r in dedup.keep_first(typed).collect()}
+    assert kept == {("TXN1", "UTR1", "100.0"), ("TXN2", "UTR2", "100.0"), (None, "UTR3", "100.0"), (None, "UTR4", "100.0")}
+    # identical NULL-id copies collapse, distinct ones survive
+    twice = typed.unionByName(typed.filter(F.col("transaction_id").isNull()))
+    assert dedup.keep_first(twice).count() == 4 and dedup.keep_first(twice, small_input_bytes=0).count() == 4
     assert dedup.duplicate_rows(df).first().duplicate_rows == 4
 
 
@@ -153,19 +156,26 @@ def test_rule_names_fixed():
     assert len(STRICT_RULES) == 15 and len(LENIENT.rules) == 13
 
 
-def test_fallback_paths_match_broadcast_paths(spark):
+def test_all_uniqueness_paths_agree(spark):
     from paysignal.sources import tables
     from conftest import SF_SMALL
 
     raw_rows = tables.dirty_raw_transactions(spark, SF_SMALL)
     cols = ["transaction_id", "utr_number", "_is_valid", "quarantine_reason"]
-    small = {tuple(r) for r in quality.add_quality_rules(raw_rows, STRICT, AS_OF).select(*cols).collect()}
-    big = {tuple(r) for r in quality.add_quality_rules(raw_rows, STRICT, AS_OF, max_broadcast_rows=1).select(*cols).collect()}
-    assert small == big and len(small) > 0
+
+    def checked(**kw):
+        return {tuple(r) for r in quality.add_quality_rules(raw_rows, STRICT, AS_OF, **kw).select(*cols).collect()}
+
+    plain = checked()
+    assert plain == checked(small_input_bytes=0) == checked(small_input_bytes=0, max_broadcast_rows=1) and plain
     typed = raw_rows.withColumn("timestamp", F.to_timestamp("timestamp"))
-    a = sorted(map(str, dedup.keep_first(typed).collect()))
-    b = sorted(map(str, dedup.keep_first(typed, max_broadcast_rows=0).collect()))
-    assert a == b and len(a) == typed.count() - 20  # the 20 repeated rows collapse
+
+    def kept(**kw):
+        return sorted(map(str, dedup.keep_first(typed, **kw).collect()))
+
+    a = kept()
+    assert a == kept(small_input_bytes=0) == kept(small_input_bytes=0, max_broadcast_rows=0)
+    assert len(a) == typed.count() - 20  # the 20 repeated rows collapse
 
 
 def test_repeated_key_bound_is_checked(spark):
