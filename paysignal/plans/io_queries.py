@@ -77,11 +77,17 @@ def multi_format_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+ENVELOPE_ROWS = 10_000
+
+
 def json_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One envelope document per input partition, alternating the
-    ``data`` and ``transactions`` members, read back as records."""
+    """Envelope documents of at most ENVELOPE_ROWS consecutive rows of an
+    input partition, alternating the ``data`` and ``transactions`` members,
+    read back as records (many documents, read in parallel)."""
     base = scratch(spark, "envelope")
-    raw = tables.raw_transactions(spark, sf_dir).withColumn("_p", F.spark_partition_id())
+    # monotonically_increasing_id = partition id << 33 | row index: groups never straddle partitions
+    doc = F.floor(F.monotonically_increasing_id() / F.lit(ENVELOPE_ROWS))
+    raw = tables.raw_transactions(spark, sf_dir).withColumn("_p", doc)
     docs = raw.groupBy("_p").agg(F.collect_list(F.struct(*RAW_COLUMNS)).alias("rows"))
     key = F.when(F.col("_p") % 2 == 0, F.lit("data")).otherwise(F.lit("transactions"))
     text = F.concat(F.lit('{"'), key, F.lit('": '), F.to_json(F.col("rows")), F.lit("}"))

@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 
 from paysignal.config import STRICT, QualityProfile, RuleConfig
 from paysignal.operators import dedup, gold, quality, rules, scd2
+from paysignal.operators.keys import estimated_bytes
+from paysignal.session import size_shuffles
 from paysignal.plans import incremental
 from paysignal.sources import files
 from paysignal.schema import CUSTOMER_RAW
@@ -56,6 +58,7 @@ def silver_job(
     validation, so every copy of a repeated row is quarantined."""
     if bronze is None:
         bronze = spark.read.parquet(f"{store.root}/{BRONZE}")
+    size_shuffles(spark, estimated_bytes(bronze))
     rows = bronze.drop("_ingestion_timestamp", "_source_file")
     if dedup_first:
         rows = dedup.keep_first(rows.withColumn("timestamp", quality._ts(rows)))
@@ -82,7 +85,9 @@ def quarantine(store: TableStore) -> DataFrame:
 
 def score_job(store: TableStore, cfg: RuleConfig | None = None) -> dict:
     """E2 (step 3): score Silver, write partitioned by transaction_date."""
-    scored = rules.score(store.read(SILVER), cfg or RuleConfig())
+    silver = store.read(SILVER)
+    size_shuffles(silver.sparkSession, estimated_bytes(silver))
+    scored = rules.score(silver, cfg or RuleConfig())
     version = store.write(SCORED, scored, partition_by=["transaction_date"])
     return {"scored_version": version}
 

@@ -52,3 +52,15 @@ def shared_dir(spark: SparkSession, sub: str) -> str:
         base = sc.getCheckpointDir() or base
     path = os.path.join(base.rstrip("/"), sub) if "://" not in base else base.rstrip("/") + "/" + sub
     return path
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int, target_bytes: int = 256 << 20, max_partitions: int = 200_000) -> int:
+    """Size ``spark.sql.shuffle.partitions`` so each shuffle partition of a
+    job reading ``input_bytes`` holds about ``target_bytes`` (AQE coalesces
+    smaller ones; it cannot split beyond this count except for skewed joins).
+    A value set explicitly in the cluster configuration is left alone."""
+    if spark.sparkContext.getConf().contains("spark.sql.shuffle.partitions"):
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = max(spark.sparkContext.defaultParallelism, min(max_partitions, -(-int(input_bytes) // int(target_bytes))))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n

@@ -6,9 +6,9 @@ transaction id -> append-only parquet sink, exactly-once via checkpoint,
 run with ``availableNow`` (process what is there, then stop; the next run
 picks up only new files).
 
-Dedup key: ``transaction_id``; rows with a NULL id get ``null:<xxhash64 of
-all raw columns>`` so distinct bad rows reach Silver quarantine instead of
-collapsing into one NULL key.
+Dedup key: ``transaction_id``; rows with a NULL id are keyed by their whole
+raw row, so distinct bad rows reach Silver quarantine instead of collapsing
+into one NULL key.
 
 State: ``dropDuplicates`` on the id keeps every id forever (the event time
 is not part of the key, so the watermark never evicts) - exact, with state
@@ -48,8 +48,10 @@ def read_source_stream(
 
 
 def dedup_key() -> F.Column:
-    raw = F.xxhash64(*[F.col(c) for c in RAW_COLUMNS]).cast("string")
-    return F.coalesce(F.col("transaction_id"), F.concat(F.lit("null:"), raw))
+    """transaction_id, or for a NULL id the whole raw row (exact: identical
+    bad copies collapse, distinct ones survive; same rule as batch dedup)."""
+    whole = F.concat(F.lit("\u0000"), F.to_json(F.struct(*[F.col(c) for c in RAW_COLUMNS])))
+    return F.coalesce(F.col("transaction_id"), whole)
 
 
 def prepare_bronze(df: DataFrame, watermark: str = "10 minutes", within_watermark: bool = False) -> DataFrame:
