@@ -185,3 +185,13 @@ def reason_counts(quarantine: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("failed_rows"))
         .orderBy(F.desc("failed_rows"), "rule")
     )
+
+
+def quarantine_preview(quarantine: DataFrame, n: int = 50) -> DataFrame:
+    """The first ``n`` quarantined rows (id and reasons), stable order."""
+    return (
+        quarantine.select("transaction_id", "utr_number", "quarantine_reason")
+        .orderBy(F.col("transaction_id").asc_nulls_first(), F.col("utr_number").asc_nulls_first(), "quarantine_reason")
+        .limit(n)
+        .select("transaction_id", "quarantine_reason")
+    )

@@ -216,8 +216,22 @@ def generate_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_csv(spark, f"{base}/upi_transactions", RAW)
 
 
+def scan_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Resolve the source (primary missing -> fallback),
+    batch CSV scan with the declared raw schema, typed columns, transaction_date."""
+    from paysignal.operators.standardize import standardize
+
+    base = scratch(spark, "landing")
+    tables.raw_transactions(spark, sf_dir).write.option("header", True).csv(f"{base}/sample")
+    path, _label = files.resolve_source(spark, [(f"{base}/primary", "primary"), (f"{base}/sample", "sample")])
+    typed = standardize(files.read_csv(spark, path, RAW))
+    helper = [c for c in typed.columns if c in ("payer_location", "payee_location", "device_change_flag", "data_origin")]
+    return typed.drop(*helper).withColumn("transaction_date", F.to_date("timestamp"))
+
+
 def io_queries() -> dict:
     return {
+        "scan_transactions": scan_transactions,
         "bronze_stream": bronze_stream,
         "stream_dedup": stream_dedup,
         "multi_format_read": multi_format_read,

@@ -373,6 +373,10 @@ FROM tx"""
         for r in STRICT_RULES
     )
     q["dq_reason_counts"] = head + f"SELECT * FROM ({reasons}) WHERE failed_rows > 0"
+    q["quarantine_preview"] = head + (
+        "SELECT transaction_id, quarantine_reason FROM chk WHERE NOT _is_valid "
+        "ORDER BY transaction_id NULLS FIRST, utr_number NULLS FIRST, quarantine_reason LIMIT 50"
+    )
     lhead = f"WITH {TX},{DIRTY},{STANDARD},{lenient}\n"
     q["dq_lenient"] = lhead + f"SELECT transaction_id, {', '.join(LENIENT_RULES)}, _is_valid, quarantine_reason FROM len"
     q["dq_lenient_summary"] = lhead + _rule_summary("len", LENIENT_RULES)
@@ -510,6 +514,13 @@ BRONZE_SELECT = (
 def io_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["bronze_stream"] = f"WITH {TX},{DIRTY}\nSELECT DISTINCT {BRONZE_SELECT} FROM dirty"
+    q["scan_transactions"] = (
+        f"WITH {TX}\nSELECT transaction_id, utr_number, user_id, "
+        "TRY_CAST(strftime(\"timestamp\", '%Y-%m-%d %H:%M:%S.%f') AS TIMESTAMP) AS \"timestamp\", "
+        "TRY_CAST(CAST(amount AS VARCHAR) AS DOUBLE) AS amount, sender_vpa, receiver_vpa, merchant_category, "
+        "location_city, device_id, ip_address, upper(status) AS status, COALESCE(failure_reason, '') AS failure_reason, "
+        "CAST(TRY_CAST(strftime(\"timestamp\", '%Y-%m-%d %H:%M:%S.%f') AS TIMESTAMP) AS DATE) AS transaction_date FROM tx"
+    )
     q["stream_dedup"] = q["bronze_stream"]
     q["multi_format_read"] = f"WITH {TX}\n" + " UNION ALL ".join(
         f"SELECT '{fmt}' AS format, {RAW_SELECT} FROM tx" for fmt in ("csv", "parquet", "jsonl")

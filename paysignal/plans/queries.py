@@ -158,6 +158,7 @@ def quality_queries() -> dict[str, Query]:
     q["dq_summary"] = lambda s, d: quality.summarize(checked(s, d))
     q["dq_rule_summary"] = lambda s, d: quality.rule_summary(checked(s, d), STRICT)
     q["dq_reason_counts"] = lambda s, d: quality.reason_counts(quality.split_valid_invalid(checked(s, d))[1])
+    q["quarantine_preview"] = lambda s, d: quality.quarantine_preview(quality.split_valid_invalid(checked(s, d))[1])
     q["dq_lenient"] = lambda s, d: quality.add_quality_rules(standardize(dirty(s, d)), LENIENT, AS_OF).select(
         "transaction_id", *LENIENT_RULES, "_is_valid", "quarantine_reason"
     )
