@@ -391,6 +391,21 @@ FROM tx"""
     )
     q["utr_duplicates"] = head + "SELECT transaction_id, utr_number FROM chk WHERE NOT utr_unique"
     silver_src = f"silver AS ({_keep_first('SELECT * FROM chk WHERE _is_valid')}),\nsilver2 AS (SELECT {SILVER_SELECT} FROM silver)"
+    bp = " UNION ALL ".join(
+        f"SELECT ((COUNT(*) FILTER (WHERE {r})) * 20000 + COUNT(*)) // (2 * COUNT(*)) AS bp FROM len" for r in LENIENT_RULES
+    )
+    lsilver = f"lsilver AS ({_keep_first('SELECT * FROM len WHERE _is_valid')}),\nlsilver2 AS (SELECT {SILVER_SELECT} FROM lsilver)"
+    q["dashboard_layer_counts"] = (
+        f"WITH {TX},{DIRTY},{STANDARD},{lenient},\n{lsilver},{scored_ctes(CONFIG_A, 'lsilver2')}\n"
+        "SELECT 'bronze_rows' AS metric, CAST(COUNT(*) AS DOUBLE) AS value FROM std\n"
+        "UNION ALL SELECT 'silver_rows', CAST(COUNT(*) AS DOUBLE) FROM lsilver2\n"
+        "UNION ALL SELECT 'quarantine_rows', CAST(COUNT(*) AS DOUBLE) FROM len WHERE NOT _is_valid\n"
+        "UNION ALL SELECT 'gold_rows', CAST(COUNT(*) AS DOUBLE) FROM fraud\n"
+        f"UNION ALL SELECT 'valid_rate_pct', COALESCE({ratio('(SELECT COUNT(*) FROM lsilver2) * 100', '(SELECT COUNT(*) FROM std)')}, 100.0)\n"
+        "UNION ALL SELECT 'duplicate_rows', CAST(COALESCE(SUM(n), 0) AS DOUBLE) FROM "
+        "(SELECT transaction_id, COUNT(*) AS n FROM std GROUP BY transaction_id HAVING COUNT(*) > 1)\n"
+        f"UNION ALL SELECT 'rule_pass_rate_pct', CAST((2 * SUM(bp) + COUNT(*)) // (2 * COUNT(*)) AS DOUBLE) / 100.0 FROM ({bp})"
+    )
     q["layer_counts"] = (
         f"WITH {TX},{DIRTY},{strict},\n{silver_src},{scored_ctes(CONFIG_A, 'silver2')}\n"
         "SELECT 'bronze_rows' AS metric, CAST(COUNT(*) AS DOUBLE) AS value FROM dirty\n"

@@ -16,6 +16,7 @@ from paysignal.config import CONFIG_A, LENIENT, LENIENT_RULES, STRICT, STRICT_RU
 from paysignal.functions.columns import present, round_ratio
 from paysignal.operators import alerts, dedup, gold, kpi, quality, rules, scd2
 from paysignal.operators.standardize import standardize
+from paysignal.plans import bundle
 from paysignal.plans import silver as silver_plan
 from paysignal.sources import tables
 
@@ -171,6 +172,9 @@ def quality_queries() -> dict[str, Query]:
     q["duplicate_rows"] = lambda s, d: dedup.duplicate_rows(dirty(s, d))
     q["utr_duplicates"] = lambda s, d: checked(s, d).filter(~F.col("utr_unique")).select("transaction_id", "utr_number")
     q["layer_counts"] = layer_counts
+    q["dashboard_layer_counts"] = lambda s, d: bundle.layer_counts(
+        bundle.build_bundle(dirty(s, d), "Dirty events adapter", as_of=AS_OF, cfg=CONFIG_A)
+    )
     return q
 
 
