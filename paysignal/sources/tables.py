@@ -28,8 +28,9 @@ def _s(c: Column) -> Column:
     return c.cast("string")
 
 
-def events_to_transactions(events: DataFrame) -> DataFrame:
-    """Typed transactions (the Silver input schema) from ``events``."""
+def events_to_transactions(events: DataFrame, keep_event_id: bool = False) -> DataFrame:
+    """Typed transactions (the Silver input schema) from ``events``;
+    ``keep_event_id`` also passes ``event_id`` through as ``_eid``."""
     k = F.expr("try_cast(get_json_object(props, '$.k') as int)")
     uid = F.col("user_id")
     failed = F.col("event_type") == F.lit("error")
@@ -47,6 +48,7 @@ def events_to_transactions(events: DataFrame) -> DataFrame:
         F.concat(F.lit("10.0."), _s(k), F.lit(".1")).alias("ip_address"),
         F.when(failed, "FAILED").otherwise("SUCCESS").alias("status"),
         F.when(failed, F.lit("err")).alias("failure_reason"),
+        *([F.col("event_id").alias("_eid")] if keep_event_id else []),
     )
 
 
@@ -75,7 +77,7 @@ def dirty_raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``event_id % 50 == 0`` appear twice.
     """
     ev = table(spark, sf_dir, "events")
-    base = events_to_transactions(ev).withColumn("_eid", F.col("transaction_id").substr(5, 30).cast("long"))
+    base = events_to_transactions(ev, keep_event_id=True)
     r = F.col("_eid") % DIRTY_MODULUS
     ts_text = F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS")
     null = F.lit(None).cast("string")
