@@ -37,8 +37,12 @@ def rescore_range(silver: DataFrame, start, end, cfg: RuleConfig | None = None)
     """Scored rows for transaction dates in [start, end] (inclusive)."""
     cfg = cfg or RuleConfig()
     lo, hi = context_bounds(start, end, cfg)
-    ts = F.col("timestamp").cast("timestamp")
-    ctx = silver.filter((ts >= F.lit(lo.isoformat(" ")).cast("timestamp")) & (ts < F.lit(hi.isoformat(" ")).cast("timestamp")))
+    ts = F.col("timestamp")
+    cond = (ts >= F.lit(lo.isoformat(" ")).cast("timestamp")) & (ts < F.lit(hi.isoformat(" ")).cast("timestamp"))
+    if "transaction_date" in silver.columns:  # partition pruning on date-partitioned inputs
+        d = F.col("transaction_date")
+        cond = cond & (d >= F.lit(lo.date().isoformat()).cast("date")) & (d <= F.lit(hi.date().isoformat()).cast("date"))
+    ctx = silver.filter(cond)
     scored = rules.score(ctx, cfg)
     d = F.col("transaction_date")
     return scored.filter((d >= F.lit(str(_day(start))).cast("date")) & (d <= F.lit(str(_day(end))).cast("date")))

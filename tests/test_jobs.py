@@ -50,3 +50,17 @@ def test_scd2_job_versions(spark, tmp_dir):
     assert (first["action"], second["action"], third["action"]) == ("initialized", "applied", "no-op")
     assert (first["version"], second["version"], third["version"]) == (1, 2, 2)
     assert second["active_customer_count"] == third["active_customer_count"]
+
+
+def test_incremental_filter_reaches_the_scan(spark, tmp_dir):
+    from paysignal.plans import incremental
+
+    path = f"{tmp_dir}/silver"
+    tables.transactions(spark, SF_SMALL).withColumn("transaction_date", F.to_date("timestamp")).write.partitionBy(
+        "transaction_date"
+    ).parquet(path)
+    silver = spark.read.parquet(path)
+    out = incremental.rescore_range(silver, "2024-01-10", "2024-01-12", RuleConfig())
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(timestamp), GreaterThanOrEqual(timestamp" in plan
+    assert "PartitionFilters: [isnotnull(transaction_date" in plan
