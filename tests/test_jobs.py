@@ -64,3 +64,21 @@ def test_incremental_filter_reaches_the_scan(spark, tmp_dir):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(timestamp), GreaterThanOrEqual(timestamp" in plan
     assert "PartitionFilters: [isnotnull(transaction_date" in plan
+
+
+def test_cli_runs_all_jobs(spark, tmp_dir, capsys):
+    import json
+
+    src = f"{tmp_dir}/landing"
+    raw = generator.fixture(spark)
+    raw.select(*[F.col(c).cast("string").alias(c) for c in raw.columns]).write.option("header", True).csv(src)
+    jobs.main(["all", "--root", f"{tmp_dir}/lake", "--source", src, "--as-of", "2026-09-01 00:00:00"])
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["silver"]["valid_rows"] == 4980 and out["score"]["scored_version"] == 1
+    assert set(out["gold"]) == {jobs.FRAUD, jobs.MULES, jobs.MERCHANT_KPI}
+    snap = f"{tmp_dir}/customers.csv"
+    tables.customer_snapshot0(spark, SF_SMALL).coalesce(1).write.option("header", True).csv(snap)
+    jobs.main(["scd2", "--root", f"{tmp_dir}/lake", "--source", snap, "--as-of", "2024-01-01"])
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    n = tables.table(spark, SF_SMALL, "customer").count()
+    assert out["scd2"]["action"] == "initialized" and out["scd2"]["active_customer_count"] == n
