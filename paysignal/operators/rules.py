@@ -25,8 +25,10 @@ only rows within ``lookback + lookahead`` of a slice edge. Scoring is two
 exchanges: (user, slice) then (device, slice).
 
 The two range aggregates (velocity sum, distinct users per device) are
-running sums over +/- events rather than sliding RANGE frames, which Spark
-re-aggregates per row (quadratic on a dense key).
+differences of prefix frames (RANGE UNBOUNDED PRECEDING .. x), which Spark
+grows incrementally, rather than sliding RANGE frames, which it
+re-aggregates for every row (quadratic on a dense key). Hot (key, slice)
+cells are cut into sub-slices (``hot_cells``).
 """
 
 from __future__ import annotations
@@ -139,33 +141,20 @@ def _slice_views(
     )
 
 
-# Event time for "never leaves": rows with a NULL time are peers of each other
-# only (as in a RANGE frame), so their leaving events must never fire.
-NEVER = 2**62
-
-
-def _running(view: DataFrame, part: list[str], events: Column, sums: dict[str, str]) -> DataFrame:
-    """Running sums of event weights per partition, read at each row.
-
-    ``events`` is an array of structs with ``_t`` (event time), ``_row``
-    (the row's own event) and weight fields: every row emits its own event
-    plus leaving events. ``RANGE UNBOUNDED PRECEDING .. CURRENT ROW`` at a
-    row's time then equals the windowed aggregate over the row's frame, in
-    one ordered pass: dense keys cost O(n log n) instead of re-aggregating
-    every row's frame. ``sums`` maps output column -> weight field."""
-    w = Window.partitionBy(*part).orderBy("_t").rangeBetween(Window.unboundedPreceding, 0)
-    out = view.withColumn("_e", F.explode(events)).withColumn("_t", F.col("_e._t"))
-    # all sums in one projection: one Window operator, one sort
-    out = out.select("*", *[F.sum(f"_e.{field}").over(w).alias(name) for name, field in sums.items()])
-    return out.filter(F.col("_e._row")).drop("_e", "_t")
+def _prefix(part: list[str], upto: int = 0):
+    """RANGE (UNBOUNDED PRECEDING, ``upto``] over the whole-second time axis.
+    Spark grows prefix frames incrementally (one pass), unlike sliding RANGE
+    frames, which it re-aggregates for every row."""
+    return Window.partitionBy(*part).orderBy("_u").rangeBetween(Window.unboundedPreceding, upto)
 
 
 def user_features(df: DataFrame, cfg: RuleConfig, hot: DataFrame | None = None) -> DataFrame:
     """velocity, geo and burst features over (user_id, slice) windows.
 
-    velocity: +amount at u, -amount at u + V + 1, so the running sum is the
-    sum over [u - V, u] (same-second peers included); a parallel count of
-    non-NULL amounts keeps SUM's NULL-when-empty result."""
+    velocity = prefix sum up to u minus prefix sum up to u - V - 1: the sum
+    over [u - V, u] with same-second peers; a prefix count of non-NULL
+    amounts keeps SUM's NULL-when-empty result. Rows with a NULL time are
+    peers only of each other (their own slice), so they take the full sum."""
     back, ahead = cfg.user_lookback_s, cfg.user_lookahead_s
     part = ["user_id", "_ub"]
     view = _slice_views(df, "_u", back, ahead, cfg.bucket_for(back, ahead), "_ub", "user_id", hot).repartition(*part)
@@ -177,64 +166,65 @@ def user_features(df: DataFrame, cfg: RuleConfig, hot: DataFrame | None = None)
     lag_u = F.lag("_u", n).over(ordered)
     prev_city, next_city = F.lag("location_city").over(ordered), F.lead("location_city").over(ordered)
     prev_u, next_u = F.lag("_u").over(ordered), F.lead("_u").over(ordered)
-    city = F.col("location_city")
+    city, u = F.col("location_city"), F.col("_u")
     g = cfg.geo_window_s
 
-    geo = (prev_city.isNotNull() & (prev_city != city) & ((F.col("_u") - prev_u) <= g)) | (
-        next_city.isNotNull() & (next_city != city) & ((next_u - F.col("_u")) <= g)
+    geo = (prev_city.isNotNull() & (prev_city != city) & ((u - prev_u) <= g)) | (
+        next_city.isNotNull() & (next_city != city) & ((next_u - u) <= g)
     )
-    burst = (status == F.lit("SUCCESS")) & ((F.col("_u") - lag_u) <= cfg.burst_window_s)
+    burst = (status == F.lit("SUCCESS")) & ((u - lag_u) <= cfg.burst_window_s)
     for s in lag_status:
         burst = burst & (s == F.lit("FAILED"))
 
     amount = cents("amount")
-    a = F.coalesce(amount, F.lit(0).cast("decimal(18,2)"))
-    c = F.when(amount.isNotNull(), F.lit(1)).otherwise(F.lit(0))
-    leave = F.when(F.col("_u").isNull(), F.lit(NEVER)).otherwise(F.col("_u") + F.lit(cfg.velocity_window_s + 1))
-    events = F.array(
-        F.struct(F.col("_u").alias("_t"), F.lit(True).alias("_row"), a.alias("_a"), c.alias("_c")),
-        F.struct(leave.alias("_t"), F.lit(False).alias("_row"), (-a).alias("_a"), (-c).alias("_c")),
+    upto, before = _prefix(part), _prefix(part, -(cfg.velocity_window_s + 1))
+    total = F.when(u.isNull(), F.sum(amount).over(upto)).otherwise(
+        F.sum(amount).over(upto) - F.coalesce(F.sum(amount).over(before), F.lit(0))
     )
-    flagged = view.withColumn("geo_anomaly", coalesce_false(geo)).withColumn("failure_burst_check", coalesce_false(burst))
-    velocity = F.when(F.col("_n") > 0, F.col("_v"))
+    present = F.when(u.isNull(), F.count(amount).over(upto)).otherwise(
+        F.count(amount).over(upto) - F.count(amount).over(before)
+    )
+    velocity = F.when(present > 0, total)
     return (
-        _running(flagged, part, events, {"_v": "_a", "_n": "_c"})
-        .withColumn("velocity_amount_1m", velocity.cast("double"))
-        .withColumn("velocity_check", coalesce_false(velocity > F.lit(cfg.velocity_limit)))
+        view.withColumn("geo_anomaly", coalesce_false(geo))
+        .withColumn("failure_burst_check", coalesce_false(burst))
+        .withColumn("_v", velocity)
+        .withColumn("velocity_amount_1m", F.col("_v").cast("double"))
+        .withColumn("velocity_check", coalesce_false(F.col("_v") > F.lit(cfg.velocity_limit)))
         .filter(F.col("_core"))
-        .drop("_ub", "_core", "_v", "_n")
+        .drop("_ub", "_core", "_v")
     )
 
 
 def device_features(df: DataFrame, cfg: RuleConfig, hot: DataFrame | None = None) -> DataFrame:
     """Distinct non-NULL users per device over [u - M, u].
 
-    Each row covers its user from u until just before the user's next row on
-    the device (same-second repeats cover nothing), at most until u + M:
-    +1 at u, -1 at min(next u, u + M + 1). At any time each present user is
-    covered by exactly one row, so the running sum is the distinct count.
-    Rows with a NULL time count each user once and never leave."""
+    With each row covering its user from u until the user's next row on the
+    device or u + M + 1, whichever is first, the distinct count at time t is
+        (rows up to t)
+      - (rows up to t whose previous same-user row is at most M earlier)
+      - (rows up to t - M - 1 whose next same-user row is more than M later, or absent),
+    three prefix counts (same-second repeats supersede each other). Rows with
+    a NULL time count each of their users once."""
     back = cfg.mule_window_s
     part = ["device_id", "_db"]
-    # one exchange serves both windows: (device, slice, user) and (device, slice)
+    # one exchange serves every window: (device, slice, user) and (device, slice)
     view = _slice_views(df, "_u", back, 0, cfg.bucket_for(back, 0), "_db", "device_id", hot).repartition(*part)
     per_user = Window.partitionBy(*part, "user_id").orderBy("_u", "transaction_id")
-    u = F.col("_u")
-    nxt = F.lead("_u").over(per_user)
-    stop = F.when(u.isNull(), F.lit(NEVER)).otherwise(F.least(F.coalesce(nxt, u + F.lit(back + 1)), u + F.lit(back + 1)))
-    first_null = u.isNull() & F.lag("transaction_id").over(per_user).isNull() & (F.row_number().over(per_user) == 1)
-    weight = F.when(F.col("user_id").isNull(), F.lit(0)).when(u.isNull() & ~first_null, F.lit(0)).otherwise(F.lit(1))
-    events = F.array(
-        F.struct(u.alias("_t"), F.lit(True).alias("_row"), F.col("_w").alias("_w")),
-        F.struct(F.col("_stop").alias("_t"), F.lit(False).alias("_row"), (-F.col("_w")).alias("_w")),
-    )
-    prepared = view.withColumn("_stop", stop).withColumn("_w", weight)
+    u, has_user = F.col("_u"), F.col("user_id").isNotNull()
+    prev_u, next_u = F.lag("_u").over(per_user), F.lead("_u").over(per_user)
+    first = F.lag("transaction_id").over(per_user).isNull() & (F.row_number().over(per_user) == 1)
+    rows = F.when(~has_user, 0).when(u.isNull(), F.when(first, 1).otherwise(0)).otherwise(1)
+    superseding = F.when(has_user & u.isNotNull() & prev_u.isNotNull() & ((u - prev_u) <= back), 1).otherwise(0)
+    lapsing = F.when(has_user & u.isNotNull() & (next_u.isNull() | ((next_u - u) > back)), 1).otherwise(0)
+    flagged = view.withColumn("_r", rows).withColumn("_s", superseding).withColumn("_l", lapsing)
+    upto, before = _prefix(part), _prefix(part, -(back + 1))
+    users = F.sum("_r").over(upto) - F.sum("_s").over(upto) - F.coalesce(F.sum("_l").over(before), F.lit(0))
     return (
-        _running(prepared, part, events, {"_users": "_w"})
-        .withColumn("device_users_10m", F.coalesce(F.col("_users"), F.lit(0)).cast("int"))
+        flagged.withColumn("device_users_10m", F.coalesce(users, F.lit(0)).cast("int"))
         .withColumn("device_mule_check", F.col("device_users_10m") >= F.lit(cfg.mule_users))
         .filter(F.col("_core"))
-        .drop("_db", "_core", "_users", "_stop", "_w")
+        .drop("_db", "_core", "_r", "_s", "_l")
     )
 
 
