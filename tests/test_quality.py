@@ -186,3 +186,5 @@ def test_repeated_key_bound_is_checked(spark):
     assert small and {r.k for r in keys.collect()} == {"a", "b"}
     _, small = bounded(repeated_keys(df, "k"), max_rows=1)
     assert not small
+    _, small = bounded(repeated_keys(df, "k"), max_rows=10, max_bytes=1)  # 2 keys x (1 char + 8) > 1 byte
+    assert not small
