@@ -8,8 +8,8 @@ repeated UTR fails). Instead of ``count(*) OVER (PARTITION BY utr)``, which
 shuffles every full row and sends a hot UTR (or all NULL UTRs) to one task,
 the counts are a narrow hash aggregate with map-side combine; only UTRs seen
 more than once (NULL counted as one group) are joined back on a null-safe
-key (broadcast below a checked row bound, else a shuffle join that AQE
-splits when skewed).
+key (broadcast below a checked row and byte bound, else a shuffle join that
+AQE splits when skewed).
 """
 
 from __future__ import annotations
@@ -70,9 +70,11 @@ def with_utr_unique(
 
 
 def rule_columns(profile: QualityProfile, as_of=None, ts: Column | None = None) -> dict[str, Column]:
-    """Rule name -> boolean Column (may be NULL; NULL means failed)."""
+    """Rule name -> boolean Column (may be NULL; NULL means failed).
+    Expects typed ``timestamp`` and numeric ``amount`` (``add_quality_rules``
+    converts raw text with ``try_*`` casts first)."""
     ts = ts if ts is not None else F.col("timestamp")
-    amount = F.col("amount").cast("string").try_cast("double")
+    amount = F.col("amount")
 
     def present(c: str) -> Column:
         x = F.col(c)
@@ -125,7 +127,9 @@ def add_quality_rules(
     for c in ("utr_number", "sender_vpa", "receiver_vpa", "ip_address", "failure_reason"):
         if c not in df.columns:
             df = df.withColumn(c, F.lit(None).cast("string"))
-    if "amount" in df.columns and not isinstance(df.schema["amount"].dataType, T.NumericType):
+    if "amount" not in df.columns:
+        df = df.withColumn("amount", F.lit(None).cast("double"))
+    elif not isinstance(df.schema["amount"].dataType, T.NumericType):
         df = df.withColumn("amount", F.col("amount").cast("string").try_cast("double"))
     base = with_utr_unique(df.withColumn("timestamp", _ts(df)), "_utr_unique", max_broadcast_rows, small_input_bytes)
     rules = rule_columns(profile, as_of)
