@@ -91,7 +91,8 @@ def json_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = raw.groupBy("_p").agg(F.collect_list(F.struct(*RAW_COLUMNS)).alias("rows"))
     key = F.when(F.col("_p") % 2 == 0, F.lit("data")).otherwise(F.lit("transactions"))
     text = F.concat(F.lit('{"'), key, F.lit('": '), F.to_json(F.col("rows")), F.lit("}"))
-    docs.select(text.alias("value")).write.text(f"{base}/docs")
+    # one document per file: a multi-line JSON file holds exactly one document
+    docs.select("_p", text.alias("value")).write.partitionBy("_p").text(f"{base}/docs")
     return files.read_table(spark, f"{base}/docs", fmt="json", schema=RAW)
 
 

@@ -126,3 +126,11 @@ def test_inr_text(spark):
 
 def test_required_columns_fixed():
     assert len(REQUIRED_COLUMNS) == 8
+
+
+def test_many_envelope_documents(spark, monkeypatch):
+    from paysignal.plans import io_queries
+
+    monkeypatch.setattr(io_queries, "ENVELOPE_ROWS", 100)
+    n = tables.raw_transactions(spark, SF_SMALL).count()
+    assert io_queries.json_envelope(spark, SF_SMALL).count() == n
