@@ -12,8 +12,8 @@ into one NULL key.
 
 State: ``dropDuplicates`` on the id keeps every id forever (the event time
 is not part of the key, so the watermark never evicts) - exact, with state
-growing with the number of distinct ids; use the RocksDB state store
-(``state_store="rocksdb"``) at scale. ``within_watermark=True`` switches to
+growing with the number of distinct ids, so the RocksDB state store is the
+default (off-heap, on local disk, checkpointed). ``within_watermark=True`` switches to
 ``dropDuplicatesWithinWatermark``, which evicts state but accepts a repeat
 that arrives more than the watermark delay after the first copy.
 Rows whose event time is older than the watermark of an earlier batch are
@@ -84,9 +84,13 @@ def run_bronze(
     watermark: str = "10 minutes",
     within_watermark: bool = False,
     max_files_per_trigger: int | None = None,
-    state_store: str | None = None,
+    state_store: str = "rocksdb",
 ) -> dict:
-    """One incremental run; returns the last progress summary."""
+    """One incremental run; returns batches and rows of this run.
+
+    ``state_store="rocksdb"`` (default) keeps the dedup state on local disk
+    with checkpointed changelogs instead of executor heap; the provider is
+    fixed when a checkpoint is created. ``"memory"`` keeps Spark's default."""
     if state_store == "rocksdb":
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     stream = read_source_stream(spark, source_root, pattern, max_files_per_trigger)
@@ -94,5 +98,9 @@ def run_bronze(
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-    progress = query.lastProgress or {}
-    return {"batch_id": progress.get("batchId"), "rows": progress.get("numInputRows")}
+    progress = query.recentProgress or []
+    return {
+        "batches": len(progress),
+        "last_batch_id": progress[-1]["batchId"] if progress else None,
+        "rows": sum(p.get("numInputRows", 0) for p in progress),
+    }
