@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 MAX_BROADCAST_ROWS = 2_000_000
 MAX_BROADCAST_BYTES = 256 << 20
+_PERSISTED: list[DataFrame] = []
 # Below this estimated input size one shuffle is cheaper than the extra
 # counting job, so operators take their single-job plan.
 SMALL_INPUT_BYTES = 1 << 30
@@ -59,6 +60,7 @@ def bounded(
     if max_rows is None or max_rows <= 0:
         return keys, False
     keys = keys.persist()
+    _PERSISTED.append(keys)
     size = sum(
         (F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) if isinstance(f.dataType, T.StringType) else F.lit(8))
         for f in keys.schema.fields
@@ -66,3 +68,12 @@ def bounded(
     m = keys.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("b")).first()
     small = m.n <= max_rows and (m.b or 0) <= max_bytes
     return (F.broadcast(keys), True) if small else (keys, False)
+
+
+def release() -> int:
+    """Unpersist the key sets measured by ``bounded`` (call after the jobs
+    that joined them have run); returns how many were released."""
+    n = len(_PERSISTED)
+    while _PERSISTED:
+        _PERSISTED.pop().unpersist()
+    return n

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from paysignal.config import STRICT, QualityProfile, RuleConfig
 from paysignal.operators import dedup, gold, quality, rules, scd2
+from paysignal.operators import keys
 from paysignal.operators.keys import estimated_bytes
 from paysignal.session import size_shuffles
 from paysignal.plans import incremental
@@ -69,6 +70,7 @@ def silver_job(
     if not dedup_first:
         valid = dedup.keep_first(valid)
     store.write(SILVER, valid.drop("_is_valid"), partition_by=list(partition_by))
+    keys.release()
     s = quality.summarize(stored).first()
     return {"total_rows": s.total_rows, "valid_rows": s.valid_rows, "invalid_rows": s.invalid_rows}
 
@@ -89,12 +91,14 @@ def score_job(store: TableStore, cfg: RuleConfig | None = None) -> dict:
     size_shuffles(silver.sparkSession, estimated_bytes(silver))
     scored = rules.score(silver, cfg or RuleConfig())
     version = store.write(SCORED, scored, partition_by=["transaction_date"])
+    keys.release()
     return {"scored_version": version}
 
 
 def rescore_job(store: TableStore, start, end, cfg: RuleConfig | None = None) -> dict:
     """Incremental: recompute only [start, end] dates of the scored table."""
     version = incremental.rescore_into(store, store.read(SILVER), SCORED, start, end, cfg)
+    keys.release()
     return {"scored_version": version, "start": str(start), "end": str(end)}
 
 
