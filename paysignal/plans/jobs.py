@@ -144,12 +144,18 @@ def main(argv=None) -> None:
     p.add_argument("--as-of", default=None)
     p.add_argument("--start")
     p.add_argument("--end")
+    p.add_argument("--state-store", choices=["rocksdb", "memory"], default="rocksdb")
+    p.add_argument("--max-files-per-trigger", type=int, default=None)
+    p.add_argument("--within-watermark", action="store_true")
     a = p.parse_args(argv)
     spark = get_spark("paysignal-" + a.job)
     store = TableStore(spark, a.root)
     out = {}
     if a.job in ("bronze", "all"):
-        out["bronze"] = bronze_job(spark, a.root, a.source, a.pattern)
+        out["bronze"] = bronze_job(
+            spark, a.root, a.source, a.pattern, state_store=a.state_store,
+            max_files_per_trigger=a.max_files_per_trigger, within_watermark=a.within_watermark,
+        )
     if a.job in ("silver", "all"):
         out["silver"] = silver_job(spark, store, as_of=a.as_of)
     if a.job in ("score", "all"):
