@@ -158,7 +158,9 @@ def user_features(df: DataFrame, cfg: RuleConfig, hot: DataFrame | None = None)
     back, ahead = cfg.user_lookback_s, cfg.user_lookahead_s
     part = ["user_id", "_ub"]
     view = _slice_views(df, "_u", back, ahead, cfg.bucket_for(back, ahead), "_ub", "user_id", hot).repartition(*part)
-    ordered = Window.partitionBy(*part).orderBy("timestamp", "transaction_id")
+    # (_u, timestamp, id) is the same total order as (timestamp, id) since _u is
+    # monotone in timestamp; leading with _u lets the prefix frames below reuse this sort
+    ordered = Window.partitionBy(*part).orderBy("_u", "timestamp", "transaction_id")
 
     n = cfg.burst_failures
     status = F.upper(F.col("status"))
