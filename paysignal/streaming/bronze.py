@@ -29,6 +29,7 @@ from pyspark.sql.streaming import StreamingQuery
 from paysignal.schema import RAW, RAW_COLUMNS
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+IN_MEMORY = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
 
 
 def read_source_stream(
@@ -91,8 +92,8 @@ def run_bronze(
     ``state_store="rocksdb"`` (default) keeps the dedup state on local disk
     with checkpointed changelogs instead of executor heap; the provider is
     fixed when a checkpoint is created. ``"memory"`` keeps Spark's default."""
-    if state_store == "rocksdb":
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    provider = {"rocksdb": ROCKSDB, "memory": IN_MEMORY}[state_store]
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", provider)
     stream = read_source_stream(spark, source_root, pattern, max_files_per_trigger)
     query = write_bronze_stream(prepare_bronze(stream, watermark, within_watermark), checkpoint, bronze_path)
     query.awaitTermination()

@@ -39,3 +39,29 @@ def test_incremental_runs_dedup_late_and_null_ids(spark, tmp_dir):
     # third run with no new files writes nothing new
     bronze.run_bronze(spark, f"{src}/*", out, ckpt)
     assert spark.read.parquet(out).count() == 7
+
+
+def test_within_watermark_mode_and_memory_store(spark, tmp_dir):
+    src, out, ckpt = f"{tmp_dir}/in", f"{tmp_dir}/bronze", f"{tmp_dir}/ckpt"
+    write_batch(spark, f"{src}/b1", [row("A", "2025-08-01 10:00:00"), row("A", "2025-08-01 10:00:00"), row("B", "2025-08-01 10:05:00")])
+    summary = bronze.run_bronze(spark, f"{src}/*", out, ckpt, within_watermark=True, state_store="memory")
+    assert summary["rows"] == 3
+    assert sorted(r.transaction_id for r in spark.read.parquet(out).collect()) == ["A", "B"]
+
+
+def test_size_shuffles_respects_explicit_setting(spark):
+    from paysignal.session import size_shuffles
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    # the test session sets the value explicitly, so it is left alone
+    assert size_shuffles(spark, 10 << 40) == int(before)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_state_store_option_is_applied(spark, tmp_dir):
+    src = f"{tmp_dir}/in"
+    write_batch(spark, f"{src}/b1", [row("A", "2025-08-01 10:00:00")])
+    bronze.run_bronze(spark, f"{src}/*", f"{tmp_dir}/o1", f"{tmp_dir}/c1", state_store="memory")
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == bronze.IN_MEMORY
+    bronze.run_bronze(spark, f"{src}/*", f"{tmp_dir}/o2", f"{tmp_dir}/c2")
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == bronze.ROCKSDB
