@@ -120,7 +120,7 @@ class TableStore:
         if self.spark.catalog.tableExists(f"{database}.{table}"):
             self.spark.sql(f"DROP TABLE {qualified}")
         self.spark.sql(f"CREATE TABLE {qualified} USING parquet LOCATION '{location}'")
-        if any(c.isPartition for c in self.spark.catalog.listColumns(table, database)):
+        if any(c.isPartition for c in self.spark.catalog.listColumns(f"{database}.{table}")):
             self.spark.sql(f"ALTER TABLE {qualified} RECOVER PARTITIONS")
         return f"{database}.{table}"
 
