@@ -15,6 +15,12 @@ from check_oracle import canon, duck  # noqa: E402
 QUERIES = entry.queries()
 SQL = entry.oracle_sql()
 
+# Spark / DuckDB type names mapped to one vocabulary for the schema check.
+SPARK_TYPES = {"string": "str", "int": "int", "bigint": "long", "double": "double", "boolean": "bool", "date": "date",
+               "timestamp_ntz": "ts", "timestamp": "ts"}
+DUCK_TYPES = {"VARCHAR": "str", "INTEGER": "int", "BIGINT": "long", "DOUBLE": "double", "BOOLEAN": "bool", "DATE": "date",
+              "TIMESTAMP": "ts"}
+
 
 @pytest.fixture(scope="module")
 def con():
@@ -41,3 +47,6 @@ def test_query_matches_oracle(spark, con, name):
         return
     rel = con.sql(SQL[name])
     assert canon(df.columns, rows) == canon(rel.columns, rel.fetchall())
+    spark_types = {f.name: SPARK_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    duck_types = {c: DUCK_TYPES.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
+    assert spark_types == duck_types
