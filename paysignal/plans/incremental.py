@@ -50,5 +50,7 @@ def rescore_range(silver: DataFrame, start, end, cfg: RuleConfig | None = None)
 
 def rescore_into(store: TableStore, silver: DataFrame, scored_name: str, start, end, cfg: RuleConfig | None = None) -> int:
     """Recompute the date range and overwrite only its partitions."""
-    out = rescore_range(silver, start, end, cfg).drop("fraud_reasons")
+    out = rescore_range(silver, start, end, cfg)
+    if store.exists(scored_name):  # same columns, same order as the stored table
+        out = out.select(*store.read(scored_name).columns)
     return store.overwrite_partitions(scored_name, out, ["transaction_date"])

@@ -30,9 +30,11 @@ def test_bronze_to_gold_on_fixture(spark, tmp_dir):
     # incremental rescoring of one day equals the full scores for that day
     before = store.read(jobs.SCORED).filter("transaction_date = '2026-08-30'").select("transaction_id", "risk_score")
     before = {tuple(r) for r in before.collect()}
+    scored_schema = store.read(jobs.SCORED).schema
     jobs.rescore_job(store, "2026-08-30", "2026-08-30", RuleConfig())
     after = {tuple(r) for r in store.read(jobs.SCORED).filter("transaction_date = '2026-08-30'").select("transaction_id", "risk_score").collect()}
     assert after == before and len(after) > 0
+    assert store.read(jobs.SCORED).schema == scored_schema
 
 
 def test_silver_job_dashboard_order_quarantines_repeats(spark, tmp_dir):
