@@ -188,3 +188,13 @@ def test_repeated_key_bound_is_checked(spark):
     assert not small
     _, small = bounded(repeated_keys(df, "k"), max_rows=10, max_bytes=1)  # 2 keys x (1 char + 8) > 1 byte
     assert not small
+
+
+def test_null_utr_group_in_both_paths(spark):
+    three = raw(spark, variant(1, utr_number=None), variant(2, utr_number=None), variant(3, utr_number=None), variant(4))
+    one = raw(spark, variant(1, utr_number=None), variant(4))
+    for kw in ({}, {"small_input_bytes": 0}, {"small_input_bytes": 0, "max_broadcast_rows": 1}):
+        r3 = {r.transaction_id: r for r in quality.add_quality_rules(three, STRICT, AS_OF, **kw).collect()}
+        assert [r3[f"TXN{i}"].utr_unique for i in (1, 2, 3, 4)] == [False, False, False, True]
+        r1 = {r.transaction_id: r for r in quality.add_quality_rules(one, STRICT, AS_OF, **kw).collect()}
+        assert r1["TXN1"].utr_unique and not r1["TXN1"].utr_not_null and not r1["TXN1"]._is_valid
