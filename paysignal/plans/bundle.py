@@ -53,6 +53,7 @@ def build_bundle(
     store: TableStore | None = None,
     gold_table: str = "fraud_scored_transactions",
     dim_table: str = "customer_device_scd2",
+    precomputed: DataFrame | None = None,
 ) -> Bundle:
     bronze = standardize(source)
     checked = quality.add_quality_rules(bronze, profile, as_of)
@@ -60,13 +61,14 @@ def build_bundle(
     silver = dedup.keep_first(valid)
     scored = rules.score(silver, cfg or RuleConfig(), label_style=label_style)
     notes = []
-    stored = store is not None and store.exists(gold_table)
-    fraud = gold.fraud_transactions(scored)
-    if stored:
+    table = precomputed
+    if table is None and store is not None and store.exists(gold_table):
         table = store.read(gold_table)
-        if "is_fraud" in table.columns:
-            fraud = table.filter(F.col("is_fraud").cast("boolean"))
-            notes.append("Compatible stored Gold output was loaded for fraud rows.")
+    stored = table is not None
+    fraud = gold.fraud_transactions(scored)
+    if stored and "is_fraud" in table.columns:
+        fraud = table.filter(F.col("is_fraud").cast("boolean"))
+        notes.append("Compatible stored Gold output was loaded for fraud rows.")
     refresh = dt.datetime.fromisoformat(str(as_of)) if as_of is not None else dt.datetime.now()
     return Bundle(
         bronze=bronze,
@@ -87,7 +89,9 @@ def build_bundle(
 
 def bundle_from_root(spark: SparkSession, root: str, store: TableStore | None = None, **kw) -> Bundle:
     """The primary CSV, else the checked-in sample, else the
-    deterministic fixture (G1) as an explicitly labelled fallback."""
+    deterministic fixture (G1) as an explicitly labelled fallback. S8: a
+    precomputed ``fraud_transactions`` CSV / parquet under the root is
+    preferred for Gold when it has ``is_fraud``."""
     from paysignal.operators.generator import fixture
 
     path, label = files.resolve_source(
@@ -97,6 +101,7 @@ def bundle_from_root(spark: SparkSession, root: str, store: TableStore | None =
             (f"{root.rstrip('/')}/sample_data/upi_transactions_sample.csv", "Checked-in Synthetic Data sample"),
         ],
     )
+    kw.setdefault("precomputed", files.find_optional_output(spark, root, "fraud_transactions"))
     if path is None:
         note = "No compatible CSV source was available; generated a repeatable fallback."
         return build_bundle(fixture(spark), FALLBACK_LABEL, note, store=store, **kw)

@@ -90,3 +90,19 @@ def resolve_source(spark: SparkSession, candidates: Sequence[tuple[str, str]]) -
         if path_exists(spark, path):
             return path, label
     return None, "No compatible source was available."
+
+
+# Where a precomputed output may sit under a root, in probe order.
+OUTPUT_DIRS = ("sample_data", "delta/gold", "gold")
+OUTPUT_FORMATS = ("csv", "parquet")
+
+
+def find_optional_output(spark: SparkSession, root: str, stem: str) -> DataFrame | None:
+    """The first existing ``<dir>/<stem>.<csv|parquet>`` under ``root``
+    (dirs in OUTPUT_DIRS order), read with its reader; None if there is none."""
+    for d in OUTPUT_DIRS:
+        for fmt in OUTPUT_FORMATS:
+            path = f"{root.rstrip('/')}/{d}/{stem}.{fmt}"
+            if path_exists(spark, path):
+                return read_table(spark, path, fmt=fmt, schema=None)
+    return None

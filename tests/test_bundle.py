@@ -25,3 +25,11 @@ def test_bundle_prefers_stored_gold(spark, tmp_dir):
     store.write(jobs.SCORED, seed.scored.drop("fraud_reasons").limit(100).withColumn("is_fraud", F.lit(True)))
     b = bundle.bundle_from_root(spark, f"{tmp_dir}/none", store=store, as_of="2026-09-01 00:00:00")
     assert b.stored_gold_detected and b.gold.count() == 100 and "stored Gold" in b.source_note
+
+
+def test_bundle_prefers_precomputed_file_output(spark, tmp_dir):
+    root = f"{tmp_dir}/site"
+    seed = bundle.bundle_from_root(spark, f"{tmp_dir}/none", as_of="2026-09-01 00:00:00")
+    seed.gold.select("transaction_id", "amount", "is_fraud").limit(7).write.parquet(f"{root}/gold/fraud_transactions.parquet")
+    b = bundle.bundle_from_root(spark, root, as_of="2026-09-01 00:00:00")
+    assert b.stored_gold_detected and b.gold.count() == 7
