@@ -54,7 +54,12 @@ def build_bundle(
     gold_table: str = "fraud_scored_transactions",
     dim_table: str = "customer_device_scd2",
     precomputed: DataFrame | None = None,
+    require_rows: bool = False,
 ) -> Bundle:
+    """Layers for ``source``. ``require_rows`` (uploads) rejects an empty
+    source with ``ValueError`` (one ``isEmpty`` job)."""
+    if require_rows and source.isEmpty():
+        raise ValueError("The uploaded file contains no rows.")
     bronze = standardize(source)
     checked = quality.add_quality_rules(bronze, profile, as_of)
     valid, quarantine = quality.split_valid_invalid(checked)

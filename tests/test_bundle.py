@@ -33,3 +33,13 @@ def test_bundle_prefers_precomputed_file_output(spark, tmp_dir):
     seed.gold.select("transaction_id", "amount", "is_fraud").limit(7).write.parquet(f"{root}/gold/fraud_transactions.parquet")
     b = bundle.bundle_from_root(spark, root, as_of="2026-09-01 00:00:00")
     assert b.stored_gold_detected and b.gold.count() == 7
+
+
+def test_empty_upload_is_rejected(spark):
+    import pytest
+
+    from paysignal.schema import RAW
+
+    with pytest.raises(ValueError, match="no rows"):
+        bundle.build_bundle(spark.createDataFrame([], RAW), require_rows=True)
+    assert bundle.build_bundle(spark.createDataFrame([], RAW)).scored.count() == 0
