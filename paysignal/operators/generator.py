@@ -188,11 +188,28 @@ def planted_clusters(profiles: DataFrame, seed: int = 42, as_of: str = "2024-02-
     return velocity.unionByName(geo).unionByName(brute).unionByName(mule)
 
 
-def transactions(events: DataFrame, customer: DataFrame, seed: int = 42, as_of: str = "2024-02-01", clusters_each: int = 8) -> DataFrame:
-    """Normal rows followed by the planted clusters (all raw strings)."""
+def transactions(
+    events: DataFrame,
+    customer: DataFrame,
+    seed: int = 42,
+    as_of: str = "2024-02-01",
+    clusters_each: int = 8,
+    total_rows: int | None = None,
+) -> DataFrame:
+    """Normal rows followed by the planted clusters (all raw strings).
+
+    By default one normal row per event row. With ``total_rows`` the output
+    has exactly that many rows (when the events suffice): the planted rows
+    (first ``total_rows`` of them if fewer) plus the normal rows with the
+    smallest transaction ids - a deterministic choice."""
     profiles = customers(customer, seed, as_of)
     normal = normal_transactions(events, profiles, seed, as_of)
-    return normal.unionByName(planted_clusters(profiles, seed, as_of, clusters_each)).select(*RAW_COLUMNS)
+    planted = planted_clusters(profiles, seed, as_of, clusters_each)
+    if total_rows is not None:
+        injected = (6 + 2 + 6 + 3) * int(clusters_each)  # velocity + geo + brute force + mule rows
+        planted = planted.orderBy("transaction_id").limit(min(int(total_rows), injected))
+        normal = normal.orderBy("transaction_id").limit(max(int(total_rows) - injected, 0))
+    return normal.unionByName(planted).select(*RAW_COLUMNS)
 
 
 def customer_rows(customer: DataFrame, seed: int = 42, as_of: str = "2024-02-01") -> DataFrame:

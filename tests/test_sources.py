@@ -134,3 +134,12 @@ def test_many_envelope_documents(spark, monkeypatch):
     monkeypatch.setattr(io_queries, "ENVELOPE_ROWS", 100)
     n = tables.raw_transactions(spark, SF_SMALL).count()
     assert io_queries.json_envelope(spark, SF_SMALL).count() == n
+
+
+def test_generator_exact_total_rows(spark):
+    ev, cu = tables.table(spark, SF_SMALL, "events"), tables.table(spark, SF_SMALL, "customer")
+    assert generator.transactions(ev, cu, total_rows=500).count() == 500
+    assert generator.transactions(ev, cu, total_rows=100).count() == 100  # clusters truncated
+    a = sorted(r.transaction_id for r in generator.transactions(ev, cu, total_rows=300).collect())
+    b = sorted(r.transaction_id for r in generator.transactions(ev, cu, total_rows=300).collect())
+    assert a == b
