@@ -93,11 +93,13 @@ def insert_set(changes: DataFrame) -> DataFrame:
     return new.unionByName(changed)
 
 
-def apply(dim: DataFrame, source: DataFrame, as_of=None) -> DataFrame:
+def apply(dim: DataFrame, source: DataFrame, as_of=None, mark_changes: bool = False) -> DataFrame:
     """C7 (J4 + C4 in one pass): the next dimension version.
 
     Current rows whose user changed are closed (end = as_of, not current);
     new versions and new users are added; everything else is unchanged.
+    ``mark_changes`` adds boolean ``_changed`` (closed or added rows), so a
+    caller can detect a no-op without a second join.
     """
     day = _date(as_of)
     src = normalize_source(dedup_source(source), as_of).withColumn("_s", F.lit(True))
@@ -117,11 +119,15 @@ def apply(dim: DataFrame, source: DataFrame, as_of=None) -> DataFrame:
                 else F.col(f"t_{c}")
             ).alias(c)
             for c in DIM_COLUMNS
-        ]
+        ],
+        changed.alias("_changed"),
     )
-    added = F.struct(*[F.col(f"s_{c}").alias(c) for c in DIM_COLUMNS])
+    added = F.struct(*[F.col(f"s_{c}").alias(c) for c in DIM_COLUMNS], F.lit(True).alias("_changed"))
     rows = F.array_compact(F.array(F.when(has_t, kept), F.when(has_s & (~has_t | changed), added)))
-    merged = j.select(F.explode(rows).alias("_r")).select(*[F.col(f"_r.{c}").alias(c) for c in DIM_COLUMNS])
+    out = [*DIM_COLUMNS, "_changed"] if mark_changes else list(DIM_COLUMNS)
+    merged = j.select(F.explode(rows).alias("_r")).select(*[F.col(f"_r.{c}").alias(c) for c in out])
+    if mark_changes:
+        history = history.withColumn("_changed", F.lit(False))
     return history.unionByName(merged)
 
 

@@ -121,12 +121,14 @@ def scd2_job(spark: SparkSession, store: TableStore, source: DataFrame, as_of=No
         store.write(DIM, scd2.initialize(source, as_of))
         action = "initialized"
     else:
-        dim = store.read(DIM)
-        if scd2.has_changes(source, dim, as_of):
-            store.write(DIM, scd2.apply(dim, source, as_of))
-            action = "applied"
-        else:
+        # one join: apply with a change marker, keep it (memory and disk), write only if something changed
+        nxt = scd2.apply(store.read(DIM), source, as_of, mark_changes=True).persist()
+        if nxt.filter(F.col("_changed")).isEmpty():
             action = "no-op"
+        else:
+            store.write(DIM, nxt.drop("_changed"))
+            action = "applied"
+        nxt.unpersist()
     table = store.register(DIM, database)
     scd2.current(store.read(DIM)).createOrReplaceTempView("customer_dim_current")
     active = spark.sql("SELECT COUNT(*) AS active_customer_count FROM customer_dim_current").first()[0]
