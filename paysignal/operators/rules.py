@@ -65,8 +65,8 @@ def hot_cells(df: DataFrame, key: str, bucket: int, cfg: RuleConfig, span: int =
     for cells holding more than ``cfg.hot_cell_rows`` rows; None when there
     are none, when the input is small, or when the map is too large to
     broadcast. Narrow pre-pass: only the key and time columns are read."""
-    if not cfg.split_hot_cells or estimated_bytes(df) < cfg.split_min_input_bytes:
-        return None
+    if not cfg.split_hot_cells or span > bucket or estimated_bytes(df) < cfg.split_min_input_bytes:
+        return None  # (slices narrower than the view span are not split further)
     # sub-slices no narrower than the views' look-back + look-ahead (``span``),
     # so a hot row is copied into at most two views
     limit = min(int(cfg.max_split), SUB - 1, max(1, bucket // max(span, 1)))
