@@ -8,8 +8,8 @@ Users missing from the source keep their current row (no expiry by absence).
 
 Scale: one full outer join of the current rows with the (deduplicated)
 source on user_id; both sides are unique per user_id after dedup, so the
-join is 1:1 with no hot key, and the source's groupBy(user_id) partitioning
-is reused by the join. Historical (non-current) versions bypass the join.
+join is 1:1 with no hot key. Historical (non-current) versions bypass the
+join.
 """
 
 from __future__ import annotations
@@ -38,14 +38,13 @@ def _date(as_of) -> Column:
 
 def dedup_source(source: DataFrame) -> DataFrame:
     """One source row per user_id (a snapshot must not repeat a user; if it
-    does, keep the smallest attribute tuple, deterministically)."""
-    row = F.struct(*[F.col(c).cast("string").alias(c) for c in ATTRIBUTES[1:]])
-    return (
-        source.filter(F.col("user_id").isNotNull())
-        .groupBy(F.col("user_id").cast("string").alias("user_id"))
-        .agg(F.min(row).alias("_r"))
-        .select("user_id", *[F.col(f"_r.{c}").alias(c) for c in ATTRIBUTES[1:]])
-    )
+    does, keep the smallest attribute tuple, deterministically). Uses the
+    repeated-key dedup, so on large snapshots only repeated users are
+    shuffled and reduced."""
+    from paysignal.operators.dedup import keep_first
+
+    rows = source.select(*[F.col(c).cast("string").alias(c) for c in ATTRIBUTES]).filter(F.col("user_id").isNotNull())
+    return keep_first(rows, key="user_id", order=())
 
 
 def normalize_source(source: DataFrame, as_of=None) -> DataFrame:
