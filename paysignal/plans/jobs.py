@@ -149,7 +149,9 @@ def main(argv=None) -> None:
     p.add_argument("--state-store", choices=["rocksdb", "memory"], default="rocksdb")
     p.add_argument("--max-files-per-trigger", type=int, default=None)
     p.add_argument("--within-watermark", action="store_true")
+    p.add_argument("--rules", default=None, help='RuleConfig fields as JSON, e.g. {"velocity_limit": 200}')
     a = p.parse_args(argv)
+    cfg = RuleConfig(**json.loads(a.rules)) if a.rules else RuleConfig()
     spark = get_spark("paysignal-" + a.job)
     store = TableStore(spark, a.root)
     out = {}
@@ -161,9 +163,9 @@ def main(argv=None) -> None:
     if a.job in ("silver", "all"):
         out["silver"] = silver_job(spark, store, as_of=a.as_of)
     if a.job in ("score", "all"):
-        out["score"] = score_job(store)
+        out["score"] = score_job(store, cfg)
     if a.job == "rescore":
-        out["rescore"] = rescore_job(store, a.start, a.end)
+        out["rescore"] = rescore_job(store, a.start, a.end, cfg)
     if a.job in ("gold", "all"):
         out["gold"] = gold_job(spark, store)
     if a.job == "scd2":

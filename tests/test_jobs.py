@@ -74,7 +74,8 @@ def test_cli_runs_all_jobs(spark, tmp_dir, capsys):
     src = f"{tmp_dir}/landing"
     raw = generator.fixture(spark)
     raw.select(*[F.col(c).cast("string").alias(c) for c in raw.columns]).write.option("header", True).csv(src)
-    jobs.main(["all", "--root", f"{tmp_dir}/lake", "--source", src, "--as-of", "2026-09-01 00:00:00"])
+    jobs.main(["all", "--root", f"{tmp_dir}/lake", "--source", src, "--as-of", "2026-09-01 00:00:00",
+               "--rules", '{"velocity_limit": 50000, "mule_users": 3}'])
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert out["silver"]["valid_rows"] == 4980 and out["score"]["scored_version"] == 1
     assert set(out["gold"]) == {jobs.FRAUD, jobs.MULES, jobs.MERCHANT_KPI}
