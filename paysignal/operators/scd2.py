@@ -38,13 +38,23 @@ def _date(as_of) -> Column:
 
 def dedup_source(source: DataFrame) -> DataFrame:
     """One source row per user_id (a snapshot must not repeat a user; if it
-    does, keep the smallest attribute tuple, deterministically). Uses the
-    repeated-key dedup, so on large snapshots only repeated users are
-    shuffled and reduced."""
+    does, keep the smallest attribute tuple, deterministically).
+
+    Small snapshots: one groupBy(user_id), whose partitioning the SCD2 join
+    reuses. Large ones: the repeated-key dedup, so only repeated users are
+    shuffled and reduced (unique users pass through)."""
     from paysignal.operators.dedup import keep_first
+    from paysignal.operators.keys import is_small
 
     rows = source.select(*[F.col(c).cast("string").alias(c) for c in ATTRIBUTES]).filter(F.col("user_id").isNotNull())
-    return keep_first(rows, key="user_id", order=())
+    if not is_small(rows):
+        return keep_first(rows, key="user_id", order=())
+    row = F.struct(*[F.col(c).alias(c) for c in ATTRIBUTES[1:]])
+    return (
+        rows.groupBy("user_id")
+        .agg(F.min(row).alias("_r"))
+        .select("user_id", *[F.col(f"_r.{c}").alias(c) for c in ATTRIBUTES[1:]])
+    )
 
 
 def normalize_source(source: DataFrame, as_of=None) -> DataFrame:
