@@ -143,3 +143,14 @@ def test_generator_exact_total_rows(spark):
     a = sorted(r.transaction_id for r in generator.transactions(ev, cu, total_rows=300).collect())
     b = sorted(r.transaction_id for r in generator.transactions(ev, cu, total_rows=300).collect())
     assert a == b
+
+
+def test_optional_output_probe_order(spark, tmp_dir):
+    root = f"{tmp_dir}/site"
+    assert files.find_optional_output(spark, root, "fraud_transactions") is None
+    spark.createDataFrame([("g",)], "src string").write.parquet(f"{root}/gold/fraud_transactions.parquet")
+    assert files.find_optional_output(spark, root, "fraud_transactions").first().src == "g"
+    spark.createDataFrame([("d",)], "src string").write.parquet(f"{root}/delta/gold/fraud_transactions.parquet")
+    assert files.find_optional_output(spark, root, "fraud_transactions").first().src == "d"
+    spark.createDataFrame([("s",)], "src string").write.option("header", True).csv(f"{root}/sample_data/fraud_transactions.csv")
+    assert files.find_optional_output(spark, root, "fraud_transactions").first().src == "s"
