@@ -142,13 +142,13 @@ def main(argv=None) -> None:
     p.add_argument("job", choices=["bronze", "silver", "score", "rescore", "gold", "scd2", "all"])
     p.add_argument("--root", required=True, help="shared folder holding the tables")
     p.add_argument("--source", help="raw CSV folder (bronze) or customer snapshot file (scd2)")
-    p.add_argument("--pattern", default="*.csv")
-    p.add_argument("--as-of", default=None)
-    p.add_argument("--start")
-    p.add_argument("--end")
-    p.add_argument("--state-store", choices=["rocksdb", "memory"], default="rocksdb")
-    p.add_argument("--max-files-per-trigger", type=int, default=None)
-    p.add_argument("--within-watermark", action="store_true")
+    p.add_argument("--pattern", default="*.csv", help="file name glob of new source files (bronze)")
+    p.add_argument("--as-of", default=None, help="as-of time for timestamp_not_future (silver) or the SCD2 date")
+    p.add_argument("--start", help="first transaction date to rescore (rescore)")
+    p.add_argument("--end", help="last transaction date to rescore (rescore)")
+    p.add_argument("--state-store", choices=["rocksdb", "memory"], default="rocksdb", help="dedup state store (bronze)")
+    p.add_argument("--max-files-per-trigger", type=int, default=None, help="files per micro-batch (bronze)")
+    p.add_argument("--within-watermark", action="store_true", help="bounded dedup state (bronze)")
     p.add_argument("--rules", default=None, help='RuleConfig fields as JSON, e.g. {"velocity_limit": 200}')
     a = p.parse_args(argv)
     cfg = RuleConfig(**json.loads(a.rules)) if a.rules else RuleConfig()
