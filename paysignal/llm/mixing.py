@@ -16,8 +16,9 @@ No source is sorted whole. One pass sums words by source and by 2^16 intervals
 of u (q grows with u inside a source); the running sums show the interval in
 which the target falls. Intervals before it are taken and those after it are
 not. Only the documents around the crossing (some 2 * ZONE_ROWS a source) are
-ranked exactly: those that fit are taken, then the one whose size comes nearest
-to what is still missing closes the gap.
+ranked exactly: those that fit are taken, then one document closes the gap, if
+that comes nearer: either a further one of about the missing size joins, or the
+first that did not fit joins and one of about the surplus leaves.
 
 Defined cases: null or empty texts have size 0 and are never missing from the
 result; null sources are one source, the last; a source without words has
@@ -149,9 +150,13 @@ def mix(
         .withColumn("cum", F.sum("size").over(W.partitionBy("source").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)))
         .withColumn("fits", F.col("before") + F.col("cum") <= F.col("rest"))
         .withColumn("gap", F.col("rest") - F.col("before") - F.sum(F.when(F.col("fits"), F.col("size")).otherwise(0)).over(own))
-        .withColumn("off", F.when(F.col("fits"), F.lit(float("inf"))).otherwise(F.abs(F.col("size") - F.col("gap"))))
-        .withColumn("closing", F.row_number().over(W.partitionBy("source").orderBy("off", *order)) == 1)
-        .withColumn("more", (F.col("fits") | (F.col("closing") & (F.col("off") < F.col("gap")))).cast("int"))
+        .withColumn("crossing", ~F.col("fits") & (F.col("before") + F.col("cum") - F.col("size") <= F.col("rest")))
+        .withColumn("over", F.max(F.when(F.col("crossing"), F.col("size"))).over(own) - F.col("gap"))
+        .withColumn("off", F.coalesce(F.abs(F.col("size") - F.when(F.col("fits"), F.col("over")).otherwise(F.col("gap"))), F.lit(float("inf"))))
+        .withColumn("nearest", F.row_number().over(W.partitionBy("source").orderBy("off", *order)) == 1)
+        .withColumn("flips", F.col("nearest") & (F.col("off") < F.col("gap")))
+        .withColumn("swaps", F.max(F.col("flips") & F.col("fits")).over(own) & F.col("crossing"))
+        .withColumn("more", ((F.col("fits") != F.col("flips")) | F.col("swaps")).cast("int"))
     )
     keep = ["rec", "size", "source_size", "target", (F.col("whole") + F.col("more")).alias("copies")]
     return outer.select(*keep).unionByName(ranked.select(*keep))

@@ -49,17 +49,23 @@ all_ AS (
   FROM rows_ d JOIN rest r ON d.source IS NOT DISTINCT FROM r.source
   LEFT JOIN zone z ON d.source IS NOT DISTINCT FROM z.source),
 fit AS (
-  SELECT *, before + sum(size) OVER (PARTITION BY source ORDER BY q, doc_id, size ROWS UNBOUNDED PRECEDING) <= rest AS fits
-  FROM all_ WHERE inside),
+  SELECT *, before + cum <= rest AS fits FROM (
+    SELECT *, sum(size) OVER (PARTITION BY source ORDER BY q, doc_id, size ROWS UNBOUNDED PRECEDING) AS cum
+    FROM all_ WHERE inside)),
 gaps AS (
   SELECT *, rest - before - sum(CASE WHEN fits THEN size ELSE 0 END) OVER (PARTITION BY source) AS gap FROM fit),
+crossed AS (
+  SELECT *, NOT fits AND before + cum - size <= rest AS crossing FROM gaps),
+overs AS (
+  SELECT *, max(CASE WHEN crossing THEN size END) OVER (PARTITION BY source) - gap AS over_ FROM crossed),
 offs AS (
-  SELECT *, CASE WHEN fits THEN 'Infinity'::DOUBLE ELSE abs(size - gap) END AS off_ FROM gaps),
-closing AS (
-  SELECT *, row_number() OVER (PARTITION BY source ORDER BY off_, q, doc_id, size) = 1 AS closing FROM offs),
+  SELECT *, coalesce(abs(size - CASE WHEN fits THEN over_ ELSE gap END), 'Infinity'::DOUBLE) AS off_ FROM overs),
+nearest AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY off_, q, doc_id, size) = 1 AND off_ < gap AS flips FROM offs),
+swaps AS (
+  SELECT *, bool_or(flips AND fits) OVER (PARTITION BY source) AND crossing AS swaps FROM nearest),
 taken AS (
-  SELECT doc_id, size, source_size, target,
-         whole + CASE WHEN fits OR (closing AND off_ < gap) THEN 1 ELSE 0 END AS copies FROM closing
+  SELECT doc_id, size, source_size, target, whole + CASE WHEN fits <> flips OR swaps THEN 1 ELSE 0 END AS copies FROM swaps
   UNION ALL
   SELECT doc_id, size, source_size, target, whole + CASE WHEN part < lo THEN 1 ELSE 0 END FROM all_ WHERE NOT inside)
 SELECT doc_id, size, source_size, target, (size * copies)::BIGINT AS taken FROM taken
