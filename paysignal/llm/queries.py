@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paysignal.llm import bpe, langid, mixing, sharding
+from paysignal.llm import bpe, html, langid, mixing, sharding, tokencount
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
@@ -31,6 +31,13 @@ def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line of every document."""
+    return tokencount.token_counts(
+        read(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
+    )
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(
         read(spark, sf_dir, "documents"),
@@ -51,6 +58,10 @@ def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.main_text(read(spark, sf_dir, "pages"))
+
+
 def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     held_out = langid.remainder(F.col("doc_id"), 4) == 2
@@ -61,7 +72,9 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op4_shards": op4_shards,
+        "op6_token_counts": op6_token_counts,
         "op7_bpe": op7_bpe,
         "op8_mix": op8_mix,
+        "op9_main_text": op9_main_text,
         "op10_langid": op10_langid,
     }
