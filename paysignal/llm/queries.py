@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paysignal.llm import bpe, html, langid, mixing, sharding, tokencount
+from paysignal.llm import bpe, html, langid, minhash, mixing, sharding, tokencount
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
@@ -17,6 +17,10 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read(spark, sf_dir, "documents"), words=4, least=(80, 100))
+
+
 def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     text = F.coalesce(F.col("rec.text"), F.lit(""))
@@ -71,6 +75,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_near_duplicates": op2_near_duplicates,
         "op4_shards": op4_shards,
         "op6_token_counts": op6_token_counts,
         "op7_bpe": op7_bpe,
