@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paysignal.llm import bpe, html, langid, minhash, mixing, sharding, tokencount
+from paysignal.llm import ann, bpe, html, langid, minhash, mixing, sharding, tokencount, topk
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
@@ -17,10 +17,18 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf_dir, "documents"), words=4, least=(80, 100))
 
 
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     text = F.coalesce(F.col("rec.text"), F.lit(""))
@@ -75,7 +83,9 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_topk": op1_topk,
         "op2_near_duplicates": op2_near_duplicates,
+        "op3_neighbours": op3_neighbours,
         "op4_shards": op4_shards,
         "op6_token_counts": op6_token_counts,
         "op7_bpe": op7_bpe,
