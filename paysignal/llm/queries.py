@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paysignal.llm import ann, bpe, html, langid, minhash, mixing, sharding, tokencount, topk
+from paysignal.llm import ann, bpe, html, langid, lm, minhash, mixing, sharding, tokencount, topk
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
@@ -43,6 +43,11 @@ def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return lm.score(docs, held_out=langid.remainder(F.col("doc_id"), 7) == 2)
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every line of every document."""
     return tokencount.token_counts(
@@ -87,6 +92,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_near_duplicates": op2_near_duplicates,
         "op3_neighbours": op3_neighbours,
         "op4_shards": op4_shards,
+        "op5_score": op5_score,
         "op6_token_counts": op6_token_counts,
         "op7_bpe": op7_bpe,
         "op8_mix": op8_mix,
