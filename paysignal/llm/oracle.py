@@ -71,6 +71,21 @@ taken AS (
 SELECT doc_id, size, source_size, target, (size * copies)::BIGINT AS taken FROM taken
 """
 
+OP1_TOPK = """
+WITH clean AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         list_sum(list_transform(list_zip(q.v, c.v), lambda p: coalesce(p[1], 0) * coalesce(p[2], 0)))::BIGINT AS score
+  FROM clean q JOIN clean c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
 
 def llm_sql() -> dict[str, str]:
-    return {"op8_mix": OP8_MIX}
+    return {"op1_topk": OP1_TOPK, "op8_mix": OP8_MIX}
