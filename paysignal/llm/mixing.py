@@ -139,7 +139,7 @@ def mix(
 
     rows = rows.join(plan, F.col("source").eqNullSafe(F.col("_source")))
     inside = F.coalesce(F.col("part").between(F.col("lo"), F.col("hi")), F.lit(False))
-    outer = rows.filter(~inside).withColumn("more", F.coalesce((F.col("part") < F.col("lo")).cast("int"), F.lit(0)))
+    outer = rows.filter(~inside).withColumn("more", F.coalesce(((F.col("rest") > 0) & (F.col("part") < F.col("lo"))).cast("int"), F.lit(0)))
 
     share = F.col("rest") / F.col("source_size")
     odds = (F.col("u") / (1 - F.col("u"))) / (share / (1 - share))
@@ -148,7 +148,7 @@ def mix(
         rows.filter(inside)
         .withColumn("q", F.when(share > 0, odds).otherwise(F.col("u")))
         .withColumn("cum", F.sum("size").over(W.partitionBy("source").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)))
-        .withColumn("fits", F.col("before") + F.col("cum") <= F.col("rest"))
+        .withColumn("fits", (F.col("rest") > 0) & (F.col("before") + F.col("cum") <= F.col("rest")))
         .withColumn("gap", F.col("rest") - F.col("before") - F.sum(F.when(F.col("fits"), F.col("size")).otherwise(0)).over(own))
         .withColumn("crossing", ~F.col("fits") & (F.col("before") + F.col("cum") - F.col("size") <= F.col("rest")))
         .withColumn("over", F.max(F.when(F.col("crossing"), F.col("size"))).over(own) - F.col("gap"))

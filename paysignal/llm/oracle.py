@@ -49,7 +49,7 @@ all_ AS (
   FROM rows_ d JOIN rest r ON d.source IS NOT DISTINCT FROM r.source
   LEFT JOIN zone z ON d.source IS NOT DISTINCT FROM z.source),
 fit AS (
-  SELECT *, before + cum <= rest AS fits FROM (
+  SELECT *, rest > 0 AND before + cum <= rest AS fits FROM (
     SELECT *, sum(size) OVER (PARTITION BY source ORDER BY q, doc_id, size ROWS UNBOUNDED PRECEDING) AS cum
     FROM all_ WHERE inside)),
 gaps AS (
@@ -67,7 +67,7 @@ swaps AS (
 taken AS (
   SELECT doc_id, size, source_size, target, whole + CASE WHEN fits <> flips OR swaps THEN 1 ELSE 0 END AS copies FROM swaps
   UNION ALL
-  SELECT doc_id, size, source_size, target, whole + CASE WHEN part < lo THEN 1 ELSE 0 END FROM all_ WHERE NOT inside)
+  SELECT doc_id, size, source_size, target, whole + CASE WHEN rest > 0 AND part < lo THEN 1 ELSE 0 END FROM all_ WHERE NOT inside)
 SELECT doc_id, size, source_size, target, (size * copies)::BIGINT AS taken FROM taken
 """
 

@@ -28,7 +28,7 @@ def usable(batch: pa.RecordBatch, name: str, dims: int) -> tuple[np.ndarray, np.
 
 
 def dimensions(df: DataFrame, vector: str) -> int:
-    return df.agg(F.max(F.size(vector))).first()[0] or 0
+    return max(0, df.agg(F.max(F.size(vector))).first()[0] or 0)
 
 
 def pack(matrix: np.ndarray) -> pa.Array:
