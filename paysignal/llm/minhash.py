@@ -6,15 +6,16 @@ Jaccard similarity. Documents with the same set are one class, and one of each
 class enters the join.
 
 A tree splits the documents by the value of a coordinate that the node chooses;
-independent trees start from different coordinates. Nodes of at most ``SMALL``
-documents are compared exhaustively. A larger node compares its members with
-its smallest, and then branches: it chooses one further coordinate, and every
+independent trees start from different coordinates. Members that are already
+linked need no comparison with each other: a node whose members share one
+component is finished, and a node is small if at most ``SMALL`` members are
+outside its largest component. Small nodes are compared exhaustively, the
+members outside with all members. A larger node compares its members with its
+smallest, and then branches: it chooses one further coordinate, and every
 fourth node a second, so that on average 1/0.8 children await a pair at the
-threshold. Members that are already linked with each other need no further
-comparison, so a node whose members share one component is finished; this ends
-large groups of copies after a star of comparisons instead of all pairs.
-After ``DEPTH`` levels the nodes that are left are compared exhaustively, but
-only between components.
+threshold. A large group of copies thus ends after a star of comparisons and
+some for each stranger in its node, instead of all pairs. After ``DEPTH``
+levels the nodes that are left are compared exhaustively.
 
 Candidates must have sizes and 2-bit sketches that similar sets have (a pair at
 the threshold fails the sketch with a probability of about 1e-7); every link is
@@ -173,35 +174,53 @@ class _Join:
         to = self.labels.select(F.col("rep").alias(by), F.col("label").alias("_to"))
         return df.join(to, by, "left").withColumn(name, F.coalesce("_to", by)).drop("_to")
 
+    @staticmethod
+    def _nodes(front: DataFrame) -> DataFrame:
+        """Of the nodes whose members (node, rep, label) are not all linked: ``size``,
+        the component with most members (``major``), how many are of others
+        (``rest``), and the smallest member (``pivot``)."""
+        each = front.groupBy("node", "label").agg(F.count("*").alias("c"), F.min("rep").alias("least"))
+        return (
+            each.groupBy("node")
+            .agg(F.sum("c").alias("size"), F.max(F.struct("c", "label")).alias("most"), F.min("least").alias("pivot"))
+            .filter("size > most.c")
+            .select("node", (F.col("size") - F.col("most.c")).alias("rest"), F.col("most.label").alias("major"), "pivot")
+        )
+
+    def _members(self, front: DataFrame, nodes: DataFrame) -> DataFrame:
+        """Members of ``nodes`` with what a comparison needs."""
+        rows = front.join(nodes, "node").join(self.reps.select("rep", "n", "s0", "s1"), "rep")
+        return self.scratch.table(rows.select("node", "rep", "label", "n", "s0", "s1", "rest", "major", "pivot"), "members")
+
     def _similar(self, x: str, y: str) -> Column:
         c = F.col
         low, high = F.least(c(f"{x}.n"), c(f"{y}.n")), F.greatest(c(f"{x}.n"), c(f"{y}.n"))
-        apart = _apart(c(f"{x}.s0"), c(f"{x}.s1"), c(f"{y}.s0"), c(f"{y}.s1"))
         return (
-            (c(f"{x}.rep") < c(f"{y}.rep"))
-            & (c(f"{x}.label") != c(f"{y}.label"))
+            (c(f"{x}.label") != c(f"{y}.label"))
             & (low * self.least[1] >= high * self.least[0])
-            & (apart <= MOST_APART)
+            & (_apart(c(f"{x}.s0"), c(f"{x}.s1"), c(f"{y}.s0"), c(f"{y}.s1")) <= MOST_APART)
         )
 
     def _pairs(self, members: DataFrame, last: bool) -> DataFrame:
-        """Candidates ``a, b, apart`` of the open nodes, those tested before excluded."""
-        shown = [
-            F.col("x.rep").alias("a"),
-            F.col("y.rep").alias("b"),
-            _apart(F.col("x.s0"), F.col("x.s1"), F.col("y.s0"), F.col("y.s1")).alias("apart"),
-        ]
-        small = members if last else members.filter(F.col("size") <= self.small)
-        found = (
-            small.alias("x")
-            .join(small.alias("y"), (F.col("x.node") == F.col("y.node")) & self._similar("x", "y"))
-            .select(*shown)
-        )
+        """Candidates ``a, b, apart``, those tested before excluded. A small node
+        compares the members outside its major component with all members, a
+        larger one its pivot."""
+        small = members if last else members.filter(F.col("rest") <= self.small)
+        ones = [small.filter("label <> major")]
+        alls = [small]
         if not last:
-            star = members.filter(F.col("size") > self.small).select(
-                F.col("pivot").alias("x"), F.struct("rep", "n", "s0", "s1", "label").alias("y")
+            large = members.filter(F.col("rest") > self.small)
+            ones.append(large.filter("rep = pivot"))
+            alls.append(large)
+        found = None
+        for one, every in zip(ones, alls, strict=True):
+            pairs = one.alias("x").join(every.alias("y"), (F.col("x.node") == F.col("y.node")) & self._similar("x", "y"))
+            pairs = pairs.select(
+                F.least("x.rep", "y.rep").alias("a"),
+                F.greatest("x.rep", "y.rep").alias("b"),
+                _apart(F.col("x.s0"), F.col("x.s1"), F.col("y.s0"), F.col("y.s1")).alias("apart"),
             )
-            found = found.unionByName(star.filter(self._similar("x", "y")).select(*shown))
+            found = pairs if found is None else found.unionByName(pairs)
         return found.distinct().join(self.tested, ["a", "b"], "left_anti")
 
     def _link(self, pairs: DataFrame, docs: DataFrame) -> None:
@@ -226,7 +245,9 @@ class _Join:
             return
         if n <= BROADCAST_KEYS:
             keys = F.broadcast(keys)
-        docs = self.scratch.table(self.docs.join(keys, "key", "left_semi").dropDuplicates(["key"]), "texts")
+        docs = self.scratch.table(self.docs.join(keys, "key", "left_semi"), "texts")
+        if docs.count() > n:  # some rows repeat a key
+            docs = self.scratch.table(docs.dropDuplicates(["key"]), "texts")
         best = pairs.groupBy("b").agg(F.min(F.struct("apart", "a")).alias("to")).select("b", F.col("to.a").alias("a"))
         self._link(best, docs)
         rest = self._labelled(self._labelled(pairs.join(best, ["a", "b"], "left_anti"), "a", "la"), "b", "lb")
@@ -238,32 +259,39 @@ class _Join:
     def run(self) -> DataFrame:
         # Trees at their roots: one coordinate each, every fourth tree a second.
         roots = [(t, t) for t in range(self.trees)] + [(t, self.trees + t // 4) for t in range(0, self.trees, 4)]
-        nodes = F.array(*[F.xxhash64(F.lit(t), F.lit(c), F.col("sig")[c]) for t, c in roots])
-        front = self.reps.select(F.explode(nodes).alias("node"), "rep", "n", "s0", "s1", F.col("rep").alias("label"))
+        values = F.array(*[F.xxhash64(F.lit(t), F.lit(c), F.col("sig")[c]) for t, c in roots])
+        front = self.reps.select(F.explode(values).alias("node"), "rep").withColumn("label", F.col("rep"))
+        # Nothing is linked yet, so every member is a component of its own.
+        nodes = (
+            front.groupBy("node")
+            .agg(F.count("*").alias("size"), F.min("rep").alias("pivot"))
+            .filter("size > 1")
+            .select("node", (F.col("size") - 1).alias("rest"), F.col("pivot").alias("major"), "pivot")
+        )
         for level in range(DEPTH):
-            own = F.struct("rep", "n", "s0", "s1", "label")
-            open_ = (
-                front.groupBy("node")
-                .agg(F.count("*").alias("size"), F.min(own).alias("pivot"), F.min("label").alias("low"), F.max("label").alias("high"))
-                .filter("low <> high")
-                .drop("low", "high")
-            )
-            members = self.scratch.table(front.join(open_, "node"), "members")
+            members = self._members(front, nodes)
             last = level == DEPTH - 1
             self._test(members, last)
-            large = self._labelled(members.filter(F.col("size") > self.small).drop("label", "pivot", "size"))
-            left = large.groupBy("node").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
-            large = self.scratch.table(large.join(left.select("node"), "node", "left_semi"), "large")
-            if last or large.isEmpty():
+            if last:
+                break
+            # The larger nodes, with what has been linked meanwhile: some are small now, the others branch.
+            large = self._labelled(members.filter(F.col("rest") > self.small).select("node", "rep"))
+            large = self.scratch.table(large.join(self._nodes(large).select("node", "rest"), "node"), "large")
+            if large.isEmpty():
                 break
             one = F.pmod(F.xxhash64("node", F.lit(1)), F.lit(COORDINATES)).cast("int")
             two = F.pmod(F.xxhash64("node", F.lit(2)), F.lit(COORDINATES)).cast("int")
             chosen = F.when(F.pmod(F.xxhash64("node", F.lit(3)), F.lit(4)) == 0, F.array_distinct(F.array(one, two))).otherwise(F.array(one))
-            front = (
-                large.join(self.reps.select("rep", "sig"), "rep")
-                .select("node", "rep", "n", "s0", "s1", "label", "sig", F.explode(chosen).alias("c"))
-                .select(F.xxhash64("node", "c", F.col("sig")[F.col("c")]).alias("node"), "rep", "n", "s0", "s1", "label")
+            children = (
+                large.filter(F.col("rest") > self.small)
+                .join(self.reps.select("rep", "sig"), "rep")
+                .select("node", "rep", "label", "sig", F.explode(chosen).alias("c"))
+                .select(F.xxhash64("node", "c", F.col("sig")[F.col("c")]).alias("node"), "rep", "label")
+            )
+            front = self.scratch.table(
+                large.filter(F.col("rest") <= self.small).select("node", "rep", "label").unionByName(children), "front"
             )
+            nodes = self._nodes(front)
         classes = self._labelled(self.reps.select("digest", "rep")).select("digest", "label")
         own = F.when(F.col("key").isNotNull(), F.coalesce("label", "key"))
         return (
