@@ -43,10 +43,12 @@ MAX_LISTS = 1024
 ROUNDS = 10
 CHUNK, QUERIES = 2048, 1024
 #: Pairs of a query and a candidate that are worked on at once.
-PAIRS = 1 << 19
+PAIRS = 1 << 18
+#: Below this share of pairs alive, a column block is read for those pairs only.
+GATHER = 0.1
 EPSILON = 2.1
 CALIBRATE = 96
-RECALL = 0.97
+RECALL = 0.94
 
 
 def rotation(dims: int, seed: int) -> np.ndarray:
@@ -92,39 +94,54 @@ def widths(dims: int) -> list[int]:
 
 def scan(queries: np.ndarray, vectors: np.ndarray, k: int, skip: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(query, candidate) pairs that hold each query's k nearest by the test; both
-    sides are rotated. ``skip`` marks pairs that are no candidates."""
+    sides are rotated. ``skip`` marks pairs that are no candidates. While most
+    pairs are alive a column block is one matrix product, then only the pairs
+    left are gathered."""
     dims = vectors.shape[1]
-    if not len(queries) or not len(vectors):
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
     head = min(len(vectors), 4 * k)
 
     def exact(q: np.ndarray, v: np.ndarray) -> np.ndarray:
-        return np.maximum(0.0, (q**2).sum(axis=1)[:, None] + (v**2).sum(axis=1) - 2 * (q @ v.T))
+        out = q @ v.T
+        out *= -2
+        out += (q**2).sum(axis=1)[:, None]
+        out += (v**2).sum(axis=1)
+        return out
 
     first = np.where(skip[:, :head], np.inf, exact(queries, vectors[:head]))
     bar = np.partition(first, k - 1, axis=1)[:, k - 1] if head >= k else np.full(len(queries), np.inf)
     slack = 1e-9 * max(1e-30, float((vectors**2).sum(axis=1).max()))
-    who, what = np.nonzero(~skip)
-    partial = np.zeros(len(who))
-    done = 0
+    partial = np.where(skip, np.inf, 0.0)
+    done, who, what = 0, None, None
     for width in widths(dims):
         cols = slice(done, done + width)
-        if done == 0:
-            partial = exact(queries[:, cols], vectors[:, cols])[who, what]
+        done += width
+        if who is None:
+            partial += exact(queries[:, cols], vectors[:, cols])
         else:
             partial = partial + ((queries[who, cols] - vectors[what, cols]) ** 2).sum(axis=1)
-        done += width
-        if done < dims:
-            stays = partial * (dims / done) <= bar[who] * (1 + EPSILON / np.sqrt(done)) ** 2 + slack
+        if done == dims:
+            break
+        most = bar * (1 + EPSILON / np.sqrt(done)) ** 2 * (done / dims) + slack
+        if who is None:
+            stays = partial <= most[:, None]
+            if stays.mean() < GATHER:
+                who, what = np.nonzero(stays)
+                partial = partial[who, what]
+        else:
+            stays = partial <= most[who]
             who, what, partial = who[stays], what[stays], partial[stays]
     # Of the survivors, those not beyond the k-th best.
+    if who is None:
+        kth = np.partition(partial, min(k, len(vectors)) - 1, axis=1)[:, min(k, len(vectors)) - 1]
+        return np.nonzero(np.isfinite(partial) & (partial <= kth[:, None] + slack))
     order = np.lexsort((partial, who))
     who, what, partial = who[order], what[order], partial[order]
     begins = np.searchsorted(who, np.arange(len(queries)))
-    kth = begins + k - 1
     ends = np.append(begins[1:], len(who))
-    last = np.where(kth < ends, partial[np.minimum(kth, max(0, len(who) - 1))] if len(who) else np.inf, np.inf)
-    stays = partial <= last[who] + slack
+    kth = np.full(len(queries), np.inf)
+    full = begins + k <= ends
+    kth[full] = partial[begins[full] + k - 1]
+    stays = partial <= kth[who] + slack
     return who[stays], what[stays]
 
 
