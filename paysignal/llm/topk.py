@@ -7,7 +7,8 @@ each list it has not shown up in, the list's last contribution (lower) or the
 last one read (upper) bounds its score. Candidates whose upper bound falls
 below the k-th lower bound cannot qualify; when few are left, or the lists end,
 their scores are resolved. Each block gives k candidates per query, and the
-best of all blocks are the answer.
+best of all blocks are the answer. One block goes first: the k-th score it
+finds for a query is a bar from the start in the others.
 
 Queries, too, are dealt into blocks, and every pair of blocks is one group, so
 a task holds ``BLOCK`` candidates and ``QUERIES`` queries at any size.
@@ -29,14 +30,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paysignal.llm.scratch import Scratch
 from paysignal.llm.vectors import best, dimensions, pack, unpack, usable
 
-BLOCK = 2048
+BLOCK = 4096
 QUERIES = 4096
-#: Shares of a list that are read between two looks at the bounds.
-STEPS = 12
+#: How much of the lists has been read at each look at the bounds.
+LOOKS = (0.45, 0.6, 0.75, 1.0)
 #: So many candidates are resolved at once instead of reading on.
-FEW = 48
+FEW = 256
 
 
 class Lists:
@@ -44,39 +46,41 @@ class Lists:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.ids, self.vectors = ids, vectors
-        self.order = np.argsort(vectors, axis=0, kind="stable").T.copy()  # dimension x place, ascending
-        self.values = np.take_along_axis(vectors.T, self.order, axis=1)
+        columns = np.ascontiguousarray(vectors.T, dtype=np.float64)
+        self.order = np.argsort(columns, axis=1, kind="stable")  # dimension x place, ascending
+        self.values = np.take_along_axis(columns, self.order, axis=1)
 
-    def top(self, query: np.ndarray, query_id: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(places of the k best, their scores), best first, ties to the smaller id."""
+    def top(self, query: np.ndarray, query_id: int, k: int, bar: float = -np.inf) -> tuple[np.ndarray, np.ndarray]:
+        """(places of the k best that reach ``bar``, their scores), best first, ties to the smaller id."""
         n = len(self.ids)
-        dims = np.flatnonzero(query)
-        q = query[dims].astype(np.float64)
-        down = (q > 0)[:, None]
-        lists = np.arange(len(dims))[:, None]
-        total = np.zeros(n)
-        seen = np.zeros((len(dims), n))
-        least = q * np.where(q > 0, self.values[dims, 0], self.values[dims, -1])
-        alive = np.flatnonzero(self.ids != query_id)
-        step = max(1, -(-n // STEPS))
-        for at in range(0, n, step):
-            if len(alive) <= max(k, FEW) or not len(dims):
+        up, down = np.flatnonzero(query < 0), np.flatnonzero(query > 0)  # read from the low end, from the high end
+        weight = np.concatenate((query[up], query[down])).astype(np.float64)
+        least = weight * np.concatenate((self.values[up, -1], self.values[down, 0]))
+        rows = (np.arange(len(weight)) * n)[:, None]
+        total, seen = np.zeros(n), np.zeros((len(weight), n), dtype=np.float32)
+        alive = self.ids != query_id
+        at = 0
+        for share in LOOKS:
+            left = np.count_nonzero(alive)
+            if left <= max(k, FEW) or not len(weight):
                 break
-            depth = np.arange(at, min(n, at + step))
-            place = np.where(down, n - 1 - depth, depth)
-            who = self.order[dims[:, None], place]
-            gain = q[:, None] * self.values[dims[:, None], place]
+            to = max(at + 1, int(share * n))
+            who = np.concatenate((self.order[up, at:to], self.order[down, n - to : n - at]))
+            gain = np.concatenate((self.values[up, at:to], self.values[down, n - to : n - at])) * weight[:, None]
+            reached = np.concatenate((gain[: len(up), -1], gain[len(up) :, 0]))
             total += np.bincount(who.ravel(), weights=gain.ravel(), minlength=n)
-            seen[lists, who] = 1.0
-            reached = gain[:, -1]
-            held = seen[:, alive]
-            lower = total[alive] + (least.sum() - least @ held)
-            upper = total[alive] + (reached.sum() - reached @ held)
-            bar = np.partition(lower, len(lower) - k)[len(lower) - k]
-            alive = alive[upper >= bar]
-        score = self.vectors[alive] @ query
-        first = np.lexsort((self.ids[alive], -score))[:k]
-        return alive[first], score[first]
+            who += rows
+            seen.ravel()[who.ravel()] = 1
+            at = to
+            held = np.stack((least, reached)).astype(np.float32) @ seen
+            slack = 1e-5 * (np.abs(least).sum() + np.abs(reached).sum())  # of single precision
+            lower = (total + (least.sum() - held[0]))[alive]
+            bar = max(bar, np.partition(lower, left - k)[left - k] - slack)
+            alive &= total + (reached.sum() - held[1]) >= bar - slack
+        found = np.flatnonzero(alive)
+        score = self.vectors[found] @ query
+        first = np.lexsort((self.ids[found], -score))[:k]
+        return found[first], score[first]
 
 
 def search(
@@ -109,15 +113,16 @@ def search(
     def each(of: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(of - 1)))
 
-    asked = clean.filter("asks").dropDuplicates(["id"]).select(own(7, parts).alias("part"), each(blocks).alias("block"), "id", "vector")
-    held = clean.select(own(8, blocks).alias("block"), each(parts).alias("part"), "id", "vector")
+    asked = clean.filter("asks").dropDuplicates(["id"]).select(own(7, parts).alias("part"), "id", "vector")
+    held = clean.select(own(8, blocks).alias("block"), "id", "vector")
 
     def meet(queries: pa.Table, candidates: pa.Table) -> pa.Table:
         found: list[tuple[int, np.ndarray, np.ndarray]] = []
         if len(queries) and len(candidates):
             block = Lists(candidates["id"].to_numpy(), unpack(candidates["vector"], dims, "<i8"))
-            for query_id, query in zip(queries["id"].to_pylist(), unpack(queries["vector"], dims, "<i8"), strict=True):
-                at, score = block.top(query, query_id, k)
+            bars = queries["bar"].to_pylist()
+            for query_id, query, bar in zip(queries["id"].to_pylist(), unpack(queries["vector"], dims, "<i8"), bars, strict=True):
+                at, score = block.top(query, query_id, k, -np.inf if bar is None else bar)
                 found.append((query_id, block.ids[at], score))
         return pa.table(
             {
@@ -127,9 +132,19 @@ def search(
             }
         )
 
-    found = (
-        asked.groupBy("block", "part")
-        .cogroup(held.groupBy("block", "part"))
-        .applyInArrow(meet, "query_id long, vec_id long, score long")
-    )
-    return best(found, k)
+    def against(queries: DataFrame, first: int, last: int) -> DataFrame:
+        """The best of blocks ``first`` to ``last``; ``queries`` has a ``bar`` that the answers reach."""
+        left = queries.select("part", F.explode(F.sequence(F.lit(first), F.lit(last))).alias("block"), "id", "vector", "bar")
+        right = held.filter(F.col("block").between(first, last)).select("block", each(parts).alias("part"), "id", "vector")
+        keys = ["block", "part"]
+        met = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(meet, "query_id long, vec_id long, score long")
+        return best(met, k)
+
+    # The first block's k-th scores are a bar for all others, so those stop reading earlier.
+    scratch = Scratch(df.sparkSession, "topk")
+    found = scratch.table(against(asked.withColumn("bar", F.lit(None).cast("double")), 0, 0), "first")
+    if blocks > 1:
+        bars = found.filter(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").cast("double").alias("bar"))
+        rest = against(asked.join(bars, "id", "left").select("part", "id", "vector", "bar"), 1, blocks - 1)
+        found = best(found.drop("rank").unionByName(rest.drop("rank")), k)
+    return found
