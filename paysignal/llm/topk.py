@@ -103,7 +103,8 @@ def search(
                 names=["id", "asks", "vector"],
             )
 
-    clean = rows.mapInArrow(floors, "id long, asks boolean, vector binary")
+    scratch = Scratch(df.sparkSession, "topk")
+    clean = scratch.table(rows.mapInArrow(floors, "id long, asks boolean, vector binary"), "vectors")
     size = clean.agg(F.count("*").alias("n"), F.count_if("asks").alias("q")).first()
     blocks, parts = max(1, -(-size["n"] // BLOCK)), max(1, -(-size["q"] // QUERIES))
 
@@ -114,12 +115,12 @@ def search(
         return F.explode(F.sequence(F.lit(0), F.lit(of - 1)))
 
     asked = clean.filter("asks").dropDuplicates(["id"]).select(own(7, parts).alias("part"), "id", "vector")
-    held = clean.select(own(8, blocks).alias("block"), "id", "vector")
+    held = clean.select(own(8, blocks).alias("block"), F.col("id").alias("vec_id"), F.col("vector").alias("held"))
 
     def meet(queries: pa.Table, candidates: pa.Table) -> pa.Table:
         found: list[tuple[int, np.ndarray, np.ndarray]] = []
         if len(queries) and len(candidates):
-            block = Lists(candidates["id"].to_numpy(), unpack(candidates["vector"], dims, "<i8"))
+            block = Lists(candidates["vec_id"].to_numpy(), unpack(candidates["held"], dims, "<i8"))
             bars = queries["bar"].to_pylist()
             for query_id, query, bar in zip(queries["id"].to_pylist(), unpack(queries["vector"], dims, "<i8"), bars, strict=True):
                 at, score = block.top(query, query_id, k, -np.inf if bar is None else bar)
@@ -135,13 +136,12 @@ def search(
     def against(queries: DataFrame, first: int, last: int) -> DataFrame:
         """The best of blocks ``first`` to ``last``; ``queries`` has a ``bar`` that the answers reach."""
         left = queries.select("part", F.explode(F.sequence(F.lit(first), F.lit(last))).alias("block"), "id", "vector", "bar")
-        right = held.filter(F.col("block").between(first, last)).select("block", each(parts).alias("part"), "id", "vector")
+        right = held.filter(F.col("block").between(first, last)).select("block", each(parts).alias("part"), "vec_id", "held")
         keys = ["block", "part"]
         met = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(meet, "query_id long, vec_id long, score long")
         return best(met, k)
 
     # The first block's k-th scores are a bar for all others, so those stop reading earlier.
-    scratch = Scratch(df.sparkSession, "topk")
     found = scratch.table(against(asked.withColumn("bar", F.lit(None).cast("double")), 0, 0), "first")
     if blocks > 1:
         bars = found.filter(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").cast("double").alias("bar"))
