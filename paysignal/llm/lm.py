@@ -5,8 +5,8 @@ A token's probability is P(class | context) * P(token | class).
 Classes: the end of a text, the ``TOP`` most frequent words (a class each) and
 ``TAILS`` classes of all other words, by a hash of their last two bytes.
 P(class | context) is a softmax over hashed features of the context: the word
-before, the two before together, and two skip features (the second and the
-third word before alone). P(token | class) is the maximum-entropy solution of
+before, the two before together, and, as a skip feature, the second word before
+alone. P(token | class) is the maximum-entropy solution of
 features on the word alone, its relative frequency in the class, with an
 absolute discount whose mass goes to the class's one unknown token, so that the
 probabilities of all known words and the unknown tokens sum to one.
@@ -42,22 +42,23 @@ from paysignal.llm.batches import list_array, ragged, slices, texts
 from paysignal.llm.scratch import Scratch
 from paysignal.llm.words import hash_words, mix64
 
-TOP, TAILS = 63, 32
+TOP, TAILS = 39, 24
 CLASSES = 1 + TOP + TAILS
 ROWS = 1 << 14
 COMMON = 1 << 18
 ROUNDS = 2
 RATE = 0.25
-#: Tokens of a training step, and of a scoring batch.
-STEP, BATCH = 4096, 16_384
+#: Tokens of a training step or a scoring batch, and occurrences in it up to which a row's values are added one by one.
+STEP, FEW = 4096, 4
 #: Rows of weights that travel together, and tasks whose changes are added at once.
 BAND, FAN = 64, 64
 #: Distinct words that a counting task holds before it passes them on.
 HELD = 1 << 20
 END = np.uint64(0x5BD1E9955BD1E995)
 _BEFORE = np.uint64(0x1B873593CC9E2D51)
-_SALT = mix64(np.arange(1, 5, dtype=np.uint64))
+_SALT = mix64(np.arange(1, 4, dtype=np.uint64))
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+_ONES = np.ones(max(STEP, CLASSES), dtype=np.float32)
 
 
 class Tokens(NamedTuple):
@@ -91,7 +92,7 @@ def classes(t: Tokens, top: np.ndarray) -> np.ndarray:
 
 
 def features(t: Tokens) -> np.ndarray:
-    """Rows of the weights, four for each token."""
+    """Rows of the weights, three for each token."""
     place = np.arange(len(t.word)) - np.repeat(t.first, t.size)
 
     def before(k: int) -> np.ndarray:
@@ -99,27 +100,43 @@ def features(t: Tokens) -> np.ndarray:
         out[k:] = np.where(place[k:] >= k, t.word[: len(t.word) - k], _BEFORE)
         return out
 
-    one, two, three = before(1), before(2), before(3)
-    keys = (one ^ _SALT[0], two ^ _SALT[1], (one * _ODD + two) ^ _SALT[2], three ^ _SALT[3])
-    return np.stack([(mix64(k) >> np.uint64(40)).astype(np.int64) % ROWS for k in keys], axis=1)
-
-
-def logits(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    out = weights[rows[:, 0]] + weights[ROWS]
-    for i in range(1, rows.shape[1]):
-        out += weights[rows[:, i]]
-    out -= out.max(axis=1, keepdims=True)
-    return out
+    one, two = before(1), before(2)
+    keys = (one ^ _SALT[0], two ^ _SALT[1], (one * _ODD + two) ^ _SALT[2])
+    return np.stack([((mix64(k) >> np.uint64(40)) % np.uint64(ROWS)).astype(np.int16) for k in keys])
+
+
+def exponentials(weights: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(logit, its exponential) of every token and class; weights are kept far below overflow."""
+    out = np.take(weights, rows[0], axis=0)
+    for own in rows[1:]:
+        out += np.take(weights, own, axis=0)
+    out += weights[ROWS]
+    np.clip(out, -80, 80, out=out)
+    return out, np.exp(out)
+
+
+def sums_of(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct rows, the sum of the values of each). Most rows occur a few
+    times: their values are added place by place; the others' in one product."""
+    order = np.argsort(rows, kind="stable")
+    own, values = rows[order], np.take(values, order, axis=0)
+    begins = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
+    counts = np.diff(np.append(begins, len(own)))
+    out = values[begins]
+    for j in range(1, FEW):
+        more = np.flatnonzero((counts > j) & (counts <= FEW))
+        out[more] += values[begins[more] + j]
+    for i in np.flatnonzero(counts > FEW):
+        out[i] = _ONES[: counts[i]] @ values[begins[i] : begins[i] + counts[i]]
+    return own[begins], out
 
 
 def log_class(weights: np.ndarray, rows: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """Natural log of P(class | context) of each token."""
     out = np.empty(len(wanted))
-    for at in range(0, len(wanted), BATCH):
-        s = logits(weights, rows[at : at + BATCH])
-        own = s[np.arange(len(s)), wanted[at : at + BATCH]]
-        np.exp(s, out=s)
-        out[at : at + BATCH] = own - np.log(s.sum(axis=1))
+    for at in range(0, len(wanted), STEP):
+        s, e = exponentials(weights, rows[:, at : at + STEP])
+        out[at : at + STEP] = s[np.arange(len(s)), wanted[at : at + STEP]] - np.log(e @ _ONES[:CLASSES])
     return out
 
 
@@ -134,20 +151,18 @@ class Learner:
 
     def learn(self, rows: np.ndarray, wanted: np.ndarray) -> None:
         for at in range(0, len(wanted), STEP):
-            own = rows[at : at + STEP]
-            p = logits(self.weights, own)
-            np.exp(p, out=p)
-            p /= p.sum(axis=1, keepdims=True)
+            own = rows[:, at : at + STEP]
+            _, p = exponentials(self.weights, own)
+            p *= (1 / (p @ _ONES[:CLASSES]))[:, None]
             p[np.arange(len(p)), wanted[at : at + STEP]] -= 1
-            flat = own.ravel()
-            order = np.argsort(flat, kind="stable")
-            begins = np.flatnonzero(np.diff(flat[order], prepend=-1))
-            gradient = np.add.reduceat(p[order // own.shape[1]], begins, axis=0)
-            gradient = np.concatenate((gradient, p.sum(axis=0, keepdims=True)))
-            changed = np.append(flat[order[begins]], ROWS)
-            self.squares[changed] += (gradient**2).sum(axis=1)
-            self.weights[changed] -= RATE * gradient / np.sqrt(self.squares[changed])[:, None]
-            self.touched[changed] = True
+            for feature in own:
+                self._step(*sums_of(feature, p))
+            self._step(np.array([ROWS]), (_ONES[: len(p)] @ p)[None, :])
+
+    def _step(self, changed: np.ndarray, gradient: np.ndarray) -> None:
+        self.squares[changed] += np.einsum("ij,ij->i", gradient, gradient)
+        self.weights[changed] -= gradient * (RATE / np.sqrt(self.squares[changed]))[:, None]
+        self.touched[changed] = True
 
     def bands(self) -> Iterator[tuple[int, bytes, bytes]]:
         """(band, its changes, which of its rows were touched)."""
@@ -282,10 +297,24 @@ def _train_round(df: DataFrame, weights: np.ndarray, top: np.ndarray) -> np.ndar
     return out
 
 
+def _most_frequent(counts: DataFrame) -> list:
+    """The words from some count on, ``COMMON`` at most. A histogram of counts
+    by powers of 2^(1/16) (some hundred rows) finds the count, so that no task
+    ranks words."""
+    level = F.floor(F.log2("c") * 16).cast("int")
+    held, least = 0, None
+    for r in counts.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect():
+        held += r["count"]
+        if held > COMMON:
+            break
+        least = r["level"]
+    return [] if least is None else counts.filter(level >= least).select("word", "c").collect()
+
+
 def fit(df: DataFrame, counts: DataFrame, rounds: int = ROUNDS) -> Model:
     """``df`` has the training texts in ``text``; ``counts`` is the written table of their tokens."""
     size = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    often = counts.filter(F.col("word") != F.lit(int(END.view(np.int64)))).orderBy(F.desc("c"), "word").limit(COMMON).select("word", "c").collect()
+    often = sorted(_most_frequent(counts.filter(F.col("word") != F.lit(int(END.view(np.int64))))), key=lambda r: (-r["c"], r["word"]))
     hashes = np.array([r["word"] for r in often], dtype=np.int64).view(np.uint64)
     c = np.array([r["c"] for r in often], dtype=np.int64)
     top = np.sort(hashes[:TOP])
