@@ -243,7 +243,7 @@ def test_lm_probabilities_sum_to_one(spark, tmp_dir):
     sums = np.bincount(cls, weights=inside, minlength=lm.CLASSES)
     sums[1 + lm.TOP :] += 10 ** model.unknown[1 + lm.TOP :]
     assert np.allclose(sums, 1)
-    rows = np.random.default_rng(0).integers(0, lm.ROWS, (5, 4))
+    rows = np.random.default_rng(0).integers(0, lm.ROWS, (3, 5)).astype(np.int16)
     p = [np.exp(lm.log_class(model.weights, rows, np.full(5, k))) for k in range(lm.CLASSES)]
     assert np.allclose(np.sum(p, axis=0), 1, atol=1e-4)
 
