@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MONEY = T.DecimalType(18, 2)
+# Amounts beyond +-MONEY_MAX (infinite ones too) count as MONEY_MAX in sums: far
+# over every rule limit, exact in double and decimal, and no cast can overflow.
+MONEY_MAX = 1e15
 
 
 def col(c) -> Column:
@@ -19,8 +22,10 @@ def coalesce_false(c) -> Column:
 
 
 def cents(c) -> Column:
-    """Money at cent precision, so sums are exact and order-independent."""
-    return col(c).cast(MONEY)
+    """Money at cent precision, so sums are exact and order-independent.
+    NaN counts as NULL; infinite and huge amounts count as MONEY_MAX."""
+    x = col(c).cast("double")
+    return F.when(~F.isnan(x), F.greatest(F.least(x, F.lit(MONEY_MAX)), F.lit(-MONEY_MAX))).cast(MONEY)
 
 
 def money(sum_expr: Column) -> Column:
@@ -35,8 +40,9 @@ def round_ratio(num: Column, den: Column, digits: int = 2) -> Column:
     ``num`` must be a non-negative integer expression; NULL when den is 0.
     """
     scale = 10**digits
-    q = (num.cast("long") * (2 * scale) + den.cast("long")) / (den.cast("long") * 2)
-    return F.when(den > 0, F.floor(q).cast("double") / F.lit(float(scale)))
+    den = den.cast("long")
+    q = F.call_function("div", num.cast("long") * (2 * scale) + den, F.nullif(den, F.lit(0).cast("long")) * 2)
+    return F.when(den > 0, q.cast("double") / F.lit(float(scale)))
 
 
 def unix_seconds(c) -> Column:

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from paysignal.config import NO_RULE_LABEL, RULE_LABELS
 from paysignal.functions.columns import coalesce_false, investigation_status
@@ -43,7 +44,6 @@ ALERT_COLUMNS = (
     "risk_level",
     "investigation_status",
 )
-SEARCH_COLUMNS = ("transaction_id", "user_id", "location_city", "device_id", "merchant_category", "fraud_reason")
 
 
 def _in(col: str, values: Sequence | None) -> Column:
@@ -109,12 +109,18 @@ def reason_match(labels: Sequence[str]) -> Column:
     return coalesce_false(hit)
 
 
-def search(df: DataFrame, query: str, columns: Sequence[str] = SEARCH_COLUMNS) -> DataFrame:
-    """case-insensitive substring match over the listed columns joined by
-    a space (the literal text, not a pattern)."""
+def search(df: DataFrame, query: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """case-insensitive substring match over the whole row: all columns
+    (or the given ones) as text, arrays joined by commas, in order, separated
+    by a space; NULLs are left out (the literal text, not a pattern)."""
     if not query:
         return df
-    text = F.lower(F.concat_ws(" ", *[F.col(c).cast("string") for c in columns]))
+    types = {f.name: f.dataType for f in df.schema.fields}
+    parts = [
+        F.array_join(F.col(f"`{c}`").cast("array<string>"), ",") if isinstance(types[c], T.ArrayType) else F.col(f"`{c}`").cast("string")
+        for c in (df.columns if columns is None else columns)
+    ]
+    text = F.lower(F.concat_ws(" ", *parts))
     return df.filter(text.contains(query.lower()))
 
 

@@ -95,7 +95,7 @@ def rule_columns(profile: QualityProfile, as_of=None, ts: Column | None = None)
         "utr_not_null": F.col("utr_number").isNotNull(),
         "utr_number_not_null": F.col("utr_number").isNotNull(),
         "utr_unique": F.col("_utr_unique"),
-        "amount_positive": amount > F.lit(0),
+        "amount_positive": (~F.isnan(amount) & (amount > F.lit(0))) if profile.empty_is_null else amount > F.lit(0),
         "sender_vpa_valid": vpa("sender_vpa"),
         "receiver_vpa_valid": vpa("receiver_vpa"),
         "timestamp_not_future": ts <= _as_of(as_of),

@@ -63,13 +63,13 @@ def _cell(x: Column, bucket: int) -> Column:
 def hot_cells(df: DataFrame, key: str, bucket: int, cfg: RuleConfig, span: int = 0) -> DataFrame | None:
     """(key, cell) -> sub-slice counts of the cell and its two neighbours,
     for cells holding more than ``cfg.hot_cell_rows`` rows; None when there
-    are none, when the input is small, or when the map is too large to
-    broadcast. Narrow pre-pass: only the key and time columns are read."""
+    are none or when the input is small. Narrow pre-pass: only the key and
+    time columns are read. A map too large to broadcast is joined by shuffle."""
     if not cfg.split_hot_cells or span > bucket or estimated_bytes(df) < cfg.split_min_input_bytes:
         return None  # (slices narrower than the view span are not split further)
-    # sub-slices no narrower than the views' look-back + look-ahead (``span``),
-    # so a hot row is copied into at most two views
-    limit = min(int(cfg.max_split), SUB - 1, max(1, bucket // max(span, 1)))
+    # a sub-slice of w seconds copies a row into 1 + span / w views; narrower
+    # ones than span / 4 would copy more than they divide
+    limit = min(int(cfg.max_split), SUB - 1, max(1, 4 * bucket // max(span, 1)))
     if limit < 2:
         return None
     counts = (
@@ -88,8 +88,8 @@ def hot_cells(df: DataFrame, key: str, bucket: int, cfg: RuleConfig, span: int =
     table = spread.groupBy("_hk", "_hc").agg(
         *[F.max(F.when(F.col("_d") == d, F.col("_m"))).alias(f"_m{i}") for i, d in enumerate((-1, 0, 1))]
     )
-    table, small = bounded(table)
-    if not small or table.isEmpty():
+    table, _ = bounded(table)
+    if table.isEmpty():
         table.unpersist()
         return None
     return table

@@ -1,5 +1,5 @@
-"""Registered queries for sources, sinks, streaming, generators and
-incremental scoring. Each writes what it derives from the driver's tables
+"""Registered queries for sources, sinks, streaming and incremental
+scoring. Each writes what it derives from the driver's tables
 to a fresh folder under the session's shared checkpoint folder, runs the
 operator, and returns what it reads back."""
 
@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from paysignal.config import CONFIG_A
 from paysignal.functions.columns import inr_text
-from paysignal.operators import alerts, gold, generator, scd2
+from paysignal.operators import alerts, gold, scd2
 from paysignal.plans import incremental
 from paysignal.schema import RAW, RAW_COLUMNS
 from paysignal.session import shared_dir
@@ -35,7 +35,9 @@ def _scored(spark, sf_dir):
 
 
 def _typed_bronze(df: DataFrame) -> DataFrame:
-    return df.select(*[F.col(c) for c in RAW_COLUMNS])
+    """Bronze rows, and whether the audit columns are filled."""
+    audited = F.col("_source_file").endswith(".csv") & F.col("_ingestion_timestamp").isNotNull()
+    return df.select(*[F.col(c) for c in RAW_COLUMNS], audited.alias("audited"))
 
 
 def bronze_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,7 +50,7 @@ def bronze_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two incremental runs; the second sees new files plus
-    repeats of every first-run row (duplicates and late), which are dropped."""
+    repeats of every first-run row, which are dropped."""
     base = scratch(spark, "dedup")
     raw = tables.dirty_raw_transactions(spark, sf_dir)
     ts = F.try_to_timestamp(F.col("timestamp"))
@@ -62,6 +64,42 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _typed_bronze(spark.read.parquet(f"{base}/bronze"))
 
 
+def stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M4 M5: the newer half arrives first, then new rows that are older than
+    any watermark; in one micro-batch a run and in one per file. No row is lost
+    either way, and the run reports every row."""
+    base = scratch(spark, "late")
+    raw = tables.raw_transactions(spark, sf_dir)
+    older = F.col("timestamp") < F.lit(STREAM_SPLIT)
+    out = None
+    for name, files_each in (("one", None), ("many", 1)):
+        target = f"{base}/bronze_{name}", f"{base}/_checkpoint_{name}"
+        reported = 0
+        for run, part in (("run1", ~older), ("run2", older)):
+            raw.filter(part).repartition(3).write.option("header", True).csv(f"{base}/{name}/{run}")
+            done = bronze.run_bronze(spark, f"{base}/{name}/*", *target, max_files_per_trigger=files_each)
+            reported += done["rows"]
+        rows = _typed_bronze(spark.read.parquet(target[0])).select(
+            F.lit(name).alias("batches"), "transaction_id", "timestamp", "audited",
+            F.lit(reported).cast("long").alias("reported_rows"),
+        )
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def csv_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files whose columns are in another order, with one more, read by
+    their header names, in a batch and as a stream."""
+    base = scratch(spark, "by-name")
+    raw = tables.raw_transactions(spark, sf_dir)
+    shuffled = [RAW_COLUMNS[1], RAW_COLUMNS[0], *reversed(RAW_COLUMNS[2:])]
+    raw.select(*shuffled[:5], F.lit("more").alias("channel"), *shuffled[5:]).write.option("header", True).csv(f"{base}/in")
+    batch = files.read_csv(spark, f"{base}/in", RAW).select(F.lit("batch").alias("reader"), *RAW_COLUMNS)
+    bronze.run_bronze(spark, f"{base}/in", f"{base}/bronze", f"{base}/_checkpoint")
+    typed = spark.read.parquet(f"{base}/bronze").withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    return batch.unionByName(typed.select(F.lit("stream").alias("reader"), *RAW_COLUMNS))
+
+
 def multi_format_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same raw rows through CSV, Parquet and JSON Lines readers."""
     base = scratch(spark, "formats")
@@ -77,22 +115,30 @@ def multi_format_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
-ENVELOPE_ROWS = 10_000
+ENVELOPE_ROWS = 500
 
 
 def json_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Envelope documents of at most ENVELOPE_ROWS consecutive rows of an
-    input partition, alternating the ``data`` and ``transactions`` members,
-    read back as records (many documents, read in parallel)."""
+    """Documents of at most ENVELOPE_ROWS consecutive rows of an input
+    partition, in five shapes by turns and in one folder, read back as records
+    (many documents, read in parallel)."""
     base = scratch(spark, "envelope")
     # monotonically_increasing_id = partition id << 33 | row index: groups never straddle partitions
     doc = F.floor(F.monotonically_increasing_id() / F.lit(ENVELOPE_ROWS))
     raw = tables.raw_transactions(spark, sf_dir).withColumn("_p", doc)
     docs = raw.groupBy("_p").agg(F.collect_list(F.struct(*RAW_COLUMNS)).alias("rows"))
-    key = F.when(F.col("_p") % 2 == 0, F.lit("data")).otherwise(F.lit("transactions"))
-    text = F.concat(F.lit('{"'), key, F.lit('": '), F.to_json(F.col("rows")), F.lit("}"))
-    # one document per file: a multi-line JSON file holds exactly one document
-    docs.select("_p", text.alias("value")).write.partitionBy("_p").text(f"{base}/docs")
+    rows = F.to_json("rows")
+    columns = F.to_json(F.struct(*[F.col(f"rows.{c}").alias(c) for c in RAW_COLUMNS]))
+    shape = F.col("_p") % 5
+    text = (
+        F.when(shape == 0, F.concat(F.lit('{"data": '), rows, F.lit("}")))
+        .when(shape == 1, F.concat(F.lit('{"transactions": '), rows, F.lit("}")))
+        .when(shape == 2, rows)
+        .when(shape == 3, columns)
+        .otherwise(F.concat(F.lit('{"data": '), columns, F.lit("}")))
+    )
+    # a file holds one document
+    docs.select(text.alias("value")).write.option("maxRecordsPerFile", 1).text(f"{base}/docs")
     return files.read_table(spark, f"{base}/docs", fmt="json", schema=RAW)
 
 
@@ -203,20 +249,6 @@ def scd2_versioned_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read("customer_dim")
 
 
-def generate_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customer snapshot rows, one per row of ``customer``."""
-    return generator.customer_rows(tables.table(spark, sf_dir, "customer"))
-
-
-def generate_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw transactions (one per event + planted clusters), written as
-    CSV and read back with the declared raw schema."""
-    base = scratch(spark, "generated")
-    df = generator.transactions(tables.table(spark, sf_dir, "events"), tables.table(spark, sf_dir, "customer"))
-    generator.write_dataset(df, f"{base}/upi_transactions")
-    return files.read_csv(spark, f"{base}/upi_transactions", RAW)
-
-
 def scan_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Resolve the source (primary missing -> fallback),
     batch CSV scan with the declared raw schema, typed columns, transaction_date."""
@@ -235,6 +267,8 @@ def io_queries() -> dict:
         "scan_transactions": scan_transactions,
         "bronze_stream": bronze_stream,
         "stream_dedup": stream_dedup,
+        "stream_late": stream_late,
+        "csv_by_name": csv_by_name,
         "multi_format_read": multi_format_read,
         "json_envelope": json_envelope,
         "csv_export": csv_export,
@@ -245,6 +279,4 @@ def io_queries() -> dict:
         "inr_format": inr_format,
         "incremental_score": incremental_score,
         "scd2_versioned_write": scd2_versioned_write,
-        "generate_customers": generate_customers,
-        "generate_transactions": generate_transactions,
     }

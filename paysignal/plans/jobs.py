@@ -149,6 +149,7 @@ def main(argv=None) -> None:
     p.add_argument("--state-store", choices=["rocksdb", "memory"], default="rocksdb", help="dedup state store (bronze)")
     p.add_argument("--max-files-per-trigger", type=int, default=None, help="files per micro-batch (bronze)")
     p.add_argument("--within-watermark", action="store_true", help="bounded dedup state (bronze)")
+    p.add_argument("--drop-late", action="store_true", help="drop rows older than the watermark, and report how many (bronze)")
     p.add_argument("--rules", default=None, help='RuleConfig fields as JSON, e.g. {"velocity_limit": 200}')
     a = p.parse_args(argv)
     cfg = RuleConfig(**json.loads(a.rules)) if a.rules else RuleConfig()
@@ -159,6 +160,7 @@ def main(argv=None) -> None:
         out["bronze"] = bronze_job(
             spark, a.root, a.source, a.pattern, state_store=a.state_store,
             max_files_per_trigger=a.max_files_per_trigger, within_watermark=a.within_watermark,
+            drop_late=a.drop_late,
         )
     if a.job in ("silver", "all"):
         out["silver"] = silver_job(spark, store, as_of=a.as_of)

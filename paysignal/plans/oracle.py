@@ -53,7 +53,8 @@ def money(expr: str) -> str:
 
 
 def cents(expr: str = "amount") -> str:
-    return f"CAST({expr} AS DECIMAL(18,2))"
+    """NaN is no money; infinite and huge amounts count as 1e15."""
+    return f"CAST(CASE WHEN NOT isnan({expr}) THEN greatest(least({expr}, 1e15::DOUBLE), -1e15::DOUBLE) END AS DECIMAL(18,2))"
 
 
 def scored_ctes(cfg: RuleConfig = CONFIG_A, source: str = "tx") -> str:
@@ -120,6 +121,10 @@ MULES = """mules AS (
   FROM scored2 WHERE device_mule_check GROUP BY user_id)"""
 
 
+def _positions(sql: str, order: str) -> str:
+    return f"SELECT *, CAST(row_number() OVER (ORDER BY {order}) AS INTEGER) AS position FROM ({sql})"
+
+
 def _labels_sql() -> str:
     parts = ", ".join(f"CASE WHEN {r} THEN '{RULE_LABELS[r]}' END" for r in RULE_NAMES)
     return f"concat_ws(', ', {parts})"
@@ -129,6 +134,7 @@ def scoring_queries() -> dict[str, str]:
     m = money(f"SUM({cents()})")
     q: dict[str, str] = {}
     q["score_transactions"] = with_scored(f"SELECT {SCORED_COLUMNS} FROM scored2")
+    q["score_transactions_large"] = q["score_transactions"]
     q["rule_velocity"] = with_scored(
         "SELECT transaction_id, user_id, \"timestamp\", amount, velocity_amount_1m FROM scored2 WHERE velocity_check"
     )
@@ -164,7 +170,7 @@ FROM fraud GROUP BY transaction_date, merchant_category"""
     q["kpi_daily"] = with_scored(
         f"SELECT transaction_date, COUNT(*) AS fraud_count, {m} AS fraud_amount FROM fraud GROUP BY transaction_date"
     )
-    q["trend_date"] = q["kpi_daily"]
+    q["trend_date"] = _positions(q["kpi_daily"], "transaction_date")
     q["kpi_top_merchants"] = with_scored(
         f"SELECT merchant_category, COUNT(*) AS fraud_count, {m} AS fraud_amount FROM fraud "
         "GROUP BY merchant_category ORDER BY fraud_count DESC, merchant_category LIMIT 10"
@@ -177,7 +183,8 @@ FROM fraud GROUP BY transaction_date, merchant_category"""
     q["kpi_city"] = with_scored(
         f"SELECT location_city, COUNT(*) AS fraud_count, {m} AS fraud_amount FROM fraud GROUP BY location_city"
     )
-    q["amount_by_city"] = q["kpi_city"]
+    q["amount_by_city"] = _positions(q["kpi_city"], "fraud_amount DESC, location_city NULLS FIRST")
+    q["kpi_city"] = _positions(q["kpi_city"], "fraud_count DESC, location_city NULLS FIRST")
     q["kpi_high_risk_users"] = with_scored(
         f"""SELECT user_id, COUNT(*) AS fraud_txn_count, {m} AS fraud_amount, MAX(risk_score) AS max_risk_score
 FROM fraud GROUP BY user_id ORDER BY max_risk_score DESC, fraud_amount DESC, user_id LIMIT 10"""
@@ -231,7 +238,8 @@ dirty1 AS (
     CASE WHEN eid % 101 = 2 THEN NULL WHEN eid % 101 = 3 THEN 'DUP-' || (eid // 202) ELSE utr_number END AS utr_number,
     CASE WHEN eid % 101 = 9 THEN NULL ELSE user_id END AS user_id,
     strftime(CASE WHEN eid % 101 = 8 THEN "timestamp" + INTERVAL 10 YEAR ELSE "timestamp" END, {TS_FMT}) AS "timestamp",
-    CASE WHEN eid % 101 = 4 THEN CAST(-amount AS VARCHAR) WHEN eid % 101 = 5 THEN '2000000.0' ELSE CAST(amount AS VARCHAR) END AS amount,
+    CASE WHEN eid % 101 = 4 THEN CAST(-amount AS VARCHAR) WHEN eid % 101 = 5 THEN '2000000.0'
+      WHEN eid % 101 = 16 THEN 'NaN' WHEN eid % 101 = 17 THEN 'Infinity' WHEN eid % 101 = 18 THEN '1E20' ELSE CAST(amount AS VARCHAR) END AS amount,
     CASE WHEN eid % 101 = 6 THEN 'bad vpa' ELSE sender_vpa END AS sender_vpa,
     CASE WHEN eid % 101 = 7 THEN NULL ELSE receiver_vpa END AS receiver_vpa,
     CASE WHEN eid % 101 = 14 THEN NULL ELSE merchant_category END AS merchant_category,
@@ -282,7 +290,7 @@ def _lenient_rules(as_of: str = DIRTY_AS_OF) -> dict[str, str]:
     return {
         "transaction_id_not_null": present("transaction_id"),
         "utr_number_not_null": "utr_number IS NOT NULL",
-        "amount_positive": "amount > 0",
+        "amount_positive": "NOT isnan(amount) AND amount > 0",
         "sender_vpa_valid": f"regexp_matches(sender_vpa, '{LENIENT_VPA}')",
         "receiver_vpa_valid": f"regexp_matches(receiver_vpa, '{LENIENT_VPA}')",
         "timestamp_not_future": f"\"timestamp\" <= TIMESTAMP '{as_of}'",
@@ -385,6 +393,8 @@ FROM tx"""
         f"WITH {TX},{DIRTY},\ndirty_ts AS (SELECT * REPLACE (TRY_CAST(\"timestamp\" AS TIMESTAMP) AS \"timestamp\") FROM dirty),\n"
         f"dd AS ({_keep_first('SELECT * FROM dirty_ts')}),{dd}\nSELECT {SILVER_SELECT} FROM chk2 WHERE _is_valid"
     )
+    q["dq_flags_large"] = q["dq_flags"]
+    q["dedup_keep_first_large"] = q["dedup_keep_first"]
     q["duplicate_rows"] = f"WITH {TX},{DIRTY}\n" + (
         "SELECT CAST(COALESCE(SUM(n), 0) AS BIGINT) AS duplicate_rows FROM "
         "(SELECT transaction_id, COUNT(*) AS n FROM dirty GROUP BY transaction_id HAVING COUNT(*) > 1)"
@@ -406,9 +416,13 @@ FROM tx"""
         "(SELECT transaction_id, COUNT(*) AS n FROM std GROUP BY transaction_id HAVING COUNT(*) > 1)\n"
         f"UNION ALL SELECT 'rule_pass_rate_pct', CAST((2 * SUM(bp) + COUNT(*)) // (2 * COUNT(*)) AS DOUBLE) / 100.0 FROM ({bp})"
     )
+    states = (
+        "SELECT metric, value, CASE WHEN metric IN ('quarantine_rows', 'duplicate_rows') THEN CASE WHEN value = 0 THEN 'PASS' ELSE 'WARNING' END "
+        "WHEN metric = 'rule_pass_rate_pct' THEN CASE WHEN value = 100 THEN 'PASS' ELSE 'WARNING' END END AS state FROM ("
+    )
     q["layer_counts"] = (
         f"WITH {TX},{DIRTY},{strict},\n{silver_src},{scored_ctes(CONFIG_A, 'silver2')}\n"
-        "SELECT 'bronze_rows' AS metric, CAST(COUNT(*) AS DOUBLE) AS value FROM dirty\n"
+        f"{states}SELECT 'bronze_rows' AS metric, CAST(COUNT(*) AS DOUBLE) AS value FROM dirty\n"
         "UNION ALL SELECT 'silver_rows', CAST(COUNT(*) AS DOUBLE) FROM silver2\n"
         "UNION ALL SELECT 'quarantine_rows', CAST(COUNT(*) AS DOUBLE) FROM chk WHERE NOT _is_valid\n"
         "UNION ALL SELECT 'gold_rows', CAST(COUNT(*) AS DOUBLE) FROM fraud\n"
@@ -416,7 +430,7 @@ FROM tx"""
         "UNION ALL SELECT 'duplicate_rows', CAST(COALESCE(SUM(n), 0) AS DOUBLE) FROM "
         "(SELECT transaction_id, COUNT(*) AS n FROM dirty GROUP BY transaction_id HAVING COUNT(*) > 1)\n"
         f"UNION ALL SELECT 'rule_pass_rate_pct', COALESCE({ratio('SUM(passed_records * 100)', 'SUM(passed_records + failed_records)')}, 100.0) "
-        f"FROM ({_rule_summary('chk', STRICT_RULES)})"
+        f"FROM ({_rule_summary('chk', STRICT_RULES)}))"
     )
     return q
 
@@ -473,7 +487,7 @@ FILTER_WHERE = (
     "CAST(\"timestamp\" AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-25' "
     "AND location_city IN ('CITY0', 'CITY1', 'CITY2', 'CITY3', 'CITY4', 'CITY5') "
     "AND merchant_category IN ('click', 'purchase', 'error') "
-    "AND risk_level IN ('Medium', 'High', 'Critical') AND amount >= 5.0 AND amount <= 500.0 "
+    "AND status IN ('SUCCESS') AND risk_level IN ('Medium', 'High', 'Critical') AND amount >= 5.0 AND amount <= 500.0 "
     "AND contains(lower(user_id), '1') AND (geo_anomaly OR device_mule_check)"
 )
 ALERT_COLS = (
@@ -486,6 +500,14 @@ HIGH_RISK_COLS = (
 )
 
 
+# The whole alert row as text: the transaction, the features and the investigation status.
+SEARCHED = (
+    *RAW_ORDER.split(", "),
+    *(c for c in SCORED_COLUMNS.split(", ") if c not in RAW_ORDER.split(", ")),
+    "CASE WHEN risk_score >= 80 THEN 'Escalated' WHEN risk_score >= 40 THEN 'Review' ELSE 'New' END",
+)
+
+
 def scd2_alert_queries() -> dict[str, str]:
     head = f"WITH {SCD2}\n"
     q: dict[str, str] = {}
@@ -497,6 +519,9 @@ def scd2_alert_queries() -> dict[str, str]:
     q["scd2_noop"] = q["scd2_apply"]
     q["scd2_current"] = head + "SELECT COUNT(*) AS active_customer_count FROM dim1 WHERE is_current"
     q["filter_transactions"] = with_scored(f"SELECT {SCORED_COLUMNS} FROM scored2 WHERE {FILTER_WHERE}")
+    q["filter_regex"] = with_scored(
+        f"SELECT {SCORED_COLUMNS} FROM scored2 WHERE status = 'FAILED' AND regexp_matches(lower(user_id), '^[13]0?[2-6]$')"
+    )
     q["filtered_kpis"] = with_scored(
         f"SELECT COUNT(*) AS filtered_transactions, COUNT(*) FILTER (WHERE is_fraud) AS fraud_transactions, "
         f"COALESCE({money(f'SUM(CASE WHEN is_fraud THEN {cents()} END)')}, 0.0) AS fraud_amount, "
@@ -505,8 +530,7 @@ def scd2_alert_queries() -> dict[str, str]:
     for key, order in (("alert_queue", "risk_score"), ("alert_queue_amount", "amount"), ("alert_queue_time", '"timestamp"')):
         q[key] = with_scored(f"SELECT {ALERT_COLS} FROM fraud ORDER BY {order} DESC, transaction_id LIMIT 100")
     q["alert_search"] = with_scored(
-        f"SELECT {ALERT_COLS} FROM fraud WHERE contains(lower(concat_ws(' ', transaction_id, user_id, location_city, "
-        "device_id, merchant_category, fraud_reason)), 'city1')"
+        f"SELECT {ALERT_COLS} FROM fraud WHERE contains(lower(concat_ws(' ', {', '.join(SEARCHED)})), 'utr-77')"
     )
     q["high_risk_transactions"] = with_scored(
         f"SELECT {HIGH_RISK_COLS} FROM fraud ORDER BY risk_score DESC, \"timestamp\" DESC, transaction_id LIMIT 100"
@@ -522,7 +546,7 @@ RAW_SELECT = (
 )
 BRONZE_SELECT = (
     "transaction_id, utr_number, user_id, TRY_CAST(\"timestamp\" AS TIMESTAMP) AS \"timestamp\", amount, sender_vpa, "
-    "receiver_vpa, merchant_category, location_city, device_id, ip_address, status, NULLIF(failure_reason, '') AS failure_reason"
+    "receiver_vpa, merchant_category, location_city, device_id, ip_address, status, NULLIF(failure_reason, '') AS failure_reason, true AS audited"
 )
 
 
@@ -537,6 +561,14 @@ def io_sql() -> dict[str, str]:
         "CAST(TRY_CAST(strftime(\"timestamp\", '%Y-%m-%d %H:%M:%S.%f') AS TIMESTAMP) AS DATE) AS transaction_date FROM tx"
     )
     q["stream_dedup"] = q["bronze_stream"]
+    q["stream_late"] = f"WITH {TX}\n" + " UNION ALL ".join(
+        f"SELECT '{name}' AS batches, transaction_id, TRY_CAST(strftime(\"timestamp\", '%Y-%m-%d %H:%M:%S.%f') AS TIMESTAMP) "
+        f"AS \"timestamp\", true AS audited, (SELECT COUNT(*) FROM tx) AS reported_rows FROM tx"
+        for name in ("one", "many")
+    )
+    q["csv_by_name"] = f"WITH {TX}\n" + " UNION ALL ".join(
+        f"SELECT '{reader}' AS reader, {RAW_SELECT} FROM tx" for reader in ("batch", "stream")
+    )
     q["multi_format_read"] = f"WITH {TX}\n" + " UNION ALL ".join(
         f"SELECT '{fmt}' AS format, {RAW_SELECT} FROM tx" for fmt in ("csv", "parquet", "jsonl")
     )

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from paysignal.config import CONFIG_A, LENIENT, LENIENT_RULES, STRICT, STRICT_RULES
@@ -45,6 +45,10 @@ SCORED_COLUMNS = (
 )
 
 
+# CONFIG_A on the plan that inputs of 1 GiB and more take, with cells that count as hot here.
+LARGE = CONFIG_A.with_(split_min_input_bytes=0, hot_cell_rows=20, bucket_seconds=8 * 86400)
+
+
 def scored(spark: SparkSession, sf_dir: str, label_style: str = "names") -> DataFrame:
     return rules.score(tables.transactions(spark, sf_dir), CONFIG_A, label_style=label_style)
 
@@ -66,9 +70,17 @@ def _q(fn) -> Query:
     return run
 
 
+def ordered(df: DataFrame, *order) -> DataFrame:
+    """``position`` from 1 in the report's order (a few rows: one per group),
+    so that a comparison of the rows also proves the order."""
+    return df.withColumn("position", F.row_number().over(Window.orderBy(*order)))
+
+
 def scoring_queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
     q["score_transactions"] = lambda s, d: scored(s, d).select(*SCORED_COLUMNS)
+    # the plan of large inputs: hot (key, slice) cells found and cut
+    q["score_transactions_large"] = lambda s, d: rules.score(tables.transactions(s, d), LARGE).select(*SCORED_COLUMNS)
     q["rule_velocity"] = lambda s, d: scored(s, d).filter("velocity_check").select(
         "transaction_id", "user_id", "timestamp", "amount", "velocity_amount_1m"
     )
@@ -88,12 +100,14 @@ def scoring_queries() -> dict[str, Query]:
     q["gold_merchant_kpi"] = lambda s, d: gold.merchant_kpi(fraud(s, d))
     q["kpi_total"] = lambda s, d: kpi.total(fraud(s, d))
     q["kpi_daily"] = lambda s, d: kpi.daily(fraud(s, d))
-    q["trend_date"] = lambda s, d: kpi.daily(fraud(s, d))
+    q["trend_date"] = lambda s, d: ordered(kpi.daily(fraud(s, d)), "transaction_date")
     q["kpi_top_merchants"] = lambda s, d: kpi.top_merchants(fraud(s, d))
     q["kpi_mule_leaderboard"] = lambda s, d: kpi.mule_leaderboard(mules(s, d), 20)
     q["kpi_mule_all"] = lambda s, d: kpi.mule_leaderboard(mules(s, d), None)
-    q["kpi_city"] = lambda s, d: kpi.by_city(fraud(s, d))
-    q["amount_by_city"] = lambda s, d: kpi.amount_by_city(fraud(s, d))
+    q["kpi_city"] = lambda s, d: ordered(kpi.by_city(fraud(s, d)), F.desc("fraud_count"), "location_city")
+    q["amount_by_city"] = lambda s, d: ordered(
+        kpi.amount_by_city(fraud(s, d)), F.desc("fraud_amount"), "location_city"
+    )
     q["kpi_high_risk_users"] = lambda s, d: kpi.high_risk_users_top(fraud(s, d), 10)
     q["kpi_hour"] = lambda s, d: kpi.by_hour(fraud(s, d))
     q["kpi_merchant"] = lambda s, d: kpi.merchant_risk(fraud(s, d))
@@ -146,10 +160,26 @@ STANDARD_COLUMNS = (
 )
 
 
+def dedup_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """dedup_keep_first on the plan of large inputs, on a written Bronze table:
+    repeated ids found first, the others pass straight through."""
+    from paysignal.plans.io_queries import scratch
+
+    path = scratch(spark, "bronze-table")
+    dirty(spark, sf_dir).write.parquet(path)
+    raw = spark.read.parquet(path)
+    rows = dedup.keep_first(raw.withColumn("timestamp", quality._ts(raw)), small_input_bytes=0)
+    valid, _ = quality.split_valid_invalid(quality.add_quality_rules(rows, STRICT, AS_OF, small_input_bytes=0))
+    return valid.withColumn("status", F.upper("status")).select(*silver_plan.SILVER_COLUMNS)
+
+
 def quality_queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
     q["standardize_aliases"] = lambda s, d: standardize(aliased_raw(s, d)).select(*STANDARD_COLUMNS)
     q["dq_flags"] = lambda s, d: checked(s, d).select("transaction_id", "utr_number", *STRICT_RULES, "_is_valid")
+    q["dq_flags_large"] = lambda s, d: quality.add_quality_rules(dirty(s, d), STRICT, AS_OF, small_input_bytes=0).select(
+        "transaction_id", "utr_number", *STRICT_RULES, "_is_valid"
+    )
     q["dq_valid"] = lambda s, d: silver_plan.build(dirty(s, d), STRICT, AS_OF, dedup_first=False).silver.select(
         *silver_plan.SILVER_COLUMNS
     )
@@ -169,6 +199,7 @@ def quality_queries() -> dict[str, Query]:
     q["dedup_keep_first"] = lambda s, d: silver_plan.build(dirty(s, d), STRICT, AS_OF, dedup_first=True).silver.select(
         *silver_plan.SILVER_COLUMNS
     )
+    q["dedup_keep_first_large"] = dedup_large
     q["duplicate_rows"] = lambda s, d: dedup.duplicate_rows(dirty(s, d))
     q["utr_duplicates"] = lambda s, d: checked(s, d).filter(~F.col("utr_unique")).select("transaction_id", "utr_number")
     q["layer_counts"] = layer_counts
@@ -180,28 +211,42 @@ def quality_queries() -> dict[str, Query]:
 
 def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per layer (bronze, silver, quarantine, gold), valid rate %,
-    duplicate rows and mean rule pass rate, as (metric, value) rows."""
+    duplicate rows and mean rule pass rate, as (metric, value, state) rows.
+
+    Three jobs' worth of plan: the checked rows give all their counts in one
+    conditional aggregate, the ids theirs, and the scores of Silver the rest."""
     bronze = dirty(spark, sf_dir)
     frames = silver_plan.build(bronze, STRICT, AS_OF, dedup_first=False)
-    gold_rows = gold.fraud_transactions(rules.score(frames.silver, CONFIG_A))
-    one = lambda df, name: df.agg(F.count(F.lit(1)).cast("double").alias("value")).select(
-        F.lit(name).alias("metric"), "value"
+    scored_rows = rules.score(frames.silver, CONFIG_A).agg(
+        F.count(F.lit(1)).alias("silver_rows"), F.count_if(F.col("is_fraud")).alias("gold_rows")
+    )
+    total = F.count(F.lit(1))
+    passed = sum((F.count_if(F.col(r)) for r in STRICT_RULES[1:]), F.count_if(F.col(STRICT_RULES[0])))
+    counts = frames.checked.agg(
+        total.alias("bronze_rows"),
+        F.count_if(~F.col("_is_valid")).alias("quarantine_rows"),
+        F.coalesce(round_ratio(F.count_if(F.col("_is_valid")) * 100, total), F.lit(100.0)).alias("valid_rate_pct"),
+        F.coalesce(round_ratio(passed * 100, total * len(STRICT_RULES)), F.lit(100.0)).alias("rule_pass_rate_pct"),
     )
-    per_rule = quality.rule_summary(frames.checked, STRICT).agg(
-        F.coalesce(round_ratio(F.sum(F.col("passed_records") * 100), F.sum(F.col("passed_records") + F.col("failed_records"))), F.lit(100.0)).alias("value")
+    one_row = counts.withColumn("k", F.lit(1)).join(scored_rows.withColumn("k", F.lit(1)), "k")
+    one_row = one_row.join(dedup.duplicate_rows(bronze).withColumn("k", F.lit(1)), "k")
+    return gate_states(one_row)
+
+
+LAYER_METRICS = (
+    "bronze_rows", "silver_rows", "quarantine_rows", "gold_rows", "valid_rate_pct", "duplicate_rows", "rule_pass_rate_pct",
+)
+
+
+def gate_states(one_row: DataFrame) -> DataFrame:
+    """(metric, value, state) rows: a gate passes with no quarantined rows, no
+    duplicate rows, or all rules passed, else it warns; the others have none."""
+    stack = ", ".join(f"'{m}', CAST(`{m}` AS DOUBLE)" for m in LAYER_METRICS)
+    clean = F.when(F.col("metric") == "rule_pass_rate_pct", F.col("value") == 100).when(
+        F.col("metric").isin("quarantine_rows", "duplicate_rows"), F.col("value") == 0
     )
-    dup = dedup.duplicate_rows(bronze).select(F.lit("duplicate_rows").alias("metric"), F.col("duplicate_rows").cast("double").alias("value"))
-    valid_rate = frames.checked.agg(
-        F.coalesce(round_ratio(F.count_if(F.col("_is_valid")) * 100, F.count(F.lit(1))), F.lit(100.0)).alias("value")
-    ).select(F.lit("valid_rate_pct").alias("metric"), "value")
-    return (
-        one(bronze, "bronze_rows")
-        .unionByName(one(frames.silver, "silver_rows"))
-        .unionByName(one(frames.quarantine, "quarantine_rows"))
-        .unionByName(one(gold_rows, "gold_rows"))
-        .unionByName(valid_rate)
-        .unionByName(dup)
-        .unionByName(per_rule.select(F.lit("rule_pass_rate_pct").alias("metric"), "value"))
+    return one_row.select(F.expr(f"stack({len(LAYER_METRICS)}, {stack}) AS (metric, value)")).withColumn(
+        "state", F.when(clean, "PASS").when(~clean, "WARNING")
     )
 
 
@@ -213,14 +258,14 @@ FILTER_ARGS = dict(
     end_date="2024-01-25",
     cities=["CITY0", "CITY1", "CITY2", "CITY3", "CITY4", "CITY5"],
     merchants=["click", "purchase", "error"],
-    statuses=None,
+    statuses=["SUCCESS"],
     risk_levels=("Medium", "High", "Critical"),
     amount_min=5.0,
     amount_max=500.0,
     user_query="1",
     reasons=["Geo anomaly", "Device mule check"],
 )
-SEARCH_TEXT = "city1"
+SEARCH_TEXT = "utr-77"  # a text that only utr_number holds
 
 
 def dim0(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -252,6 +297,9 @@ def alert_queries() -> dict[str, Query]:
     q["filter_transactions"] = lambda s, d: alerts.filter_transactions(
         scored(s, d), **FILTER_ARGS
     ).select(*SCORED_COLUMNS)
+    q["filter_regex"] = lambda s, d: alerts.filter_transactions(
+        scored(s, d), statuses=["FAILED"], risk_levels=None, user_query="^[13]0?[2-6]$", user_regex=True
+    ).select(*SCORED_COLUMNS)
     q["filtered_kpis"] = lambda s, d: kpi.filtered(alerts.filter_transactions(scored(s, d), **FILTER_ARGS))
     q["alert_queue"] = lambda s, d: alerts.alert_queue(fraud(s, d), "risk_score", 100)
     q["alert_queue_amount"] = lambda s, d: alerts.alert_queue(fraud(s, d), "amount", 100)

@@ -63,6 +63,7 @@ def build(
     checked = quality.add_quality_rules(rows, profile, as_of)
     valid, invalid = quality.split_valid_invalid(checked)
     if not dedup_first:
-        valid = dedup.keep_first(valid)
+        # only the data columns go through the reduce: every valid row has the same flags
+        valid = dedup.keep_first(valid.drop(*profile.rules, *quality.DQ_COLUMNS))
     silver = valid.withColumn("status", F.upper("status"))
     return SilverFrames(checked, silver, invalid)

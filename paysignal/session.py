@@ -37,15 +37,16 @@ def get_spark(app: str = "paysignal", master: str | None = None, conf: dict | No
 def shared_dir(spark: SparkSession, sub: str) -> str:
     """A directory under the cluster's shared checkpoint folder.
 
-    Reads ``spark.checkpoint.dir`` from the session. Only when it is unset
-    (local tests) is a scratch folder created and registered for the
-    session, so lineage cuts and scratch tables never land on a machine-local
-    path on a cluster.
+    Reads ``spark.checkpoint.dir`` from the session. Only a local master may
+    leave it unset (tests): a scratch folder is then created and registered
+    for the session. On a cluster that is an error, as a machine-local path
+    would be on every executor's own disk.
     """
     sc = spark.sparkContext
     base = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not base:
-        # Unset only in local tests: take a fresh scratch folder for this session.
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="paysignal-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(base)

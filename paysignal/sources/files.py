@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,14 +17,26 @@ ENVELOPE_KEYS = ("data", "transactions")
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = RAW) -> DataFrame:
-    """S3: header CSV, declared schema (no inference pass), bad rows kept
-    as NULL fields (PERMISSIVE) so the quality rules can quarantine them."""
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
-    if schema is not None:
-        reader = reader.schema(schema)
-    else:
-        reader = reader.option("inferSchema", True)
-    return reader.csv(path)
+    """S3: header CSV, columns taken by their header names as text (no
+    inference pass), then those of ``schema`` in its order and types: missing
+    ones are NULL, values of another type NULL, further ones are left out, and
+    bad rows keep NULL fields (PERMISSIVE) so the quality rules can quarantine
+    them. Without ``schema`` all columns stay text (``standardize`` types them).
+
+    The files of a folder share one header; a file whose header differs fails
+    (``enforceSchema=false``) instead of being read under wrong names."""
+    return _conform(csv_reader(spark.read, header_of(spark, path)).csv(path), schema)
+
+
+def header_of(spark: SparkSession, path: str, **options) -> T.StructType:
+    """The header's columns, in its order, as text (reads one line)."""
+    found = spark.read.options(header=True, **options).csv(path).columns
+    return T.StructType([T.StructField(c, T.StringType()) for c in found])
+
+
+def csv_reader(reader, header: T.StructType):
+    """A batch or stream reader that holds every file to ``header``."""
+    return reader.schema(header).options(header=True, mode="PERMISSIVE", enforceSchema=False)
 
 
 def suffix(path: str) -> str:
@@ -50,25 +62,56 @@ def read_table(spark: SparkSession, path: str, fmt: str | None = None, schema: T
 
 
 def read_json_envelope(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Each file is one JSON document: a top-level array of records, or an
-    object whose ``data`` (else ``transactions``) member holds the records,
-    or a column-oriented object ``{"col": [v1, v2, ...]}``. A document is
-    parsed by one task (JSON documents are not splittable); many documents
-    are read in parallel."""
-    doc = spark.read.option("multiLine", True).json(path)
-    fields = {f.name: f.dataType for f in doc.schema.fields}
-    keys = [k for k in ENVELOPE_KEYS if k in fields and isinstance(fields[k], T.ArrayType)]
-    if keys:
-        # per document: ``data`` if present, else ``transactions``
-        members = [F.col(k) for k in keys]
-        records = doc.select(F.explode(F.coalesce(*members) if len(members) > 1 else members[0]).alias("_r"))
-        if isinstance(fields[keys[0]].elementType, T.StructType):
-            records = records.select("_r.*")
-        return _conform(records, schema)
-    if fields and all(isinstance(t, T.ArrayType) for t in fields.values()):
-        zipped = doc.select(F.explode(F.arrays_zip(*[F.col(f"`{c}`") for c in fields])).alias("_r"))
-        return _conform(zipped.select("_r.*"), schema)
-    return _conform(doc.drop("_corrupt_record") if "_corrupt_record" in fields else doc, schema)
+    """Each file is one JSON document, and its own shape decides how it is
+    read: an array of records; an object whose ``data`` (else
+    ``transactions``) member holds an array of records or an object of column
+    arrays; an object of column arrays; or one record. A folder may mix them.
+
+    Documents are read as text and parsed with explicit schemas (no inference
+    pass when ``schema`` is given): whichever parse yields values for a
+    document is its shape. A document is parsed by one task (JSON documents are
+    not splittable); many documents are read in parallel."""
+    value = F.col("value")
+    member = F.coalesce(*[F.get_json_object(value, f"$.{k}") for k in ENVELOPE_KEYS])
+    docs = spark.read.text(path, wholetext=True)
+    docs = docs.select(F.when(_starts(value, "["), value).otherwise(F.coalesce(member, value)).alias("value"))
+    schema = _field_names(docs) if schema is None else schema
+    names = [f"`{f.name}`" for f in schema.fields]
+    # Values of any type as text first, so one odd value never loses its record.
+    record = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    columns = T.StructType([T.StructField(f.name, T.ArrayType(T.StringType())) for f in schema.fields])
+
+    def parsed(text: Column, kind: T.DataType) -> Column:
+        return F.from_json(text, kind, {"mode": "PERMISSIVE"})
+
+    def zipped(x: Column) -> Column:
+        held = [F.coalesce(x[f.name], F.array()) for f in schema.fields]
+        size = F.greatest(*[F.size(h) for h in held], F.lit(0))
+        rows = F.transform(
+            F.sequence(F.lit(1), size),
+            lambda i: F.struct(*[F.try_element_at(h, i.cast("int")).alias(f.name) for h, f in zip(held, schema.fields)]),
+        )
+        return F.when(size > 0, rows)
+
+    records = F.when(_starts(value, "["), parsed(value, T.ArrayType(record))).otherwise(
+        F.coalesce(zipped(parsed(value, columns)), F.array(parsed(value, record)))
+    )
+    rows = docs.select(F.explode(records).alias("_r")).select(*[F.col(f"_r.{n}") for n in names])
+    return _conform(rows, schema)
+
+
+def _starts(text: Column, mark: str) -> Column:
+    return F.substring(F.ltrim(F.regexp_replace(text, r"^\s+", "")), 1, 1) == F.lit(mark)
+
+
+def _field_names(body: DataFrame) -> T.StructType:
+    """The member names of all records, as text columns (one pass over the documents)."""
+    value = F.col("value")
+    maps = F.when(_starts(value, "["), F.from_json(value, "array<map<string,string>>")).otherwise(
+        F.array(F.from_json(value, "map<string,string>"))
+    )
+    names = body.select(F.explode(maps).alias("m")).select(F.explode(F.map_keys("m")).alias("k")).distinct().orderBy("k")
+    return T.StructType([T.StructField(r.k, T.StringType()) for r in names.collect()])
 
 
 def _conform(df: DataFrame, schema: T.StructType | None) -> DataFrame:
@@ -77,7 +120,7 @@ def _conform(df: DataFrame, schema: T.StructType | None) -> DataFrame:
     cols = set(df.columns)
     return df.select(
         *[
-            (F.col(f"`{f.name}`").cast(f.dataType) if f.name in cols else F.lit(None).cast(f.dataType)).alias(f.name)
+            (F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in cols else F.lit(None).cast(f.dataType)).alias(f.name)
             for f in schema.fields
         ]
     )

@@ -68,13 +68,14 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dirty_raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw rows with one defect per ``event_id % 101`` residue 1..15, plus repeats.
+    """Raw rows with one defect per ``event_id % 101`` residue 1..18, plus repeats.
 
     Residues: 1 id NULL, 2 utr NULL, 3 shared utr, 4 negative amount,
     5 amount 2,000,000, 6 bad sender VPA, 7 receiver NULL, 8 timestamp ten
     years ahead, 9 user NULL, 10 status PENDING, 11 FAILED without reason,
-    12 device NULL, 13 ip ``x.y``, 14 merchant NULL, 15 city NULL. Rows with
-    ``event_id % 50 == 0`` appear twice.
+    12 device NULL, 13 ip ``x.y``, 14 merchant NULL, 15 city NULL, 16 amount
+    NaN, 17 amount Infinity, 18 amount 1E20. Rows with ``event_id % 50 == 0``
+    appear twice.
     """
     ev = table(spark, sf_dir, "events")
     base = events_to_transactions(ev, keep_event_id=True)
@@ -91,7 +92,13 @@ def dirty_raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         pick(2, null, pick(3, F.concat(F.lit("DUP-"), _s(F.expr("_eid div 202"))), F.col("utr_number"))).alias("utr_number"),
         pick(9, null, F.col("user_id")).alias("user_id"),
         pick(8, F.date_format(F.col("timestamp") + F.expr("INTERVAL 10 YEARS"), "yyyy-MM-dd HH:mm:ss.SSSSSS"), ts_text).alias("timestamp"),
-        pick(4, _s(-F.col("amount")), pick(5, F.lit("2000000.0"), amount_text)).alias("amount"),
+        F.when(r == 4, _s(-F.col("amount")))
+        .when(r == 5, "2000000.0")
+        .when(r == 16, "NaN")
+        .when(r == 17, "Infinity")
+        .when(r == 18, "1E20")
+        .otherwise(amount_text)
+        .alias("amount"),
         pick(6, F.lit("bad vpa"), F.col("sender_vpa")).alias("sender_vpa"),
         pick(7, null, F.col("receiver_vpa")).alias("receiver_vpa"),
         pick(14, null, F.col("merchant_category")).alias("merchant_category"),

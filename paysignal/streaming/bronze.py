@@ -1,7 +1,7 @@
 """Incremental Bronze ingestion with Structured Streaming.
 
-File stream (declared all-string schema; a file stream needs one) ->
-typed event time + audit columns -> watermark -> streaming dedup on the
+File stream (all text, columns by their header names) ->
+typed event time + audit columns -> streaming dedup on the
 transaction id -> append-only parquet sink, exactly-once via checkpoint,
 run with ``availableNow`` (process what is there, then stop; the next run
 picks up only new files).
@@ -16,8 +16,11 @@ growing with the number of distinct ids, so the RocksDB state store is the
 default (off-heap, on local disk, checkpointed). ``within_watermark=True`` switches to
 ``dropDuplicatesWithinWatermark``, which evicts state but accepts a repeat
 that arrives more than the watermark delay after the first copy.
-Rows whose event time is older than the watermark of an earlier batch are
-dropped as late; rows with a NULL event time are never late.
+Late rows: exact dedup needs no watermark, so by default none is set and late
+rows reach Silver, whatever files share a micro-batch. ``drop_late=True`` sets
+it: rows whose event time is older than the watermark of an earlier batch are
+then dropped, rows with a NULL event time never, and the run reports how many
+(``late_rows_dropped``); which rows that is depends on the batches.
 """
 
 from __future__ import annotations
@@ -27,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from paysignal.schema import RAW, RAW_COLUMNS
+from paysignal.sources.files import csv_reader, header_of
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 IN_MEMORY = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
@@ -40,12 +44,15 @@ def read_source_stream(
     fmt: str = "csv",
 ) -> DataFrame:
     """New files under ``root`` matching ``pattern`` as a stream."""
-    reader = spark.readStream.schema(RAW).option("pathGlobFilter", pattern)
-    if fmt == "csv":
-        reader = reader.option("header", True).option("mode", "PERMISSIVE")
+    reader = spark.readStream.option("pathGlobFilter", pattern)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    return reader.format(fmt).load(root)
+    if fmt != "csv":
+        return reader.schema(RAW).format(fmt).load(root)
+    # columns by their header names: the first file's header, to which every file is held
+    found = csv_reader(reader, header_of(spark, root, pathGlobFilter=pattern)).csv(root)
+    kept = [(F.col(f"`{c}`") if c in found.columns else F.lit(None).cast("string")).alias(c) for c in RAW_COLUMNS]
+    return found.select(*kept, F.col("_metadata.file_path").alias("_source_file"))
 
 
 def dedup_key() -> F.Column:
@@ -55,16 +62,25 @@ def dedup_key() -> F.Column:
     return F.coalesce(F.col("transaction_id"), whole)
 
 
-def prepare_bronze(df: DataFrame, watermark: str = "10 minutes", within_watermark: bool = False) -> DataFrame:
-    """P9 + M2/M3/M7: typed event time, audit columns, watermark, dedup."""
+def prepare_bronze(
+    df: DataFrame, watermark: str = "10 minutes", within_watermark: bool = False, drop_late: bool = False
+) -> DataFrame:
+    """P9 + M2/M3/M7: typed event time, audit columns, dedup, and a watermark
+    where late rows are to go (``drop_late``) or state is to end
+    (``within_watermark``)."""
     out = (
         df.withColumn("_dedup_key", dedup_key())
         .withColumn("timestamp", F.try_to_timestamp(F.col("timestamp")))
         .withColumn("_ingestion_timestamp", F.current_timestamp())
-        .withColumn("_source_file", F.col("_metadata.file_path"))
-        .withWatermark("timestamp", watermark)
     )
-    out = out.dropDuplicatesWithinWatermark(["_dedup_key"]) if within_watermark else out.dropDuplicates(["_dedup_key"])
+    if "_source_file" not in df.columns:
+        out = out.withColumn("_source_file", F.col("_metadata.file_path"))
+    if within_watermark:
+        out = out.withWatermark("timestamp", watermark).dropDuplicatesWithinWatermark(["_dedup_key"])
+    elif drop_late:
+        out = out.withWatermark("timestamp", watermark).dropDuplicates(["_dedup_key"])
+    else:
+        out = out.dropDuplicates(["_dedup_key"])
     return out.drop("_dedup_key")
 
 
@@ -86,22 +102,36 @@ def run_bronze(
     within_watermark: bool = False,
     max_files_per_trigger: int | None = None,
     state_store: str = "rocksdb",
+    drop_late: bool = False,
 ) -> dict:
-    """One incremental run; returns batches and rows of this run.
+    """One incremental run; returns batches and rows of this run, and the
+    rows that the watermark dropped as late.
 
     ``state_store="rocksdb"`` (default) keeps the dedup state on local disk
     with checkpointed changelogs instead of executor heap; the provider is
     fixed when a checkpoint is created. ``"memory"`` keeps Spark's default."""
     provider = {"rocksdb": ROCKSDB, "memory": IN_MEMORY}[state_store]
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", provider)
-    stream = read_source_stream(spark, source_root, pattern, max_files_per_trigger)
-    query = write_bronze_stream(prepare_bronze(stream, watermark, within_watermark), checkpoint, bronze_path)
-    query.awaitTermination()
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, provider)
+    try:
+        stream = read_source_stream(spark, source_root, pattern, max_files_per_trigger)
+        rows = prepare_bronze(stream, watermark, within_watermark, drop_late)
+        query = write_bronze_stream(rows, checkpoint, bronze_path)
+    finally:
+        spark.conf.set(name, before) if before is not None else spark.conf.unset(name)
+    # Spark keeps the latest hundred reports only: gather them while the query runs
+    reports: dict[int, dict] = {}
+    ended = False
+    while not ended:
+        ended = query.awaitTermination(1)
+        reports.update({p["batchId"]: p for p in query.recentProgress})
     if query.exception() is not None:
         raise query.exception()
-    progress = query.recentProgress or []
+    done = [reports[k] for k in sorted(reports)]
     return {
-        "batches": len(progress),
-        "last_batch_id": progress[-1]["batchId"] if progress else None,
-        "rows": sum(p.get("numInputRows", 0) for p in progress),
+        "batches": len(done),
+        "last_batch_id": done[-1]["batchId"] if done else None,
+        "rows": sum(p["numInputRows"] for p in done),
+        "late_rows_dropped": sum(o["numRowsDroppedByWatermark"] for p in done for o in p["stateOperators"]),
     }

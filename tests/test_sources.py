@@ -44,21 +44,47 @@ def test_missing_column_report(spark):
     assert standardize.missing_required_columns(df) == ["amount"]
 
 
-@pytest.mark.parametrize("shape", ["array", "data", "transactions", "columns"])
-def test_json_envelopes(spark, tmp_dir, shape):
+@pytest.mark.parametrize("schema", [RAW, None])
+@pytest.mark.parametrize("shape", ["array", "data", "transactions", "columns", "nested columns", "record"])
+def test_json_envelopes(spark, tmp_dir, shape, schema):
     recs = [{"transaction_id": f"T{i}", "amount": str(i)} for i in range(3)]
     doc = {
         "array": recs,
         "data": {"data": recs},
         "transactions": {"transactions": recs},
         "columns": {"transaction_id": [r["transaction_id"] for r in recs], "amount": [r["amount"] for r in recs]},
+        "nested columns": {"data": {"transaction_id": [r["transaction_id"] for r in recs], "amount": [0, 1, 2]}},
+        "record": recs[2],
     }[shape]
     path = local(f"{tmp_dir}/{shape}.json")
     os.makedirs(os.path.dirname(path), exist_ok=True)
     with open(path, "w") as fh:
         json.dump(doc, fh, indent=2)
-    got = files.read_table(spark, path, schema=RAW)
-    assert sorted(r.transaction_id for r in got.collect()) == ["T0", "T1", "T2"]
+    got = {r.transaction_id: r.amount for r in files.read_table(spark, path, schema=schema).collect()}
+    assert got == ({"T2": "2"} if shape == "record" else {"T0": "0", "T1": "1", "T2": "2"})
+
+
+def test_json_documents_of_several_shapes_in_one_folder(spark, tmp_dir):
+    base = local(f"{tmp_dir}/docs")
+    os.makedirs(base)
+    for i, doc in enumerate([[{"transaction_id": "A"}], {"data": [{"transaction_id": "B"}]}, {"transaction_id": ["C", "D"]}]):
+        with open(f"{base}/{i}.json", "w") as fh:
+            json.dump(doc, fh)
+    for schema in (RAW, None):
+        got = files.read_table(spark, f"{tmp_dir}/docs", fmt="json", schema=schema)
+        assert sorted(r.transaction_id for r in got.collect()) == ["A", "B", "C", "D"]
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_dir):
+    from pyspark.sql import types as T
+
+    with open(local(f"{tmp_dir}.csv"), "w") as fh:
+        fh.write("utr_number,extra,transaction_id,amount\nU1,x,00123,1.5\nU2,y,T2,oops\n")
+    got = {r.transaction_id: r for r in files.read_csv(spark, f"{tmp_dir}.csv", RAW).collect()}
+    assert got["00123"].utr_number == "U1" and got["T2"].user_id is None and "extra" not in got["T2"].asDict()
+    typed = T.StructType([T.StructField("amount", T.DoubleType()), T.StructField("transaction_id", T.StringType())])
+    assert [tuple(r) for r in files.read_csv(spark, f"{tmp_dir}.csv", typed).collect()] == [(1.5, "00123"), (None, "T2")]
+    assert files.read_csv(spark, f"{tmp_dir}.csv", None).columns == ["utr_number", "extra", "transaction_id", "amount"]
 
 
 def test_csv_export_header_and_lines(spark, tmp_dir):
