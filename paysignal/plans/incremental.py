@@ -7,7 +7,8 @@ with timestamp in [start - max_lookback, end + 1 day + lookahead), scores
 them, and keeps the rows dated inside the range. The timestamp bounds are
 plain filters, pushed into the parquet scan (and pruned by partition when
 Silver is partitioned by date); the result replaces just those date
-partitions of the scored table (dynamic partition overwrite).
+partitions in a new version of the scored table, which carries all others
+over. A date of the range without rows any more has no partition any more.
 """
 
 from __future__ import annotations
@@ -49,8 +50,9 @@ def rescore_range(silver: DataFrame, start, end, cfg: RuleConfig | None = None)
 
 
 def rescore_into(store: TableStore, silver: DataFrame, scored_name: str, start, end, cfg: RuleConfig | None = None) -> int:
-    """Recompute the date range and overwrite only its partitions."""
+    """Recompute the date range; the next version has its partitions anew."""
     out = rescore_range(silver, start, end, cfg)
     if store.exists(scored_name):  # same columns, same order as the stored table
         out = out.select(*store.read(scored_name).columns)
-    return store.overwrite_partitions(scored_name, out, ["transaction_date"])
+    first, last = str(_day(start)), str(_day(end))
+    return store.replace_partitions(scored_name, out, "transaction_date", lambda day: first <= day <= last)

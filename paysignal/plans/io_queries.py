@@ -189,6 +189,53 @@ def clustered_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read("mule_accounts")
 
 
+MONEY = "CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE)"
+# Both KPI collections on the catalog's Gold tables (E3): kpi -> (order, SELECT of name, n, amount, risk).
+KPI_SQL = {
+    "total": ("name", f"SELECT 'all' AS name, COUNT(*) AS n, {MONEY} AS amount, MAX(risk_score) AS risk FROM {{db}}.fraud_transactions"),
+    "daily": ("name", f"SELECT CAST(transaction_date AS STRING) AS name, COUNT(*) AS n, {MONEY} AS amount, MAX(risk_score) AS risk "
+              "FROM {db}.fraud_transactions GROUP BY transaction_date"),
+    "merchants": ("n DESC, amount DESC, name", f"SELECT merchant_category AS name, COUNT(*) AS n, {MONEY} AS amount, MAX(risk_score) AS risk "
+                  "FROM {db}.fraud_transactions GROUP BY merchant_category"),
+    "cities": ("n DESC, amount DESC, name", f"SELECT location_city AS name, COUNT(*) AS n, {MONEY} AS amount, MAX(risk_score) AS risk "
+               "FROM {db}.fraud_transactions GROUP BY location_city"),
+    "hours": ("name", f"SELECT lpad(CAST(HOUR(timestamp) AS STRING), 2, '0') AS name, COUNT(*) AS n, {MONEY} AS amount, "
+              "MAX(risk_score) AS risk FROM {db}.fraud_transactions GROUP BY HOUR(timestamp)"),
+    "users": ("risk DESC, amount DESC, name", f"SELECT user_id AS name, COUNT(*) AS n, {MONEY} AS amount, MAX(risk_score) AS risk "
+              "FROM {db}.fraud_transactions GROUP BY user_id"),
+    "mules": ("n DESC, risk DESC, name", "SELECT user_id AS name, flagged_transaction_count AS n, CAST(NULL AS DOUBLE) AS amount, "
+              "max_risk_score AS risk FROM {db}.mule_accounts"),
+}
+KPI_FIRST = {"users": 10, "mules": 20, "merchants": 10}  # how many rows the report shows
+
+
+def kpi_statement(db: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{kpi}' AS kpi, position, name, n, amount, risk FROM (SELECT *, CAST(row_number() OVER (ORDER BY {order}) AS INT) "
+        f"AS position FROM ({text.format(db=db)})) WHERE position <= {KPI_FIRST.get(kpi, 1_000_000)}"
+        for kpi, (order, text) in KPI_SQL.items()
+    )
+
+
+def catalog_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold tables registered, both KPI collections run on them by SQL,
+    each with the position in its order; the database goes afterwards."""
+    base = scratch(spark, "kpis")
+    store = storage.TableStore(spark, base)
+    scored = _scored(spark, sf_dir).drop("fraud_reasons")
+    store.write("scored", scored, partition_by=["transaction_date"])
+    store.write("fraud_transactions", gold.fraud_transactions(store.read("scored")), partition_by=["transaction_date"])
+    store.write("mule_accounts", gold.mule_accounts(store.read("scored")), cluster_by=["user_id"])
+    db = f"kpi_{uuid.uuid4().hex[:8]}"
+    try:
+        for name in ("fraud_transactions", "mule_accounts"):
+            store.register(name, db)
+        spark.sql(kpi_statement(db)).write.parquet(f"{base}/result")
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS `{db}` CASCADE")
+    return spark.read.parquet(f"{base}/result")
+
+
 # SQL KPI text run through the catalog (E3); amounts summed at cent precision.
 CATALOG_KPI = """
 SELECT merchant_category, COUNT(*) AS fraud_count,
@@ -206,8 +253,13 @@ def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     store.write("fraud_transactions", gold.fraud_transactions(_scored(spark, sf_dir)).drop("fraud_reasons"),
                 partition_by=["transaction_date"])
     db = f"gold_{uuid.uuid4().hex[:8]}"
-    store.register("fraud_transactions", db)
-    return spark.sql(CATALOG_KPI.format(db=db))
+    out = f"{store.root}/result"
+    try:
+        store.register("fraud_transactions", db)
+        spark.sql(CATALOG_KPI.format(db=db)).write.parquet(out)
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS `{db}` CASCADE")
+    return spark.read.parquet(out)
 
 
 def precomputed_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -234,6 +286,20 @@ def incremental_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(*SCORED_OUT)
 
 
+CLEARED_DAY, CLEARED_RANGE = "2024-01-15", ("2024-01-14", "2024-01-17")
+
+
+def rescore_cleared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incremental rescoring after a day's rows left Silver: the stored scores
+    equal a full recompute of the rest, and the day has no partition any more."""
+    store = storage.TableStore(spark, scratch(spark, "rescore"))
+    silver = tables.transactions(spark, sf_dir)
+    store.write("scored", _scored(spark, sf_dir).select(*SCORED_OUT), partition_by=["transaction_date"])
+    left = silver.filter(F.to_date("timestamp") != F.lit(CLEARED_DAY).cast("date"))
+    incremental.rescore_into(store, left, "scored", *CLEARED_RANGE, CONFIG_A)
+    return store.read("scored").select(*SCORED_OUT)
+
+
 def scd2_versioned_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Version 1 = initial load, version 2 = one SCD2 step, then a
     no-op step that must not write; returns the current version."""
@@ -275,6 +341,8 @@ def io_queries() -> dict:
         "partitioned_write": partitioned_write,
         "clustered_write": clustered_write,
         "catalog_tables": catalog_tables,
+        "catalog_kpis": catalog_kpis,
+        "rescore_cleared": rescore_cleared,
         "precomputed_gold": precomputed_gold,
         "inr_format": inr_format,
         "incremental_score": incremental_score,

@@ -19,7 +19,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paysignal.config import STRICT, QualityProfile, RuleConfig
+from paysignal.config import LENIENT, STRICT, QualityProfile, RuleConfig
 from paysignal.operators import dedup, gold, quality, rules, scd2
 from paysignal.operators import keys
 from paysignal.operators.keys import estimated_bytes
@@ -32,6 +32,7 @@ from paysignal.streaming import bronze as bronze_stream
 
 # Table names of the layers.
 BRONZE, CHECKED, SILVER, SCORED = "bronze_transactions", "silver_checked", "silver_transactions", "fraud_scored_transactions"
+QUARANTINE = "quarantine_transactions"
 FRAUD, MULES, MERCHANT_KPI, DIM = "fraud_transactions", "mule_accounts", "daily_merchant_fraud_kpi", "customer_device_scd2"
 
 
@@ -39,6 +40,9 @@ def bronze_job(spark: SparkSession, root: str, source_root: str, pattern: str =
     """Incremental file ingestion into the Bronze table (streaming, run once)."""
     path = f"{root.rstrip('/')}/{BRONZE}"
     progress = bronze_stream.run_bronze(spark, source_root, path, f"{root.rstrip('/')}/_checkpoints/{BRONZE}", pattern, **kw)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS bronze LOCATION '{root.rstrip('/')}/_catalog/bronze.db'")
+    spark.sql(f"DROP TABLE IF EXISTS bronze.`{BRONZE}`")
+    spark.sql(f"CREATE TABLE bronze.`{BRONZE}` USING parquet LOCATION '{path}'")
     return {"bronze_path": path, **progress}
 
 
@@ -48,29 +52,34 @@ def silver_job(
     bronze: DataFrame | None = None,
     as_of=None,
     profile: QualityProfile = STRICT,
-    dedup_first: bool = True,
-    partition_by: tuple[str, ...] = ("status",),
+    dedup_first: bool | None = None,
 ) -> dict:
-    """E2 (steps 1-2): validate, quarantine, deduplicate, write Silver.
+    """E2 (steps 1-2): validate, quarantine, write Silver.
 
-    ``bronze`` defaults to the Bronze parquet written by ``bronze_job``.
-    With ``dedup_first`` (Bronze already deduplicated by the stream) the rows
-    are validated as they are; otherwise valid rows are deduplicated after
-    validation, so every copy of a repeated row is quarantined."""
+    ``bronze`` defaults to the Bronze parquet written by ``bronze_job``, which
+    the stream has deduplicated: its rows are validated as they are. Other
+    sources are deduplicated before (``dedup_first=True``) or after validation
+    (``False``: every copy of a repeated row is quarantined).
+
+    The checked rows are written once, by validity and date: the valid
+    partition is Silver (``read_silver``), the other the quarantine. Only
+    deduplication after validation needs a Silver table of its own. Every row
+    keeps its source file, and ``_ingestion_timestamp`` is the time of this run."""
     if bronze is None:
         bronze = spark.read.parquet(f"{store.root}/{BRONZE}")
     size_shuffles(spark, estimated_bytes(bronze))
-    rows = bronze.drop("_ingestion_timestamp", "_source_file")
+    rows = bronze.withColumn("_ingestion_timestamp", F.current_timestamp())
     if dedup_first:
         rows = dedup.keep_first(rows.withColumn("timestamp", quality._ts(rows)))
     checked = quality.add_quality_rules(rows, profile, as_of).withColumn("status", F.upper("status"))
-    store.write(CHECKED, checked, partition_by=["_is_valid"])
+    checked = checked.withColumn("transaction_date", F.to_date("timestamp"))
+    version = store.write(CHECKED, checked, partition_by=["_is_valid", "transaction_date"])
     stored = read_checked(store)
-    valid = stored.filter(F.col("_is_valid"))
-    if not dedup_first:
-        valid = dedup.keep_first(valid)
-    store.write(SILVER, valid.drop("_is_valid"), partition_by=list(partition_by))
+    if dedup_first is False:
+        valid = stored.filter(F.col("_is_valid")).drop(*profile.rules, *quality.DQ_COLUMNS)
+        store.write(SILVER, dedup.keep_first(valid), partition_by=["transaction_date"], version=version)
     keys.release()
+    register_silver(store)
     s = quality.summarize(stored).first()
     return {"total_rows": s.total_rows, "valid_rows": s.valid_rows, "invalid_rows": s.invalid_rows}
 
@@ -80,6 +89,36 @@ def read_checked(store: TableStore) -> DataFrame:
     return store.read(CHECKED).withColumn("_is_valid", F.col("_is_valid").cast("boolean"))
 
 
+def read_silver(store: TableStore) -> DataFrame:
+    """Silver rows, without the rule columns: the valid partition of the checked
+    rows, or the table that belongs to that version."""
+    if store.exists(SILVER) and store.current_version(SILVER) == store.current_version(CHECKED):
+        return store.read(SILVER)
+    stored = read_checked(store)
+    return stored.filter(F.col("_is_valid")).drop(*STRICT.rules, *LENIENT.rules, *quality.DQ_COLUMNS)
+
+
+def register_silver(store: TableStore, database: str = "silver") -> list[str]:
+    """The checked rows as a catalog table, Silver and the quarantine as views of it
+    (Silver as a table where it has one of its own)."""
+    spark = store.spark
+    store.register(CHECKED, database)
+    flags = ", ".join(sorted({*STRICT.rules, *LENIENT.rules, *quality.DQ_COLUMNS} & set(read_checked(store).columns)))
+    if store.exists(SILVER) and store.current_version(SILVER) == store.current_version(CHECKED):
+        store.register(SILVER, database, f"{SILVER}_table")
+        spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{SILVER}` AS SELECT * FROM `{database}`.`{SILVER}_table`")
+    else:
+        spark.sql(
+            f"CREATE OR REPLACE VIEW `{database}`.`{SILVER}` AS SELECT * EXCEPT ({flags}) FROM `{database}`.`{CHECKED}` "
+            "WHERE CAST(_is_valid AS BOOLEAN)"
+        )
+    spark.sql(
+        f"CREATE OR REPLACE VIEW `{database}`.`{QUARANTINE}` AS SELECT * FROM `{database}`.`{CHECKED}` "
+        "WHERE NOT CAST(_is_valid AS BOOLEAN)"
+    )
+    return [f"{database}.{x}" for x in (CHECKED, SILVER, QUARANTINE)]
+
+
 def quarantine(store: TableStore) -> DataFrame:
     """The quarantine table: the ``_is_valid=false`` partition of the checked rows."""
     return read_checked(store).filter(~F.col("_is_valid"))
@@ -87,18 +126,20 @@ def quarantine(store: TableStore) -> DataFrame:
 
 def score_job(store: TableStore, cfg: RuleConfig | None = None) -> dict:
     """E2 (step 3): score Silver, write partitioned by transaction_date."""
-    silver = store.read(SILVER)
+    silver = read_silver(store)
     size_shuffles(silver.sparkSession, estimated_bytes(silver))
     scored = rules.score(silver, cfg or RuleConfig())
     version = store.write(SCORED, scored, partition_by=["transaction_date"])
     keys.release()
+    store.register(SCORED, "gold")
     return {"scored_version": version}
 
 
 def rescore_job(store: TableStore, start, end, cfg: RuleConfig | None = None) -> dict:
     """Incremental: recompute only [start, end] dates of the scored table."""
-    version = incremental.rescore_into(store, store.read(SILVER), SCORED, start, end, cfg)
+    version = incremental.rescore_into(store, read_silver(store), SCORED, start, end, cfg)
     keys.release()
+    store.register(SCORED, "gold")
     return {"scored_version": version, "start": str(start), "end": str(end)}
 
 
@@ -110,7 +151,10 @@ def gold_job(spark: SparkSession, store: TableStore, computed_at=None, database:
     store.write(FRAUD, fraud, partition_by=["transaction_date"], cluster_by=["transaction_date", "user_id"])
     store.write(MULES, gold.mule_accounts(scored), cluster_by=["user_id"])
     kpi_at = F.current_timestamp() if computed_at is None else computed_at
-    store.write(MERCHANT_KPI, gold.merchant_kpi(store.read(FRAUD), kpi_at), partition_by=["transaction_date"])
+    store.write(
+        MERCHANT_KPI, gold.merchant_kpi(store.read(FRAUD), kpi_at),
+        partition_by=["transaction_date"], cluster_by=["transaction_date", "merchant_category"],
+    )
     return {name: store.register(name, database) for name in (FRAUD, MULES, MERCHANT_KPI)}
 
 

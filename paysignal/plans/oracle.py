@@ -550,6 +550,29 @@ BRONZE_SELECT = (
 )
 
 
+def _catalog_kpis() -> str:
+    m = money(f"SUM({cents()})")
+    top = "MAX(risk_score) AS risk FROM fraud"
+    each = f"COUNT(*) AS n, {m} AS amount, {top}"
+    parts = {
+        "total": (f"SELECT 'all' AS name, {each}", "name", None),
+        "daily": (f"SELECT CAST(transaction_date AS VARCHAR) AS name, {each} GROUP BY transaction_date", "name", None),
+        "merchants": (f"SELECT merchant_category AS name, {each} GROUP BY merchant_category", "n DESC, amount DESC, name", 10),
+        "cities": (f"SELECT location_city AS name, {each} GROUP BY location_city", "n DESC, amount DESC, name NULLS FIRST", None),
+        "hours": (f"SELECT lpad(CAST(hour(\"timestamp\") AS VARCHAR), 2, '0') AS name, {each} GROUP BY 1", "name", None),
+        "users": (f"SELECT user_id AS name, {each} GROUP BY user_id", "risk DESC, amount DESC, name", 10),
+        "mules": (
+            "SELECT user_id AS name, flagged_transaction_count AS n, CAST(NULL AS DOUBLE) AS amount, max_risk_score AS risk FROM mules",
+            "n DESC, risk DESC, name", 20,
+        ),
+    }
+    return " UNION ALL ".join(
+        f"SELECT '{kpi}' AS kpi, CAST(position AS INTEGER) AS position, name, n, amount, risk FROM "
+        f"(SELECT *, row_number() OVER (ORDER BY {order}) AS position FROM ({text}))" + (f" WHERE position <= {n}" if n else "")
+        for kpi, (text, order, n) in parts.items()
+    )
+
+
 def io_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["bronze_stream"] = f"WITH {TX},{DIRTY}\nSELECT DISTINCT {BRONZE_SELECT} FROM dirty"
@@ -578,6 +601,11 @@ def io_sql() -> dict[str, str]:
     q["precomputed_gold"] = q["partitioned_write"]
     q["clustered_write"] = with_scored("SELECT * FROM mules").replace("fraud AS (", MULES + ",\nfraud AS (", 1)
     q["catalog_tables"] = scoring_queries()["kpi_top_merchants"]
+    q["catalog_kpis"] = with_scored(_catalog_kpis()).replace("fraud AS (", MULES + ",\nfraud AS (", 1)
+    q["rescore_cleared"] = (
+        f"WITH {TX},\nleft_ AS (SELECT * FROM tx WHERE CAST(\"timestamp\" AS DATE) <> DATE '2024-01-15'),"
+        f"{scored_ctes(CONFIG_A, 'left_')}\nSELECT {SCORED_COLUMNS} FROM scored2"
+    )
     q["incremental_score"] = with_scored(
         f"SELECT {SCORED_COLUMNS} FROM scored2 WHERE transaction_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'"
     )

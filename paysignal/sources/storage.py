@@ -11,12 +11,15 @@ file system (the root is typically under the cluster's shared folder).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 VERSION_PREFIX = "v="
+# A version that carries partitions of earlier ones over lists all its partition
+# folders in this file, relative to the table's folder.
+MANIFEST = "_manifest"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -37,6 +40,25 @@ def list_dir(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p)]
 
 
+def read_lines(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return [x for x in text.split("\n") if x]
+
+
+def write_lines(spark: SparkSession, path: str, lines: Sequence[str]) -> None:
+    fs, p = _fs(spark, path)
+    stream = fs.create(p, False)
+    try:
+        stream.write(bytearray("".join(f"{x}\n" for x in lines).encode()))
+    finally:
+        stream.close()
+
+
 def clustered(df: DataFrame, cluster_by: Sequence[str], partitions: int | None = None) -> DataFrame:
     """Range-partition and sort by the clustering columns so parquet
     row-group min/max statistics let later filters skip data."""
@@ -76,7 +98,20 @@ class TableStore:
         return f"{self.table_path(name)}/{VERSION_PREFIX}{version:08d}"
 
     def read(self, name: str, version: int | None = None) -> DataFrame:
-        return self.spark.read.parquet(self.path(name, version))
+        path = self.path(name, version)
+        if not path_exists(self.spark, f"{path}/{MANIFEST}"):
+            return self.spark.read.parquet(path)
+        column = VERSION_PREFIX.rstrip("=")
+        folders = [f"{self.table_path(name)}/{x}" for x in read_lines(self.spark, f"{path}/{MANIFEST}")]
+        return self.spark.read.option("basePath", self.table_path(name)).parquet(*folders).drop(column)
+
+    def partitions(self, name: str, version: int | None = None) -> list[str]:
+        """Partition folders of a version, relative to the table's folder."""
+        path = self.path(name, version)
+        if path_exists(self.spark, f"{path}/{MANIFEST}"):
+            return read_lines(self.spark, f"{path}/{MANIFEST}")
+        own = path.rsplit("/", 1)[-1]
+        return [f"{own}/{x}" for x in list_dir(self.spark, path) if "=" in x]
 
     def write(
         self,
@@ -84,32 +119,51 @@ class TableStore:
         df: DataFrame,
         partition_by: Sequence[str] = (),
         cluster_by: Sequence[str] | None = None,
+        version: int | None = None,
     ) -> int:
-        """Write ``df`` as the next version (S10, S11, S12 snapshot swap, S16)."""
-        version = (self.current_version(name) or 0) + 1
+        """Write ``df`` as the next version, or a given later one (S10, S11, S12
+        snapshot swap, S16)."""
+        version = max(version or 0, (self.current_version(name) or 0) + 1)
         existing = list_dir(self.spark, self.table_path(name))
         while f"{VERSION_PREFIX}{version:08d}" in existing:  # an uncommitted attempt: skip it
             version += 1
         if cluster_by:
             df = clustered(df, cluster_by)
+        elif partition_by:  # a partition's rows in few files; AQE splits the large partitions
+            df = df.hint("rebalance", *partition_by)
         writer = df.write.mode("errorifexists")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(f"{self.table_path(name)}/{VERSION_PREFIX}{version:08d}")
         return version
 
-    def overwrite_partitions(self, name: str, df: DataFrame, partition_by: Sequence[str]) -> int:
-        """Replace only the partitions present in ``df`` in the current
-        version (dynamic partition overwrite, for incremental reruns)."""
+    def replace_partitions(self, name: str, df: DataFrame, partition_by: str, replaced: Callable[[str], bool]) -> int:
+        """The next version: ``df`` instead of the partitions whose value is
+        ``replaced`` (those without new rows go), all others carried over by
+        reference. Readers see the old version until the new one's manifest and
+        marker are in place."""
         if not self.exists(name):
-            return self.write(name, df, partition_by)
+            return self.write(name, df, [partition_by])
+        carried = [x for x in self.partitions(name) if not replaced(x.rsplit("=", 1)[-1])]
+        version = self.current_version(name) + 1
+        existing = list_dir(self.spark, self.table_path(name))
+        while f"{VERSION_PREFIX}{version:08d}" in existing:  # an uncommitted attempt: skip it
+            version += 1
+        own = f"{VERSION_PREFIX}{version:08d}"
+        path = f"{self.table_path(name)}/{own}"
         (
-            df.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*partition_by)
-            .parquet(self.path(name))
+            df.hint("rebalance", partition_by)
+            .write.mode("errorifexists")
+            .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")  # not committed yet
+            .partitionBy(partition_by)
+            .parquet(path)
         )
-        return self.current_version(name)
+        new = [f"{own}/{x}" for x in list_dir(self.spark, path) if "=" in x]
+        if not carried and not new:
+            raise ValueError(f"table {name!r} would hold no partition")
+        write_lines(self.spark, f"{path}/{MANIFEST}", sorted(carried + new))
+        write_lines(self.spark, f"{path}/_SUCCESS", [])
+        return version
 
     def register(self, name: str, database: str, table: str | None = None) -> str:
         """Database + external table at the current version's path."""
@@ -119,6 +173,15 @@ class TableStore:
         location = self.path(name)
         if self.spark.catalog.tableExists(f"{database}.{table}"):
             self.spark.sql(f"DROP TABLE {qualified}")
+        if path_exists(self.spark, f"{location}/{MANIFEST}"):
+            folders = self.partitions(name)
+            column = folders[0].rsplit("/", 1)[-1].split("=", 1)[0]
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.read(name).schema.fields)
+            self.spark.sql(f"CREATE TABLE {qualified} ({columns}) USING parquet PARTITIONED BY (`{column}`) LOCATION '{location}'")
+            for x in folders:
+                value = x.rsplit("=", 1)[-1]
+                self.spark.sql(f"ALTER TABLE {qualified} ADD PARTITION (`{column}`='{value}') LOCATION '{self.table_path(name)}/{x}'")
+            return f"{database}.{table}"
         self.spark.sql(f"CREATE TABLE {qualified} USING parquet LOCATION '{location}'")
         if any(c.isPartition for c in self.spark.catalog.listColumns(f"{database}.{table}")):
             self.spark.sql(f"ALTER TABLE {qualified} RECOVER PARTITIONS")

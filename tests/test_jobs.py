@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from paysignal.config import RuleConfig
 from paysignal.operators import generator
-from paysignal.plans import jobs
+from paysignal.plans import incremental, jobs
 from paysignal.sources import tables
 from paysignal.sources.storage import TableStore
 
@@ -21,6 +21,14 @@ def test_bronze_to_gold_on_fixture(spark, tmp_dir):
     s = jobs.silver_job(spark, store, as_of="2026-09-01 00:00:00")
     assert s == {"total_rows": 4980, "valid_rows": 4980, "invalid_rows": 0}, (b, s)
     assert jobs.quarantine(store).count() == 0
+    silver = jobs.read_silver(store)
+    assert silver.count() == 4980 and silver.filter("_source_file IS NULL OR _ingestion_timestamp IS NULL").isEmpty()
+    assert not {"utr_unique", "_dq_failures"} & set(silver.columns)
+    assert spark.sql(f"SELECT COUNT(*) FROM silver.{jobs.SILVER}").first()[0] == 4980
+    assert spark.sql(f"SELECT COUNT(*) FROM silver.{jobs.QUARANTINE}").first()[0] == 0
+    # a date range reads Silver's own partitions only
+    plan = incremental.rescore_range(silver, "2026-08-30", "2026-08-30", RuleConfig())._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "transaction_date" in plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
     jobs.score_job(store)
     out = jobs.gold_job(spark, store, computed_at=F.lit("2026-09-01 00:00:00").cast("timestamp"), database="gold_test")
     assert spark.sql(f"SELECT COUNT(*) FROM {out[jobs.FRAUD]}").first()[0] == 11

@@ -104,8 +104,15 @@ def test_partitioned_clustered_and_catalog(spark, tmp_dir):
     assert spark.sql(f"SELECT COUNT(*) AS n FROM {name}").first().n == t.count()
     one_day = t.select("transaction_date").first().transaction_date
     part = t.filter(F.col("transaction_date") == one_day)
-    store.overwrite_partitions("tx", part.limit(1), ["transaction_date"])
-    assert store.read("tx").filter(F.col("transaction_date") == one_day).count() == 1
+    rest, day = t.count() - part.count(), str(one_day)
+    store.replace_partitions("tx", part.limit(1), "transaction_date", lambda x: x == day)
+    assert store.read("tx").filter(F.col("transaction_date") == one_day).count() == 1 and store.read("tx").count() == rest + 1
+    # a day without rows any more goes; the version before stays as it was
+    store.replace_partitions("tx", part.limit(0), "transaction_date", lambda x: x == day)
+    assert store.read("tx").count() == rest and store.read("tx", 2).count() == rest + 1 and store.current_version("tx") == 3
+    assert store.read("tx").schema.fieldNames() == store.read("tx", 1).schema.fieldNames()
+    name = store.register("tx", "test_gold")
+    assert spark.sql(f"SELECT COUNT(*) AS n FROM {name}").first().n == rest
 
 
 def test_resolve_source(spark, tmp_dir):
