@@ -11,16 +11,17 @@ linked need no comparison with each other: a node whose members share one
 component is finished, and a node is small if at most ``SMALL`` members are
 outside its largest component. Small nodes are compared exhaustively, the
 members outside with all members. A larger node compares its members with its
-smallest, and then branches: it chooses one further coordinate, and every
-fourth node a second, so that on average 1/0.8 children await a pair at the
-threshold. A large group of copies thus ends after a star of comparisons and
+smallest, and then branches twice, each time by three further coordinates it
+chooses: a pair at the threshold stays together in one child with a
+probability of 0.8 ** 3, so about one child awaits it. A large group of copies thus ends after a star of comparisons and
 some for each stranger in its node, instead of all pairs. After ``DEPTH``
 levels the nodes that are left are compared exhaustively.
 
 Candidates must have sizes and 2-bit sketches that similar sets have (a pair at
 the threshold fails the sketch with a probability of about 1e-7); every link is
 confirmed on the full shingle sets. A document first has its best candidate
-confirmed, and pairs that this connects are not computed again.
+confirmed, and pairs that this connects are not computed again. Texts travel to
+pairs by blocks of a component, not pair by pair.
 
 Defined cases: null or wordless texts have an empty set and are linked with
 nothing; shorter texts than a shingle are one shingle, the whole sequence;
@@ -46,13 +47,19 @@ from paysignal.llm.scratch import Scratch
 from paysignal.llm.words import hash_words, mix64
 
 COORDINATES = 64
-TREES = 16
-SMALL = 16
-DEPTH = 12
+TREES = 12
+SMALL = 256
+DEPTH = 6
+#: A branch takes so many further coordinates at once, and a node so many branches: about (1 / 0.8) ** 3 = 2.
+TAKEN, BRANCHES = 3, 2
 #: Coordinates (of 64) in which the 2-bit sketches of a candidate pair may differ.
 MOST_APART = 26
 #: Candidate keys up to this number (8 bytes each) are broadcast to pick their texts; more are joined by shuffle.
 BROADCAST_KEYS = 400_000
+#: Documents of a component that are confirmed together, and pairs that a group holds on average.
+BLOCK, GROUP = 256, 1000
+#: From so many pairs of two blocks on, intersections come from a product of matrices of so many columns.
+MATRIX, COLUMNS = 64, 8192
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _TIMES = mix64(np.arange(1, COORDINATES + 1, dtype=np.uint64)) | np.uint64(1)
 _PLUS = mix64(np.arange(1001, COORDINATES + 1001, dtype=np.uint64))
@@ -129,23 +136,43 @@ def signatures(df: DataFrame, key: str, text: str, words: int) -> DataFrame:
     return df.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, schema)
 
 
-def confirm(pairs: DataFrame, words: int, least: tuple[int, int]) -> DataFrame:
-    """The pairs ``a, b`` (with texts ``ta, tb``) whose sets are similar: least[0] * union <= least[1] * intersection."""
-    schema = T.StructType([pairs.schema["a"], pairs.schema["b"]])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "tb"):
-                a, b = part.column(0).to_pylist(), part.column(1).to_pylist()
-                own = dict(zip(a, texts(part, "ta"), strict=True)) | dict(zip(b, texts(part, "tb"), strict=True))
-                of = dict(zip(own, sets(list(own.values()), words), strict=True))
-                keep = []
-                for x, y in zip(a, b, strict=True):
-                    inter = len(np.intersect1d(of[x], of[y], assume_unique=True))
-                    keep.append(least[1] * inter >= least[0] * (len(of[x]) + len(of[y]) - inter))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], names=["a", "b"]).filter(pa.array(keep, type=pa.bool_()))
-
-    return pairs.select("a", "b", "ta", "tb").mapInArrow(run, schema)
+def intersections(left: list[np.ndarray], right: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of ``left[x]`` and ``right[y]`` (distinct, sorted values)."""
+    if len(x) < MATRIX:
+        return np.array([len(np.intersect1d(left[i], right[j], assume_unique=True)) for i, j in zip(x, y, strict=True)], dtype=np.int64)
+    # Many pairs of few sets: incidence matrices over the values that both sides hold.
+    both = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    out = np.zeros((len(left), len(right)), dtype=np.float32)
+    for at in range(0, len(both), COLUMNS):
+        part = both[at : at + COLUMNS]
+        sides = []
+        for side in (left, right):
+            m = np.zeros((len(side), len(part)), dtype=np.float32)
+            for i, own in enumerate(side):
+                m[i, np.searchsorted(part, own[np.isin(own, part, assume_unique=True)])] = 1
+            sides.append(m)
+        out += sides[0] @ sides[1].T
+    return out[x, y].astype(np.int64)
+
+
+def confirmed(pairs: pa.Table, docs: pa.Table, words: int, least: tuple[int, int]) -> pa.Table:
+    """The pairs whose sets are similar: least[0] * union <= least[1] * intersection."""
+    keys = docs["key"].to_pylist()
+    place = {k: i for i, k in enumerate(keys)}
+    own: list[np.ndarray] = []
+    for batch in docs.to_batches():
+        for part in slices(batch):
+            own.extend(sets(texts(part), words))
+    a, b = (np.array([place[k] for k in pairs[c].to_pylist()], dtype=np.int64) for c in ("a", "b"))
+    block = pairs["blocks"].to_numpy()
+    size = np.array([len(s) for s in own])
+    keep = np.zeros(len(a), dtype=bool)
+    order = np.argsort(block, kind="stable")
+    for rows in np.split(order, np.flatnonzero(np.diff(block[order])) + 1) if len(order) else []:
+        (left, x), (right, y) = np.unique(a[rows], return_inverse=True), np.unique(b[rows], return_inverse=True)
+        inter = intersections([own[i] for i in left], [own[i] for i in right], x, y)
+        keep[rows] = least[1] * inter >= least[0] * (size[a[rows]] + size[b[rows]] - inter)
+    return pairs.select(["a", "b"]).filter(pa.array(keep))
 
 
 def _apart(x0: Column, x1: Column, y0: Column, y1: Column) -> Column:
@@ -187,6 +214,11 @@ class _Join:
             .select("node", (F.col("size") - F.col("most.c")).alias("rest"), F.col("most.label").alias("major"), "pivot")
         )
 
+    @staticmethod
+    def _chosen(i: int) -> Column:
+        """The i-th coordinate that a node chooses."""
+        return F.pmod(F.xxhash64("node", F.lit(i)), F.lit(COORDINATES)).cast("int")
+
     def _members(self, front: DataFrame, nodes: DataFrame) -> DataFrame:
         """Members of ``nodes`` with what a comparison needs."""
         rows = front.join(nodes, "node").join(self.reps.select("rep", "n", "s0", "s1"), "rep")
@@ -223,11 +255,46 @@ class _Join:
             found = pairs if found is None else found.unionByName(pairs)
         return found.distinct().join(self.tested, ["a", "b"], "left_anti")
 
+    def _confirm(self, pairs: DataFrame, docs: DataFrame) -> DataFrame:
+        """Pairs confirmed on the texts. The documents of a component are dealt
+        into blocks of some ``BLOCK``; pairs of the same two blocks meet in one
+        group, which gets each of its texts once, so that many pairs between two
+        large components do not carry a text each."""
+        sizes = self.labels.groupBy("label").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+        place = (
+            self._labelled(docs.select("key"), "key")
+            .join(sizes, "label", "left")
+            .select("key", F.xxhash64("label", F.pmod(F.xxhash64("key"), F.coalesce("blocks", F.lit(1)))).alias("block"))
+        )
+        place = self.scratch.table(place, "blocks")
+        pairs = self.scratch.table(pairs.select("a", "b"), "pairs")
+        groups = max(1, pairs.count() // GROUP)
+        x, y = F.col("xb"), F.col("yb")
+        dealt = (
+            pairs.join(place.select(F.col("key").alias("a"), F.col("block").alias("xb")), "a")
+            .join(place.select(F.col("key").alias("b"), F.col("block").alias("yb")), "b")
+            .select(
+                F.when(x <= y, F.col("a")).otherwise(F.col("b")).alias("a"),
+                F.when(x <= y, F.col("b")).otherwise(F.col("a")).alias("b"),
+                F.xxhash64(F.least(x, y), F.greatest(x, y)).alias("blocks"),
+            )
+            .withColumn("group", F.pmod("blocks", F.lit(groups)))
+        )
+        dealt = self.scratch.table(dealt, "dealt")
+        wanted = dealt.select("group", F.explode(F.array("a", "b")).alias("key")).distinct()
+        held = wanted.join(docs, "key").select(F.col("group").alias("of"), "key", "text")
+        words, least = self.words, self.least
+        kind = self.reps.schema["rep"].dataType.simpleString()
+
+        def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+            return confirmed(left, right, words, least)
+
+        found = dealt.groupBy("group").cogroup(held.groupBy("of")).applyInArrow(meet, f"a {kind}, b {kind}")
+        return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
     def _link(self, pairs: DataFrame, docs: DataFrame) -> None:
         """Confirm ``pairs`` and merge the components that they connect."""
-        a = docs.select(F.col("key").alias("a"), F.col("text").alias("ta"))
-        b = docs.select(F.col("key").alias("b"), F.col("text").alias("tb"))
-        links = self.scratch.table(confirm(pairs.select("a", "b").join(a, "a").join(b, "b"), self.words, self.least), "confirmed")
+        links = self.scratch.table(self._confirm(pairs, docs), "confirmed")
         ends = self._labelled(self._labelled(links, "a", "la"), "b", "lb")
         found = components(ends.select(F.col("la").alias("a"), F.col("lb").alias("b")), self.scratch)
         root = found.select(F.col("node").alias("label"), "root")
@@ -279,14 +346,12 @@ class _Join:
             large = self.scratch.table(large.join(self._nodes(large).select("node", "rest"), "node"), "large")
             if large.isEmpty():
                 break
-            one = F.pmod(F.xxhash64("node", F.lit(1)), F.lit(COORDINATES)).cast("int")
-            two = F.pmod(F.xxhash64("node", F.lit(2)), F.lit(COORDINATES)).cast("int")
-            chosen = F.when(F.pmod(F.xxhash64("node", F.lit(3)), F.lit(4)) == 0, F.array_distinct(F.array(one, two))).otherwise(F.array(one))
+            branches = [[self._chosen(b * TAKEN + i) for i in range(TAKEN)] for b in range(BRANCHES)]
+            below = F.array(*[F.xxhash64("node", F.lit(b), *[F.col("sig")[c] for c in cs]) for b, cs in enumerate(branches)])
             children = (
                 large.filter(F.col("rest") > self.small)
                 .join(self.reps.select("rep", "sig"), "rep")
-                .select("node", "rep", "label", "sig", F.explode(chosen).alias("c"))
-                .select(F.xxhash64("node", "c", F.col("sig")[F.col("c")]).alias("node"), "rep", "label")
+                .select(F.explode(below).alias("node"), "rep", "label")
             )
             front = self.scratch.table(
                 large.filter(F.col("rest") <= self.small).select("node", "rep", "label").unionByName(children), "front"
