@@ -15,14 +15,14 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paysignal.config import LENIENT, QualityProfile, RuleConfig
-from paysignal.functions.columns import round_ratio
+from paysignal.config import LENIENT, RULE_NAMES, QualityProfile, RuleConfig
+from paysignal.functions.columns import coalesce_false, round_ratio
 from paysignal.operators import dedup, gold, quality, rules
 from paysignal.operators.standardize import standardize
 from paysignal.sources import files
 from paysignal.sources.storage import TableStore
 
-FALLBACK_LABEL = "Deterministic Synthetic Data fallback"
+FALLBACK_LABEL = "Built-in fixture"
 
 
 @dataclass
@@ -44,7 +44,7 @@ class Bundle:
 
 def build_bundle(
     source: DataFrame,
-    source_label: str = "Uploaded Synthetic Data",
+    source_label: str = "Uploaded file",
     source_note: str = "",
     as_of=None,
     cfg: RuleConfig | None = None,
@@ -59,7 +59,7 @@ def build_bundle(
     """Layers for ``source``. ``require_rows`` (uploads) rejects an empty
     source with ``ValueError`` (one ``isEmpty`` job)."""
     if require_rows and source.isEmpty():
-        raise ValueError("The uploaded file contains no rows.")
+        raise ValueError("The source is empty.")
     bronze = standardize(source)
     checked = quality.add_quality_rules(bronze, profile, as_of)
     valid, quarantine = quality.split_valid_invalid(checked)
@@ -72,8 +72,8 @@ def build_bundle(
     stored = table is not None
     fraud = gold.fraud_transactions(scored)
     if stored and "is_fraud" in table.columns:
-        fraud = table.filter(F.col("is_fraud").cast("boolean"))
-        notes.append("Compatible stored Gold output was loaded for fraud rows.")
+        fraud = stored_scores(table).filter(coalesce_false("is_fraud"))
+        notes.append("Fraud rows come from the stored Gold output.")
     refresh = dt.datetime.fromisoformat(str(as_of)) if as_of is not None else dt.datetime.now()
     return Bundle(
         bronze=bronze,
@@ -92,6 +92,23 @@ def build_bundle(
     )
 
 
+SCORE_TYPES = {
+    "transaction_date": "date",
+    "velocity_amount_1m": "double",
+    "device_users_10m": "int",
+    **dict.fromkeys(RULE_NAMES, "boolean"),
+    "risk_score": "int",
+    "is_fraud": "boolean",
+}
+
+
+def stored_scores(table: DataFrame) -> DataFrame:
+    """A stored scored output with standard names and types, whatever wrote it
+    (from CSV all columns are text)."""
+    out = standardize(table)
+    return out.withColumns({c: F.col(c).try_cast(kind) for c, kind in SCORE_TYPES.items() if c in out.columns})
+
+
 def bundle_from_root(spark: SparkSession, root: str, store: TableStore | None = None, **kw) -> Bundle:
     """The primary CSV, else the checked-in sample, else the
     deterministic fixture (G1) as an explicitly labelled fallback. S8: a
@@ -102,13 +119,13 @@ def bundle_from_root(spark: SparkSession, root: str, store: TableStore | None =
     path, label = files.resolve_source(
         spark,
         [
-            (f"{root.rstrip('/')}/sample_data/upi_transactions.csv", "Generated Synthetic Data CSV"),
-            (f"{root.rstrip('/')}/sample_data/upi_transactions_sample.csv", "Checked-in Synthetic Data sample"),
+            (f"{root.rstrip('/')}/sample_data/upi_transactions.csv", "Generated transactions"),
+            (f"{root.rstrip('/')}/sample_data/upi_transactions_sample.csv", "Sample transactions"),
         ],
     )
     kw.setdefault("precomputed", files.find_optional_output(spark, root, "fraud_transactions"))
     if path is None:
-        note = "No compatible CSV source was available; generated a repeatable fallback."
+        note = "Neither transactions file exists; the fixture stands in."
         return build_bundle(fixture(spark), FALLBACK_LABEL, note, store=store, **kw)
     return build_bundle(files.read_csv(spark, path, None), label, f"Loaded {path}", store=store, **kw)
 

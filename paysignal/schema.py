@@ -21,7 +21,7 @@ RAW_COLUMNS = (
     "failure_reason",
 )
 CUSTOMER_COLUMNS = ("user_id", "name", "bank", "kyc_status", "device_id", "location_city", "effective_date")
-# Columns the dashboard reader requires (missing ones are added as NULL).
+# Columns the dashboard reader requires (missing ones are added as NULL).
 REQUIRED_COLUMNS = (
     "transaction_id",
     "user_id",
@@ -32,6 +32,7 @@ REQUIRED_COLUMNS = (
     "device_id",
     "status",
 )
+# The dimension's columns, in order.
 DIM_COLUMNS = (
     "user_id",
     "name",

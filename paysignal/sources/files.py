@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -127,12 +128,12 @@ def _conform(df: DataFrame, schema: T.StructType | None) -> DataFrame:
 
 
 def resolve_source(spark: SparkSession, candidates: Sequence[tuple[str, str]]) -> tuple[str | None, str]:
-    """First existing (path, label) from an ordered list; (None, note)
-    when nothing exists so the caller can fall back (e.g. to a generator)."""
+    """The first (path, label) of an ordered list that exists, can be read
+    and has rows; (None, note) when none does, so the caller can fall back."""
     for path, label in candidates:
-        if path_exists(spark, path):
+        if path_exists(spark, path) and _has_rows(spark, path):
             return path, label
-    return None, "No compatible source was available."
+    return None, "None of the sources exists."
 
 
 # Where a precomputed output may sit under a root, in probe order.
@@ -141,11 +142,24 @@ OUTPUT_FORMATS = ("csv", "parquet")
 
 
 def find_optional_output(spark: SparkSession, root: str, stem: str) -> DataFrame | None:
-    """The first existing ``<dir>/<stem>.<csv|parquet>`` under ``root``
-    (dirs in OUTPUT_DIRS order), read with its reader; None if there is none."""
+    """The first ``<dir>/<stem>.<csv|parquet>`` under ``root`` (dirs in
+    OUTPUT_DIRS order) that exists and has rows, read with its reader; None if
+    there is none."""
     for d in OUTPUT_DIRS:
         for fmt in OUTPUT_FORMATS:
             path = f"{root.rstrip('/')}/{d}/{stem}.{fmt}"
             if path_exists(spark, path):
-                return read_table(spark, path, fmt=fmt, schema=None)
+                found = read_table(spark, path, fmt=fmt, schema=None)
+                if not found.isEmpty():
+                    return found
     return None
+
+
+def _has_rows(spark: SparkSession, path: str) -> bool:
+    """Whether a CSV (or a folder of some kind) can be read and is not empty; only its start is read."""
+    try:
+        if suffix(path) in ("csv", "json", "jsonl", "ndjson", "parquet", "pq"):
+            return not read_table(spark, path).isEmpty()
+        return not spark.read.text(path, recursiveFileLookup=True).isEmpty()
+    except (AnalysisException, ValueError):
+        return False

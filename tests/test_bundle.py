@@ -33,6 +33,15 @@ def test_bundle_prefers_precomputed_file_output(spark, tmp_dir):
     seed.gold.select("transaction_id", "amount", "is_fraud").limit(7).write.parquet(f"{root}/gold/fraud_transactions.parquet")
     b = bundle.bundle_from_root(spark, root, as_of="2026-09-01 00:00:00")
     assert b.stored_gold_detected and b.gold.count() == 7
+    # from CSV, where everything is text; an empty output before it is passed over
+    site = f"{tmp_dir}/csv-site"
+    seed.gold.limit(0).select("transaction_id", "is_fraud").write.option("header", True).csv(f"{site}/sample_data/fraud_transactions.csv")
+    seed.gold.select("transaction_id", "amount", "risk_score", "is_fraud").limit(5).write.option("header", True).csv(
+        f"{site}/gold/fraud_transactions.csv"
+    )
+    b = bundle.bundle_from_root(spark, site, as_of="2026-09-01 00:00:00")
+    types = dict(b.gold.dtypes)
+    assert b.gold.count() == 5 and (types["amount"], types["risk_score"], types["is_fraud"]) == ("double", "int", "boolean")
 
 
 def test_empty_upload_is_rejected(spark):
@@ -40,6 +49,6 @@ def test_empty_upload_is_rejected(spark):
 
     from paysignal.schema import RAW
 
-    with pytest.raises(ValueError, match="no rows"):
+    with pytest.raises(ValueError, match="empty"):
         bundle.build_bundle(spark.createDataFrame([], RAW), require_rows=True)
     assert bundle.build_bundle(spark.createDataFrame([], RAW)).scored.count() == 0
