@@ -130,28 +130,32 @@ def bundle_from_root(spark: SparkSession, root: str, store: TableStore | None =
     return build_bundle(files.read_csv(spark, path, None), label, f"Loaded {path}", store=store, **kw)
 
 
+LAYER_METRICS = (
+    "bronze_rows", "silver_rows", "quarantine_rows", "gold_rows", "valid_rate_pct", "duplicate_rows", "rule_pass_rate_pct",
+)
+
+
 def layer_counts(b: Bundle) -> DataFrame:
     """D24 as the dashboard shows it: rows per layer, Silver / Bronze valid
     rate %, rows sharing a transaction id, and the mean of the per-rule pass
     rates (each rounded to 2 dp first), as (metric, value) rows."""
-    layers = (("bronze_rows", b.bronze), ("silver_rows", b.silver), ("quarantine_rows", b.quarantine), ("gold_rows", b.gold))
-    tagged = None
-    for name, df in layers:
-        part = df.select(F.lit(name).alias("layer"))
-        tagged = part if tagged is None else tagged.unionByName(part)
-    counts = tagged.agg(*[F.count_if(F.col("layer") == name).alias(name) for name, _ in layers])
-    stack = ", ".join(f"'{name}', CAST(`{name}` AS DOUBLE)" for name, _ in layers)
-    per_layer = counts.select(F.expr(f"stack({len(layers)}, {stack}) as (metric, value)"))
-    valid_rate = counts.select(
-        F.lit("valid_rate_pct").alias("metric"),
-        F.coalesce(round_ratio(F.col("silver_rows") * 100, F.col("bronze_rows")), F.lit(100.0)).alias("value"),
-    )
-    # per-rule rates are exact hundredths; average them exactly, half-up to 2 dp
-    hundredths = F.round(F.col("pass_rate_pct") * 100).cast("long")
-    mean_rule = quality.rule_summary(b.checked, b.profile).agg(
-        F.coalesce(round_ratio(F.sum(hundredths), F.count(F.lit(1)) * 100), F.lit(100.0)).alias("value")
-    ).select(F.lit("rule_pass_rate_pct").alias("metric"), "value")
-    dups = dedup.duplicate_rows(b.bronze).select(
-        F.lit("duplicate_rows").alias("metric"), F.col("duplicate_rows").cast("double").alias("value")
+    n = F.count(F.lit(1))
+    rates = [F.coalesce(round_ratio(F.count_if(F.col(r)) * 100, n), F.lit(100.0)) for r in b.profile.rules]
+    hundredths = sum((F.round(r * 100).cast("long") for r in rates[1:]), F.round(rates[0] * 100).cast("long"))
+    one = lambda df, *aggs: df.agg(*aggs).withColumn("_k", F.lit(1))
+    checked = one(
+        b.checked,
+        n.alias("bronze_rows"),
+        F.count_if(~F.col("_is_valid")).alias("quarantine_rows"),
+        # per-rule rates are exact hundredths; averaged exactly, half-up to 2 dp
+        round_ratio(hundredths, F.lit(len(rates) * 100)).alias("rule_pass_rate_pct"),
     )
-    return per_layer.unionByName(valid_rate).unionByName(dups).unionByName(mean_rule)
+    flagged = [] if b.stored_gold_detected else [F.count_if(coalesce_false("is_fraud")).alias("gold_rows")]
+    row = checked.join(one(b.scored, n.alias("silver_rows"), *flagged), "_k")
+    if b.stored_gold_detected:
+        row = row.join(one(b.gold, n.alias("gold_rows")), "_k")
+    row = row.join(dedup.duplicate_rows(b.bronze).withColumn("_k", F.lit(1)), "_k")
+    valid = round_ratio(F.col("silver_rows") * 100, F.col("bronze_rows"))
+    row = row.withColumn("valid_rate_pct", F.coalesce(valid, F.lit(100.0)))
+    stack = ", ".join(f"'{m}', CAST(`{m}` AS DOUBLE)" for m in LAYER_METRICS)
+    return row.select(F.expr(f"stack({len(LAYER_METRICS)}, {stack}) AS (metric, value)"))

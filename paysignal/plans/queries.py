@@ -233,19 +233,14 @@ def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gate_states(one_row)
 
 
-LAYER_METRICS = (
-    "bronze_rows", "silver_rows", "quarantine_rows", "gold_rows", "valid_rate_pct", "duplicate_rows", "rule_pass_rate_pct",
-)
-
-
 def gate_states(one_row: DataFrame) -> DataFrame:
     """(metric, value, state) rows: a gate passes with no quarantined rows, no
     duplicate rows, or all rules passed, else it warns; the others have none."""
-    stack = ", ".join(f"'{m}', CAST(`{m}` AS DOUBLE)" for m in LAYER_METRICS)
+    stack = ", ".join(f"'{m}', CAST(`{m}` AS DOUBLE)" for m in bundle.LAYER_METRICS)
     clean = F.when(F.col("metric") == "rule_pass_rate_pct", F.col("value") == 100).when(
         F.col("metric").isin("quarantine_rows", "duplicate_rows"), F.col("value") == 0
     )
-    return one_row.select(F.expr(f"stack({len(LAYER_METRICS)}, {stack}) AS (metric, value)")).withColumn(
+    return one_row.select(F.expr(f"stack({len(bundle.LAYER_METRICS)}, {stack}) AS (metric, value)")).withColumn(
         "state", F.when(clean, "PASS").when(~clean, "WARNING")
     )
 
