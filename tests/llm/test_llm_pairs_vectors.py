@@ -102,6 +102,17 @@ def test_near_duplicates_of_odd_rows(odd_docs, no_docs):
     assert minhash.near_duplicates(no_docs).collect() == []
 
 
+def test_intersections_by_matrix_equal_those_by_pair(monkeypatch):
+    rng = np.random.default_rng(2)
+    left, right = ([np.unique(rng.integers(0, 300, n).astype(np.uint64)) for n in rng.integers(0, 90, 20)] for _ in range(2))
+    x, y = (a.ravel() for a in np.meshgrid(np.arange(20), np.arange(20)))
+    want = [len(set(left[i]) & set(right[j])) for i, j in zip(x, y)]
+    monkeypatch.setattr(minhash, "COLUMNS", 37)
+    assert minhash.intersections(left, right, x, y).tolist() == want
+    monkeypatch.setattr(minhash, "MATRIX", 10**9)
+    assert minhash.intersections(left, right, x, y).tolist() == want
+
+
 def test_components(spark, tmp_dir):
     rnd = random.Random(1)
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 200)] + [(rnd.randrange(300, 400), rnd.randrange(300, 400)) for _ in range(60)]
