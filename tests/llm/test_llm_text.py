@@ -7,6 +7,7 @@ import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from paysignal.llm import bpe, html, langid, tokencount
 from paysignal.llm.words import hash_words
@@ -171,3 +172,15 @@ def test_language_of_odd_rows(odd_docs, no_docs):
     assert {r.lang_pred for r in langid.predict(odd_docs, []).collect()} == {"und"}
     alone = langid.predict(odd_docs.filter("doc_id = 1"), model[:1]).first()
     assert alone.score == 1.0 and not alone.rejected
+
+
+def test_language_margin_does_not_fall_with_length(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    held_out = langid.remainder(F.col("doc_id"), 4) == 2
+    model = langid.fit(docs.filter(~held_out))
+    found = docs.filter("lang = 'en' AND length(text) > 0").orderBy(~held_out, "doc_id").select("text").collect()
+    clean = " ".join(r.text for r in found)
+    rows = [(n, clean[:n]) for n in (200_000, 1_000_000, 5_000_000)]
+    out = sorted(langid.predict(spark.createDataFrame(rows, "doc_id long, text string"), model).collect())
+    assert [len(t) for _, t in rows] == [200_000, 1_000_000, 5_000_000] and [r.lang_pred for r in out] == ["en"] * 3
+    assert not any(r.rejected for r in out) and all(r.score > 0.8 * out[0].score for r in out), out
