@@ -259,6 +259,15 @@ def test_lm_probabilities_sum_to_one(spark, tmp_dir):
     assert np.allclose(np.sum(p, axis=0), 1, atol=1e-4)
 
 
+def test_lm_features_see_three_words_back():
+    assert (lm.CLASSES, lm.TOP, lm.TAILS) == (96, 63, 32)
+    t = lm.tokens([b"a b c d", b"x b c d", b"a x c d", b"a b x d"])
+    rows = lm.features(t)[:, t.first + 3]  # of "d"
+    differs = [(rows[:, i] != rows[:, 0]).tolist() for i in (1, 2, 3)]
+    # word before, second before, both together, third before
+    assert differs == [[False, False, False, True], [False, True, True, False], [True, False, True, False]]
+
+
 def test_lm_without_rows_to_learn_from(spark, no_docs, odd_docs):
     assert lm.score(no_docs).collect() == []
     out = lm.score(odd_docs, held_out=F.lit(True)).collect()
