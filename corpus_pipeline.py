@@ -12,7 +12,7 @@ the last return the columns of ``documents``.
    id and text are one document; rows without an id stay.
 3. mix: sources are mixed to their target weights; a document is repeated as
    often as the mix takes it, and goes if it takes it not at all.
-4. tokens: byte-level BPE ids of every text.
+4. tokens: byte-level BPE ids of every text, and the sha256 of the decoded ids.
 """
 
 from __future__ import annotations
@@ -55,7 +55,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         public_tokenizers.path(VOCABULARY),
         public_tokenizers.PATTERN,
         carry=("doc_id", "lang", "source"),
-        outputs=("n_tokens", "ids_sha256", "ids"),
+        outputs=("n_tokens", "ids_sha256", "decoded_sha256", "ids"),
     )
 
 

@@ -1,3 +1,5 @@
+import hashlib
+
 import public_tokenizers
 import tiktoken
 from pyspark.sql import functions as F
@@ -60,6 +62,12 @@ def test_rows_that_repeat_an_id_stay_once(spark, tmp_dir):
     assert sorted(r.doc_id for r in cp.near_duplicates(spark, docs, SMALL).collect()) == [5, 6]
 
 
+def test_tokens_decode_to_the_text(spark, odd_docs):
+    docs = odd_docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").dropDuplicates(["doc_id"])
+    want = {r.doc_id: hashlib.sha256(r.text.encode()).hexdigest() for r in docs.collect()}
+    assert {r.doc_id: r.decoded_sha256 for r in cp.tokens(spark, docs, SMALL).collect()} == want
+
+
 def test_run_is_registered(spark):
     import __spark_entry__ as entry
 
