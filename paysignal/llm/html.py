@@ -192,6 +192,14 @@ def _cut(page: _Page) -> list[bool]:
     """Which elements are cut out, with all below them."""
     tags, parent = page.tag, page.parent
     core = [t in ("article", "main", "h1") for t in tags]
+    if not any(core):  # No element names the article: those with most of the text outside links are spared.
+        gone = [False] * len(tags)
+        for i in range(1, len(tags)):
+            gone[i] = gone[parent[i]] or tags[i] in CUT_TAGS or page.hint[i] == 2
+        text = [0 if g else a - b for g, a, b in zip(gone, page.chars, page.link_chars, strict=True)]
+        for i in range(len(tags) - 1, 0, -1):
+            text[parent[i]] += text[i]
+        core = [2 * x > text[0] for x in text]
     for i in range(len(tags) - 1, 0, -1):
         if core[i]:
             core[parent[i]] = True

@@ -139,6 +139,12 @@ def test_html_cases(page, text):
     assert html.extract(page) == text
 
 
+@pytest.mark.parametrize("wrapper", ["div class='page has-sidebar'", "div class='with-menu'", "form id='aspnetForm'"])
+def test_html_wrapper_with_most_of_the_text_stays(wrapper):
+    page = f"<body><{wrapper}><h2>Title</h2><p>The text of this page, all of it.</p><div class=comments><p>No.</p></div></{wrapper.split()[0]}></body>"
+    assert html.extract(page) == "Title\nThe text of this page, all of it."
+
+
 def test_html_rows(spark):
     rows = [(1, "u", None), (2, None, ""), (3, "u", PAGE), (3, "u", PAGE), (4, "u", "<p>" + "word " * 50_000 + "</p>"), (5, "u", "<div>" * 3000 + "deep")]
     df = spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, text string")
