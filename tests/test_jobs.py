@@ -8,7 +8,7 @@ from paysignal.plans import incremental, jobs
 from paysignal.sources import tables
 from paysignal.sources.storage import TableStore
 
-from conftest import SF_SMALL
+from sf_paths import SF_SMALL
 
 
 def test_bronze_to_gold_on_fixture(spark, tmp_dir):

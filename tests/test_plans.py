@@ -4,7 +4,7 @@ from paysignal.config import STRICT
 from paysignal.operators import dedup, quality
 from paysignal.sources import tables
 
-from conftest import SF_SMALL
+from sf_paths import SF_SMALL
 
 
 def plan(df):

@@ -158,7 +158,7 @@ def test_rule_names_fixed():
 
 def test_all_uniqueness_paths_agree(spark):
     from paysignal.sources import tables
-    from conftest import SF_SMALL
+    from sf_paths import SF_SMALL
 
     raw_rows = tables.dirty_raw_transactions(spark, SF_SMALL)
     cols = ["transaction_id", "utr_number", "_is_valid", "quarantine_reason"]

@@ -7,7 +7,7 @@ import sys
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
+from sf_paths import SF_SMALL
 from paysignal.plans.oracle import all_sql
 from paysignal.plans.queries import all_queries
 

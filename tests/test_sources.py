@@ -11,7 +11,7 @@ from paysignal.schema import RAW, RAW_COLUMNS, REQUIRED_COLUMNS
 from paysignal.sources import files, storage, tables
 from paysignal.functions.columns import inr_text
 
-from conftest import SF_SMALL
+from sf_paths import SF_SMALL
 
 
 def local(path):
