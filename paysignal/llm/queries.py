@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paysignal.llm import ann, bpe, convtrie, html, langid, lm, minhash, mixing, sharding, tokencount, topk
+from paysignal.llm import ann, bpe, convtrie, html, langid, lm, minhash, mixing, sharding, tokencount, topk, variants
 from paysignal.llm.scratch import Scratch
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -87,6 +87,11 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = variants.vocabulary(read(spark, sf_dir, "documents"))
+    return variants.variants(words, Scratch(spark, "variants"))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "convtrie")
     rebuilt = convtrie.grafted(convtrie.turns(read(spark, sf_dir, "conversations"), scratch), family=5, heads=9)
@@ -105,5 +110,6 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mix": op8_mix,
         "op9_main_text": op9_main_text,
         "op10_langid": op10_langid,
+        "op12_spelling": op12_spelling,
         "op13_prefix_trie": op13_prefix_trie,
     }
