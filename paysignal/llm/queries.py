@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paysignal.llm import ann, bpe, convtrie, html, langid, lm, minhash, mixing, sharding, tokencount, topk, variants
+from paysignal.llm import ann, bpe, convtrie, html, langid, lm, minhash, mixing, sharding, suffixdedup, tokencount, topk, variants
 from paysignal.llm.scratch import Scratch
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -87,6 +87,19 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op11_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = suffixdedup.remove_repeats(docs, Scratch(spark, "repeats"), length=400)
+    gone = F.aggregate(F.zip_with("starts", "ends", lambda a, b: b - a), F.lit(0).cast("long"), lambda n, x: n + x)
+    return found.select(
+        F.col("rec.doc_id").alias("doc_id"),
+        (F.octet_length("kept") + gone).alias("n_bytes"),
+        gone.alias("n_removed"),
+        F.size("starts").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = variants.vocabulary(read(spark, sf_dir, "documents"))
     return variants.variants(words, Scratch(spark, "variants"))
@@ -110,6 +123,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mix": op8_mix,
         "op9_main_text": op9_main_text,
         "op10_langid": op10_langid,
+        "op11_repeats": op11_repeats,
         "op12_spelling": op12_spelling,
         "op13_prefix_trie": op13_prefix_trie,
     }
