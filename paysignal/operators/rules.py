@@ -22,7 +22,8 @@ Slice k sees exactly the rows with u in [k*bucket - lookback,
 own (core) rows are kept. That is exact (a predecessor outside the view is
 farther than any rule window, so the rule is false either way) and it copies
 only rows within ``lookback + lookahead`` of a slice edge. Scoring is two
-exchanges: (user, slice) then (device, slice).
+exchanges: (user, slice) then (device, slice). Cells that stay too large however they are cut by time go
+to ``operators.dense``.
 
 The two range aggregates (velocity sum, distinct users per device) are
 differences of prefix frames (RANGE UNBOUNDED PRECEDING .. x), which Spark
@@ -38,6 +39,7 @@ from pyspark.sql import functions as F
 
 from paysignal.config import NO_RULE_LABEL, RULE_LABELS, RULE_NAMES, RuleConfig
 from paysignal.functions.columns import cents, coalesce_false, risk_level, unix_seconds
+from paysignal.operators import dense
 from paysignal.operators.keys import bounded, estimated_bytes
 
 FEATURE_COLUMNS = (
@@ -60,17 +62,10 @@ def _cell(x: Column, bucket: int) -> Column:
     return F.floor(x / F.lit(bucket)).cast("long")
 
 
-def hot_cells(df: DataFrame, key: str, bucket: int, cfg: RuleConfig, span: int = 0) -> DataFrame | None:
-    """(key, cell) -> sub-slice counts of the cell and its two neighbours,
-    for cells holding more than ``cfg.hot_cell_rows`` rows; None when there
-    are none or when the input is small. Narrow pre-pass: only the key and
-    time columns are read. A map too large to broadcast is joined by shuffle."""
-    if not cfg.split_hot_cells or span > bucket or estimated_bytes(df) < cfg.split_min_input_bytes:
-        return None  # (slices narrower than the view span are not split further)
-    # a sub-slice of w seconds copies a row into 1 + span / w views; narrower
-    # ones than span / 4 would copy more than they divide
-    limit = min(int(cfg.max_split), SUB - 1, max(1, 4 * bucket // max(span, 1)))
-    if limit < 2:
+def hot_counts(df: DataFrame, key: str, bucket: int, cfg: RuleConfig) -> DataFrame | None:
+    """(_hk, _hc, _n): cells of more than ``cfg.hot_cell_rows`` rows; None if the input is
+    small. A narrow pre-pass: only the key and time columns are read."""
+    if estimated_bytes(df) < cfg.split_min_input_bytes:
         return None
     counts = (
         df.select(F.col(key).alias("_hk"), _cell(F.col("_u"), bucket).alias("_hc"))
@@ -78,7 +73,24 @@ def hot_cells(df: DataFrame, key: str, bucket: int, cfg: RuleConfig, span: int =
         .groupBy("_hk", "_hc")
         .agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > F.lit(int(cfg.hot_cell_rows)))
-        .select("_hk", "_hc", F.least(F.ceil(F.col("_n") / F.lit(int(cfg.hot_cell_rows))), F.lit(limit)).cast("int").alias("_m"))
+    )
+    return bounded(counts)[0]
+
+
+def most_slices(bucket: int, span: int, cfg: RuleConfig) -> int:
+    """Into how many sub-slices a cell may be cut: a sub-slice of w seconds copies a row into
+    1 + span / w views; narrower ones than span / 4 would copy more than they divide."""
+    return 1 if span > bucket else min(int(cfg.max_split), SUB - 1, max(1, 4 * bucket // max(span, 1)))
+
+
+def hot_cells(df: DataFrame, counts: DataFrame | None, bucket: int, cfg: RuleConfig, span: int = 0) -> DataFrame | None:
+    """(key, cell) -> sub-slice counts of the cell and its two neighbours, for the cells in
+    ``counts``; None when there are none. A map too large to broadcast is joined by shuffle."""
+    limit = most_slices(bucket, span, cfg)
+    if not cfg.split_hot_cells or counts is None or limit < 2:
+        return None
+    counts = counts.select(
+        "_hk", "_hc", F.least(F.ceil(F.col("_n") / F.lit(int(cfg.hot_cell_rows))), F.lit(limit)).cast("int").alias("_m")
     )
     # each hot cell informs itself and its two neighbours: one lookup per row
     spread = counts.select(
@@ -257,11 +269,28 @@ def score(df: DataFrame, cfg: RuleConfig | None = None, label_style: str = "name
     cfg = cfg or RuleConfig()
     base = df.withColumn("timestamp", F.col("timestamp").cast("timestamp")).withColumn("_u", unix_seconds("timestamp"))
     user_span = cfg.user_lookback_s + cfg.user_lookahead_s
-    user_hot = hot_cells(base, "user_id", cfg.bucket_for(cfg.user_lookback_s, cfg.user_lookahead_s), cfg, user_span)
-    device_hot = hot_cells(base, "device_id", cfg.bucket_for(cfg.mule_window_s, 0), cfg, cfg.mule_window_s)
-    scored = device_features(user_features(base, cfg, user_hot), cfg, device_hot)
+    user_bucket, device_bucket = cfg.bucket_for(cfg.user_lookback_s, cfg.user_lookahead_s), cfg.bucket_for(cfg.mule_window_s, 0)
+    user_n, device_n = hot_counts(base, "user_id", user_bucket, cfg), hot_counts(base, "device_id", device_bucket, cfg)
+    if too_dense(user_n, user_bucket, user_span, cfg) or too_dense(device_n, device_bucket, cfg.mule_window_s, cfg):
+        return conclude(dense.features(base, cfg), label_style, cfg)
+    user_hot = hot_cells(base, user_n, user_bucket, cfg, user_span)
+    device_hot = hot_cells(base, device_n, device_bucket, cfg, cfg.mule_window_s)
+    return conclude(device_features(user_features(base, cfg, user_hot), cfg, device_hot), label_style, cfg)
+
+
+def too_dense(counts: DataFrame | None, bucket: int, span: int, cfg: RuleConfig) -> bool:
+    """Some cell keeps more than ``hot_cell_rows`` rows a task however it is cut by time."""
+    if not cfg.split_hot_cells or counts is None:
+        return False
+    most = int(cfg.hot_cell_rows) * most_slices(bucket, span, cfg)
+    return not counts.filter(F.col("_n") > F.lit(most)).isEmpty()
+
+
+def conclude(flagged: DataFrame, label_style: str = "names", cfg: RuleConfig | None = None) -> DataFrame:
+    """Rule flags -> score, reasons, level (FEATURE_COLUMNS); helper columns go."""
+    cfg = cfg or RuleConfig()
     return (
-        scored.withColumn("transaction_date", F.to_date("timestamp"))
+        flagged.withColumn("transaction_date", F.to_date("timestamp"))
         .withColumn("risk_score", risk_score(cfg))
         .withColumn("fraud_reasons", fraud_reasons())
         .withColumn("fraud_reason", reason_text(label_style))

@@ -135,6 +135,7 @@ def scoring_queries() -> dict[str, str]:
     q: dict[str, str] = {}
     q["score_transactions"] = with_scored(f"SELECT {SCORED_COLUMNS} FROM scored2")
     q["score_transactions_large"] = q["score_transactions"]
+    q["score_transactions_dense"] = q["score_transactions"]
     q["rule_velocity"] = with_scored(
         "SELECT transaction_id, user_id, \"timestamp\", amount, velocity_amount_1m FROM scored2 WHERE velocity_check"
     )
@@ -517,6 +518,14 @@ def scd2_alert_queries() -> dict[str, str]:
     q["scd2_insert"] = head + f"SELECT {DIM_COLS} FROM j1 WHERE change IN ('new', 'changed')"
     q["scd2_apply"] = head + f"SELECT {DIM_COLS} FROM dim1"
     q["scd2_noop"] = q["scd2_apply"]
+    pit = SCD2.replace("2024-02-01", "2024-01-15").replace("2024-01-01", "2024-01-05")
+    versions = ", ".join(f"v.{c} AS dim_{c}" for c in DIM_COLS.split(", ")[1:8])
+    q["scd2_point_in_time"] = with_scored(
+        f"""SELECT transaction_id, t.user_id, "timestamp", risk_score, {versions}
+FROM scored2 t LEFT JOIN dim1 v ON t.user_id = v.user_id AND v.effective_start_date <= CAST(t."timestamp" AS DATE)
+  AND (v.effective_end_date IS NULL OR CAST(t."timestamp" AS DATE) < v.effective_end_date)"""
+    ).replace("fraud AS (", pit.lstrip() + ",\nfraud AS (", 1)
+    q["scd2_point_in_time_large"] = q["scd2_point_in_time"]
     q["scd2_current"] = head + "SELECT COUNT(*) AS active_customer_count FROM dim1 WHERE is_current"
     q["filter_transactions"] = with_scored(f"SELECT {SCORED_COLUMNS} FROM scored2 WHERE {FILTER_WHERE}")
     q["filter_regex"] = with_scored(

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from paysignal.config import CONFIG_A, LENIENT, LENIENT_RULES, STRICT, STRICT_RULES
 from paysignal.functions.columns import present, round_ratio
-from paysignal.operators import alerts, dedup, gold, kpi, quality, rules, scd2
+from paysignal.operators import alerts, asof, dedup, dense, gold, kpi, quality, rules, scd2
 from paysignal.operators.standardize import standardize
 from paysignal.plans import bundle
 from paysignal.plans import silver as silver_plan
@@ -48,6 +48,9 @@ SCORED_COLUMNS = (
 # CONFIG_A on the plan that inputs of 1 GiB and more take, with cells that count as hot here.
 LARGE = CONFIG_A.with_(split_min_input_bytes=0, hot_cell_rows=20, bucket_seconds=8 * 86400)
 
+# Blocks and shares of a hot key of 20 rows, cells of a day; the plan of large inputs throughout.
+DENSE = CONFIG_A.with_(split_min_input_bytes=0, hot_cell_rows=20, bucket_seconds=86400)
+
 
 def scored(spark: SparkSession, sf_dir: str, label_style: str = "names") -> DataFrame:
     return rules.score(tables.transactions(spark, sf_dir), CONFIG_A, label_style=label_style)
@@ -81,6 +84,8 @@ def scoring_queries() -> dict[str, Query]:
     q["score_transactions"] = lambda s, d: scored(s, d).select(*SCORED_COLUMNS)
     # the plan of large inputs: hot (key, slice) cells found and cut
     q["score_transactions_large"] = lambda s, d: rules.score(tables.transactions(s, d), LARGE).select(*SCORED_COLUMNS)
+    # keys of any density: seconds and blocks of 20 rows instead of slices
+    q["score_transactions_dense"] = lambda s, d: dense.score(tables.transactions(s, d), DENSE).select(*SCORED_COLUMNS)
     q["rule_velocity"] = lambda s, d: scored(s, d).filter("velocity_check").select(
         "transaction_id", "user_id", "timestamp", "amount", "velocity_amount_1m"
     )
@@ -275,6 +280,20 @@ def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd2.detect_changes(tables.customer_snapshot1(spark, sf_dir), dim0(spark, sf_dir), SCD2_AS_OF[1])
 
 
+PIT_DAYS = ("2024-01-05", "2024-01-15")
+PIT_COLUMNS = (
+    "transaction_id", "user_id", "timestamp", "risk_score", "dim_name", "dim_bank", "dim_kyc_status", "dim_device_id",
+    "dim_location_city", "dim_effective_start_date", "dim_effective_end_date",
+)
+
+
+def point_in_time(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
+    """X11: every scored transaction with the customer version valid on its day."""
+    first = scd2.initialize(tables.customer_snapshot0(spark, sf_dir), PIT_DAYS[0])
+    dim = scd2.apply(first, tables.customer_snapshot1(spark, sf_dir), PIT_DAYS[1])
+    return asof.point_in_time(scored(spark, sf_dir), dim, **kw).select(*PIT_COLUMNS)
+
+
 def scd2_queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
     q["scd2_initial"] = dim0
@@ -283,6 +302,9 @@ def scd2_queries() -> dict[str, Query]:
     q["scd2_insert"] = lambda s, d: scd2.insert_set(changes(s, d))
     q["scd2_apply"] = dim1
     q["scd2_noop"] = lambda s, d: scd2.apply(dim1(s, d), tables.customer_snapshot1(s, d), SCD2_AS_OF[2])
+    q["scd2_point_in_time"] = point_in_time
+    # slices of 3 days, and users with more than 2 rows a day dealt to several tasks
+    q["scd2_point_in_time_large"] = lambda s, d: point_in_time(s, d, slice_days=3, rows_per_task=2, small_input_bytes=0)
     q["scd2_current"] = lambda s, d: kpi.active_customers(dim1(s, d))
     return q
 
