@@ -134,7 +134,11 @@ def add_quality_rules(
     base = with_utr_unique(df.withColumn("timestamp", _ts(df)), "_utr_unique", max_broadcast_rows, small_input_bytes)
     rules = rule_columns(profile, as_of)
     flagged = base.select("*", *[coalesce_false(c).alias(n) for n, c in rules.items()]).drop("_utr_unique")
-    names = list(rules)
+    return with_validity(flagged, list(rules))
+
+
+def with_validity(flagged: DataFrame, names: list[str] | tuple[str, ...]) -> DataFrame:
+    """D16, D17, D21 from the rule columns (replaced if they are there already)."""
     valid = F.lit(True)
     for n in names:
         valid = valid & F.col(n)

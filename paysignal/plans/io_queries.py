@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paysignal.config import CONFIG_A
+from paysignal.config import CONFIG_A, STRICT_RULES
 from paysignal.functions.columns import inr_text
 from paysignal.operators import alerts, gold, scd2
-from paysignal.plans import incremental
+from paysignal.plans import dimension_store, gold_store, incremental, silver_store
 from paysignal.schema import RAW, RAW_COLUMNS
 from paysignal.session import shared_dir
 from paysignal.sources import files, storage, tables
@@ -212,7 +212,7 @@ KPI_FIRST = {"users": 10, "mules": 20, "merchants": 10}  # how many rows the rep
 def kpi_statement(db: str) -> str:
     return " UNION ALL ".join(
         f"SELECT '{kpi}' AS kpi, position, name, n, amount, risk FROM (SELECT *, CAST(row_number() OVER (ORDER BY {order}) AS INT) "
-        f"AS position FROM ({text.format(db=db)})) WHERE position <= {KPI_FIRST.get(kpi, 1_000_000)}"
+        f"AS position FROM ({text.format(db=db)}))" + (f" WHERE position <= {KPI_FIRST[kpi]}" if kpi in KPI_FIRST else "")
         for kpi, (order, text) in KPI_SQL.items()
     )
 
@@ -300,6 +300,82 @@ def rescore_cleared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read("scored").select(*SCORED_OUT)
 
 
+def _thirds(df: DataFrame, *by: str):
+    """The rows in three batches, by a hash."""
+    lot = F.pmod(F.xxhash64(*by), F.lit(3))
+    return [df.filter(lot == k) for k in range(3)]
+
+
+def silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D3 U4: dirty rows in three batches, one of them delivered twice; copies of a UTR
+    come in different batches and take back the validity of stored rows."""
+    store = storage.TableStore(spark, scratch(spark, "silver"))
+    batches = _thirds(tables.dirty_raw_transactions(spark, sf_dir), "transaction_id", "timestamp")
+    for number in (0, 1, 1, 2):
+        silver_store.step(store, batches[number], number, tables.DIRTY_AS_OF, buckets=16)
+    return silver_store.checked(store).select("transaction_id", "utr_number", *STRICT_RULES, "_is_valid")
+
+
+def silver_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs of the Silver stream over Bronze files, each in several batches."""
+    base = scratch(spark, "silver-stream")
+    store = storage.TableStore(spark, base)
+    first, second, third = _thirds(tables.dirty_raw_transactions(spark, sf_dir), "utr_number")
+    for arrived in (first.unionByName(second), third):
+        arrived.repartition(4).write.mode("append").parquet(f"{base}/bronze")
+        silver_store.stream_silver(
+            spark, store, f"{base}/bronze", f"{base}/_checkpoint", tables.DIRTY_AS_OF, buckets=16, max_files_per_trigger=2
+        )
+    return silver_store.silver(store).select(*RAW_COLUMNS)
+
+
+def scd2_bucketed_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First load, one step and a step without changes on the bucketed store."""
+    from paysignal.plans.queries import SCD2_AS_OF
+
+    store = storage.TableStore(spark, scratch(spark, "dim-store"))
+    snapshots = tables.customer_snapshot0(spark, sf_dir), *[tables.customer_snapshot1(spark, sf_dir)] * 2
+    for snapshot, day in zip(snapshots, SCD2_AS_OF):
+        dimension_store.step(store, snapshot, day, buckets=16)
+    return dimension_store.dimension(store)
+
+
+def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold marts from partials, after a day left Silver, the dates
+    around it were rescored and only their partials made anew."""
+    store = storage.TableStore(spark, scratch(spark, "gold-store"))
+    silver = tables.transactions(spark, sf_dir)
+    store.write("scored", _scored(spark, sf_dir).select(*SCORED_OUT), partition_by=["transaction_date"])
+    gold_store.refresh(store, store.read("scored"))
+    left = silver.filter(F.to_date("timestamp") != F.lit(CLEARED_DAY).cast("date"))
+    incremental.rescore_into(store, left, "scored", *CLEARED_RANGE, CONFIG_A)
+    gold_store.refresh(store, store.read("scored"), *CLEARED_RANGE)
+    return gold_report(gold_store.marts(store))
+
+
+def gold_report(marts: dict[str, DataFrame]) -> DataFrame:
+    """All marts as rows of one table: mart, key, day, n, amount, score, users, devices, cities."""
+    nothing = {"key": "string", "day": "date", "n": "long", "amount": "double", "score": "double", "users": "long", "devices": "long", "cities": "long"}
+    taken = {
+        "mule_accounts": dict(key="user_id", n="flagged_transaction_count", score="max_risk_score", devices="distinct_devices", cities="distinct_cities"),
+        "merchant_kpi": dict(key="merchant_category", day="transaction_date", n="fraud_transaction_count", amount="fraud_amount",
+                             score="avg_risk_score", users="distinct_users"),
+        "total": dict(n="total_fraud_transactions", amount="total_fraud_amount", score="avg_fraud_risk"),
+        "daily": dict(day="transaction_date", n="fraud_count", amount="fraud_amount"),
+        "city": dict(key="location_city", n="fraud_count", amount="fraud_amount"),
+        "hour": dict(key="txn_hour", n="fraud_count", amount="fraud_amount"),
+        "merchant": dict(key="merchant_category", n="fraud_count", amount="fraud_amount", score="avg_risk_score"),
+        "city_users": dict(key="location_city", n="fraud_count", amount="fraud_amount", users="unique_users"),
+        "users": dict(key="user_id", n="fraud_txn_count", amount="fraud_amount", score="max_risk_score"),
+    }
+    out = None
+    for mart, columns in taken.items():
+        values = [(F.col(columns[c]) if c in columns else F.lit(None)).cast(kind).alias(c) for c, kind in nothing.items()]
+        rows = marts[mart].select(F.lit(mart).alias("mart"), *values)
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def scd2_versioned_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Version 1 = initial load, version 2 = one SCD2 step, then a
     no-op step that must not write; returns the current version."""
@@ -347,4 +423,8 @@ def io_queries() -> dict:
         "inr_format": inr_format,
         "incremental_score": incremental_score,
         "scd2_versioned_write": scd2_versioned_write,
+        "scd2_bucketed_write": scd2_bucketed_write,
+        "silver_incremental": silver_incremental,
+        "silver_stream": silver_stream,
+        "gold_incremental": gold_incremental,
     }

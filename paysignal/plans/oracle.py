@@ -582,6 +582,33 @@ def _catalog_kpis() -> str:
     )
 
 
+def _gold_report() -> str:
+    """All marts of the scores without one day, as rows of one table."""
+    m, mean = money(f"SUM({cents()})"), ratio("SUM(risk_score)", "COUNT(risk_score)")
+    day, merchant, top = "transaction_date", "merchant_category", "CAST(MAX(risk_score) AS DOUBLE)"
+    parts = {
+        "mule_accounts": ("user_id", None, "SUM(flagged_transaction_count)", None, "CAST(MAX(max_risk_score) AS DOUBLE)", None,
+                          "MAX(distinct_devices)", "MAX(distinct_cities)", "mules", "user_id"),
+        "merchant_kpi": (merchant, day, "COUNT(*)", m, mean, "COUNT(DISTINCT user_id)", None, None, "fraud", f"{day}, {merchant}"),
+        "total": (None, None, "COUNT(*)", m, mean, None, None, None, "fraud", None),
+        "daily": (None, day, "COUNT(*)", m, None, None, None, None, "fraud", day),
+        "city": ("location_city", None, "COUNT(*)", m, None, None, None, None, "fraud", "location_city"),
+        "hour": ('CAST(hour("timestamp") AS VARCHAR)', None, "COUNT(*)", m, None, None, None, None, "fraud", 'hour("timestamp")'),
+        "merchant": (merchant, None, "COUNT(*)", m, mean, None, None, None, "fraud", merchant),
+        "city_users": ("location_city", None, "COUNT(*)", m, None, "COUNT(DISTINCT user_id)", None, None, "fraud", "location_city"),
+        "users": ("user_id", None, "COUNT(*)", m, top, None, None, None, "fraud", "user_id"),
+    }
+    kinds = ("VARCHAR", "DATE", "BIGINT", "DOUBLE", "DOUBLE", "BIGINT", "BIGINT", "BIGINT")
+    names = ("key", "day", "n", "amount", "score", "users", "devices", "cities")
+    rows = " UNION ALL ".join(
+        f"SELECT '{mart}' AS mart, " + ", ".join(f"CAST({x or 'NULL'} AS {k}) AS {c}" for x, k, c in zip(values, kinds, names))
+        + f" FROM {source}" + (f" GROUP BY {by}" if by else "")
+        for mart, (*values, source, by) in parts.items()
+    )
+    ctes = scored_ctes(CONFIG_A, "left_").replace("fraud AS (", MULES + ",\nfraud AS (", 1)
+    return f"WITH {TX},\nleft_ AS (SELECT * FROM tx WHERE CAST(\"timestamp\" AS DATE) <> DATE '2024-01-15'),{ctes}\n{rows}"
+
+
 def io_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["bronze_stream"] = f"WITH {TX},{DIRTY}\nSELECT DISTINCT {BRONZE_SELECT} FROM dirty"
@@ -619,6 +646,11 @@ def io_sql() -> dict[str, str]:
         f"SELECT {SCORED_COLUMNS} FROM scored2 WHERE transaction_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'"
     )
     q["scd2_versioned_write"] = scd2_alert_queries()["scd2_apply"]
+    q["scd2_bucketed_write"] = q["scd2_versioned_write"]
+    q["silver_incremental"] = quality_queries()["dq_flags"]
+    strict = checked_ctes("dirty", "chk", _strict_rules(), STRICT_RULES)
+    q["silver_stream"] = f"WITH {TX},{DIRTY},{strict}\nSELECT {SILVER_SELECT} FROM chk WHERE _is_valid"
+    q["gold_incremental"] = _gold_report()
     # Indian grouping without look-around: reverse the leading digits, comma every two, reverse back
     grouped = (
         "CASE WHEN length(ip) <= 3 THEN ip ELSE reverse(rtrim(regexp_replace(reverse(left(ip, length(ip) - 3)), "

@@ -11,15 +11,19 @@ file system (the root is typically under the cluster's shared folder).
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 VERSION_PREFIX = "v="
 # A version that carries partitions of earlier ones over lists all its partition
 # folders in this file, relative to the table's folder.
 MANIFEST = "_manifest"
+# The schema of a partitioned table, for versions without any file of rows.
+SCHEMA = "_schema"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -50,6 +54,17 @@ def read_lines(spark: SparkSession, path: str) -> list[str]:
     return [x for x in text.split("\n") if x]
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def written_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes under ``path``."""
+    fs, p = _fs(spark, path)
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+
+
 def write_lines(spark: SparkSession, path: str, lines: Sequence[str]) -> None:
     fs, p = _fs(spark, path)
     stream = fs.create(p, False)
@@ -99,12 +114,21 @@ class TableStore:
 
     def read(self, name: str, version: int | None = None) -> DataFrame:
         path = self.path(name, version)
+        if path_exists(self.spark, f"{path}/{SCHEMA}") and self.is_empty(name, version):
+            return self.spark.createDataFrame([], T.StructType.fromJson(json.loads(read_lines(self.spark, f"{path}/{SCHEMA}")[0])))
         if not path_exists(self.spark, f"{path}/{MANIFEST}"):
             return self.spark.read.parquet(path)
         column = VERSION_PREFIX.rstrip("=")
         folders = [f"{self.table_path(name)}/{x}" for x in read_lines(self.spark, f"{path}/{MANIFEST}")]
         return self.spark.read.option("basePath", self.table_path(name)).parquet(*folders).drop(column)
 
+    def is_empty(self, name: str, version: int | None = None) -> bool:
+        """The version holds no file of rows (a partitioned table without rows has none)."""
+        path = self.path(name, version)
+        if path_exists(self.spark, f"{path}/{MANIFEST}"):
+            return not read_lines(self.spark, f"{path}/{MANIFEST}")
+        return all(x.startswith(("_", ".")) for x in list_dir(self.spark, path))
+
     def partitions(self, name: str, version: int | None = None) -> list[str]:
         """Partition folders of a version, relative to the table's folder."""
         path = self.path(name, version)
@@ -135,16 +159,21 @@ class TableStore:
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(f"{self.table_path(name)}/{VERSION_PREFIX}{version:08d}")
+        if partition_by:
+            write_lines(self.spark, f"{self.table_path(name)}/{VERSION_PREFIX}{version:08d}/{SCHEMA}", [df.schema.json()])
         return version
 
-    def replace_partitions(self, name: str, df: DataFrame, partition_by: str, replaced: Callable[[str], bool]) -> int:
+    def replace_partitions(
+        self, name: str, df: DataFrame, partition_by: str, replaced: Callable[[str], bool], base: int | None = None
+    ) -> int:
         """The next version: ``df`` instead of the partitions whose value is
         ``replaced`` (those without new rows go), all others carried over by
-        reference. Readers see the old version until the new one's manifest and
-        marker are in place."""
+        reference from version ``base`` (the current one). Rows of a partition that
+        is not replaced are added to it, in a folder of their own. Readers see the old
+        version until the new one's manifest and marker are in place."""
         if not self.exists(name):
             return self.write(name, df, [partition_by])
-        carried = [x for x in self.partitions(name) if not replaced(x.rsplit("=", 1)[-1])]
+        carried = [x for x in self.partitions(name, base) if not replaced(x.rsplit("=", 1)[-1])]
         version = self.current_version(name) + 1
         existing = list_dir(self.spark, self.table_path(name))
         while f"{VERSION_PREFIX}{version:08d}" in existing:  # an uncommitted attempt: skip it
@@ -159,8 +188,7 @@ class TableStore:
             .parquet(path)
         )
         new = [f"{own}/{x}" for x in list_dir(self.spark, path) if "=" in x]
-        if not carried and not new:
-            raise ValueError(f"table {name!r} would hold no partition")
+        write_lines(self.spark, f"{path}/{SCHEMA}", [df.schema.json()])
         write_lines(self.spark, f"{path}/{MANIFEST}", sorted(carried + new))
         write_lines(self.spark, f"{path}/_SUCCESS", [])
         return version
@@ -178,9 +206,10 @@ class TableStore:
             column = folders[0].rsplit("/", 1)[-1].split("=", 1)[0]
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.read(name).schema.fields)
             self.spark.sql(f"CREATE TABLE {qualified} ({columns}) USING parquet PARTITIONED BY (`{column}`) LOCATION '{location}'")
-            for x in folders:
-                value = x.rsplit("=", 1)[-1]
-                self.spark.sql(f"ALTER TABLE {qualified} ADD PARTITION (`{column}`='{value}') LOCATION '{self.table_path(name)}/{x}'")
+            added = " ".join(
+                f"PARTITION (`{column}`='{x.rsplit('=', 1)[-1]}') LOCATION '{self.table_path(name)}/{x}'" for x in folders
+            )
+            self.spark.sql(f"ALTER TABLE {qualified} ADD {added}")
             return f"{database}.{table}"
         self.spark.sql(f"CREATE TABLE {qualified} USING parquet LOCATION '{location}'")
         if any(c.isPartition for c in self.spark.catalog.listColumns(f"{database}.{table}")):
