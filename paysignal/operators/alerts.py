@@ -84,11 +84,11 @@ def filter_transactions(
     if amount_max is not None:
         cond = cond & coalesce_false(F.col("amount") <= F.lit(float(amount_max)))
     if user_query:
-        uid = F.lower(F.col("user_id").cast("string"))
-        if user_regex:
-            cond = cond & coalesce_false(uid.rlike(user_query.lower()))
+        uid = F.col("user_id").cast("string")
+        if user_regex:  # the pattern as it is: lower-casing it would turn \\D into \\d
+            cond = cond & coalesce_false(uid.rlike("(?iu)" + user_query))
         else:
-            cond = cond & coalesce_false(uid.contains(user_query.lower()))
+            cond = cond & coalesce_false(F.lower(uid).contains(user_query.lower()))
     if reasons is not None:
         if len(reasons) == 0:
             cond = cond & F.lit(False)

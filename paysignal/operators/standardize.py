@@ -55,6 +55,14 @@ def missing_required_columns(df: DataFrame) -> list[str]:
     return [c for c in REQUIRED_COLUMNS if c not in canonical]
 
 
+def missing_report(df: DataFrame) -> DataFrame:
+    """P4 with the rows it concerns: (column, absent, null_rows) for each required column; absent ones are NULL in every row."""
+    absent = set(missing_required_columns(df))
+    counts = standardize(df).agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in REQUIRED_COLUMNS])
+    stack = ", ".join(f"'{c}', {str(c in absent).lower()}, `{c}`" for c in REQUIRED_COLUMNS)
+    return counts.select(F.expr(f"stack({len(REQUIRED_COLUMNS)}, {stack}) AS (column, absent, null_rows)"))
+
+
 def _timestamp(c: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return c.cast("timestamp")

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from paysignal.config import CONFIG_A, STRICT_RULES
 from paysignal.functions.columns import inr_text
 from paysignal.operators import alerts, gold, scd2
-from paysignal.plans import dimension_store, gold_store, incremental, silver_store
+from paysignal.plans import bundle, dimension_store, gold_store, incremental, silver_store
 from paysignal.schema import RAW, RAW_COLUMNS
 from paysignal.session import shared_dir
 from paysignal.sources import files, storage, tables
@@ -262,14 +262,73 @@ def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
+STORED_LIMIT = 50
+
+
 def precomputed_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prefer a stored scored output, keeping only is_fraud rows."""
-    store = storage.TableStore(spark, scratch(spark, "gold"))
-    if not store.exists("fraud_scored"):
-        store.write("fraud_scored", _scored(spark, sf_dir).select(*SCORED_OUT))
-    stored = store.read("fraud_scored")
-    out = stored.filter(F.col("is_fraud")) if "is_fraud" in stored.columns else gold.fraud_transactions(_scored(spark, sf_dir))
-    return out.select(*SCORED_OUT)
+    """Gold of two sites. One has transactions only, and its Gold is computed. The
+    other also has a stored output (which flags fewer rows), found after an empty
+    one in a folder that is looked at before, and its Gold is that output's flagged rows."""
+    base = scratch(spark, "site")
+    raw = tables.dirty_raw_transactions(spark, sf_dir)
+    out = None
+    for branch in ("computed", "stored"):
+        site = f"{base}/{branch}"
+        raw.write.option("header", True).csv(f"{site}/sample_data/upi_transactions.csv")
+        if branch == "stored":
+            scored = bundle.bundle_from_root(spark, site, as_of=tables.DIRTY_AS_OF, cfg=CONFIG_A).scored
+            scored = scored.select("transaction_id", "user_id", "amount", "risk_score", "risk_level")
+            kept = scored.withColumn("is_fraud", F.col("risk_score") >= STORED_LIMIT)
+            kept.limit(0).write.option("header", True).csv(f"{site}/sample_data/fraud_transactions.csv")
+            kept.write.option("header", True).csv(f"{site}/delta/gold/fraud_transactions.csv")
+        found = bundle.bundle_from_root(spark, site, as_of=tables.DIRTY_AS_OF, cfg=CONFIG_A)
+        rows = found.gold.select(
+            F.lit(branch).alias("branch"), F.lit(found.stored_gold_detected).alias("stored_gold"), "transaction_id", "user_id",
+            F.col("amount").cast("double").alias("amount"), F.col("risk_score").cast("int").alias("risk_score"), "risk_level",
+        )
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def csv_own_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files under three headers (in order; reversed, with one more column; without
+    failure_reason, names in upper case) in two runs of one stream, each by its own."""
+    base = scratch(spark, "own-headers")
+    raw = tables.raw_transactions(spark, sf_dir)
+    upper = [c for c in RAW_COLUMNS if c != "failure_reason"]
+    kinds = (
+        raw,
+        raw.select(*reversed(RAW_COLUMNS[6:]), F.lit("a, b").alias("channel"), *reversed(RAW_COLUMNS[:6])),
+        raw.select(*[F.col(c).alias(c.upper()) for c in upper]),
+    )
+    for runs in ((0, 1), (2,)):
+        for k in runs:
+            name = "transaction_id" if k < 2 else "TRANSACTION_ID"
+            kinds[k].filter(F.substring(name, 5, 20).cast("long") % 3 == k).repartition(2).write.option("header", True).csv(f"{base}/in/kind{k}")
+        bronze.run_bronze(
+            spark, f"{base}/in/*", f"{base}/bronze", f"{base}/_checkpoint", max_files_per_trigger=3, by_own_header=True
+        )
+    return _typed_bronze(spark.read.parquet(f"{base}/bronze"))
+
+
+def silver_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver and the quarantine written by status, and the rows of each status read back from its folder."""
+    from paysignal.plans import silver as silver_plan
+
+    store = storage.TableStore(spark, scratch(spark, "by-status"))
+    frames = silver_plan.build(tables.dirty_raw_transactions(spark, sf_dir), as_of=tables.DIRTY_AS_OF, dedup_first=False)
+    bad = frames.quarantine.select("transaction_id", "utr_number", F.upper("status").alias("status"), "quarantine_reason")
+    store.write("silver", frames.silver.select("transaction_id", "utr_number", "status"), ["status"])
+    store.write("quarantine", bad, ["status"])
+    layers = {"silver": store.read("silver").withColumn("quarantine_reason", F.lit("")), "quarantine": store.read("quarantine")}
+    out = None
+    for layer, rows in layers.items():
+        for status in ("SUCCESS", "FAILED", None):
+            other = F.coalesce(~F.col("status").isin("SUCCESS", "FAILED"), F.lit(True))
+            part = rows.filter(other if status is None else F.col("status") == status)
+            part = part.select(F.lit(layer).alias("layer"), "status", "transaction_id", "utr_number", "quarantine_reason")
+            out = part if out is None else out.unionByName(part)
+    return out
 
 
 def inr_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -411,6 +470,8 @@ def io_queries() -> dict:
         "stream_dedup": stream_dedup,
         "stream_late": stream_late,
         "csv_by_name": csv_by_name,
+        "csv_own_headers": csv_own_headers,
+        "silver_by_status": silver_by_status,
         "multi_format_read": multi_format_read,
         "json_envelope": json_envelope,
         "csv_export": csv_export,

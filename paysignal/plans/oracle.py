@@ -22,6 +22,7 @@ from paysignal.config import (
     STRICT_VPA,
     RuleConfig,
 )
+from paysignal.schema import REQUIRED_COLUMNS
 from paysignal.sources.tables import DIRTY_AS_OF
 
 TX = """
@@ -369,6 +370,13 @@ SELECT transaction_id, utr_number, user_id, TRY_CAST(strftime("timestamp", {TS_F
   device_id, ip_address, upper(lower(status)) AS status, '' AS failure_reason, location_city AS payer_location,
   location_city AS payee_location, false AS device_change_flag, 'Synthetic Data' AS data_origin
 FROM tx"""
+    wanted = {c: f"COUNT(*) FILTER (WHERE {'\"timestamp\"' if c == 'timestamp' else c} IS NULL)" for c in REQUIRED_COLUMNS}
+    held = ("transaction_id", "user_id", "timestamp", "amount", "status")
+    q["missing_columns"] = f"WITH {TX},{DIRTY},{STANDARD}\n" + " UNION ALL ".join(
+        f"SELECT '{kind}' AS input, '{c}' AS \"column\", {str(kind == 'export' and c not in held).lower()} AS absent, "
+        f"{n if kind == 'all' or c in held else 'COUNT(*)'} AS null_rows FROM std"
+        for kind in ("export", "all") for c, n in wanted.items()
+    )
     q["dq_flags"] = head + f"SELECT transaction_id, utr_number, {', '.join(STRICT_RULES)}, _is_valid FROM chk"
     q["dq_valid"] = head + f", v AS ({_keep_first('SELECT * FROM chk WHERE _is_valid')})\nSELECT {SILVER_SELECT} FROM v"
     q["dq_quarantine"] = head + "SELECT transaction_id, utr_number, quarantine_reason FROM chk WHERE NOT _is_valid"
@@ -529,7 +537,7 @@ FROM scored2 t LEFT JOIN dim1 v ON t.user_id = v.user_id AND v.effective_start_d
     q["scd2_current"] = head + "SELECT COUNT(*) AS active_customer_count FROM dim1 WHERE is_current"
     q["filter_transactions"] = with_scored(f"SELECT {SCORED_COLUMNS} FROM scored2 WHERE {FILTER_WHERE}")
     q["filter_regex"] = with_scored(
-        f"SELECT {SCORED_COLUMNS} FROM scored2 WHERE status = 'FAILED' AND regexp_matches(lower(user_id), '^[13]0?[2-6]$')"
+        f"SELECT {SCORED_COLUMNS} FROM scored2 WHERE status = 'FAILED' AND regexp_matches(user_id, '^[13]\\d*[2-6]$|^\\D|^\\S0\\w$', 'i')"
     )
     q["filtered_kpis"] = with_scored(
         f"SELECT COUNT(*) AS filtered_transactions, COUNT(*) FILTER (WHERE is_fraud) AS fraud_transactions, "
@@ -634,7 +642,24 @@ def io_sql() -> dict[str, str]:
     q["json_envelope"] = f"WITH {TX}\nSELECT {RAW_SELECT} FROM tx"
     q["csv_export"] = with_scored(f"SELECT {HIGH_RISK_COLS} FROM fraud")
     q["partitioned_write"] = with_scored(f"SELECT {SCORED_COLUMNS} FROM fraud")
-    q["precomputed_gold"] = q["partitioned_write"]
+    lenient = checked_ctes("std", "len", _lenient_rules(), LENIENT_RULES)
+    stored = "transaction_id, user_id, amount, risk_score, risk_level FROM scored2 WHERE"
+    q["precomputed_gold"] = (
+        f"WITH {TX},{DIRTY},{STANDARD},{lenient},\nlsilver AS ({_keep_first('SELECT * FROM len WHERE _is_valid')}),\n"
+        f"lsilver2 AS (SELECT {SILVER_SELECT} FROM lsilver),{scored_ctes(CONFIG_A, 'lsilver2')}\n"
+        f"SELECT 'computed' AS branch, false AS stored_gold, {stored} is_fraud UNION ALL "
+        f"SELECT 'stored', true, {stored} risk_score >= 50"
+    )
+    q["csv_own_headers"] = (
+        f"WITH {TX},\ntx2 AS (SELECT * REPLACE (CASE WHEN CAST(substr(transaction_id, 5) AS BIGINT) % 3 < 2 THEN failure_reason END "
+        f"AS failure_reason, CAST(amount AS VARCHAR) AS amount) FROM tx)\nSELECT {BRONZE_SELECT} FROM tx2"
+    )
+    q["silver_by_status"] = (
+        f"WITH {TX},{DIRTY},{checked_ctes('dirty', 'chk', _strict_rules(), STRICT_RULES)},\n"
+        f"v AS ({_keep_first('SELECT * FROM chk WHERE _is_valid')})\n"
+        "SELECT 'silver' AS layer, upper(status) AS status, transaction_id, utr_number, '' AS quarantine_reason FROM v "
+        "UNION ALL SELECT 'quarantine', upper(status), transaction_id, utr_number, quarantine_reason FROM chk WHERE NOT _is_valid"
+    )
     q["clustered_write"] = with_scored("SELECT * FROM mules").replace("fraud AS (", MULES + ",\nfraud AS (", 1)
     q["catalog_tables"] = scoring_queries()["kpi_top_merchants"]
     q["catalog_kpis"] = with_scored(_catalog_kpis()).replace("fraud AS (", MULES + ",\nfraud AS (", 1)

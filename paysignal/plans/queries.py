@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from paysignal.config import CONFIG_A, LENIENT, LENIENT_RULES, STRICT, STRICT_RULES
 from paysignal.functions.columns import present, round_ratio
 from paysignal.operators import alerts, asof, dedup, dense, gold, kpi, quality, rules, scd2
-from paysignal.operators.standardize import standardize
+from paysignal.operators.standardize import missing_report, standardize
 from paysignal.plans import bundle
 from paysignal.plans import silver as silver_plan
 from paysignal.sources import tables
@@ -178,9 +178,20 @@ def dedup_large(spark: SparkSession, sf_dir: str) -> DataFrame:
     return valid.withColumn("status", F.upper("status")).select(*silver_plan.SILVER_COLUMNS)
 
 
+def missing_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Required columns that inputs lack, and rows without a value of each:
+    an export of six columns under other names, and all columns of dirty rows."""
+    raw = dirty(spark, sf_dir)
+    export = raw.select(F.col("transaction_id").alias("TXN_ID"), F.col("user_id").alias("upi_id"), F.col("timestamp").alias(" Event_Time"),
+                        F.col("amount").alias("txn_amount"), "status", "ip_address")
+    parts = [missing_report(df).select(F.lit(name).alias("input"), "*") for name, df in (("export", export), ("all", raw))]
+    return parts[0].unionByName(parts[1])
+
+
 def quality_queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
     q["standardize_aliases"] = lambda s, d: standardize(aliased_raw(s, d)).select(*STANDARD_COLUMNS)
+    q["missing_columns"] = missing_columns
     q["dq_flags"] = lambda s, d: checked(s, d).select("transaction_id", "utr_number", *STRICT_RULES, "_is_valid")
     q["dq_flags_large"] = lambda s, d: quality.add_quality_rules(dirty(s, d), STRICT, AS_OF, small_input_bytes=0).select(
         "transaction_id", "utr_number", *STRICT_RULES, "_is_valid"
@@ -265,6 +276,7 @@ FILTER_ARGS = dict(
     user_query="1",
     reasons=["Geo anomaly", "Device mule check"],
 )
+USER_PATTERN = r"^[13]\d*[2-6]$|^\D|^\S0\w$"  # \D, \S and \w would mean something else in lower case
 SEARCH_TEXT = "utr-77"  # a text that only utr_number holds
 
 
@@ -315,7 +327,7 @@ def alert_queries() -> dict[str, Query]:
         scored(s, d), **FILTER_ARGS
     ).select(*SCORED_COLUMNS)
     q["filter_regex"] = lambda s, d: alerts.filter_transactions(
-        scored(s, d), statuses=["FAILED"], risk_levels=None, user_query="^[13]0?[2-6]$", user_regex=True
+        scored(s, d), statuses=["FAILED"], risk_levels=None, user_query=USER_PATTERN, user_regex=True
     ).select(*SCORED_COLUMNS)
     q["filtered_kpis"] = lambda s, d: kpi.filtered(alerts.filter_transactions(scored(s, d), **FILTER_ARGS))
     q["alert_queue"] = lambda s, d: alerts.alert_queue(fraud(s, d), "risk_score", 100)

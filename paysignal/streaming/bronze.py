@@ -25,8 +25,9 @@ then dropped, rows with a NULL event time never, and the run reports how many
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from paysignal.schema import RAW, RAW_COLUMNS
@@ -47,6 +48,8 @@ def read_source_stream(
     reader = spark.readStream.option("pathGlobFilter", pattern)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    if fmt == "landed":
+        return reader.schema(T.StructType([*RAW.fields, T.StructField("_source_file", T.StringType())])).parquet(f"{root}/*")
     if fmt != "csv":
         return reader.schema(RAW).format(fmt).load(root)
     # columns by their header names: the first file's header, to which every file is held
@@ -55,6 +58,55 @@ def read_source_stream(
     return found.select(*kept, F.col("_metadata.file_path").alias("_source_file"))
 
 
+def own_headers(rows: DataFrame) -> DataFrame:
+    """Lines ``value, _source_file, _block, _line`` of CSV files to RAW_COLUMNS and
+    ``_source_file``, every file by its own header (its first line that is not blank):
+    columns in any order, missing ones NULL, further ones left out.
+
+    Lines are split by Spark's CSV parser into fields by place, and each name's place
+    comes from the file's header, one row a file. Records on several lines are not supported."""
+    lines = rows.filter(F.trim("value") != "")
+    heads = lines.filter("_block = 0").groupBy("_source_file").agg(F.min(F.struct("_line", "value")).alias("_h"))
+    heads = heads.select("_source_file", F.col("_h._line").alias("_head_line"), F.col("_h.value").alias("_head"))
+    width = heads.agg(F.max(F.size(F.split("_head", ",")))).first()[0] or 1
+    places = ", ".join(f"c{i} string" for i in range(width))
+
+    def fields(text: str) -> Column:
+        parsed = F.from_csv(F.col(text), places, {"mode": "PERMISSIVE"})
+        return F.array(*[parsed[f"c{i}"] for i in range(width)])
+
+    names = F.transform(fields("_head"), lambda x: F.lower(F.trim(F.regexp_replace(x, "^\ufeff", ""))))
+    heads = heads.select("_source_file", "_head_line", names.alias("_names"))
+    joined = lines.join(heads, "_source_file").filter("_line <> _head_line").select("_source_file", "_names", fields("value").alias("_f"))
+    at = {c: F.array_position("_names", c).cast("int") for c in RAW_COLUMNS}
+    return joined.select(*[F.when(at[c] > 0, F.get("_f", at[c] - 1)).alias(c) for c in RAW_COLUMNS], "_source_file")
+
+
+def land_csv(
+    spark: SparkSession, source_root: str, landing: str, checkpoint: str, pattern: str = "*.csv", max_files_per_trigger: int | None = None
+) -> int:
+    """New files under ``source_root`` to Parquet in ``landing``, every file by its own header.
+
+    A micro-batch is written to a folder named by its number, over what an attempt
+    before it left, so that each file lands once. Returns the number of batches."""
+    reader = spark.readStream.option("pathGlobFilter", pattern)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    lines = reader.text(source_root).select(
+        "value", F.col("_metadata.file_path").alias("_source_file"), F.col("_metadata.file_block_start").alias("_block")
+    )
+    done = []
+
+    def land(rows: DataFrame, number: int) -> None:
+        numbered = rows.withColumn("_line", F.monotonically_increasing_id())
+        own_headers(numbered).write.mode("overwrite").parquet(f"{landing}/batch={number:08d}")
+        done.append(number)
+
+    query = lines.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return len(done)
+
+
 def dedup_key() -> F.Column:
     """transaction_id, or for a NULL id the whole raw row (exact: identical
     bad copies collapse, distinct ones survive; same rule as batch dedup)."""
@@ -103,10 +155,15 @@ def run_bronze(
     max_files_per_trigger: int | None = None,
     state_store: str = "rocksdb",
     drop_late: bool = False,
+    by_own_header: bool = False,
 ) -> dict:
     """One incremental run; returns batches and rows of this run, and the
     rows that the watermark dropped as late.
 
+    ``by_own_header`` reads every file by its own header (``land_csv``, into a folder
+    beside the checkpoint), so that the header may change between files; otherwise
+    a file whose header differs from the first one's ends the run with an error.
+
     ``state_store="rocksdb"`` (default) keeps the dedup state on local disk
     with checkpointed changelogs instead of executor heap; the provider is
     fixed when a checkpoint is created. ``"memory"`` keeps Spark's default."""
@@ -115,7 +172,12 @@ def run_bronze(
     before = spark.conf.get(name, None)
     spark.conf.set(name, provider)
     try:
-        stream = read_source_stream(spark, source_root, pattern, max_files_per_trigger)
+        if by_own_header:
+            landing = f"{checkpoint.rstrip('/')}-landing"
+            land_csv(spark, source_root, landing, f"{checkpoint.rstrip('/')}-landed", pattern, max_files_per_trigger)
+            stream = read_source_stream(spark, landing, "*.parquet", max_files_per_trigger, "landed")
+        else:
+            stream = read_source_stream(spark, source_root, pattern, max_files_per_trigger)
         rows = prepare_bronze(stream, watermark, within_watermark, drop_late)
         query = write_bronze_stream(rows, checkpoint, bronze_path)
     finally:

@@ -122,7 +122,7 @@ def test_a_dimension_step_writes_touched_buckets_only(spark, store):
     added = [spark.read.parquet(store.path(dimension_store.HISTORY, v)).count() for v in (1, 2)]
     assert added == [3000, 1]
     versions = store.versions(dimension_store.CURRENT)
-    assert dimension_store.step(store, customers(spark, 10), "2024-04-01", buckets=64)["action"] == "no-op"
+    assert dimension_store.step(store, customers(spark, 5, lambda i: "B"), "2024-04-01", buckets=64)["action"] == "no-op"
     assert store.versions(dimension_store.CURRENT) == versions
 
 
