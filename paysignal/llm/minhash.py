@@ -2,8 +2,8 @@
 
 A document is the set of its word shingles. ``COORDINATES`` minwise hashes stand
 for the set: two sets agree in a coordinate with the probability of their
-Jaccard similarity. Documents with the same set are one class, and one of each
-class enters the join.
+Jaccard similarity. Documents with the same set are one class, and one text of each
+class enters the join; ids play no part in it.
 
 A tree splits the documents by the value of a coordinate that the node chooses;
 independent trees start from different coordinates. Members that are already
@@ -11,28 +11,32 @@ linked need no comparison with each other: a node whose members share one
 component is finished, and a node is small if at most ``SMALL`` members are
 outside its largest component. Small nodes are compared exhaustively, the
 members outside with all members. A larger node compares its members with its
-smallest, and then branches twice, each time by three further coordinates it
-chooses: a pair at the threshold stays together in one child with a
-probability of 0.8 ** 3, so about one child awaits it. A large group of copies thus ends after a star of comparisons and
-some for each stranger in its node, instead of all pairs. After ``DEPTH``
-levels the nodes that are left are compared exhaustively.
-
-Candidates must have sizes and 2-bit sketches that similar sets have (a pair at
-the threshold fails the sketch with a probability of about 1e-7); every link is
-confirmed on the full shingle sets. A document first has its best candidate
-confirmed, and pairs that this connects are not computed again. Texts travel to
-pairs by blocks of a component, not pair by pair.
+smallest, and then branches ``BRANCHES`` times, each time by ``TAKEN`` further
+coordinates it chooses. A large group of copies thus ends after a star of
+comparisons and some for each stranger in its node, instead of all pairs. After
+``DEPTH`` levels the nodes that are left are compared exhaustively. Trees are
+independent, and there are as many as the target recall asks (``trees_for``).
+
+Nodes are compared inside tasks, blocks of members against blocks, on set sizes
+and 2-bit sketches that similar sets have (a pair at the threshold fails the
+sketch with a probability of about 1e-7). What leaves a task is linear in its
+members: the candidate pairs, if they are no more than the members, or else the
+members that have a candidate. Every link is confirmed on the full shingle sets.
+Of the pairs a class first has its best candidate confirmed, and pairs that this
+connects are not computed again; members of a dense block meet again in one task
+with their texts, which gives one link for each two components it connects.
 
 Defined cases: null or wordless texts have an empty set and are linked with
 nothing; shorter texts than a shingle are one shingle, the whole sequence;
-null keys take no part in linking (component null, kept); rows that repeat a
-key are one document of the join; an empty table gives an empty result; texts
-of any length count whole.
+null keys take no part in linking (component null, kept); rows that repeat a key
+are documents of their own, linked by their texts alone; an empty table gives
+an empty result; texts of any length count whole.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,11 +51,14 @@ from paysignal.llm.scratch import Scratch
 from paysignal.llm.words import hash_words, mix64
 
 COORDINATES = 64
-TREES = 12
+#: Of the pairs at the threshold, the share that some tree shall bring together in a node that is compared exhaustively.
+RECALL = 0.99999
 SMALL = 256
 DEPTH = 6
-#: A branch takes so many further coordinates at once, and a node so many branches: about (1 / 0.8) ** 3 = 2.
-TAKEN, BRANCHES = 3, 2
+#: A branch takes so many further coordinates at once, and a node so many branches.
+TAKEN, BRANCHES = 3, 3
+#: Members of a block on either side, and shingles that a block with texts holds at most.
+ONES, ALLS, SHINGLES = 512, 2048, 4_000_000
 #: Coordinates (of 64) in which the 2-bit sketches of a candidate pair may differ.
 MOST_APART = 26
 #: Candidate keys up to this number (8 bytes each) are broadcast to pick their texts; more are joined by shuffle.
@@ -65,6 +72,14 @@ _TIMES = mix64(np.arange(1, COORDINATES + 1, dtype=np.uint64)) | np.uint64(1)
 _PLUS = mix64(np.arange(1001, COORDINATES + 1001, dtype=np.uint64))
 
 
+def trees_for(recall: float, similarity: float, depth: int = DEPTH) -> int:
+    """How many trees bring a pair of ``similarity`` together with a probability of ``recall``, if all nodes above the last level are large."""
+    meets = 1.0
+    for _ in range(depth - 1):
+        meets = 1 - (1 - similarity**TAKEN * meets) ** BRANCHES
+    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - similarity * meets)))
+
+
 def shingles(raws: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray]:
     """(hash of every shingle, shingles per text), repeats included."""
     h, counts, _ = hash_words(raws)
@@ -93,10 +108,11 @@ def sets(raws: list[bytes], words: int) -> list[np.ndarray]:
 
 
 def signatures(df: DataFrame, key: str, text: str, words: int) -> DataFrame:
-    """``key, n, digest`` (of the set), ``sig`` (minwise values) and the sketch planes ``s0, s1``; null beside n = 0."""
+    """``key, tid`` (of the text), ``n, digest`` (of the set), ``sig`` (minwise values) and the sketch planes ``s0, s1``; null beside n = 0."""
     schema = T.StructType(
         [
             T.StructField("key", df.schema[key].dataType),
+            T.StructField("tid", T.BinaryType()),
             T.StructField("n", T.LongType(), False),
             T.StructField("digest", T.BinaryType()),
             T.StructField("sig", T.ArrayType(T.IntegerType(), False)),
@@ -129,11 +145,15 @@ def signatures(df: DataFrame, key: str, text: str, words: int) -> DataFrame:
                 place[some] = np.arange(len(some))
                 take = pa.array(place, mask=place == len(some))
                 values = list_array(sig.view(np.int32).ravel(), np.full(len(some), COORDINATES), pa.int32())
-                columns = [part.column(0), pa.array(n), pa.array(digest, type=pa.binary()), values.take(take)]
+                columns = [part.column(0), part.column(1), pa.array(n), pa.array(digest, type=pa.binary()), values.take(take)]
                 columns += [pa.array(p.astype(np.uint64).view(np.int64)).take(take) for p in planes]
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return df.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, schema)
+    return df.select(F.col(key).alias("key"), text_id(text).alias("tid"), F.col(text).alias("text")).mapInArrow(run, schema)
+
+
+def text_id(text: str) -> Column:
+    return F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
 
 
 def intersections(left: list[np.ndarray], right: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -175,20 +195,142 @@ def confirmed(pairs: pa.Table, docs: pa.Table, words: int, least: tuple[int, int
     return pairs.select(["a", "b"]).filter(pa.array(keep))
 
 
-def _apart(x0: Column, x1: Column, y0: Column, y1: Column) -> Column:
-    return F.bit_count(x0.bitwiseXOR(y0).bitwiseOR(x1.bitwiseXOR(y1)))
+class _Groups:
+    """Rows sorted by ``grp, side`` (0: one, 1: all), as columns of whole groups."""
+
+    def __init__(self, table: pa.Table, least: tuple[int, int]):
+        number = lambda name: table[name].to_numpy()
+        self.table, self.grp, self.side, self.n = table, number("grp"), number("side"), number("n")
+        self.s0, self.s1, self.least = number("s0").view(np.uint64), number("s1").view(np.uint64), least
+        self.label = np.frombuffer(b"".join(x[:8] for x in table["label"].to_pylist()), dtype="<u8")
+        self.start = np.flatnonzero(np.concatenate(([True], self.grp[1:] != self.grp[:-1])))
+        self.ones = np.add.reduceat((self.side == 0).astype(np.int64), self.start)
+        self.size = np.diff(np.append(self.start, len(self.grp)))
+
+    def candidates(self, most: int = 1 << 21) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(place among the groups, one, all): the pairs that may be similar, of some whole groups at a time."""
+        cost = np.cumsum(self.ones * (self.size - self.ones))
+        at = 0
+        while at < len(cost):
+            to = max(at + 1, int(np.searchsorted(cost, (cost[at - 1] if at else 0) + most, side="right")))
+            of = np.repeat(np.arange(at, to), self.ones[at:to])
+            one = ragged(self.start[at:to], self.ones[at:to])
+            alls = (self.size - self.ones)[of]
+            other = ragged((self.start + self.ones)[of], alls)
+            one, of = np.repeat(one, alls), np.repeat(of, alls)
+            low, high = np.minimum(self.n[one], self.n[other]), np.maximum(self.n[one], self.n[other])
+            fit = (self.label[one] != self.label[other]) & (low * self.least[1] >= high * self.least[0])
+            of, one, other = of[fit], one[fit], other[fit]
+            fit = self.apart(one, other) <= MOST_APART
+            yield of[fit], one[fit], other[fit]
+            at = to
+
+    def apart(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        return np.bitwise_count((self.s0[x] ^ self.s0[y]) | (self.s1[x] ^ self.s1[y])).astype(np.int64)
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch], rows: int = 20_000) -> Iterator[pa.Table]:
+    """Sorted rows as tables that end where a group ends."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        if sum(x.num_rows for x in held) < rows:
+            continue
+        table = pa.Table.from_batches(held).combine_chunks()
+        grp = table["grp"].to_numpy()
+        cut = int(np.searchsorted(grp, grp[-1], side="left"))
+        if cut:
+            yield table.slice(0, cut)
+        held = table.slice(cut).to_batches()
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+_SCREENED = pa.schema(
+    [("a", pa.binary()), ("b", pa.binary()), ("apart", pa.int64()), ("grp", pa.int64()), ("side", pa.int32()), ("rep", pa.binary()),
+     ("label", pa.binary()), ("n", pa.int64()), ("s0", pa.int64()), ("s1", pa.int64())]
+)
+
+
+def screened(least: tuple[int, int]):
+    """Groups of members to candidate pairs ``a, b, apart`` or, where these are more than the members, to the members that have one."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_groups(batches):
+            groups = _Groups(table, least)
+            reps = table["rep"].to_pylist()
+            for of, one, other in groups.candidates():
+                if not len(of):
+                    continue
+                hits = np.bincount(of, minlength=len(groups.size))
+                dense = (hits > groups.size)[of]
+                x, y = one[~dense], other[~dense]
+                pairs = [sorted((reps[i], reps[j])) for i, j in zip(x.tolist(), y.tolist())]
+                kept = np.unique(np.concatenate((one[dense], other[dense])))
+                none, nil = pa.nulls(len(kept), pa.binary()), pa.nulls(len(pairs), pa.int64())
+                some = table.take(pa.array(kept)).select(_SCREENED.names[3:])
+                some = [some[c].combine_chunks() for c in some.column_names]
+                first = [pa.array([p[k] for p in pairs], type=pa.binary()) for k in (0, 1)] + [pa.array(groups.apart(x, y), type=pa.int64())]
+                gone = [nil.cast(f.type) if f.type != pa.binary() else pa.nulls(len(pairs), pa.binary()) for f in list(_SCREENED)[3:]]
+                yield pa.RecordBatch.from_arrays([*first, *gone], schema=_SCREENED)
+                yield pa.RecordBatch.from_arrays([none, none, pa.nulls(len(kept), pa.int64()), *some], schema=_SCREENED)
+
+    return work
+
+
+def linked(words: int, least: tuple[int, int]):
+    """Groups of members with their texts to ``a, b``: labels that a similar pair connects, one link for each two components."""
+    schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_groups(batches, 1):
+            groups = _Groups(table, least)
+            own: list[np.ndarray] = []
+            for batch in table.to_batches():
+                for part in slices(batch):
+                    own.extend(sets(texts(part), words))
+            size = np.array([len(x) for x in own])
+            labels, out, parent = table["label"].to_pylist(), [], {}
+
+            def root(x: bytes) -> bytes:
+                while parent.get(x, x) != x:
+                    parent[x] = parent.get(parent[x], parent[x])
+                    x = parent[x]
+                return x
+
+            for of, one, other in groups.candidates():
+                for rows in np.split(np.arange(len(of)), np.flatnonzero(np.diff(of)) + 1) if len(of) else []:
+                    (left, x), (right, y) = np.unique(one[rows], return_inverse=True), np.unique(other[rows], return_inverse=True)
+                    inter = intersections([own[i] for i in left], [own[i] for i in right], x, y)
+                    found = least[1] * inter >= least[0] * (size[one[rows]] + size[other[rows]] - inter)
+                    for i, j in zip(one[rows][found].tolist(), other[rows][found].tolist()):
+                        a, b = root(labels[i]), root(labels[j])
+                        if a != b:
+                            parent[max(a, b)] = min(a, b)
+                            out.append((labels[i], labels[j]))
+            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], type=pa.binary()) for k in (0, 1)], schema=schema)
+
+    return work
 
 
 class _Join:
     def __init__(self, df: DataFrame, key: str, text: str, words: int, least: tuple[int, int], trees: int, small: int):
-        self.docs = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
+        # a text by its MD5 and one document that holds it
+        self.docs = df.select(F.col(key).alias("own"), text_id(text).alias("key"), F.col(text).alias("text"))
         self.words, self.least, self.trees, self.small = words, least, trees, small
         self.scratch = Scratch(df.sparkSession, "minhash")
-        self.signed = self.scratch.table(signatures(self.docs, "key", "text", words), "signatures")
+        self.signed = self.scratch.table(signatures(df, key, text, words), "signatures")
         self.reps = self.scratch.table(
             self.signed.filter("n > 0 AND key IS NOT NULL")
             .groupBy("digest")
-            .agg(F.min("key").alias("rep"), *[F.first(c).alias(c) for c in ("n", "sig", "s0", "s1")]),
+            .agg(
+                F.min(F.struct("tid", "key")).alias("of"),
+                F.min("key").alias("least"),
+                *[F.first(c).alias(c) for c in ("n", "sig", "s0", "s1")],
+            )
+            .select("digest", F.col("of.tid").alias("rep"), F.col("of.key").alias("own"), "least", "n", "sig", "s0", "s1"),
             "classes",
         )
         self.labels = self._none("rep", "label")
@@ -211,7 +353,7 @@ class _Join:
             each.groupBy("node")
             .agg(F.sum("c").alias("size"), F.max(F.struct("c", "label")).alias("most"), F.min("least").alias("pivot"))
             .filter("size > most.c")
-            .select("node", (F.col("size") - F.col("most.c")).alias("rest"), F.col("most.label").alias("major"), "pivot")
+            .select("node", "size", (F.col("size") - F.col("most.c")).alias("rest"), F.col("most.label").alias("major"), "pivot")
         )
 
     @staticmethod
@@ -220,40 +362,53 @@ class _Join:
         return F.pmod(F.xxhash64("node", F.lit(i)), F.lit(COORDINATES)).cast("int")
 
     def _members(self, front: DataFrame, nodes: DataFrame) -> DataFrame:
-        """Members of ``nodes`` with what a comparison needs."""
-        rows = front.join(nodes, "node").join(self.reps.select("rep", "n", "s0", "s1"), "rep")
-        return self.scratch.table(rows.select("node", "rep", "label", "n", "s0", "s1", "rest", "major", "pivot"), "members")
-
-    def _similar(self, x: str, y: str) -> Column:
-        c = F.col
-        low, high = F.least(c(f"{x}.n"), c(f"{y}.n")), F.greatest(c(f"{x}.n"), c(f"{y}.n"))
-        return (
-            (c(f"{x}.label") != c(f"{y}.label"))
-            & (low * self.least[1] >= high * self.least[0])
-            & (_apart(c(f"{x}.s0"), c(f"{x}.s1"), c(f"{y}.s0"), c(f"{y}.s1")) <= MOST_APART)
+        """Members of ``nodes`` with what a comparison needs. (Joined the same way at every size.)"""
+        rows = front.join(nodes.hint("merge"), "node")
+        if "n" not in front.columns:
+            rows = rows.join(self.reps.select("rep", "n", "s0", "s1").hint("merge"), "rep")
+        return self.scratch.table(rows.select("node", "rep", "label", "n", "s0", "s1", "size", "rest", "major", "pivot"), "members")
+
+    def _screened(self, members: DataFrame, last: bool) -> DataFrame:
+        """Candidates of all nodes. A small node compares the members outside its major
+        component with all members, a larger one its pivot; ``ONES`` of the former and
+        ``ALLS`` of the latter are a group, whatever the size of the node."""
+        every = F.lit(True) if last else F.col("rest") <= self.small
+        one = F.when(every, F.col("label") != F.col("major")).otherwise(F.col("rep") == F.col("pivot"))
+        blocks = F.ceil(F.col("size") / ALLS).cast("int")
+        others = F.ceil(F.when(every, F.col("rest")).otherwise(F.lit(1)) / ONES).cast("int")
+        lot = lambda seed, of: F.pmod(F.xxhash64("rep", F.lit(seed)), of).cast("int")
+        as_all = F.transform(F.sequence(F.lit(0), others - 1), lambda i: F.struct(F.lit(1).alias("side"), i.alias("i"), lot(1, blocks).alias("j")))
+        as_one = F.transform(F.sequence(F.lit(0), blocks - 1), lambda j: F.struct(F.lit(0).alias("side"), lot(2, others).alias("i"), j.alias("j")))
+        dealt = members.withColumn("_at", F.explode(F.concat(as_all, F.when(one, as_one).otherwise(F.array()))))
+        rows = dealt.select(
+            F.xxhash64("node", "_at.i", "_at.j").alias("grp"), F.col("_at.side").alias("side"), "rep", "label", "n", "s0", "s1"
+        )
+        sorted_ = rows.repartition("grp").sortWithinPartitions("grp", "side")
+        return sorted_.mapInArrow(
+            screened(self.least),
+            "a binary, b binary, apart long, grp long, side int, rep binary, label binary, n long, s0 long, s1 long",
         )
 
-    def _pairs(self, members: DataFrame, last: bool) -> DataFrame:
-        """Candidates ``a, b, apart``, those tested before excluded. A small node
-        compares the members outside its major component with all members, a
-        larger one its pivot."""
-        small = members if last else members.filter(F.col("rest") <= self.small)
-        ones = [small.filter("label <> major")]
-        alls = [small]
-        if not last:
-            large = members.filter(F.col("rest") > self.small)
-            ones.append(large.filter("rep = pivot"))
-            alls.append(large)
-        found = None
-        for one, every in zip(ones, alls, strict=True):
-            pairs = one.alias("x").join(every.alias("y"), (F.col("x.node") == F.col("y.node")) & self._similar("x", "y"))
-            pairs = pairs.select(
-                F.least("x.rep", "y.rep").alias("a"),
-                F.greatest("x.rep", "y.rep").alias("b"),
-                _apart(F.col("x.s0"), F.col("x.s1"), F.col("y.s0"), F.col("y.s1")).alias("apart"),
-            )
-            found = pairs if found is None else found.unionByName(pairs)
-        return found.distinct().join(self.tested, ["a", "b"], "left_anti")
+    def _texts(self, reps: DataFrame) -> DataFrame:
+        """``key`` (rep), ``text`` of distinct ``rep``."""
+        wanted = reps.join(self.reps.select("rep", "own"), "rep").select(F.col("rep").alias("key"), "own")
+        wanted = self.scratch.table(wanted, "wanted")
+        n = wanted.count()
+        met = self.docs.join(F.broadcast(wanted) if n <= BROADCAST_KEYS else wanted, ["key", "own"], "left_semi")
+        docs = self.scratch.table(met.select("key", "text"), "texts")
+        # some rows repeat id and text
+        return docs if docs.count() == n else self.scratch.table(docs.dropDuplicates(["key"]), "texts")
+
+    def _dense(self, members: DataFrame, docs: DataFrame) -> DataFrame:
+        """Links ``a, b`` of labels from groups with many candidates. Groups of more shingles than a task should hold are cut into a grid."""
+        parts = members.groupBy("grp").agg(F.ceil(F.sum("n") / SHINGLES).cast("int").alias("k"))
+        lot, all_ = F.pmod(F.xxhash64("rep", F.lit(3)), F.col("k")).cast("int"), F.sequence(F.lit(0), F.col("k") - 1)
+        cells = F.transform(all_, lambda i: F.when(F.col("side") == 0, F.struct(lot.alias("i"), i.alias("j"))).otherwise(F.struct(i.alias("i"), lot.alias("j"))))
+        dealt = members.join(parts, "grp").withColumn("_at", F.explode(cells))
+        rows = dealt.select(F.xxhash64("grp", "_at.i", "_at.j").alias("grp"), "side", "rep", "label", "n", "s0", "s1")
+        held = rows.join(docs.withColumnRenamed("key", "rep"), "rep")
+        met = held.repartition("grp").sortWithinPartitions("grp", "side")
+        return met.mapInArrow(linked(self.words, self.least), "a binary, b binary")
 
     def _confirm(self, pairs: DataFrame, docs: DataFrame) -> DataFrame:
         """Pairs confirmed on the texts. The documents of a component are dealt
@@ -296,7 +451,11 @@ class _Join:
         """Confirm ``pairs`` and merge the components that they connect."""
         links = self.scratch.table(self._confirm(pairs, docs), "confirmed")
         ends = self._labelled(self._labelled(links, "a", "la"), "b", "lb")
-        found = components(ends.select(F.col("la").alias("a"), F.col("lb").alias("b")), self.scratch)
+        self._merge(ends.select(F.col("la").alias("a"), F.col("lb").alias("b")))
+
+    def _merge(self, links: DataFrame) -> None:
+        """Merge the components whose labels are linked."""
+        found = components(links, self.scratch)
         root = found.select(F.col("node").alias("label"), "root")
         moved = self.labels.join(root, "label", "left").select("rep", F.coalesce("root", "label").alias("label"))
         new = found.join(self.labels.select(F.col("rep").alias("node")), "node", "left_anti")
@@ -305,35 +464,39 @@ class _Join:
         )
 
     def _test(self, members: DataFrame, last: bool) -> None:
-        pairs = self.scratch.table(self._pairs(members, last), "candidates")
-        keys = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
-        n = keys.count()
-        if not n:
+        found = self.scratch.table(self._screened(members, last), "candidates")
+        pairs = found.filter("a IS NOT NULL").groupBy("a", "b").agg(F.min("apart").alias("apart"))
+        pairs = self.scratch.table(pairs.join(self.tested, ["a", "b"], "left_anti"), "pairs")
+        dense = found.filter("rep IS NOT NULL")
+        reps = dense.select("rep").unionByName(pairs.select(F.explode(F.array("a", "b")).alias("rep"))).distinct()
+        if reps.isEmpty():
             return
-        if n <= BROADCAST_KEYS:
-            keys = F.broadcast(keys)
-        docs = self.scratch.table(self.docs.join(keys, "key", "left_semi"), "texts")
-        if docs.count() > n:  # some rows repeat a key
-            docs = self.scratch.table(docs.dropDuplicates(["key"]), "texts")
+        docs = self._texts(reps)
+        if not dense.isEmpty():
+            self._merge(self.scratch.table(self._dense(dense, docs), "links"))
+        self.tested = self.scratch.table(self.tested.unionByName(pairs.select("a", "b")), "tested")
+        ends = self._labelled(self._labelled(pairs, "a", "la"), "b", "lb").filter("la <> lb").select("a", "b", "apart")
+        pairs = self.scratch.table(ends, "apart")
         best = pairs.groupBy("b").agg(F.min(F.struct("apart", "a")).alias("to")).select("b", F.col("to.a").alias("a"))
+        if best.isEmpty():
+            return
         self._link(best, docs)
         rest = self._labelled(self._labelled(pairs.join(best, ["a", "b"], "left_anti"), "a", "la"), "b", "lb")
         rest = self.scratch.table(rest.filter("la <> lb").select("a", "b"), "rest")
         if not rest.isEmpty():
             self._link(rest, docs)
-        self.tested = self.scratch.table(self.tested.unionByName(pairs.select("a", "b")), "tested")
 
     def run(self) -> DataFrame:
         # Trees at their roots: one coordinate each, every fourth tree a second.
-        roots = [(t, t) for t in range(self.trees)] + [(t, self.trees + t // 4) for t in range(0, self.trees, 4)]
+        roots = [(t, t) for t in range(self.trees)] + [(t, (self.trees + t // 4) % COORDINATES) for t in range(0, self.trees, 4)]
         values = F.array(*[F.xxhash64(F.lit(t), F.lit(c), F.col("sig")[c]) for t, c in roots])
-        front = self.reps.select(F.explode(values).alias("node"), "rep").withColumn("label", F.col("rep"))
+        front = self.reps.select(F.explode(values).alias("node"), "rep", "n", "s0", "s1").withColumn("label", F.col("rep"))
         # Nothing is linked yet, so every member is a component of its own.
         nodes = (
             front.groupBy("node")
             .agg(F.count("*").alias("size"), F.min("rep").alias("pivot"))
             .filter("size > 1")
-            .select("node", (F.col("size") - 1).alias("rest"), F.col("pivot").alias("major"), "pivot")
+            .select("node", "size", (F.col("size") - 1).alias("rest"), F.col("pivot").alias("major"), "pivot")
         )
         for level in range(DEPTH):
             members = self._members(front, nodes)
@@ -357,12 +520,15 @@ class _Join:
                 large.filter(F.col("rest") <= self.small).select("node", "rep", "label").unionByName(children), "front"
             )
             nodes = self._nodes(front)
-        classes = self._labelled(self.reps.select("digest", "rep")).select("digest", "label")
-        own = F.when(F.col("key").isNotNull(), F.coalesce("label", "key"))
+        # a component goes by the smallest key of its classes
+        classes = self._labelled(self.reps.select("digest", "rep", "least"))
+        smallest = classes.groupBy("label").agg(F.min("least").alias("_least"))
+        classes = self.scratch.table(classes.join(smallest, "label").select("digest", "_least"), "components")
+        own = F.when(F.col("key").isNotNull(), F.coalesce("_least", "key"))
         return (
-            self.signed.select("key", "n", F.when(F.col("key").isNotNull(), F.col("digest")).alias("digest"))
+            self.signed.select("key", "tid", "n", F.when(F.col("key").isNotNull(), F.col("digest")).alias("digest"))
             .join(classes, "digest", "left")
-            .select("key", F.col("n").alias("n_shingles"), own.alias("component_id"))
+            .select("key", F.col("n").alias("n_shingles"), own.alias("component_id"), "tid")
             .withColumn("kept", F.col("key").eqNullSafe(F.col("component_id")))
         )
 
@@ -373,9 +539,11 @@ def near_duplicates(
     text: str = "text",
     words: int = 5,
     least: tuple[int, int] = (80, 100),
-    trees: int = TREES,
+    recall: float = RECALL,
     small: int = SMALL,
 ) -> DataFrame:
     """``key``, ``n_shingles``, ``component_id`` (the smallest key reachable by
-    links of similarity >= least[0] / least[1]) and ``kept`` (key = component_id)."""
+    links of similarity >= least[0] / least[1]), ``kept`` (key = component_id) and
+    ``tid`` (the MD5 of the text, which tells rows of one key apart)."""
+    trees = min(COORDINATES, trees_for(recall, least[0] / least[1]))
     return _Join(df, key, text, words, least, trees, small).run().withColumnRenamed("key", key)

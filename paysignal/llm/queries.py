@@ -23,7 +23,7 @@ def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(read(spark, sf_dir, "documents"), words=4, least=(80, 100))
+    return minhash.near_duplicates(read(spark, sf_dir, "documents"), words=4, least=(80, 100)).drop("tid")
 
 
 def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -47,7 +47,7 @@ def brute_components(ids, texts, k):
             if ids[i] is None or ids[j] is None:
                 continue
             inter = len(own[i] & own[j])
-            if ids[i] == ids[j] or inter and 100 * inter >= 80 * (len(own[i]) + len(own[j]) - inter):
+            if inter and 100 * inter >= 80 * (len(own[i]) + len(own[j]) - inter):
                 links.append((x, y))
     root = roots(len(order), links)
     return {(ids[i], texts[i]): (len(own[i]), ids[order[root[x]]]) for x, i in enumerate(order)}
@@ -91,6 +91,46 @@ def test_near_duplicates_equal_all_pairs(spark, words, small):
     assert got == {i: want[i, t] for i, t in zip(ids, texts, strict=True)}
 
 
+def test_rows_of_one_id_are_linked_by_their_texts_alone(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    rows = [(5, a), (5, b), (3, a + " x"), (7, b + " y"), (8, b + " y")]
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=4).collect()
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in got) == [
+        (3, 3, True), (5, 3, False), (5, 5, True), (7, 5, False), (8, 5, False)
+    ]
+
+
+def test_dense_groups_leave_their_tasks_as_members(spark, monkeypatch):
+    """Two groups of near copies just too different to be linked across: no pair of them becomes a row."""
+    rnd = random.Random(5)
+    base = [f"t{i}" for i in range(400)]
+    other = [w if rnd.random() > 0.035 else f"o{i}" for i, w in enumerate(base)]
+    texts = [edited(rnd, side, 1) for side in (base, other) for _ in range(70)]
+    monkeypatch.setattr(minhash, "SHINGLES", 20_000)
+    monkeypatch.setattr(minhash, "ONES", 16)
+    monkeypatch.setattr(minhash, "ALLS", 32)
+    counts = []
+    screened = minhash._Join._screened
+
+    def counted(self, members, last):
+        out = self.scratch.table(screened(self, members, last), "counted")
+        counts.append((out.filter("a IS NOT NULL").count(), out.filter("rep IS NOT NULL").count(), members.count()))
+        return out
+
+    monkeypatch.setattr(minhash._Join, "_screened", counted)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(df, words=4, recall=0.99, small=8).collect()}
+    want = brute_components(list(range(len(texts))), texts, 4)
+    assert got == {i: root for (i, _), (_, root) in want.items()}
+    assert any(dense for _, dense, _ in counts)
+    assert all(pairs <= 20 * members for pairs, _, members in counts)
+
+
+def test_trees_follow_the_target_recall():
+    assert minhash.trees_for(0.9, 0.8) < minhash.trees_for(0.999, 0.8) < minhash.trees_for(0.999999, 0.8)
+    assert minhash.trees_for(0.999, 0.9) < minhash.trees_for(0.999, 0.8)
+
+
 def test_near_duplicates_of_odd_rows(odd_docs, no_docs):
     out = minhash.near_duplicates(odd_docs, words=4).collect()
     assert len(out) == odd_docs.count()

@@ -62,6 +62,13 @@ def test_rows_that_repeat_an_id_stay_once(spark, tmp_dir):
     assert sorted(r.doc_id for r in cp.near_duplicates(spark, docs, SMALL).collect()) == [5, 6]
 
 
+def test_another_text_of_an_id_that_goes_stays(spark, tmp_dir):
+    t, u = (" ".join(f"{x}{i}" for i in range(30)) for x in "tu")
+    rows = [(3, t, "en", "a", 1), (5, u, "en", "a", 1), (5, t, "en", "a", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted((r.doc_id, r.text) for r in cp.near_duplicates(spark, docs, SMALL).collect()) == [(3, t), (5, u)]
+
+
 def test_tokens_decode_to_the_text(spark, odd_docs):
     docs = odd_docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").dropDuplicates(["doc_id"])
     want = {r.doc_id: hashlib.sha256(r.text.encode()).hexdigest() for r in docs.collect()}
