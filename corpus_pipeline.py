@@ -36,11 +36,13 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = minhash.near_duplicates(docs, words=5, least=(80, 100))
-    left = docs.select(*COLUMNS).join(found.filter(~F.col("kept")).select("doc_id"), "doc_id", "left_anti")
-    repeated = docs.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").select("doc_id")
+    # a row goes by its id and its text: another text of the same id is another document
+    gone = found.filter("NOT kept").select("doc_id", F.col("tid").alias("_tid")).distinct()
+    left = docs.select(*COLUMNS, minhash.text_id("text").alias("_tid")).join(gone, ["doc_id", "_tid"], "left_anti")
+    repeated = left.groupBy("doc_id", "_tid").count().filter("count > 1 AND doc_id IS NOT NULL").drop("count")
     if not repeated.isEmpty():
-        once = left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-        left = left.join(repeated, "doc_id", "left_anti").unionByName(once)
+        once = left.join(repeated, ["doc_id", "_tid"], "left_semi").dropDuplicates(["doc_id", "_tid"])
+        left = left.join(repeated, ["doc_id", "_tid"], "left_anti").unionByName(once)
     return left.select(*COLUMNS)
 
 
