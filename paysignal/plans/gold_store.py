@@ -15,6 +15,7 @@ maxima and distinct counts exact.)
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from paysignal.functions.columns import cents, coalesce_false, money, round_ratio
 from paysignal.operators.gold import fraud_transactions
-from paysignal.sources.commits import Commits
+from paysignal.sources.commits import Commit, Commits
 from paysignal.sources.storage import TableStore
 
 CELLS, KEYS, MULES = "gold_cells", "gold_keys", "gold_mules"
@@ -43,30 +44,35 @@ def partials(scored: DataFrame) -> dict[str, DataFrame]:
     return {CELLS: cells, KEYS: keys, MULES: mules}
 
 
+def write_partials(store: TableStore, scored: DataFrame, before: Commit, dates: Iterable[str] | None = None) -> dict:
+    """Versions of the three tables: of all dates, or with those of ``dates`` anew."""
+    if dates is None or before.version(CELLS) is None:
+        return {name: store.write(name, df, ["transaction_date"]) for name, df in partials(scored).items()}
+    days = {str(d) for d in dates}
+    asked = scored.filter(F.col("transaction_date").isin(*[F.lit(d).cast("date") for d in sorted(days)]))
+    return {
+        name: store.replace_partitions(name, df, "transaction_date", days.__contains__, before.version(name))
+        for name, df in partials(asked).items()
+    }
+
+
 def refresh(store: TableStore, scored: DataFrame, start=None, end=None) -> dict:
     """Partials of all dates, or of those from ``start`` to ``end`` anew."""
     commits = Commits(store, "gold")
-    before = commits.current()
-    if start is None or not before.number:
-        versions = {name: store.write(name, df, ["transaction_date"]) for name, df in partials(scored).items()}
-    else:
-        first, last = str(start), str(end)
-        day = F.col("transaction_date")
-        asked = scored.filter((day >= F.lit(first).cast("date")) & (day <= F.lit(last).cast("date")))
-        versions = {
-            name: store.replace_partitions(name, df, "transaction_date", lambda x: first <= x <= last, before.version(name))
-            for name, df in partials(asked).items()
-        }
-    return commits.commit(before, versions).versions
+    before, dates = commits.current(), None
+    if start is not None:
+        first, last = (dt.date.fromisoformat(str(d)) for d in (start, end))
+        dates = [str(first + dt.timedelta(days=i)) for i in range((last - first).days + 1)]
+    return commits.commit(before, write_partials(store, scored, before, dates)).versions
 
 
 def _merged(df: DataFrame, by: Iterable[str], *more) -> DataFrame:
     return df.groupBy(*by).agg(F.sum("n").alias("n"), money(F.sum("cents")).alias("amount"), *more)
 
 
-def marts(store: TableStore) -> dict[str, DataFrame]:
+def marts(store: TableStore, commits: str = "gold") -> dict[str, DataFrame]:
     """The Gold marts, as of the last commit, with the columns of ``operators.gold`` and ``operators.kpi``."""
-    now = Commits(store, "gold").current()
+    now = Commits(store, commits).current()
     cells, keys, mules = (store.read(name, now.version(name)) for name in (CELLS, KEYS, MULES))
     mean = round_ratio(F.sum("risk_sum"), F.sum("risk_n"))
     users = F.count_distinct("user_id")

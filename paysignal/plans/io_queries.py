@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from paysignal.config import CONFIG_A, STRICT_RULES
 from paysignal.functions.columns import inr_text
 from paysignal.operators import alerts, gold, scd2
-from paysignal.plans import bundle, dimension_store, gold_store, incremental, silver_store
+from paysignal.plans import bronze_store, bundle, dimension_store, gold_store, incremental, live, silver_store
 from paysignal.schema import RAW, RAW_COLUMNS
 from paysignal.session import shared_dir
 from paysignal.sources import files, storage, tables
@@ -412,6 +412,36 @@ def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold_report(gold_store.marts(store))
 
 
+def bronze_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs without stream state; the second brings a copy of every row of the first."""
+    base = scratch(spark, "bounded")
+    store = storage.TableStore(spark, base)
+    first, second, third = _thirds(tables.dirty_raw_transactions(spark, sf_dir), *RAW_COLUMNS)
+    for k, arrived in enumerate((first.unionByName(second), third.unionByName(first).unionByName(second))):
+        arrived.repartition(4).write.option("header", True).csv(f"{base}/in/run{k}")
+        bronze_store.run(spark, store, f"{base}/in/*", f"{base}/_checkpoint", buckets=16, max_files_per_trigger=2)
+    return _typed_bronze(bronze_store.rows(store))
+
+
+def live_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dirty rows as a stream in several batches of any dates; each changes the
+    scores of the dates around it, and those of rows it invalidates go."""
+    base = scratch(spark, "live")
+    store = storage.TableStore(spark, base)
+    for part in _thirds(tables.dirty_raw_transactions(spark, sf_dir), "transaction_id", "utr_number"):
+        part.coalesce(1).write.mode("append").parquet(f"{base}/bronze")
+    live.run(spark, store, f"{base}/bronze", f"{base}/_checkpoint", CONFIG_A, tables.DIRTY_AS_OF, max_files_per_trigger=2, buckets=16)
+    return live.scores(store).select(*SCORED_OUT)
+
+
+def zorder_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flagged rows along a Z-order curve of user and merchant category, read back."""
+    store = storage.TableStore(spark, scratch(spark, "zorder"))
+    fraud = gold.fraud_transactions(_scored(spark, sf_dir)).select(*SCORED_OUT)
+    store.write("fraud_transactions", fraud, zorder_by=["user_id", "merchant_category"], files=16)
+    return store.read("fraud_transactions")
+
+
 def gold_report(marts: dict[str, DataFrame]) -> DataFrame:
     """All marts as rows of one table: mart, key, day, n, amount, score, users, devices, cities."""
     nothing = {"key": "string", "day": "date", "n": "long", "amount": "double", "score": "double", "users": "long", "devices": "long", "cities": "long"}
@@ -488,4 +518,7 @@ def io_queries() -> dict:
         "silver_incremental": silver_incremental,
         "silver_stream": silver_stream,
         "gold_incremental": gold_incremental,
+        "bronze_bounded": bronze_bounded,
+        "live_scores": live_scores,
+        "zorder_write": zorder_write,
     }

@@ -676,6 +676,12 @@ def io_sql() -> dict[str, str]:
     strict = checked_ctes("dirty", "chk", _strict_rules(), STRICT_RULES)
     q["silver_stream"] = f"WITH {TX},{DIRTY},{strict}\nSELECT {SILVER_SELECT} FROM chk WHERE _is_valid"
     q["gold_incremental"] = _gold_report()
+    q["bronze_bounded"] = q["bronze_stream"]
+    q["zorder_write"] = q["partitioned_write"]
+    q["live_scores"] = (
+        f"WITH {TX},{DIRTY},{strict},\nvalid AS (SELECT {SILVER_SELECT} FROM chk WHERE _is_valid),{scored_ctes(CONFIG_A, 'valid')}\n"
+        f"SELECT {SCORED_COLUMNS} FROM scored2"
+    )
     # Indian grouping without look-around: reverse the leading digits, comma every two, reverse back
     grouped = (
         "CASE WHEN length(ip) <= 3 THEN ip ELSE reverse(rtrim(regexp_replace(reverse(left(ip, length(ip) - 3)), "

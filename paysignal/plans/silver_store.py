@@ -96,9 +96,10 @@ def step(
         # of the rows before: those that were the only copy
         taken = ledger.filter("_old = 1 AND n > 1").select(F.col("utr_number").alias("_r"), F.col("transaction_date").alias("_d"))
         rewritten = {r["_d"] for r in taken.select("_d").distinct().collect()}  # one value a date
+        added = {r[0] for r in rows.select("transaction_date").distinct().collect()}
+        changed = sorted(str(d) for d in rewritten | added if d is not None)
         if before.version(CHECKED) is not None:
             folders = Counter(x.rsplit("=", 1)[-1] for x in store.partitions(CHECKED, before.version(CHECKED)))
-            added = {r[0] for r in rows.select("transaction_date").distinct().collect()}
             rewritten |= {d for d in added if folders[_folder(d)] >= FOLDERS}
         out = fresh
         if rewritten:
@@ -116,7 +117,7 @@ def step(
             ),
             CHECKED: store.replace_partitions(CHECKED, out, "transaction_date", names.__contains__, before.version(CHECKED)),
         }
-        after = commits.commit(before, versions, number)
+        after = commits.commit(before, versions, number, dates=",".join(changed))
     finally:
         remove(spark, stage)
     return {"applied": True, "commit": after.number, "buckets": len(touched), "dates_rewritten": len(rewritten)}

@@ -20,6 +20,7 @@ class Commit:
     number: int = 0
     versions: dict = field(default_factory=dict)
     batch: int | None = None
+    notes: dict = field(default_factory=dict)
 
     def version(self, table: str) -> int | None:
         return self.versions.get(table)
@@ -34,16 +35,19 @@ class Commits:
 
     def current(self) -> Commit:
         done = [int(x) for x in list_dir(self.store.spark, self.folder) if x.isdigit()]
-        if not done:
-            return Commit()
-        pairs = dict(x.split("=", 1) for x in read_lines(self.store.spark, f"{self.folder}/{max(done):08d}"))
+        return self.at(max(done)) if done else Commit()
+
+    def at(self, number: int) -> Commit:
+        pairs = dict(x.split("=", 1) for x in read_lines(self.store.spark, f"{self.folder}/{number:08d}"))
         batch = pairs.pop("_batch", "")
-        return Commit(max(done), {k: int(v) for k, v in pairs.items()}, int(batch) if batch else None)
+        notes = {k[1:]: pairs.pop(k) for k in list(pairs) if k.startswith("_")}
+        return Commit(number, {k: int(v) for k, v in pairs.items()}, int(batch) if batch else None, notes)
 
-    def commit(self, after: Commit, versions: dict, batch: int | None = None) -> Commit:
-        """The commit after ``after``: its versions, with those of ``versions`` anew."""
+    def commit(self, after: Commit, versions: dict, batch: int | None = None, **notes: str) -> Commit:
+        """The commit after ``after``: its versions, with those of ``versions`` anew, and ``notes`` on this step."""
         merged = {**after.versions, **{k: v for k, v in versions.items() if v is not None}}
         batch = after.batch if batch is None else batch
         lines = [f"{k}={v}" for k, v in sorted(merged.items())] + [f"_batch={'' if batch is None else batch}"]
+        lines += [f"_{k}={v}" for k, v in sorted(notes.items())]
         write_lines(self.store.spark, f"{self.folder}/{after.number + 1:08d}", lines)
-        return Commit(after.number + 1, merged, batch)
+        return Commit(after.number + 1, merged, batch, notes)

@@ -82,6 +82,28 @@ def clustered(df: DataFrame, cluster_by: Sequence[str], partitions: int | None =
     return out.sortWithinPartitions(*cols)
 
 
+def zordered(df: DataFrame, columns: Sequence[str], partitions: int | None = None, bits: int = 5) -> DataFrame:
+    """S16 on several columns at once: rows in ranges along a Z-order curve, so that a
+    filter on any one of the columns finds its rows in few files.
+
+    Each column's values are ranked by 2^bits quantiles (of any orderable type, from
+    Spark's own range sampling: one narrow shuffle a column and 2^bits values to the
+    driver); the ranks' bits, interleaved, are the place on the curve. With f files and c
+    columns a filter on one value reads about f^(1 - 1/c) files."""
+    place = F.lit(0).cast("long")
+    for k, c in enumerate(columns):
+        ranges = df.select(F.col(c).alias("v")).filter(F.col("v").isNotNull()).repartitionByRange(1 << bits, "v")
+        bounds = ranges.groupBy(F.spark_partition_id().alias("p")).agg(F.min("v").alias("v")).orderBy("v")
+        values = [r.v for r in bounds.collect()]
+        held = F.array(*[F.lit(v).cast(df.schema[c].dataType) for v in values[1:]]) if len(values) > 1 else F.array()
+        rank = F.when(F.col(c).isNull(), 0).otherwise(F.size(F.filter(held, lambda b: b <= F.col(c)))) if len(values) > 1 else F.lit(0)  # noqa: B023
+        for i in range(bits):
+            place = place + F.shiftleft(F.shiftright(rank.cast("long"), i).bitwiseAND(F.lit(1)), i * len(columns) + k)
+    keyed = df.withColumn("_z", place)
+    out = keyed.repartitionByRange(partitions, "_z") if partitions else keyed.repartitionByRange("_z")
+    return out.sortWithinPartitions("_z", *columns).drop("_z")
+
+
 class TableStore:
     """Named, versioned parquet tables under ``root``."""
 
@@ -127,7 +149,7 @@ class TableStore:
         path = self.path(name, version)
         if path_exists(self.spark, f"{path}/{MANIFEST}"):
             return not read_lines(self.spark, f"{path}/{MANIFEST}")
-        return all(x.startswith(("_", ".")) for x in list_dir(self.spark, path))
+        return all(x.startswith(("_", ".")) and "=" not in x for x in list_dir(self.spark, path))
 
     def partitions(self, name: str, version: int | None = None) -> list[str]:
         """Partition folders of a version, relative to the table's folder."""
@@ -144,14 +166,18 @@ class TableStore:
         partition_by: Sequence[str] = (),
         cluster_by: Sequence[str] | None = None,
         version: int | None = None,
+        zorder_by: Sequence[str] | None = None,
+        files: int | None = None,
     ) -> int:
         """Write ``df`` as the next version, or a given later one (S10, S11, S12
-        snapshot swap, S16)."""
+        snapshot swap, S16: clustered by columns in order, or along a Z-order curve in ``files`` files)."""
         version = max(version or 0, (self.current_version(name) or 0) + 1)
         existing = list_dir(self.spark, self.table_path(name))
         while f"{VERSION_PREFIX}{version:08d}" in existing:  # an uncommitted attempt: skip it
             version += 1
-        if cluster_by:
+        if zorder_by:
+            df = zordered(df, zorder_by, files)
+        elif cluster_by:
             df = clustered(df, cluster_by)
         elif partition_by:  # a partition's rows in few files; AQE splits the large partitions
             df = df.hint("rebalance", *partition_by)

@@ -115,11 +115,11 @@ def dedup_key() -> F.Column:
 
 
 def prepare_bronze(
-    df: DataFrame, watermark: str = "10 minutes", within_watermark: bool = False, drop_late: bool = False
+    df: DataFrame, watermark: str = "10 minutes", within_watermark: bool = False, drop_late: bool = False, dedup: bool = True
 ) -> DataFrame:
     """P9 + M2/M3/M7: typed event time, audit columns, dedup, and a watermark
     where late rows are to go (``drop_late``) or state is to end
-    (``within_watermark``)."""
+    (``within_watermark``). ``dedup=False`` leaves copies in and adds ``_dedup_key``."""
     out = (
         df.withColumn("_dedup_key", dedup_key())
         .withColumn("timestamp", F.try_to_timestamp(F.col("timestamp")))
@@ -127,6 +127,8 @@ def prepare_bronze(
     )
     if "_source_file" not in df.columns:
         out = out.withColumn("_source_file", F.col("_metadata.file_path"))
+    if not dedup:
+        return out
     if within_watermark:
         out = out.withWatermark("timestamp", watermark).dropDuplicatesWithinWatermark(["_dedup_key"])
     elif drop_late:
