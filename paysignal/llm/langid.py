@@ -8,7 +8,7 @@ margin does not fall with its length. Nothing but the text enters a prediction.
 
 Fitting reads all labelled rows once for sizes, then takes a bounded sample of
 them: ``DICT_BYTES`` per language, from documents chosen by a hash, at most
-``PER_DOCUMENT`` characters of each. Sizes that lie closer than ``MARGIN`` are
+``PER_DOCUMENT`` characters of each, and a row that is repeated once. Sizes that lie closer than ``MARGIN`` are
 rejected; the prediction is still given, ties going to the language with more
 labelled text.
 
@@ -21,10 +21,10 @@ The number of languages is taken to be a label set (at most some hundreds).
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import regex as re
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,12 +38,14 @@ LEVEL = 6
 SEGMENT = 8 << 10
 MARGIN = 0.005
 UNKNOWN = "und"
-_OTHER = re.compile(r"[\W\d_]+")
+_OTHER = re.compile(r"[^\p{L}\p{M}]+")
+_LETTER = re.compile(r"\p{L}")
 
 
 def letters(text: str) -> bytes:
-    """Lower-cased letters; every run of anything else is one space."""
-    return _OTHER.sub(" ", text.lower()).strip().encode()
+    """Lower-cased letters with their marks; every run of anything else is one space. Marks without any letter are nothing."""
+    found = _OTHER.sub(" ", text.lower()).strip()
+    return found.encode() if _LETTER.search(found) else b""
 
 
 def fit(labelled: DataFrame, lang: str = "lang", text: str = "text", key: str = "doc_id", dict_bytes: int = DICT_BYTES) -> list[tuple[str, bytes]]:
@@ -59,7 +61,7 @@ def fit(labelled: DataFrame, lang: str = "lang", text: str = "text", key: str =
     # Twice the wanted bytes on average, in the order of the hash; copies count once.
     share = F.create_map(*[x for r in sizes for x in (F.lit(r["lang"]), F.lit(min(1.0, 2.0 * dict_bytes / r["n"])))])
     draw = F.pmod(F.col("h"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = rows.filter(draw < share[F.col("lang")]).collect()
+    sample = rows.filter(draw < share[F.col("lang")]).distinct().collect()
     chosen: dict[str, dict[str, None]] = {}
     for r in sorted(sample, key=lambda r: (r["h"], r["text"])):
         chosen.setdefault(r["lang"], {}).setdefault(r["text"])

@@ -190,3 +190,16 @@ def test_language_margin_does_not_fall_with_length(spark):
     out = sorted(langid.predict(spark.createDataFrame(rows, "doc_id long, text string"), model).collect())
     assert [len(t) for _, t in rows] == [200_000, 1_000_000, 5_000_000] and [r.lang_pred for r in out] == ["en"] * 3
     assert not any(r.rejected for r in out) and all(r.score > 0.8 * out[0].score for r in out), out
+
+
+def test_letters_are_letters_and_their_marks():
+    assert langid.letters("²½① Ⅷ ३") == b""
+    assert langid.letters("हिन्दी में, É!") == "हिन्दी में é".encode()
+    assert langid.letters("\u0301\u0302") == b""
+    assert langid.Classifier([("hi", "हिन्दी में लिखा".encode())]).predict("²½①") == (langid.UNKNOWN, 0.0)
+
+
+def test_a_repeated_row_is_drawn_once(spark):
+    rows = [(1, "the same words again and again", "en")] * 500 + [(2, "andere Worte in einer Sprache", "de")]
+    found = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert [k for k, _ in found] == ["en", "de"] and found[0][1] == b"the same words again and again"
