@@ -10,9 +10,8 @@ and the body's own C and LC,
 The sum of its children's densities shows how much dense text an element
 gathers. The element of the largest sum is the heart of the page; the smallest
 density on its path to the body is the threshold, and elsewhere only subtrees
-at or above the threshold count as content. If the heart lies in an ``article``
-or ``main`` that is the result; otherwise it is the smallest element around all
-content, or, if that is the body, the content subtrees alone.
+at or above the threshold count as content. The result is the smallest element
+around all content, or, if that is the body, the content subtrees alone.
 
 Elements that are never article text (navigation, forms, scripts, notices,
 adverts, reader comments: by tag, role or class words) are cut out before, and
@@ -55,6 +54,11 @@ CUT_WORDS = frozenset(
     "newsletter subscribe subscription signup login share sharing social related recommended recommendations "
     "comment comments disqus replies reply respond widget toolbar pagination pager skip hidden".split()
 )
+#: Words of layout, which say nothing about what an element holds: ``site-footer`` is a footer, ``share-price`` no sharing.
+LAYOUT_WORDS = frozenset(
+    "site page main global top bottom left right upper lower primary secondary first last inner outer box bar list item items "
+    "wrapper wrap container content block section area slot unit banner button buttons link links icon icons text title js u".split()
+)
 #: A start tag of the key ends an open element of the values.
 ENDS = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
@@ -85,11 +89,17 @@ def _hint(attrs: str) -> int:
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and _HIDES.search(value)):
             return 2
-        if name == "role" and value in CUT_ROLES or name in ("class", "id") and not CUT_WORDS.isdisjoint(_WORD.findall(value)):
+        if name == "role" and value in CUT_ROLES or name in ("class", "id") and any(map(_marks, value.split())):
             found = 1
     return found
 
 
+def _marks(token: str) -> bool:
+    """A class or id of cut words, with nothing but layout words beside them."""
+    words = _WORD.findall(token)
+    return not CUT_WORDS.isdisjoint(words) and all(w in CUT_WORDS or w in LAYOUT_WORDS for w in words)
+
+
 class _Page:
     """Elements in page order, as parallel lists; element 0 is the page."""
 
@@ -103,6 +113,7 @@ class _Page:
 def _parse(source: str) -> _Page:
     page = _Page()
     stack, link, at = [0], 0, 0  # link: the stack's depth at an open link, or 0
+    open_: dict[str, int] = {}  # open elements by name: the stack is searched only for what is in it
 
     def text(piece: str) -> None:
         piece = entities.unescape(piece)
@@ -117,6 +128,8 @@ def _parse(source: str) -> _Page:
 
     def pop(depth: int) -> None:
         nonlocal link
+        for i in stack[depth:]:
+            open_[page.tag[i]] -= 1
         del stack[depth:]
         page.runs.append((stack[-1], ""))
         if link > depth:
@@ -130,16 +143,17 @@ def _parse(source: str) -> _Page:
         for counts in (page.chars, page.tags, page.link_chars, page.link_tags):
             counts.append(0)
         stack.append(len(page.tag) - 1)
+        open_[tag] = open_.get(tag, 0) + 1
 
     def end(names: tuple[str, ...], stop: tuple[str, ...]) -> None:
-        for depth in range(len(stack) - 1, 0, -1):
+        depth = len(stack) - 1
+        while depth > 0 and any(open_.get(x) for x in names):
             tag = page.tag[stack[depth]]
             if tag in names:
                 pop(depth)
-                return end(names, stop)
-            if tag in stop:
-                return None
-        return None
+            elif tag in stop:
+                return
+            depth -= 1
 
     while at < len(source):
         m = _TAG.search(source, at)
@@ -155,7 +169,7 @@ def _parse(source: str) -> _Page:
         if m[1] or m[4]:
             if tag == "a":
                 link = 0
-            elif tag in BLOCK or tag == "span":
+            elif open_.get(tag) and (tag in BLOCK or tag == "span"):
                 for depth in range(len(stack) - 1, 0, -1):
                     if page.tag[stack[depth]] == tag:
                         pop(depth)
@@ -270,37 +284,31 @@ def extract(source: str) -> str:
         i = parent[i]
         path.append(i)
     threshold = min(density[i] for i in path)
-    top = next((i for i in path if tags[i] == "article"), None)
-    if top is None:
-        top = next((i for i in path if tags[i] == "main"), None)
     chosen = [False] * n
-    if top is not None:
-        chosen[top] = True
-    else:
-        # In each subtree at or above the threshold, its element of the largest sum is content.
-        most = list(range(n))
-        for i in range(n - 1, body, -1):
-            if inside[i] and weight[most[i]] > weight[most[parent[i]]]:
-                most[parent[i]] = most[i]
-        goes, content = [False] * n, []
-        for i in range(body, n):
-            if inside[i] and (i == body or goes[parent[i]]) and not chosen[i] and density[i] >= threshold - 1e-9 and chars[i]:
-                goes[i] = True
-                if not chosen[most[i]]:
-                    chosen[most[i]] = True
-                    content.append(most[i])
-        around = content[0] if content else heart
-        for i in content[1:]:
-            above = {around}
-            while around != body:
-                around = parent[around]
-                above.add(around)
-            while i not in above:
-                i = parent[i]
-            around = i
-        if around != body:
-            chosen = [False] * n
-            chosen[around] = True
+    # In each subtree at or above the threshold, its element of the largest sum is content.
+    most = list(range(n))
+    for i in range(n - 1, body, -1):
+        if inside[i] and weight[most[i]] > weight[most[parent[i]]]:
+            most[parent[i]] = most[i]
+    goes, content = [False] * n, []
+    for i in range(body, n):
+        if inside[i] and (i == body or goes[parent[i]]) and not chosen[i] and density[i] >= threshold - 1e-9 and chars[i]:
+            goes[i] = True
+            if not chosen[most[i]]:
+                chosen[most[i]] = True
+                content.append(most[i])
+    around = content[0] if content else heart
+    for i in content[1:]:
+        above = {around}
+        while around != body:
+            around = parent[around]
+            above.add(around)
+        while i not in above:
+            i = parent[i]
+        around = i
+    if around != body:
+        chosen = [False] * n
+        chosen[around] = True
     for i in range(1, n):
         chosen[i] = (chosen[i] or chosen[parent[i]]) and not cut[i]
 

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -203,3 +204,37 @@ def test_a_repeated_row_is_drawn_once(spark):
     rows = [(1, "the same words again and again", "en")] * 500 + [(2, "andere Worte in einer Sprache", "de")]
     found = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
     assert [k for k, _ in found] == ["en", "de"] and found[0][1] == b"the same words again and again"
+
+
+def test_deep_and_long_pages():
+    """Linear in the depth, and no recursion."""
+    for n in (3_000, 100_000):
+        for tag in ("<div>", "<head>", "<thead>", "<p>a", "<table><tr>", "<li>", "</div>", "<span class=ad>"):
+            began = time.perf_counter()
+            html.extract(tag * n + "some text")
+            assert time.perf_counter() - began < 20
+    deep = "<div>" * 5_000 + "<p>words of the article</p><p>and some more</p>" + "</div>" * 5_000
+    assert html.extract(f"<body>{deep}</body>") == "words of the article\nand some more"
+
+
+def test_only_whole_marks_cut():
+    body = (
+        "<h1>Title</h1><p>A first paragraph of the article with quite a few words in it.</p>"
+        "<div class='share-price'><p>The share price rose by ten percent.</p></div><p class='ad-hoc'>An ad-hoc meeting.</p>"
+        "<section id='replies-explained'><p>How replies work.</p></section>"
+    )
+    page = f"<body><nav>Home</nav><article>{body}<div class='share-buttons'>Tweet</div></article><div class='site-footer'>Foot</div></body>"
+    want = (
+        "Title\nA first paragraph of the article with quite a few words in it.\nThe share price rose by ten percent.\n"
+        "An ad-hoc meeting.\nHow replies work."
+    )
+    assert html.extract(page) == want
+
+
+def test_densities_decide():
+    """Without any telling tag or class, and against one: the dense part is the article."""
+    dense = "".join(f"<p>{' '.join(f'word{i}{j}' for j in range(60))}</p>" for i in range(6))
+    thin = "".join(f"<p><a href=x>link {i}</a></p>" for i in range(40))
+    for frame in ("<div>{}</div><div>{}</div>", "<article>{}</article><section>{}</section>"):
+        found = html.extract("<body>" + frame.format(thin, dense) + "</body>")
+        assert "word00" in found and "word559" in found and "link" not in found
