@@ -22,9 +22,9 @@ and 2-bit sketches that similar sets have (a pair at the threshold fails the
 sketch with a probability of about 1e-7). What leaves a task is linear in its
 members: the candidate pairs, if they are no more than the members, or else the
 members that have a candidate. Every link is confirmed on the full shingle sets.
-Of the pairs a class first has its best candidate confirmed, and pairs that this
-connects are not computed again; members of a dense block meet again in one task
-with their texts, which gives one link for each two components it connects.
+Pairs are confirmed once, whatever number of nodes they meet in; members of a
+dense block meet again in one task with their texts, which gives one link for each
+two components that it connects. Each level ends with one merge of the components.
 
 Defined cases: null or wordless texts have an empty set and are linked with
 nothing; shorter texts than a shingle are one shingle, the whole sequence;
@@ -63,8 +63,8 @@ ONES, ALLS, SHINGLES = 512, 2048, 4_000_000
 MOST_APART = 26
 #: Candidate keys up to this number (8 bytes each) are broadcast to pick their texts; more are joined by shuffle.
 BROADCAST_KEYS = 400_000
-#: Documents of a component that are confirmed together, and pairs that a group holds on average.
-BLOCK, GROUP = 256, 1000
+#: Pairs that are confirmed together, on average.
+GROUP = 1000
 #: From so many pairs of two blocks on, intersections come from a product of matrices of so many columns.
 MATRIX, COLUMNS = 64, 8192
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -176,7 +176,7 @@ def intersections(left: list[np.ndarray], right: list[np.ndarray], x: np.ndarray
 
 
 def confirmed(pairs: pa.Table, docs: pa.Table, words: int, least: tuple[int, int]) -> pa.Table:
-    """The pairs whose sets are similar: least[0] * union <= least[1] * intersection."""
+    """The labels of the pairs whose sets are similar: least[0] * union <= least[1] * intersection."""
     keys = docs["key"].to_pylist()
     place = {k: i for i, k in enumerate(keys)}
     own: list[np.ndarray] = []
@@ -192,7 +192,7 @@ def confirmed(pairs: pa.Table, docs: pa.Table, words: int, least: tuple[int, int
         (left, x), (right, y) = np.unique(a[rows], return_inverse=True), np.unique(b[rows], return_inverse=True)
         inter = intersections([own[i] for i in left], [own[i] for i in right], x, y)
         keep[rows] = least[1] * inter >= least[0] * (size[a[rows]] + size[b[rows]] - inter)
-    return pairs.select(["a", "b"]).filter(pa.array(keep))
+    return pairs.select(["la", "lb"]).rename_columns(["a", "b"]).filter(pa.array(keep))
 
 
 class _Groups:
@@ -249,33 +249,35 @@ def _whole_groups(batches: Iterator[pa.RecordBatch], rows: int = 20_000) -> Iter
 
 
 _SCREENED = pa.schema(
-    [("a", pa.binary()), ("b", pa.binary()), ("apart", pa.int64()), ("grp", pa.int64()), ("side", pa.int32()), ("rep", pa.binary()),
+    [("a", pa.binary()), ("b", pa.binary()), ("la", pa.binary()), ("lb", pa.binary()), ("grp", pa.int64()), ("side", pa.int32()), ("rep", pa.binary()),
      ("label", pa.binary()), ("n", pa.int64()), ("s0", pa.int64()), ("s1", pa.int64())]
 )
 
 
+def _padded(arrays: list, at: int, rows: int) -> pa.RecordBatch:
+    """``arrays`` from column ``at`` on, nulls in the others."""
+    held = dict(zip(_SCREENED.names[at:], arrays))
+    return pa.RecordBatch.from_arrays([held.get(f.name, pa.nulls(rows, f.type)) for f in _SCREENED], schema=_SCREENED)
+
+
 def screened(least: tuple[int, int]):
-    """Groups of members to candidate pairs ``a, b, apart`` or, where these are more than the members, to the members that have one."""
+    """Groups of members to candidate pairs ``a, b`` with their labels ``la, lb`` or, where these are more than the members, to the members that have one."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _whole_groups(batches):
             groups = _Groups(table, least)
-            reps = table["rep"].to_pylist()
+            reps, labels = table["rep"].to_pylist(), table["label"].to_pylist()
             for of, one, other in groups.candidates():
                 if not len(of):
                     continue
                 hits = np.bincount(of, minlength=len(groups.size))
                 dense = (hits > groups.size)[of]
                 x, y = one[~dense], other[~dense]
-                pairs = [sorted((reps[i], reps[j])) for i, j in zip(x.tolist(), y.tolist())]
+                pairs = [min((reps[i], reps[j], labels[i], labels[j]), (reps[j], reps[i], labels[j], labels[i])) for i, j in zip(x.tolist(), y.tolist())]
+                yield _padded([pa.array([p[k] for p in pairs], type=pa.binary()) for k in range(4)], 0, len(pairs))
                 kept = np.unique(np.concatenate((one[dense], other[dense])))
-                none, nil = pa.nulls(len(kept), pa.binary()), pa.nulls(len(pairs), pa.int64())
-                some = table.take(pa.array(kept)).select(_SCREENED.names[3:])
-                some = [some[c].combine_chunks() for c in some.column_names]
-                first = [pa.array([p[k] for p in pairs], type=pa.binary()) for k in (0, 1)] + [pa.array(groups.apart(x, y), type=pa.int64())]
-                gone = [nil.cast(f.type) if f.type != pa.binary() else pa.nulls(len(pairs), pa.binary()) for f in list(_SCREENED)[3:]]
-                yield pa.RecordBatch.from_arrays([*first, *gone], schema=_SCREENED)
-                yield pa.RecordBatch.from_arrays([none, none, pa.nulls(len(kept), pa.int64()), *some], schema=_SCREENED)
+                some = table.take(pa.array(kept)).select(_SCREENED.names[4:]).combine_chunks()
+                yield _padded([some[c].combine_chunks() for c in some.column_names], 4, len(kept))
 
     return work
 
@@ -334,7 +336,7 @@ class _Join:
             "classes",
         )
         self.labels = self._none("rep", "label")
-        self.tested = self._none("a", "b")
+        self.tested: DataFrame | None = None
 
     def _none(self, *names: str) -> DataFrame:
         return self.reps.limit(0).select(*[F.col("rep").alias(n) for n in names])
@@ -386,14 +388,16 @@ class _Join:
         sorted_ = rows.repartition("grp").sortWithinPartitions("grp", "side")
         return sorted_.mapInArrow(
             screened(self.least),
-            "a binary, b binary, apart long, grp long, side int, rep binary, label binary, n long, s0 long, s1 long",
+            "a binary, b binary, la binary, lb binary, grp long, side int, rep binary, label binary, n long, s0 long, s1 long",
         )
 
-    def _texts(self, reps: DataFrame) -> DataFrame:
-        """``key`` (rep), ``text`` of distinct ``rep``."""
+    def _texts(self, reps: DataFrame) -> DataFrame | None:
+        """``key`` (rep), ``text`` of distinct ``rep``, if there are any."""
         wanted = reps.join(self.reps.select("rep", "own"), "rep").select(F.col("rep").alias("key"), "own")
         wanted = self.scratch.table(wanted, "wanted")
         n = wanted.count()
+        if not n:
+            return None
         met = self.docs.join(F.broadcast(wanted) if n <= BROADCAST_KEYS else wanted, ["key", "own"], "left_semi")
         docs = self.scratch.table(met.select("key", "text"), "texts")
         # some rows repeat id and text
@@ -411,51 +415,21 @@ class _Join:
         return met.mapInArrow(linked(self.words, self.least), "a binary, b binary")
 
     def _confirm(self, pairs: DataFrame, docs: DataFrame) -> DataFrame:
-        """Pairs confirmed on the texts. The documents of a component are dealt
-        into blocks of some ``BLOCK``; pairs of the same two blocks meet in one
-        group, which gets each of its texts once, so that many pairs between two
-        large components do not carry a text each."""
-        sizes = self.labels.groupBy("label").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-        place = (
-            self._labelled(docs.select("key"), "key")
-            .join(sizes, "label", "left")
-            .select("key", F.xxhash64("label", F.pmod(F.xxhash64("key"), F.coalesce("blocks", F.lit(1)))).alias("block"))
-        )
-        place = self.scratch.table(place, "blocks")
-        pairs = self.scratch.table(pairs.select("a", "b"), "pairs")
+        """The labels ``a, b`` of pairs confirmed on the texts. Pairs of one class meet in one group, which gets each of its texts once."""
         groups = max(1, pairs.count() // GROUP)
-        x, y = F.col("xb"), F.col("yb")
-        dealt = (
-            pairs.join(place.select(F.col("key").alias("a"), F.col("block").alias("xb")), "a")
-            .join(place.select(F.col("key").alias("b"), F.col("block").alias("yb")), "b")
-            .select(
-                F.when(x <= y, F.col("a")).otherwise(F.col("b")).alias("a"),
-                F.when(x <= y, F.col("b")).otherwise(F.col("a")).alias("b"),
-                F.xxhash64(F.least(x, y), F.greatest(x, y)).alias("blocks"),
-            )
-            .withColumn("group", F.pmod("blocks", F.lit(groups)))
-        )
-        dealt = self.scratch.table(dealt, "dealt")
+        dealt = pairs.withColumn("blocks", F.xxhash64("b")).withColumn("group", F.pmod("blocks", F.lit(groups)))
         wanted = dealt.select("group", F.explode(F.array("a", "b")).alias("key")).distinct()
         held = wanted.join(docs, "key").select(F.col("group").alias("of"), "key", "text")
         words, least = self.words, self.least
-        kind = self.reps.schema["rep"].dataType.simpleString()
 
         def meet(left: pa.Table, right: pa.Table) -> pa.Table:
             return confirmed(left, right, words, least)
 
-        found = dealt.groupBy("group").cogroup(held.groupBy("of")).applyInArrow(meet, f"a {kind}, b {kind}")
-        return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-
-    def _link(self, pairs: DataFrame, docs: DataFrame) -> None:
-        """Confirm ``pairs`` and merge the components that they connect."""
-        links = self.scratch.table(self._confirm(pairs, docs), "confirmed")
-        ends = self._labelled(self._labelled(links, "a", "la"), "b", "lb")
-        self._merge(ends.select(F.col("la").alias("a"), F.col("lb").alias("b")))
+        return dealt.groupBy("group").cogroup(held.groupBy("of")).applyInArrow(meet, "a binary, b binary")
 
     def _merge(self, links: DataFrame) -> None:
         """Merge the components whose labels are linked."""
-        found = components(links, self.scratch)
+        found = self.scratch.table(components(links, self.scratch), "found")
         root = found.select(F.col("node").alias("label"), "root")
         moved = self.labels.join(root, "label", "left").select("rep", F.coalesce("root", "label").alias("label"))
         new = found.join(self.labels.select(F.col("rep").alias("node")), "node", "left_anti")
@@ -465,26 +439,16 @@ class _Join:
 
     def _test(self, members: DataFrame, last: bool) -> None:
         found = self.scratch.table(self._screened(members, last), "candidates")
-        pairs = found.filter("a IS NOT NULL").groupBy("a", "b").agg(F.min("apart").alias("apart"))
-        pairs = self.scratch.table(pairs.join(self.tested, ["a", "b"], "left_anti"), "pairs")
+        pairs = found.filter("a IS NOT NULL").groupBy("a", "b").agg(F.first("la").alias("la"), F.first("lb").alias("lb"))
+        pairs = self.scratch.table(pairs.join(self.tested, ["a", "b"], "left_anti") if self.tested is not None else pairs, "pairs")
         dense = found.filter("rep IS NOT NULL")
         reps = dense.select("rep").unionByName(pairs.select(F.explode(F.array("a", "b")).alias("rep"))).distinct()
-        if reps.isEmpty():
-            return
         docs = self._texts(reps)
-        if not dense.isEmpty():
-            self._merge(self.scratch.table(self._dense(dense, docs), "links"))
-        self.tested = self.scratch.table(self.tested.unionByName(pairs.select("a", "b")), "tested")
-        ends = self._labelled(self._labelled(pairs, "a", "la"), "b", "lb").filter("la <> lb").select("a", "b", "apart")
-        pairs = self.scratch.table(ends, "apart")
-        best = pairs.groupBy("b").agg(F.min(F.struct("apart", "a")).alias("to")).select("b", F.col("to.a").alias("a"))
-        if best.isEmpty():
+        if docs is None:
             return
-        self._link(best, docs)
-        rest = self._labelled(self._labelled(pairs.join(best, ["a", "b"], "left_anti"), "a", "la"), "b", "lb")
-        rest = self.scratch.table(rest.filter("la <> lb").select("a", "b"), "rest")
-        if not rest.isEmpty():
-            self._link(rest, docs)
+        self._merge(self._confirm(pairs, docs).unionByName(self._dense(dense, docs)))
+        own = pairs.select("a", "b")
+        self.tested = self.tested.unionByName(own) if self.tested is not None else own
 
     def run(self) -> DataFrame:
         # Trees at their roots: one coordinate each, every fourth tree a second.
