@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -142,6 +142,33 @@ def json_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_table(spark, f"{base}/docs", fmt="json", schema=RAW)
 
 
+SPLIT_BYTES = 20_000
+
+
+def json_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows of an input partition as one JSON array, read in byte ranges of
+    ``SPLIT_BYTES``; every record holds a nested object and text with quotes and braces."""
+    base = scratch(spark, "json-large")
+    raw = tables.raw_transactions(spark, sf_dir)
+    odd = F.concat(F.lit('say "}", \\ and {["'), "transaction_id")
+    record = F.to_json(F.struct(*RAW_COLUMNS, odd.alias("note"), F.struct(odd.alias("in"), F.array(F.struct(odd.alias("x"))).alias("list")).alias("more")))
+    rows = raw.select(record.alias("record"), F.spark_partition_id().alias("document"), F.monotonically_increasing_id().alias("at"))
+    place = Window.partitionBy("document").orderBy("at")
+    opened = F.when(F.lag("at").over(place).isNull(), F.lit('{"data": [\n')).otherwise(F.lit(","))
+    closed = F.when(F.lead("at").over(place).isNull(), F.lit("]}")).otherwise(F.lit(""))
+    lines = rows.select("document", F.concat(opened, "record", closed).alias("value"))
+    lines.write.partitionBy("document").text(f"{base}/docs")
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(SPLIT_BYTES))
+    try:
+        wider = T.StructType([*RAW.fields, T.StructField("note", T.StringType())])
+        files.read_json_array(spark, f"{base}/docs", wider).write.parquet(f"{base}/out")
+    finally:
+        spark.conf.set(name, before)
+    return spark.read.parquet(f"{base}/out")
+
+
 def csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The high-risk view's 10 columns as CSV with header, read back."""
     base = scratch(spark, "export")
@@ -504,6 +531,7 @@ def io_queries() -> dict:
         "silver_by_status": silver_by_status,
         "multi_format_read": multi_format_read,
         "json_envelope": json_envelope,
+        "json_large": json_large,
         "csv_export": csv_export,
         "partitioned_write": partitioned_write,
         "clustered_write": clustered_write,

@@ -24,7 +24,7 @@ from paysignal.operators import dedup, gold, quality, rules, scd2
 from paysignal.operators import keys
 from paysignal.operators.keys import estimated_bytes
 from paysignal.session import size_shuffles
-from paysignal.plans import incremental
+from paysignal.plans import bronze_store, dimension_store, incremental, live
 from paysignal.sources import files
 from paysignal.schema import CUSTOMER_RAW
 from paysignal.sources.storage import TableStore
@@ -183,7 +183,11 @@ def main(argv=None) -> None:
     from paysignal.session import get_spark
 
     p = argparse.ArgumentParser(prog="paysignal-jobs")
-    p.add_argument("job", choices=["bronze", "silver", "score", "rescore", "gold", "scd2", "all"])
+    p.add_argument(
+        "job",
+        choices=["bronze", "silver", "score", "rescore", "gold", "scd2", "all", "bronze-store", "live", "dimension"],
+        help="all: bronze to gold; bronze-store, live and dimension keep stores up to date batch by batch",
+    )
     p.add_argument("--root", required=True, help="shared folder holding the tables")
     p.add_argument("--source", help="raw CSV folder (bronze) or customer snapshot file (scd2)")
     p.add_argument("--pattern", default="*.csv", help="file name glob of new source files (bronze)")
@@ -194,6 +198,7 @@ def main(argv=None) -> None:
     p.add_argument("--max-files-per-trigger", type=int, default=None, help="files per micro-batch (bronze)")
     p.add_argument("--within-watermark", action="store_true", help="bounded dedup state (bronze)")
     p.add_argument("--drop-late", action="store_true", help="drop rows older than the watermark, and report how many (bronze)")
+    p.add_argument("--by-own-header", action="store_true", help="read every file by its own header (bronze)")
     p.add_argument("--rules", default=None, help='RuleConfig fields as JSON, e.g. {"velocity_limit": 200}')
     a = p.parse_args(argv)
     cfg = RuleConfig(**json.loads(a.rules)) if a.rules else RuleConfig()
@@ -204,7 +209,7 @@ def main(argv=None) -> None:
         out["bronze"] = bronze_job(
             spark, a.root, a.source, a.pattern, state_store=a.state_store,
             max_files_per_trigger=a.max_files_per_trigger, within_watermark=a.within_watermark,
-            drop_late=a.drop_late,
+            drop_late=a.drop_late, by_own_header=a.by_own_header,
         )
     if a.job in ("silver", "all"):
         out["silver"] = silver_job(spark, store, as_of=a.as_of)
@@ -216,6 +221,18 @@ def main(argv=None) -> None:
         out["gold"] = gold_job(spark, store)
     if a.job == "scd2":
         out["scd2"] = scd2_job(spark, store, files.read_table(spark, a.source, schema=CUSTOMER_RAW), a.as_of)
+    checkpoint = f"{a.root.rstrip('/')}/_checkpoints"
+    if a.job == "bronze-store":
+        out["bronze-store"] = bronze_store.run(
+            spark, store, a.source, f"{checkpoint}/bronze-store", a.pattern, max_files_per_trigger=a.max_files_per_trigger
+        )
+    if a.job == "live":  # --source: the folder of Bronze files (default: the one of the bronze job)
+        out["live"] = live.run(
+            spark, store, a.source or f"{store.root}/{BRONZE}", f"{checkpoint}/live", cfg, a.as_of,
+            max_files_per_trigger=a.max_files_per_trigger,
+        )
+    if a.job == "dimension":
+        out["dimension"] = dimension_store.step(store, files.read_table(spark, a.source, schema=CUSTOMER_RAW), a.as_of)
     print(json.dumps(out, default=str))
 
 

@@ -640,6 +640,7 @@ def io_sql() -> dict[str, str]:
         f"SELECT '{fmt}' AS format, {RAW_SELECT} FROM tx" for fmt in ("csv", "parquet", "jsonl")
     )
     q["json_envelope"] = f"WITH {TX}\nSELECT {RAW_SELECT} FROM tx"
+    q["json_large"] = f"WITH {TX}\nSELECT {RAW_SELECT}, 'say \"}}\", \\ and {{[\"' || transaction_id AS note FROM tx"
     q["csv_export"] = with_scored(f"SELECT {HIGH_RISK_COLS} FROM fraud")
     q["partitioned_write"] = with_scored(f"SELECT {SCORED_COLUMNS} FROM fraud")
     lenient = checked_ctes("std", "len", _lenient_rules(), LENIENT_RULES)

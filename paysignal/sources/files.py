@@ -6,7 +6,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,7 +55,8 @@ def read_table(spark: SparkSession, path: str, fmt: str | None = None, schema: T
     if kind in ("parquet", "pq"):
         return spark.read.parquet(path)
     if kind == "json":
-        return read_json_envelope(spark, path, schema)
+        sizes = spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0] if schema is not None else 0
+        return read_json_array(spark, path, schema) if (sizes or 0) > LARGE_DOCUMENT else read_json_envelope(spark, path, schema)
     if kind in ("jsonl", "ndjson"):
         reader = spark.read.schema(schema) if schema is not None else spark.read
         return reader.json(path)
@@ -70,8 +71,8 @@ def read_json_envelope(spark: SparkSession, path: str, schema: T.StructType | No
 
     Documents are read as text and parsed with explicit schemas (no inference
     pass when ``schema`` is given): whichever parse yields values for a
-    document is its shape. A document is parsed by one task (JSON documents are
-    not splittable); many documents are read in parallel."""
+    document is its shape. A document is parsed by one task; many documents are read
+    in parallel, and large ones by ``read_json_array``."""
     value = F.col("value")
     member = F.coalesce(*[F.get_json_object(value, f"$.{k}") for k in ENVELOPE_KEYS])
     docs = spark.read.text(path, wholetext=True)
@@ -101,6 +102,81 @@ def read_json_envelope(spark: SparkSession, path: str, schema: T.StructType | No
     return _conform(rows, schema)
 
 
+# Documents of more bytes than this are read by ``read_json_array``.
+LARGE_DOCUMENT = 256 << 20
+
+
+def read_json_array(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """S7 for documents of any size: every file under ``path`` is one array of records, or
+    an object whose first member, ``data`` or ``transactions``, is one.
+
+    The text is cut at each ``}``, so a file is split into byte ranges like any other. A piece
+    alone does not tell whether it starts inside a string, nor how deep: so each piece is
+    counted both ways, running sums are made inside each range, and the ranges' totals, one
+    row each, give what every range starts with. A record ends where the depth is
+    that of the array; its pieces are joined and parsed on their own. Records may hold
+    nested values and any character; a file of another shape raises."""
+    rows = spark.read.option("lineSep", "}").text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"),
+    )
+    bare = F.regexp_replace("value", r"(?s)\\.", "")  # escapes never cross a piece: none ends in }
+    count = lambda text, mark: F.length(text) - F.length(F.replace(text, F.lit(mark), F.lit("")))
+
+    def depth(text: Column) -> Column:
+        plain = F.regexp_replace(text, '(?s)"[^"]*("|$)', "")
+        return count(plain, "{") + count(plain, "[") - count(plain, "]")
+
+    pieces = rows.withColumns(
+        {
+            "quotes": count(bare, '"'),
+            "out": depth(bare) - F.when(count(bare, '"') % 2 == 0, 1).otherwise(0),
+            "in": depth(F.concat(F.lit('"'), bare)) - F.when(count(bare, '"') % 2 == 1, 1).otherwise(0),
+        }
+    ).repartition("file", "block")
+    before = Window.partitionBy("file", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy("file", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    ranges_before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    so_far = lambda c, w: F.coalesce(F.sum(c).over(w), F.lit(0))
+
+    # inside a range, for a range that starts outside (0) or inside (1) a string
+    local = pieces.withColumn("odd", so_far("quotes", before) % 2)
+    local = local.withColumns({"step0": F.when(F.col("odd") == 0, F.col("out")).otherwise(F.col("in")),
+                               "step1": F.when(F.col("odd") == 1, F.col("out")).otherwise(F.col("in"))})
+    local = local.withColumns({"depth0": F.sum("step0").over(upto), "depth1": F.sum("step1").over(upto)})
+    totals = local.groupBy("file", "block").agg(*[F.sum(c).alias(c) for c in ("quotes", "step0", "step1")])
+    starts = totals.withColumn("start", so_far("quotes", ranges_before) % 2)
+    starts = starts.withColumn("step", F.when(F.col("start") == 0, F.col("step0")).otherwise(F.col("step1")))
+    starts = starts.select("file", "block", "start", so_far("step", ranges_before).alias("above"))
+    known = local.join(starts, ["file", "block"]).select(
+        "file", "block", "at", "value",
+        (F.col("above") + F.when(F.col("start") == 0, F.col("depth0")).otherwise(F.col("depth1"))).alias("depth"),
+        ((F.col("start") + F.col("odd") + F.col("quotes")) % 2 == 0).alias("outside"),
+    )
+
+    # the shape, from the first piece of each file; a file of one piece holds no record
+    first = known.filter("block = 0").groupBy("file").agg(F.min(F.struct("at", "value")).alias("f"))
+    opening = r"^[\s\uFEFF]*(\{\s*\"(data|transactions)\"\s*:\s*)?\["
+    base = F.when(~F.col("f.value").rlike(opening), F.raise_error(F.concat(F.lit("not an array of records: "), "file"))).otherwise(
+        F.when(F.col("f.value").rlike(r"^[\s\uFEFF]*\["), 1).otherwise(2)
+    )
+    known = known.join(first.select("file", base.cast("int").alias("base"), F.col("f.at").alias("head")), "file")
+    known = known.withColumn("ends", F.when(F.col("outside") & (F.col("depth") == F.col("base")), 1).otherwise(0)).repartition("file", "block")
+    ended = known.groupBy("file", "block").agg(F.sum("ends").alias("n"))
+    ended = ended.select("file", "block", so_far("n", ranges_before).alias("done"))
+    numbered = known.withColumn("here", so_far("ends", before)).join(ended, ["file", "block"])
+    text = F.when(F.col("at") == F.col("head"), F.regexp_replace("value", opening, "")).otherwise(F.col("value"))
+    records = numbered.groupBy("file", (F.col("done") + F.col("here")).alias("record")).agg(
+        F.sort_array(F.collect_list(F.struct("block", "at", text.alias("text")))).alias("parts"), F.max("ends").alias("whole")
+    )
+    joined = F.concat(F.regexp_replace(F.array_join(F.col("parts.text"), "}"), r"^[\s,]+", ""), F.lit("}"))
+    strings = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    parsed = records.filter("whole = 1").select(F.from_json(joined, strings, {"mode": "PERMISSIVE"}).alias("_r"))
+    return _conform(parsed.select("_r.*"), schema)
+
+
 def _starts(text: Column, mark: str) -> Column:
     return F.substring(F.ltrim(F.regexp_replace(text, r"^\s+", "")), 1, 1) == F.lit(mark)
 

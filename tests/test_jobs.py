@@ -93,3 +93,22 @@ def test_cli_runs_all_jobs(spark, tmp_dir, capsys):
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     n = tables.table(spark, SF_SMALL, "customer").count()
     assert out["scd2"]["action"] == "initialized" and out["scd2"]["active_customer_count"] == n
+
+
+def test_jobs_of_the_stores(spark, tmp_dir, monkeypatch, capsys):
+    """bronze, live and dimension from the command line, on one root, twice."""
+    import json
+
+    monkeypatch.setattr("paysignal.session.get_spark", lambda *a, **k: spark)
+    root, src = f"{tmp_dir}/lake", f"{tmp_dir}/landing"
+    tables.raw_transactions(spark, SF_SMALL).limit(60).coalesce(1).write.option("header", True).csv(src)
+    tables.customer_snapshot0(spark, SF_SMALL).coalesce(1).write.option("header", True).csv(f"{tmp_dir}/customers.csv")
+    for _ in range(2):
+        jobs.main(["bronze", "--root", root, "--source", src, "--by-own-header", "--state-store", "memory"])
+        jobs.main(["live", "--root", root, "--as-of", "2024-06-01"])
+        jobs.main(["dimension", "--root", root, "--source", f"{tmp_dir}/customers.csv", "--as-of", "2024-01-01"])
+    said = [json.loads(x) for x in capsys.readouterr().out.splitlines() if x.startswith("{")]
+    assert said[1]["live"][0]["applied"] and said[4]["live"] == [] and said[5]["dimension"]["action"] == "no-op"
+    from paysignal.plans import live
+
+    assert live.scores(TableStore(spark, root)).count() > 0
