@@ -16,7 +16,7 @@ from paysignal.config import CONFIG_A, LENIENT, LENIENT_RULES, STRICT, STRICT_RU
 from paysignal.functions.columns import present, round_ratio
 from paysignal.operators import alerts, asof, dedup, dense, gold, kpi, quality, rules, scd2
 from paysignal.operators.standardize import missing_report, standardize
-from paysignal.plans import bundle
+from paysignal.plans import bundle, incremental
 from paysignal.plans import silver as silver_plan
 from paysignal.sources import tables
 
@@ -321,15 +321,19 @@ def scd2_queries() -> dict[str, Query]:
     return q
 
 
+def scored_in_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of the filter's dates only: rows out of the rules' reach of them are not read."""
+    first, last = FILTER_ARGS["start_date"], FILTER_ARGS["end_date"]
+    return incremental.rescore_range(tables.transactions(spark, sf_dir), first, last, CONFIG_A)
+
+
 def alert_queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
-    q["filter_transactions"] = lambda s, d: alerts.filter_transactions(
-        scored(s, d), **FILTER_ARGS
-    ).select(*SCORED_COLUMNS)
+    q["filter_transactions"] = lambda s, d: alerts.filter_transactions(scored_in_range(s, d), **FILTER_ARGS).select(*SCORED_COLUMNS)
     q["filter_regex"] = lambda s, d: alerts.filter_transactions(
         scored(s, d), statuses=["FAILED"], risk_levels=None, user_query=USER_PATTERN, user_regex=True
     ).select(*SCORED_COLUMNS)
-    q["filtered_kpis"] = lambda s, d: kpi.filtered(alerts.filter_transactions(scored(s, d), **FILTER_ARGS))
+    q["filtered_kpis"] = lambda s, d: kpi.filtered(alerts.filter_transactions(scored_in_range(s, d), **FILTER_ARGS))
     q["alert_queue"] = lambda s, d: alerts.alert_queue(fraud(s, d), "risk_score", 100)
     q["alert_queue_amount"] = lambda s, d: alerts.alert_queue(fraud(s, d), "amount", 100)
     q["alert_queue_time"] = lambda s, d: alerts.alert_queue(fraud(s, d), "timestamp", 100)
