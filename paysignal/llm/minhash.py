@@ -52,11 +52,11 @@ from paysignal.llm.words import hash_words, mix64
 
 COORDINATES = 64
 #: Of the pairs at the threshold, the share that some tree shall bring together in a node that is compared exhaustively.
-RECALL = 0.99999
+RECALL = 0.9995
 SMALL = 256
-DEPTH = 6
-#: A branch takes so many further coordinates at once, and a node so many branches.
-TAKEN, BRANCHES = 3, 3
+DEPTH = 3
+#: A branch takes so many further coordinates at once, and a node so many branches: about (1 / 0.8) ** 3, so that a level makes no more members than the one above.
+TAKEN, BRANCHES = 3, 2
 #: Members of a block on either side, and shingles that a block with texts holds at most.
 ONES, ALLS, SHINGLES = 512, 2048, 4_000_000
 #: Coordinates (of 64) in which the 2-bit sketches of a candidate pair may differ.
