@@ -366,8 +366,6 @@ class _Join:
     def _members(self, front: DataFrame, nodes: DataFrame) -> DataFrame:
         """Members of ``nodes`` with what a comparison needs. (Joined the same way at every size.)"""
         rows = front.join(nodes.hint("merge"), "node")
-        if "n" not in front.columns:
-            rows = rows.join(self.reps.select("rep", "n", "s0", "s1").hint("merge"), "rep")
         return self.scratch.table(rows.select("node", "rep", "label", "n", "s0", "s1", "size", "rest", "major", "pivot"), "members")
 
     def _screened(self, members: DataFrame, last: bool) -> DataFrame:
@@ -469,7 +467,8 @@ class _Join:
             if last:
                 break
             # The larger nodes, with what has been linked meanwhile: some are small now, the others branch.
-            large = self._labelled(members.filter(F.col("rest") > self.small).select("node", "rep"))
+            held = ("n", "s0", "s1")
+            large = self._labelled(members.filter(F.col("rest") > self.small).select("node", "rep", *held))
             large = self.scratch.table(large.join(self._nodes(large).select("node", "rest"), "node"), "large")
             if large.isEmpty():
                 break
@@ -478,10 +477,10 @@ class _Join:
             children = (
                 large.filter(F.col("rest") > self.small)
                 .join(self.reps.select("rep", "sig"), "rep")
-                .select(F.explode(below).alias("node"), "rep", "label")
+                .select(F.explode(below).alias("node"), "rep", "label", *held)
             )
             front = self.scratch.table(
-                large.filter(F.col("rest") <= self.small).select("node", "rep", "label").unionByName(children), "front"
+                large.filter(F.col("rest") <= self.small).select("node", "rep", "label", *held).unionByName(children), "front"
             )
             nodes = self._nodes(front)
         # a component goes by the smallest key of its classes
