@@ -83,11 +83,16 @@ def most_slices(bucket: int, span: int, cfg: RuleConfig) -> int:
     return 1 if span > bucket else min(int(cfg.max_split), SUB - 1, max(1, 4 * bucket // max(span, 1)))
 
 
-def hot_cells(df: DataFrame, counts: DataFrame | None, bucket: int, cfg: RuleConfig, span: int = 0) -> DataFrame | None:
-    """(key, cell) -> sub-slice counts of the cell and its two neighbours, for the cells in
-    ``counts``; None when there are none. A map too large to broadcast is joined by shuffle."""
+def hot_cells(
+    df: DataFrame, key: str, bucket: int, cfg: RuleConfig, span: int = 0, counts: DataFrame | None = None
+) -> DataFrame | None:
+    """(key, cell) -> sub-slice counts of the cell and its two neighbours, for the hot cells
+    (``counts``, if known); None when there are none. A map too large to broadcast is joined by shuffle."""
     limit = most_slices(bucket, span, cfg)
-    if not cfg.split_hot_cells or counts is None or limit < 2:
+    if not cfg.split_hot_cells or limit < 2:
+        return None
+    counts = hot_counts(df, key, bucket, cfg) if counts is None else counts
+    if counts is None:
         return None
     counts = counts.select(
         "_hk", "_hc", F.least(F.ceil(F.col("_n") / F.lit(int(cfg.hot_cell_rows))), F.lit(limit)).cast("int").alias("_m")
@@ -273,8 +278,8 @@ def score(df: DataFrame, cfg: RuleConfig | None = None, label_style: str = "name
     user_n, device_n = hot_counts(base, "user_id", user_bucket, cfg), hot_counts(base, "device_id", device_bucket, cfg)
     if too_dense(user_n, user_bucket, user_span, cfg) or too_dense(device_n, device_bucket, cfg.mule_window_s, cfg):
         return conclude(dense.features(base, cfg), label_style, cfg)
-    user_hot = hot_cells(base, user_n, user_bucket, cfg, user_span)
-    device_hot = hot_cells(base, device_n, device_bucket, cfg, cfg.mule_window_s)
+    user_hot = hot_cells(base, "user_id", user_bucket, cfg, user_span, user_n)
+    device_hot = hot_cells(base, "device_id", device_bucket, cfg, cfg.mule_window_s, device_n)
     return conclude(device_features(user_features(base, cfg, user_hot), cfg, device_hot), label_style, cfg)
 
 
