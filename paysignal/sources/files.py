@@ -86,17 +86,12 @@ def read_json_envelope(spark: SparkSession, path: str, schema: T.StructType | No
     def parsed(text: Column, kind: T.DataType) -> Column:
         return F.from_json(text, kind, {"mode": "PERMISSIVE"})
 
-    def zipped(x: Column) -> Column:
-        held = [F.coalesce(x[f.name], F.array()) for f in schema.fields]
-        size = F.greatest(*[F.size(h) for h in held], F.lit(0))
-        rows = F.transform(
-            F.sequence(F.lit(1), size),
-            lambda i: F.struct(*[F.try_element_at(h, i.cast("int")).alias(f.name) for h, f in zip(held, schema.fields)]),
-        )
-        return F.when(size > 0, rows)
-
+    # parsed once a document, and as a column of its own: every array is taken from it
+    docs = docs.withColumn("columns", F.when(~_starts(value, "["), parsed(value, columns)))
+    held = [F.coalesce(F.col("columns")[f.name], F.array().cast("array<string>")) for f in schema.fields]
+    zipped = F.arrays_zip(*held).cast(T.ArrayType(record))
     records = F.when(_starts(value, "["), parsed(value, T.ArrayType(record))).otherwise(
-        F.coalesce(zipped(parsed(value, columns)), F.array(parsed(value, record)))
+        F.when(F.size(zipped) > 0, zipped).otherwise(F.array(parsed(value, record)))
     )
     rows = docs.select(F.explode(records).alias("_r")).select(*[F.col(f"_r.{n}") for n in names])
     return _conform(rows, schema)

@@ -187,3 +187,16 @@ def test_optional_output_probe_order(spark, tmp_dir):
     assert files.find_optional_output(spark, root, "fraud_transactions").first().src == "d"
     spark.createDataFrame([("s",)], "src string").write.option("header", True).csv(f"{root}/sample_data/fraud_transactions.csv")
     assert files.find_optional_output(spark, root, "fraud_transactions").first().src == "s"
+
+
+def test_column_document_parsed_once(spark, tmp_dir):
+    path = local(f"{tmp_dir}/columns.json")
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as fh:
+        json.dump({"transaction_id": [f"T{i}" for i in range(600)], "amount": ["1.5"] * 599, "status": None}, fh)
+    got = files.read_json_envelope(spark, path, RAW)
+    # one parse a kind (columns, array of records, record), however many fields and rows there are
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("from_json(") <= 3
+    rows = {r.transaction_id: (r.amount, r.status) for r in got.collect()}
+    assert len(rows) == 600
+    assert rows["T0"] == ("1.5", None) and rows["T599"] == (None, None)
