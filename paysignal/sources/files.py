@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paysignal.schema import RAW
-from paysignal.sources.storage import path_exists
+from paysignal.sources.storage import path_exists, written_bytes
 
 SUPPORTED = "Supported file types are CSV, JSON, and Parquet."
 ENVELOPE_KEYS = ("data", "transactions")
@@ -99,6 +99,8 @@ def read_json_envelope(spark: SparkSession, path: str, schema: T.StructType | No
 
 # Documents of more bytes than this are read by ``read_json_array``.
 LARGE_DOCUMENT = 256 << 20
+# Bytes that a task of ``read_json_array`` reads, in one range or many.
+TASK_BYTES = 32 << 20
 
 
 def read_json_array(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -110,13 +112,16 @@ def read_json_array(spark: SparkSession, path: str, schema: T.StructType) -> Dat
     counted both ways, running sums are made inside each range, and the ranges' totals, one
     row each, give what every range starts with. A record ends where the depth is
     that of the array; its pieces are joined and parsed on their own. Records may hold
-    nested values and any character; a file of another shape raises."""
+    nested values and any character; a file of another shape raises.
+
+    A task reads many ranges, about ``TASK_BYTES`` together, so that short ranges do
+    not each send a task's result to the driver."""
+    tasks = max(spark.sparkContext.defaultParallelism, -(-written_bytes(spark, path) // TASK_BYTES))
     rows = spark.read.option("lineSep", "}").text(path).select(
         "value",
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("at"),
-    )
+    ).coalesce(tasks).withColumn("at", F.monotonically_increasing_id())
     bare = F.regexp_replace("value", r"(?s)\\.", "")  # escapes never cross a piece: none ends in }
     count = lambda text, mark: F.length(text) - F.length(F.replace(text, F.lit(mark), F.lit("")))
 
@@ -140,29 +145,31 @@ def read_json_array(spark: SparkSession, path: str, schema: T.StructType) -> Dat
     local = pieces.withColumn("odd", so_far("quotes", before) % 2)
     local = local.withColumns({"step0": F.when(F.col("odd") == 0, F.col("out")).otherwise(F.col("in")),
                                "step1": F.when(F.col("odd") == 1, F.col("out")).otherwise(F.col("in"))})
-    local = local.withColumns({"depth0": F.sum("step0").over(upto), "depth1": F.sum("step1").over(upto)})
+    in_order = Window.partitionBy("file", "block").orderBy("at")
+    local = local.withColumns({"depth0": F.sum("step0").over(upto), "depth1": F.sum("step1").over(upto),
+                               "head": (F.col("block") == 0) & (F.row_number().over(in_order) == 1)})
     totals = local.groupBy("file", "block").agg(*[F.sum(c).alias(c) for c in ("quotes", "step0", "step1")])
     starts = totals.withColumn("start", so_far("quotes", ranges_before) % 2)
     starts = starts.withColumn("step", F.when(F.col("start") == 0, F.col("step0")).otherwise(F.col("step1")))
     starts = starts.select("file", "block", "start", so_far("step", ranges_before).alias("above"))
     known = local.join(starts, ["file", "block"]).select(
-        "file", "block", "at", "value",
+        "file", "block", "at", "value", "head",
         (F.col("above") + F.when(F.col("start") == 0, F.col("depth0")).otherwise(F.col("depth1"))).alias("depth"),
         ((F.col("start") + F.col("odd") + F.col("quotes")) % 2 == 0).alias("outside"),
     )
 
     # the shape, from the first piece of each file; a file of one piece holds no record
-    first = known.filter("block = 0").groupBy("file").agg(F.min(F.struct("at", "value")).alias("f"))
+    first = local.filter("block = 0 AND head").select("file", F.col("value").alias("opens"))
     opening = r"^[\s\uFEFF]*(\{\s*\"(data|transactions)\"\s*:\s*)?\["
-    base = F.when(~F.col("f.value").rlike(opening), F.raise_error(F.concat(F.lit("not an array of records: "), "file"))).otherwise(
-        F.when(F.col("f.value").rlike(r"^[\s\uFEFF]*\["), 1).otherwise(2)
+    base = F.when(~F.col("opens").rlike(opening), F.raise_error(F.concat(F.lit("not an array of records: "), "file"))).otherwise(
+        F.when(F.col("opens").rlike(r"^[\s\uFEFF]*\["), 1).otherwise(2)
     )
-    known = known.join(first.select("file", base.cast("int").alias("base"), F.col("f.at").alias("head")), "file")
+    known = known.join(first.select("file", base.cast("int").alias("base")), "file")
     known = known.withColumn("ends", F.when(F.col("outside") & (F.col("depth") == F.col("base")), 1).otherwise(0)).repartition("file", "block")
     ended = known.groupBy("file", "block").agg(F.sum("ends").alias("n"))
     ended = ended.select("file", "block", so_far("n", ranges_before).alias("done"))
     numbered = known.withColumn("here", so_far("ends", before)).join(ended, ["file", "block"])
-    text = F.when(F.col("at") == F.col("head"), F.regexp_replace("value", opening, "")).otherwise(F.col("value"))
+    text = F.when(F.col("head"), F.regexp_replace("value", opening, "")).otherwise(F.col("value"))
     records = numbered.groupBy("file", (F.col("done") + F.col("here")).alias("record")).agg(
         F.sort_array(F.collect_list(F.struct("block", "at", text.alias("text")))).alias("parts"), F.max("ends").alias("whole")
     )

@@ -57,3 +57,22 @@ def test_large_documents_are_read_in_ranges_and_other_shapes_raise(spark, tmp_di
     put(f"{tmp_dir}/other", "b.json", json.dumps({"transaction_id": {"x": 1}, "y": 2}))
     with pytest.raises(Exception, match="not an array of records"):
         array(spark, f"{tmp_dir}/other", RAW).collect()
+
+
+def test_many_byte_ranges_are_few_tasks(spark, tmp_dir):
+    mine = records(9, 200)
+    put(f"{tmp_dir}/ranges", "a.json", json.dumps({"data": mine}))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200")
+    tasks, tracker = [], spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("ranges", "ranges")
+    try:
+        assert spark.read.text(f"{tmp_dir}/ranges").rdd.getNumPartitions() > 50
+        assert files.read_json_array(spark, f"{tmp_dir}/ranges", SCHEMA).count() == 200
+        for job in tracker.getJobIdsForGroup("ranges"):
+            stages = [tracker.getStageInfo(s) for s in tracker.getJobInfo(job).stageIds]
+            tasks += [s.numTasks for s in stages if s is not None]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert tasks and max(tasks) <= 16
