@@ -37,9 +37,11 @@ from paysignal.llm.batches import list_array, ragged, slices, strings
 BUCKETS = (2, 3, 4, 5, 6, 8, 10, 12, 16, 24, 32, 64, 128)
 LONGEST = BUCKETS[-1]
 #: Cells of one matrix; more rows of a bucket follow in further matrices.
-CELLS = 1 << 20
+CELLS = 1 << 17
 #: Distinct pieces that a task remembers before it starts afresh.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
+#: Bytes of text encoded at once: its matches are held as a list.
+SLICE = 1 << 20
 _NONE = np.int32(2**31 - 1)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _EMPTY = np.uint64(2**64 - 1)
@@ -292,7 +294,7 @@ def encode(
         vocab = vocabulary(path)
         encoder = Encoder(vocab, pattern)
         for batch in batches:
-            for part in slices(batch, "_text"):
+            for part in slices(batch, "_text", SLICE):
                 ids, counts = encoder.encode(strings(part, "_text"))
                 ends = np.cumsum(counts)
                 pieces = [ids[e - n : e] for e, n in zip(ends.tolist(), counts.tolist(), strict=True)]

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import time
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -38,6 +39,20 @@ def test_bpe_equals_the_library(made, free):
         at += n
 
 
+def test_bpe_memory_is_bounded_over_many_distinct_words(reference):
+    encoder = bpe.Encoder(bpe.vocabulary(PATH), PATTERN)
+    part = lambda k: " ".join(f"w{k}x{i}" for i in range(20_000))
+    tracemalloc.start()
+    try:
+        for k in range(22):
+            encoder.encode([part(k)])
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert encoder.encode([part(0)])[0].tolist() == reference.encode_ordinary(part(0))
+    assert peak < 60 << 20, peak
+
+
 def test_bpe_long_matches(reference):
     rnd = random.Random(3)
     texts = ["a" * 20_000, "ab" * 3_000, "".join(rnd.choice("abcdefgh") for _ in range(9_000)), " " * 700, "0" * 129]
