@@ -5,20 +5,30 @@
 rows), scores the Silver rows, and takes Gold from a stored scored output
 when one exists (S8) or from the scores. Provenance (labels, notes, refresh
 time, which stored outputs exist) is plain metadata; no rows are collected.
+
+A layer is planned when it is first asked for. On a large source the Silver rows
+are written to the shared folder once, since scoring reads them several times
+(``rules.score`` counts hot cells first), and the plan up to them is not run again
+each time.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from paysignal.config import LENIENT, RULE_NAMES, QualityProfile, RuleConfig
 from paysignal.functions.columns import coalesce_false, round_ratio
 from paysignal.operators import dedup, gold, quality, rules
+from paysignal.operators.keys import SMALL_INPUT_BYTES, is_small
 from paysignal.operators.standardize import standardize
+from paysignal.session import shared_dir
 from paysignal.sources import files
 from paysignal.sources.storage import TableStore
 
@@ -28,19 +38,52 @@ FALLBACK_LABEL = "Built-in fixture"
 @dataclass
 class Bundle:
     bronze: DataFrame
-    checked: DataFrame
-    silver: DataFrame
-    quarantine: DataFrame
-    scored: DataFrame
-    gold: DataFrame
     profile: QualityProfile
+    cfg: RuleConfig
     source_label: str
     source_note: str
     refresh_timestamp: dt.datetime
+    as_of: object = None
+    label_style: str = "labels"
+    stored: DataFrame | None = None
     stored_gold_detected: bool = False
     customer_scd2_available: bool = False
     notes: list = field(default_factory=list)
 
+    @cached_property
+    def _small(self) -> int:
+        """The bound below which operators skip their counting jobs: one choice for all
+        layers (half, as the checked rows read the source twice)."""
+        return SMALL_INPUT_BYTES if is_small(self.bronze, SMALL_INPUT_BYTES // 2) else 0
+
+    @cached_property
+    def checked(self) -> DataFrame:
+        return quality.add_quality_rules(self.bronze, self.profile, self.as_of, small_input_bytes=self._small)
+
+    @cached_property
+    def quarantine(self) -> DataFrame:
+        return quality.split_valid_invalid(self.checked)[1]
+
+    @cached_property
+    def silver(self) -> DataFrame:
+        rows = dedup.keep_first(quality.split_valid_invalid(self.checked)[0], small_input_bytes=self._small)
+        if self._small or any(isinstance(f.dataType, T.NullType) for f in rows.schema.fields):  # Parquet has no such type
+            return rows
+        spark = rows.sparkSession
+        path = shared_dir(spark, f"paysignal-bundle-{uuid.uuid4().hex[:12]}")
+        rows.write.parquet(path)
+        return spark.read.schema(rows.schema).parquet(path)
+
+    @cached_property
+    def scored(self) -> DataFrame:
+        return rules.score(self.silver, self.cfg, label_style=self.label_style)
+
+    @cached_property
+    def gold(self) -> DataFrame:
+        if self.stored is not None and "is_fraud" in self.stored.columns:
+            return stored_scores(self.stored).filter(coalesce_false("is_fraud"))
+        return gold.fraud_transactions(self.scored)
+
 
 def build_bundle(
     source: DataFrame,
@@ -60,33 +103,24 @@ def build_bundle(
     source with ``ValueError`` (one ``isEmpty`` job)."""
     if require_rows and source.isEmpty():
         raise ValueError("The source is empty.")
-    bronze = standardize(source)
-    checked = quality.add_quality_rules(bronze, profile, as_of)
-    valid, quarantine = quality.split_valid_invalid(checked)
-    silver = dedup.keep_first(valid)
-    scored = rules.score(silver, cfg or RuleConfig(), label_style=label_style)
     notes = []
     table = precomputed
     if table is None and store is not None and store.exists(gold_table):
         table = store.read(gold_table)
-    stored = table is not None
-    fraud = gold.fraud_transactions(scored)
-    if stored and "is_fraud" in table.columns:
-        fraud = stored_scores(table).filter(coalesce_false("is_fraud"))
+    if table is not None and "is_fraud" in table.columns:
         notes.append("Fraud rows come from the stored Gold output.")
     refresh = dt.datetime.fromisoformat(str(as_of)) if as_of is not None else dt.datetime.now()
     return Bundle(
-        bronze=bronze,
-        checked=checked,
-        silver=silver,
-        quarantine=quarantine,
-        scored=scored,
-        gold=fraud,
+        bronze=standardize(source),
         profile=profile,
+        cfg=cfg or RuleConfig(),
         source_label=source_label,
         source_note=" ".join([source_note, *notes]).strip(),
         refresh_timestamp=refresh,
-        stored_gold_detected=bool(stored),
+        as_of=as_of,
+        label_style=label_style,
+        stored=table,
+        stored_gold_detected=table is not None,
         customer_scd2_available=bool(store is not None and store.exists(dim_table)),
         notes=notes,
     )

@@ -52,3 +52,35 @@ def test_empty_upload_is_rejected(spark):
     with pytest.raises(ValueError, match="empty"):
         bundle.build_bundle(spark.createDataFrame([], RAW), require_rows=True)
     assert bundle.build_bundle(spark.createDataFrame([], RAW)).scored.count() == 0
+
+
+RAW_ROW = ("T{0}", "U{0}", "u{1}", "2026-08-01 10:0{1}:00", "99.5", "u{1}@bank", "m1@bank", "food", "Pune", "d{1}", "10.0.0.1", "SUCCESS", "")
+
+
+def test_large_source_is_scored_from_silver_written_once(spark, tmp_dir, monkeypatch):
+    from paysignal.schema import RAW_COLUMNS
+
+    names = ("transaction_id", "utr_number", "user_id", "timestamp", "amount", "sender_vpa", "receiver_vpa", "merchant_category",
+             "location_city", "device_id", "ip_address", "status", "failure_reason")
+    rows = [tuple(x.format(i, i % 3) for x in RAW_ROW) for i in (*range(12), 3)]
+    spark.createDataFrame(rows, ", ".join(f"{c} string" for c in names)).select(*RAW_COLUMNS).write.option("header", True).csv(
+        f"{tmp_dir}/site/sample_data/upi_transactions.csv"
+    )
+    taken = lambda b: sorted(tuple(map(str, r)) for r in b.scored.collect())
+    plain = taken(bundle.bundle_from_root(spark, f"{tmp_dir}/site", as_of="2026-09-01 00:00:00"))
+    monkeypatch.setattr(bundle, "is_small", lambda *a: False)
+    large = bundle.bundle_from_root(spark, f"{tmp_dir}/site", as_of="2026-09-01 00:00:00")
+    assert len(plain) == 11 and taken(large) == plain  # both rows of a repeated UTR fail
+    read = large.scored.inputFiles()
+    assert read and all("paysignal-bundle-" in x for x in read)
+
+
+def test_stored_gold_scores_nothing(spark, tmp_dir, monkeypatch):
+    stored = spark.createDataFrame([("T1", True), ("T2", False)], "transaction_id string, is_fraud boolean")
+
+    def score(*a, **kw):
+        raise AssertionError("scored")
+
+    monkeypatch.setattr(bundle.rules, "score", score)
+    b = bundle.bundle_from_root(spark, f"{tmp_dir}/none", as_of="2026-09-01 00:00:00", precomputed=stored)
+    assert [r.transaction_id for r in b.gold.collect()] == ["T1"]
