@@ -456,8 +456,12 @@ def live_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch(spark, "live")
     store = storage.TableStore(spark, base)
     for part in _thirds(tables.dirty_raw_transactions(spark, sf_dir), "transaction_id", "utr_number"):
-        part.coalesce(1).write.mode("append").parquet(f"{base}/bronze")
-    live.run(spark, store, f"{base}/bronze", f"{base}/_checkpoint", CONFIG_A, tables.DIRTY_AS_OF, max_files_per_trigger=2, buckets=16)
+        part.write.mode("append").parquet(f"{base}/bronze")  # every task a file: one file a batch would be one task's work
+    written = sum(x.endswith(".parquet") for x in storage.list_dir(spark, f"{base}/bronze"))
+    live.run(
+        spark, store, f"{base}/bronze", f"{base}/_checkpoint", CONFIG_A, tables.DIRTY_AS_OF,
+        max_files_per_trigger=-(-2 * written // 3), buckets=16,
+    )
     return live.scores(store).select(*SCORED_OUT)
 
 

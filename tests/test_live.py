@@ -131,3 +131,24 @@ def test_zorder_of_one_value_and_of_nothing(spark, store):
     assert store.read("t").count() == 6
     store.write("e", df.limit(0), zorder_by=["user_id", "shop"], files=2)
     assert store.read("e").count() == 0 and RAW_COLUMNS
+
+
+def test_live_scores_input_is_written_by_every_task(spark, tmp_dir, monkeypatch):
+    import datetime as dt
+
+    from paysignal.plans import io_queries
+    from paysignal.sources import storage
+
+    at = dt.datetime(2024, 1, 5)
+    rows = [(i, at + dt.timedelta(minutes=i), i % 7, "view", 1.5, f'{{"k": {i % 9}}}') for i in range(400)]
+    events = spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string, value double, props string")
+    events.repartition(4).write.parquet(f"{tmp_dir}/events.parquet")
+    seen = {}
+
+    def run(spark_, store, path, *a, max_files_per_trigger, **kw):
+        seen.update(files=sum(x.endswith(".parquet") for x in storage.list_dir(spark_, path)), most=max_files_per_trigger)
+
+    monkeypatch.setattr(io_queries.live, "run", run)
+    monkeypatch.setattr(io_queries.live, "scores", lambda store: events.selectExpr(*[f"1 AS {c}" for c in io_queries.SCORED_OUT]))
+    io_queries.live_scores(spark, tmp_dir)
+    assert seen["files"] > 3 * 3 and seen["files"] / 2 < seen["most"] < seen["files"]  # two batches
