@@ -32,7 +32,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from paysignal.llm.batches import list_array, ragged, slices, strings
+from paysignal.llm.batches import list_array, ragged, released, slices, strings
 
 BUCKETS = (2, 3, 4, 5, 6, 8, 10, 12, 16, 24, 32, 64, 128)
 LONGEST = BUCKETS[-1]
@@ -310,4 +310,4 @@ def encode(
                 yield pa.RecordBatch.from_arrays([*kept, *(made[o]() for o in outputs)], names=[*carry, *outputs])
 
     rows = df.select(*[df[f"`{c}`"].alias(f"c{i}") for i, c in enumerate(carry)], df[f"`{text}`"].alias("_text"))
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(released(run), schema)

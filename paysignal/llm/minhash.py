@@ -45,7 +45,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paysignal.llm.batches import list_array, ragged, slices, texts
+from paysignal.llm.batches import list_array, ragged, released, slices, texts
 from paysignal.llm.components import components
 from paysignal.llm.scratch import Scratch
 from paysignal.llm.words import hash_words, mix64
@@ -65,6 +65,8 @@ MOST_APART = 26
 BROADCAST_KEYS = 400_000
 #: Pairs that are confirmed together, on average.
 GROUP = 1000
+#: Pairs of a group that are looked at together; more would only take memory.
+AT_ONCE = 1 << 17
 #: From so many pairs of two blocks on, intersections come from a product of matrices of so many columns.
 MATRIX, COLUMNS = 64, 8192
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -149,7 +151,7 @@ def signatures(df: DataFrame, key: str, text: str, words: int) -> DataFrame:
                 columns += [pa.array(p.astype(np.uint64).view(np.int64)).take(take) for p in planes]
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return df.select(F.col(key).alias("key"), text_id(text).alias("tid"), F.col(text).alias("text")).mapInArrow(run, schema)
+    return df.select(F.col(key).alias("key"), text_id(text).alias("tid"), F.col(text).alias("text")).mapInArrow(released(run), schema)
 
 
 def text_id(text: str) -> Column:
@@ -215,16 +217,23 @@ class _Groups:
             to = max(at + 1, int(np.searchsorted(cost, (cost[at - 1] if at else 0) + most, side="right")))
             of = np.repeat(np.arange(at, to), self.ones[at:to])
             one = ragged(self.start[at:to], self.ones[at:to])
-            alls = (self.size - self.ones)[of]
-            other = ragged((self.start + self.ones)[of], alls)
-            one, of = np.repeat(one, alls), np.repeat(of, alls)
-            low, high = np.minimum(self.n[one], self.n[other]), np.maximum(self.n[one], self.n[other])
-            fit = (self.label[one] != self.label[other]) & (low * self.least[1] >= high * self.least[0])
-            of, one, other = of[fit], one[fit], other[fit]
-            fit = self.apart(one, other) <= MOST_APART
-            yield of[fit], one[fit], other[fit]
+            lot = np.cumsum((self.size - self.ones)[of]) // AT_ONCE
+            cuts = [0, *(np.flatnonzero(np.diff(lot)) + 1).tolist(), len(of)]
+            found = [self._fit(of[i:j], one[i:j]) for i, j in zip(cuts, cuts[1:])]
+            yield tuple(np.concatenate(x) for x in zip(*found))
             at = to
 
+    def _fit(self, of: np.ndarray, one: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The pairs of ``one`` (in the groups ``of``) that may be similar."""
+        alls = (self.size - self.ones)[of]
+        other = ragged((self.start + self.ones)[of], alls)
+        one, of = np.repeat(one, alls), np.repeat(of, alls)
+        low, high = np.minimum(self.n[one], self.n[other]), np.maximum(self.n[one], self.n[other])
+        fit = (self.label[one] != self.label[other]) & (low * self.least[1] >= high * self.least[0])
+        of, one, other = of[fit], one[fit], other[fit]
+        fit = self.apart(one, other) <= MOST_APART
+        return of[fit], one[fit], other[fit]
+
     def apart(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         return np.bitwise_count((self.s0[x] ^ self.s0[y]) | (self.s1[x] ^ self.s1[y])).astype(np.int64)
 
@@ -385,7 +394,7 @@ class _Join:
         )
         sorted_ = rows.repartition("grp").sortWithinPartitions("grp", "side")
         return sorted_.mapInArrow(
-            screened(self.least),
+            released(screened(self.least)),
             "a binary, b binary, la binary, lb binary, grp long, side int, rep binary, label binary, n long, s0 long, s1 long",
         )
 
@@ -410,7 +419,7 @@ class _Join:
         rows = dealt.select(F.xxhash64("grp", "_at.i", "_at.j").alias("grp"), "side", "rep", "label", "n", "s0", "s1")
         held = rows.join(docs.withColumnRenamed("key", "rep"), "rep")
         met = held.repartition("grp").sortWithinPartitions("grp", "side")
-        return met.mapInArrow(linked(self.words, self.least), "a binary, b binary")
+        return met.mapInArrow(released(linked(self.words, self.least)), "a binary, b binary")
 
     def _confirm(self, pairs: DataFrame, docs: DataFrame) -> DataFrame:
         """The labels ``a, b`` of pairs confirmed on the texts. Pairs of one class meet in one group, which gets each of its texts once."""
