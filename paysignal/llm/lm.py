@@ -105,37 +105,53 @@ def features(t: Tokens) -> np.ndarray:
     return np.stack([((mix64(k) >> np.uint64(40)) % np.uint64(ROWS)).astype(np.int16) for k in keys])
 
 
-def exponentials(weights: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(logit, its exponential) of every token and class; weights are kept far below overflow."""
-    out = np.take(weights, rows[0], axis=0)
+class Buffers:
+    """Matrices of a step, used again and again: fresh ones cost about as much as the sums in them."""
+
+    def __init__(self):
+        self.logit, self.part, self.exp = (np.empty((STEP, CLASSES), dtype=np.float32) for _ in range(3))
+
+    def rows_of(self, matrix: np.ndarray, rows: np.ndarray, out: np.ndarray) -> np.ndarray:
+        """``matrix[rows]`` in ``out``; rows are in range (``mode`` spares numpy a copy)."""
+        return np.take(matrix, rows, axis=0, out=out[: len(rows)], mode="clip")
+
+
+def exponentials(weights: np.ndarray, rows: np.ndarray, held: Buffers) -> tuple[np.ndarray, np.ndarray]:
+    """(logit, its exponential) of every token and class, in ``held``; weights are kept far below overflow."""
+    out = held.rows_of(weights, rows[0], held.logit)
     for own in rows[1:]:
-        out += np.take(weights, own, axis=0)
+        out += held.rows_of(weights, own, held.part)
     out += weights[ROWS]
     np.clip(out, -80, 80, out=out)
-    return out, np.exp(out)
+    return out, np.exp(out, out=held.exp[: len(out)])
 
 
-def sums_of(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(distinct rows, the sum of the values of each). Most rows occur a few
-    times: their values are added place by place; the others' in one product."""
+def sums_of(rows: np.ndarray, values: np.ndarray, held: Buffers) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct rows, the sum of the values of each, in ``held``). Most rows occur a
+    few times: their values are added place by place; the others' in one product."""
     order = np.argsort(rows, kind="stable")
-    own, values = rows[order], np.take(values, order, axis=0)
+    own = rows[order]
     begins = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
     counts = np.diff(np.append(begins, len(own)))
-    out = values[begins]
+    out = held.rows_of(values, order[begins], held.logit)
     for j in range(1, FEW):
         more = np.flatnonzero((counts > j) & (counts <= FEW))
-        out[more] += values[begins[more] + j]
-    for i in np.flatnonzero(counts > FEW):
-        out[i] = _ONES[: counts[i]] @ values[begins[i] : begins[i] + counts[i]]
+        sums = held.rows_of(out, more, held.part)
+        sums += np.take(values, order[begins[more] + j], axis=0)
+        out[more] = sums
+    many = np.flatnonzero(counts > FEW)
+    block = held.rows_of(values, order[np.repeat(counts > FEW, counts)], held.part)
+    to = 0
+    for i, n in zip(many.tolist(), counts[many].tolist(), strict=True):
+        np.matmul(_ONES[:n], block[to : (to := to + n)], out=out[i])
     return own[begins], out
 
 
 def log_class(weights: np.ndarray, rows: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """Natural log of P(class | context) of each token."""
-    out = np.empty(len(wanted))
+    out, rows, held = np.empty(len(wanted)), rows.astype(np.intp), Buffers()
     for at in range(0, len(wanted), STEP):
-        s, e = exponentials(weights, rows[:, at : at + STEP])
+        s, e = exponentials(weights, rows[:, at : at + STEP], held)
         out[at : at + STEP] = s[np.arange(len(s)), wanted[at : at + STEP]] - np.log(e @ _ONES[:CLASSES])
     return out
 
@@ -148,20 +164,25 @@ class Learner:
         self.weights = weights.copy()
         self.squares = np.full(len(weights), 1e-6, dtype=np.float32)
         self.touched = np.zeros(len(weights), dtype=bool)
+        self.held = Buffers()
 
     def learn(self, rows: np.ndarray, wanted: np.ndarray) -> None:
+        wide = rows.astype(np.intp)
         for at in range(0, len(wanted), STEP):
             own = rows[:, at : at + STEP]
-            _, p = exponentials(self.weights, own)
+            _, p = exponentials(self.weights, wide[:, at : at + STEP], self.held)
             p *= (1 / (p @ _ONES[:CLASSES]))[:, None]
             p[np.arange(len(p)), wanted[at : at + STEP]] -= 1
             for feature in own:
-                self._step(*sums_of(feature, p))
+                self._step(*sums_of(feature, p, self.held))
             self._step(np.array([ROWS]), (_ONES[: len(p)] @ p)[None, :])
 
     def _step(self, changed: np.ndarray, gradient: np.ndarray) -> None:
         self.squares[changed] += np.einsum("ij,ij->i", gradient, gradient)
-        self.weights[changed] -= gradient * (RATE / np.sqrt(self.squares[changed]))[:, None]
+        gradient *= (RATE / np.sqrt(self.squares[changed]))[:, None]
+        new = self.held.rows_of(self.weights, changed, self.held.part)
+        new -= gradient
+        self.weights[changed] = new
         self.touched[changed] = True
 
     def bands(self) -> Iterator[tuple[int, bytes, bytes]]:
