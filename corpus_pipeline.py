@@ -3,7 +3,8 @@
 ``run`` applies the stages to ``documents``; each stage's result is written as
 Parquet to the cluster's shared folder and read again as the next one's input,
 so a lost executor never costs more than a part of one stage. All stages but
-the last return the columns of ``documents``.
+the last return the columns of ``documents``. Executors and their Python workers
+exchange texts in batches of bounded bytes (``bound_batches``).
 
 1. language: documents that language identification rejects go (no letters, or
    margins too narrow to tell); ``lang`` becomes the predicted language.
@@ -23,18 +24,21 @@ from pyspark.sql import functions as F
 
 from paysignal.llm import bpe, langid, minhash, mixing
 from paysignal.llm.scratch import Scratch
+from paysignal.session import bound_batches
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     model = langid.fit(docs.filter(langid.remainder(F.col("doc_id"), 4) != 2))
     found = langid.predict(docs, model, carry=COLUMNS).filter(~F.col("rejected"))
     return found.select(*[F.col("lang_pred" if c == "lang" else c).alias(c) for c in COLUMNS])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     found = minhash.near_duplicates(docs, words=5, least=(80, 100))
     # a row goes by its id and its text: another text of the same id is another document
     gone = found.filter("NOT kept").select("doc_id", F.col("tid").alias("_tid")).distinct()
@@ -52,6 +56,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return bpe.encode(
         docs,
         public_tokenizers.path(VOCABULARY),

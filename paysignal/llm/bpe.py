@@ -39,9 +39,9 @@ LONGEST = BUCKETS[-1]
 #: Cells of one matrix; more rows of a bucket follow in further matrices.
 CELLS = 1 << 17
 #: Distinct pieces that a task remembers before it starts afresh.
-REMEMBERED = 150_000
+REMEMBERED = 64_000
 #: Bytes of text encoded at once: its matches are held as a list.
-SLICE = 1 << 20
+SLICE = 1 << 18
 _NONE = np.int32(2**31 - 1)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _EMPTY = np.uint64(2**64 - 1)
@@ -62,14 +62,16 @@ class Vocabulary:
         self.token_sizes = np.array([len(t) for t in tokens], dtype=np.int64)
         self.token_starts = np.cumsum(self.token_sizes) - self.token_sizes
         self.token_bytes = np.frombuffer(b"".join(tokens), dtype=np.uint8)
-        pairs = [
-            (self.ranks[t[:i]], self.ranks[t[i:]], rank)
+        # One pair of ints after the other, not a list of them: what a worker frees between other objects it keeps.
+        pairs = (
+            x
             for t, rank in self.ranks.items()
             for i in range(1, len(t))
             if t[:i] in self.ranks and t[i:] in self.ranks
-        ]
-        left, right, merged = np.array(pairs, dtype=np.int64).reshape(-1, 3).T
-        bits = max(4, int(4 * len(pairs)).bit_length())
+            for x in (self.ranks[t[:i]], self.ranks[t[i:]], rank)
+        )
+        left, right, merged = np.fromiter(pairs, dtype=np.int64).reshape(-1, 3).T
+        bits = max(4, int(4 * len(left)).bit_length())
         self.shift = np.uint64(64 - bits)
         self.last = np.int64((1 << bits) - 1)
         self.keys = np.full(1 << bits, _EMPTY, dtype=np.uint64)

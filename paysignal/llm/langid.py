@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paysignal.llm.batches import slices, strings
+from paysignal.llm.batches import released, slices, strings
 
 DICT_BYTES = 128 << 10
 PER_DOCUMENT = 2000
@@ -126,7 +126,7 @@ def predict(
                 yield pa.RecordBatch.from_arrays([*kept, *made], names=schema.names)
 
     rows = df.select(*[df[f"`{c}`"].alias(f"c{i}") for i, c in enumerate(carry)], df[f"`{text}`"].alias("_text"))
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(released(run), schema)
 
 
 def remainder(key: Column, of: int) -> Column:

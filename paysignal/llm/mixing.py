@@ -132,8 +132,9 @@ def mix(
     )
     plan = plan.join(zone, F.col("source").eqNullSafe(F.col("zone_source"))).drop("zone_source")
     # One small row per source, wanted by two scans: collected when few, else joined by shuffle.
-    few = plan.limit(BROADCAST_SOURCES + 1).collect()
-    if len(few) <= BROADCAST_SOURCES:
+    # As an Arrow table it becomes a local relation; a list would go through Python workers on the executors.
+    few = plan.limit(BROADCAST_SOURCES + 1).toArrow()
+    if few.num_rows <= BROADCAST_SOURCES:
         plan = F.broadcast(df.sparkSession.createDataFrame(few, plan.schema))
     plan = plan.withColumnRenamed("source", "_source")
 
