@@ -41,7 +41,7 @@ CELLS = 1 << 17
 #: Distinct pieces that a task remembers before it starts afresh.
 REMEMBERED = 64_000
 #: Bytes of text encoded at once: its matches are held as a list.
-SLICE = 1 << 18
+SLICE = 1 << 19
 _NONE = np.int32(2**31 - 1)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _EMPTY = np.uint64(2**64 - 1)

@@ -55,7 +55,7 @@ def test_released_passes_all_batches_on():
 
 def test_pair_table_is_made_without_a_list_of_pairs():
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    assert peak_mb(lambda: bpe.Vocabulary(path)) < 25  # 30 MB with the list
+    assert peak_mb(lambda: bpe.Vocabulary(path)) < 25  # 30 MB with a list of pairs
 
 
 def test_mix_needs_no_python_worker(odd_docs, capsys):
